@@ -68,4 +68,80 @@ FROM logs WHERE event_type = 'click'""",
 }
 
 
-ORACLE: dict[str, str] = {**LOG_ORACLE}
+_PART_CHANGES = """
+part_changes AS (
+  SELECT 0 AS partition, p_partkey * 8 AS "offset", 'part' AS table_name, 'bootstrap-insert' AS type,
+         1704067200 AS ts, p_partkey, p_name AS name, p_size AS size FROM part
+  UNION ALL SELECT 0, p_partkey * 8 + 1, 'part', 'update', 1704067201, p_partkey, 'U' || p_name,
+         CASE WHEN p_partkey % 6 <> 0 THEN p_size + 1 END FROM part WHERE p_partkey % 3 = 0
+  UNION ALL SELECT 0, p_partkey * 8 + 2, 'part', 'delete', 1704067202, p_partkey, p_name, p_size
+         FROM part WHERE p_partkey % 10 = 0
+  UNION ALL SELECT 0, p_partkey * 8 + 3, 'part', 'insert', 1704067203, p_partkey, 'R' || p_name, NULL
+         FROM part WHERE p_partkey % 20 = 0
+)"""
+
+CDC_ORACLE: dict[str, str] = {
+    "cdc_clean": f"""WITH {_PART_CHANGES}
+SELECT partition, "offset", table_name, type, ts FROM part_changes
+UNION ALL SELECT 0, p_partkey * 8 + 5, 'unknown_table', 'insert', 1704067205 FROM part WHERE p_partkey % 500 = 2
+UNION ALL SELECT 1, s_suppkey, 'supplier', 'bootstrap-insert', 1704067200 FROM supplier
+UNION ALL SELECT 2, n_nationkey, 'nation', 'bootstrap-insert', 1704067200 FROM nation
+UNION ALL SELECT 3, o_orderkey, 'comment_info', 'insert', 1704067200 + o_orderkey % 86400 FROM orders""",
+    "dim_route": f"""WITH {_PART_CHANGES}
+SELECT partition, "offset", table_name, 'dim_part' AS sink_table, 'p_partkey,p_name,p_size' AS sink_columns, type
+FROM part_changes
+UNION ALL SELECT 1, s_suppkey, 'supplier', 'dim_supplier', 's_suppkey, s_name, s_nationkey', 'bootstrap-insert'
+FROM supplier""",
+    "dim_trim": f"""WITH {_PART_CHANGES}, pc AS (
+  SELECT partition, "offset", 'dim_part' AS sink_table, CAST(p_partkey AS VARCHAR) AS row_key,
+         CASE WHEN type = 'delete' THEN 'delete' ELSE 'upsert' END AS change_op, p_partkey, name, size
+  FROM part_changes
+)
+SELECT partition, "offset", sink_table, row_key, change_op, 'p_partkey' AS "column", CAST(p_partkey AS VARCHAR) AS value FROM pc
+UNION ALL SELECT partition, "offset", sink_table, row_key, change_op, 'p_name', name FROM pc
+UNION ALL SELECT partition, "offset", sink_table, row_key, change_op, 'p_size', CAST(size AS VARCHAR) FROM pc
+UNION ALL SELECT 1, s_suppkey, 'dim_supplier', CAST(s_suppkey AS VARCHAR), 'upsert', 's_suppkey', CAST(s_suppkey AS VARCHAR) FROM supplier
+UNION ALL SELECT 1, s_suppkey, 'dim_supplier', CAST(s_suppkey AS VARCHAR), 'upsert', 's_name', s_name FROM supplier
+UNION ALL SELECT 1, s_suppkey, 'dim_supplier', CAST(s_suppkey AS VARCHAR), 'upsert', 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier""",
+}
+
+
+def _dim_apply(keep_old: bool) -> str:
+    size_rows = "p_partkey % 10 <> 0" if keep_old else "p_partkey % 10 <> 0 AND p_partkey % 6 <> 0"
+    return f"""
+WITH live AS (SELECT * FROM part WHERE p_partkey % 10 <> 0 OR p_partkey % 20 = 0)
+SELECT 'dim_part' AS sink_table, CAST(p_partkey AS VARCHAR) AS row_key, 'p_partkey' AS "column",
+       CAST(p_partkey AS VARCHAR) AS value FROM live
+UNION ALL SELECT 'dim_part', CAST(p_partkey AS VARCHAR), 'p_name',
+       CASE WHEN p_partkey % 10 = 0 THEN 'R' || p_name WHEN p_partkey % 3 = 0 THEN 'U' || p_name ELSE p_name END
+       FROM live
+UNION ALL SELECT 'dim_part', CAST(p_partkey AS VARCHAR), 'p_size',
+       CAST(CASE WHEN p_partkey % 3 = 0 AND p_partkey % 6 <> 0 THEN p_size + 1 ELSE p_size END AS VARCHAR)
+       FROM part WHERE {size_rows} AND p_size IS NOT NULL
+UNION ALL SELECT 'dim_supplier', CAST(s_suppkey AS VARCHAR), 's_suppkey', CAST(s_suppkey AS VARCHAR) FROM supplier
+UNION ALL SELECT 'dim_supplier', CAST(s_suppkey AS VARCHAR), 's_name', s_name FROM supplier
+UNION ALL SELECT 'dim_supplier', CAST(s_suppkey AS VARCHAR), 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier"""
+
+
+CDC_ORACLE["dim_apply"] = _dim_apply(True)
+CDC_ORACLE["dim_apply_overwrite"] = _dim_apply(False)
+CDC_ORACLE["topic_filter"] = """
+SELECT 'gmall' AS db_name, 'comment_info' AS table_name, 1704067200 + o_orderkey % 86400 AS ts,
+       CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id, o_orderstatus AS appraise
+FROM orders"""
+CDC_ORACLE["lookup_dictionary"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS appraise,
+       CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS appraise_name
+FROM orders"""
+CDC_ORACLE["date_functions"] = """
+WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT event_id,
+       strftime(epoch_ms(ms + 28800000), '%Y-%m-%d') AS dt,
+       strftime(epoch_ms(ms + 28800000), '%Y-%m-%d %H:%M:%S') AS dttm,
+       strftime(epoch_ms(ms + 28800000), '%Y%m%d') AS part_dt,
+       strftime(epoch_ms(ms + 28800000 - 86400000), '%Y-%m-%d') AS prev_dt,
+       (ms // 1000) * 1000 AS dttm_ms,
+       epoch_ms(CAST(CAST(epoch_ms(ms + 28800000) AS DATE) AS TIMESTAMP)) - 28800000 AS dt_ms
+FROM e"""
+
+ORACLE: dict[str, str] = {**LOG_ORACLE, **CDC_ORACLE}

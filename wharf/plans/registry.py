@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from wharf.functions.jsonx import get_long, get_string, is_object, parse_object
 from wharf.operators.logs import LOG, fix_is_new, log_clean, log_quarantine, split_log
-from wharf.sources.envelopes import log_envelope
+from wharf.operators.cdc import cdc_clean, current_config, dim_changes, parse_config, route, trim
+from wharf.operators.dim import apply_changes, unpivot_cells
+from wharf.operators.lookup import lookup_dictionary
+from wharf.sources.envelopes import config_feed, log_envelope, topic_db_envelope
+from wharf.sources.topic import comment_filter_sql, register_topic_db
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -140,4 +144,96 @@ LOG_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**LOG_QUERIES}
+def _topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topic_db_envelope(
+        table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier"),
+        table(spark, sf_dir, "nation"), table(spark, sf_dir, "orders"),
+    )
+
+
+def _config(spark: SparkSession) -> DataFrame:
+    return current_config(parse_config(config_feed(spark)))
+
+
+def _trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trim(route(cdc_clean(_topic(spark, sf_dir)), _config(spark)))
+
+
+def q_cdc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc_clean(_topic(spark, sf_dir)).select("partition", "offset", F.col("table").alias("table_name"), "type", "ts")
+
+
+def q_dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = route(cdc_clean(_topic(spark, sf_dir)), _config(spark))
+    return r.select("partition", "offset", F.col("table").alias("table_name"), "sink_table", "sink_columns", "type")
+
+
+def q_dim_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _trimmed(spark, sf_dir)
+    return t.select(
+        "partition", "offset", "sink_table", "row_key", "change_op", F.explode(F.map_entries("data")).alias("e")
+    ).select(
+        "partition", "offset", "sink_table", "row_key", "change_op",
+        F.col("e.key").alias("column"), get_string(F.col("e.value")).alias("value"),
+    )
+
+
+def _apply(null_cells: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return unpivot_cells(apply_changes(dim_changes(_trimmed(spark, sf_dir)), null_cells=null_cells))
+
+    return q
+
+
+def q_topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_topic_db(_topic(spark, sf_dir))
+    rows = spark.sql(comment_filter_sql())
+    return rows.select(
+        F.col("database").alias("db_name"), F.col("table").alias("table_name"), "ts",
+        F.col("data")["id"].alias("id"), F.col("data")["user_id"].alias("user_id"),
+        F.col("data")["appraise"].alias("appraise"),
+    )
+
+
+# Fixed value: a dictionary of two of the three order-status codes, so the left join shows NULLs.
+STATUS_DICTIONARY = (("F", "finished", "status"), ("O", "open", "status"))
+
+
+def q_lookup_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_topic_db(_topic(spark, sf_dir))
+    comments = spark.sql(comment_filter_sql()).select(
+        F.col("data")["id"].alias("id"), F.col("data")["appraise"].alias("appraise")
+    )
+    dic = spark.createDataFrame(list(STATUS_DICTIONARY), "dic_code string, dic_name string, parent_code string")
+    return lookup_dictionary(comments, "appraise", dic, out="appraise_name")
+
+
+def q_date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wharf.functions import dates as D
+
+    ms = D.epoch_ms_of("ts")
+    ev = table(spark, sf_dir, "events").select("event_id", ms.alias("ms"))
+    dttm = D.ts_to_date_time("ms")
+    return ev.select(
+        "event_id",
+        D.ts_to_date("ms").alias("dt"),
+        dttm.alias("dttm"),
+        D.ts_to_date_for_partition("ms").alias("part_dt"),
+        D.prev_day("ms").alias("prev_dt"),
+        D.date_time_to_ts(dttm).alias("dttm_ms"),
+        D.date_to_ts(D.ts_to_date("ms")).alias("dt_ms"),
+    )
+
+
+CDC_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "cdc_clean": q_cdc_clean,
+    "dim_route": q_dim_route,
+    "dim_trim": q_dim_trim,
+    "dim_apply": _apply("keep_old"),
+    "dim_apply_overwrite": _apply("overwrite"),
+    "topic_filter": q_topic_filter,
+    "lookup_dictionary": q_lookup_dictionary,
+    "date_functions": q_date_functions,
+}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**LOG_QUERIES, **CDC_QUERIES}

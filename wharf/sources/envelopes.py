@@ -120,7 +120,7 @@ def part_changes(part: DataFrame, database: str = "gmall") -> DataFrame:
         _rec(_change(db, "part", "bootstrap-insert", ts(0), data(name, size)), 0, off(0)),
         F.when(k % 3 == 0, _rec(_change(db, "part", "update", ts(1),
                data(F.concat(F.lit("U"), name), F.when(k % 6 != 0, size + 1))), 1, off(1))),
-        F.when(k % 10 == 0, _rec(_change(db, "part", "delete", ts(2), data(F.concat(F.lit("U"), name), size)), 2, off(2))),
+        F.when(k % 10 == 0, _rec(_change(db, "part", "delete", ts(2), data(name, size)), 2, off(2))),
         F.when(k % 20 == 0, _rec(_change(db, "part", "insert", ts(3), data(F.concat(F.lit("R"), name), null_int)), 3, off(3))),
         F.when(k % 500 == 1, _rec(_change(F.lit("other_db"), "part", "insert", ts(4), data(name, size)), 4, off(4))),
         F.when(k % 500 == 2, _rec(_change(db, "unknown_table", "insert", ts(5), data(name, size)), 5, off(5))),
