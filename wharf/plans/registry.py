@@ -16,12 +16,13 @@ from wharf.operators.logs import LOG, fix_is_new, log_clean, log_quarantine, spl
 from wharf.operators.cdc import cdc_clean, current_config, dim_changes, parse_config, route, trim
 from wharf.operators.dim import apply_changes, unpivot_cells
 from wharf.operators.lookup import lookup_dictionary
+from wharf.sources.files import read_table
 from wharf.sources.envelopes import config_feed, log_envelope, topic_db_envelope
 from wharf.sources.topic import comment_filter_sql, register_topic_db
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:

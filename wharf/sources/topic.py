@@ -10,9 +10,14 @@ TOPIC_DB_SCHEMA = "database string, table string, ts bigint, data map<string,str
 
 
 def topic_db_frame(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Text records -> ``(database, table, ts, data, proc_time)``; unparseable text gives NULL fields."""
+    """Text records -> ``(database, table, ts, data, proc_time)``; unparseable text gives NULL fields.
+
+    The parse sits behind a one-row generator, so a SQL filter on the view is not copied into (and
+    pushed below) the parse: each record is parsed once, after any re-partitioning of the input.
+    """
     rec = F.from_json(F.col(value_col), TOPIC_DB_SCHEMA)
-    return raw.select(rec.alias("r")).select("r.*", F.current_timestamp().alias("proc_time"))
+    parsed = raw.select(F.inline(F.array(F.struct(rec.alias("r")))))
+    return parsed.select("r.*", F.current_timestamp().alias("proc_time"))
 
 
 def register_topic_db(raw: DataFrame, name: str = "topic_db") -> DataFrame:
