@@ -14,6 +14,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     The session zone is pinned to UTC only so that printed timestamps are stable; no operator depends
     on it, every date function takes its zone as an argument.
     """
+    # Python processes started by the JVM (stateful stream runners) inherit this environment.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -53,3 +58,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not cur:
         raise RuntimeError("spark.checkpoint.dir is not set; jobs keep state in that shared folder")
     return cur
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``wharf`` importable in Python workers (needed only by the stateful stream step): zip the
+    package once and add it with ``addPyFile``, which distributes it to every executor."""
+    import shutil
+
+    key = id(spark.sparkContext)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="wharf-pkg-", dir=os.environ.get("WHARF_SCRATCH", "/tmp"))
+    base = shutil.make_archive(os.path.join(out, "wharf"), "zip", root_dir=os.path.dirname(pkg), base_dir="wharf")
+    spark.sparkContext.addPyFile(base)
+    _SHIPPED.add(key)

@@ -1,0 +1,89 @@
+"""T3 in a stream: the new-visitor repair with one value state per device (``transformWithState``).
+
+State: ``first_login_dt`` (a date string), set once per device, as upstream; an optional TTL bounds
+it (upstream keeps it for ever). Within a micro-batch a device's logs are taken in ``(ts, tie)`` order;
+across micro-batches arrival order rules (D4). ``timeMode="None"``: no watermark can drop a late log.
+
+The date arithmetic is done in Spark expressions before the state step (``cand``, ``cur_dt``); the
+processor only compares strings, so no date logic is duplicated in Python.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StringType, StructField, StructType
+
+from wharf.config import DEFAULT_TZ
+from wharf.functions.dates import ts_to_date
+from wharf.functions.jsonx import get_string
+from wharf.operators.logs import LOG, first_seen_candidate
+
+STATE_SCHEMA = StructType([StructField("dt", StringType(), True)])
+OUTPUT_SCHEMA = "value string, partition int, offset bigint, mid string, ts bigint, repair boolean"
+
+
+def _hit(prev: pd.Series, cur: pd.Series, rule: str) -> pd.Series:
+    return (prev != cur) if rule == "later_day" else (prev == cur)
+
+
+class FirstLoginProcessor(StatefulProcessor):
+    def __init__(self, rule: str = "later_day", ttl_ms: int | None = None):
+        self.rule = rule
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("first_login_dt", STATE_SCHEMA, self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        # One device's logs of one micro-batch (bounded by maxOffsetsPerTrigger / maxFilesPerTrigger).
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "partition", "offset"], kind="stable")
+        stored = self.state.get()[0] if self.state.exists() else None
+        n = len(pdf)
+        prev = pd.Series([None] * n, index=pdf.index, dtype="object")
+        if stored is not None:
+            prev[:] = stored
+        else:
+            setters = pdf["cand"].notna().to_numpy().nonzero()[0]
+            if len(setters):
+                i0 = setters[0]
+                first = pdf["cand"].iloc[i0]
+                prev.iloc[i0 + 1:] = first
+                self.state.update((first,))
+        repair = (pdf["flag"] == "1") & prev.notna() & _hit(prev, pdf["cur_dt"], self.rule)
+        out = pdf[["value", "partition", "offset", "mid", "ts"]].copy()
+        out["repair"] = repair.fillna(False).astype(bool)
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def fix_is_new_stream(
+    clean_with_value: DataFrame, rule: str = "later_day", tz: str = DEFAULT_TZ, ttl_ms: int | None = None
+) -> DataFrame:
+    """Stateful repair over a streaming frame of clean logs that still carries ``value``.
+
+    Returns ``(value, partition, offset, mid, ts, repair)``; the caller re-applies the repair to the
+    parsed log (``wharf.operators.logs.apply_repair``).
+    """
+    from wharf.session import ship_package
+
+    ship_package(clean_with_value.sparkSession)
+    log, ts = F.col(LOG), F.col("ts")
+    inp = clean_with_value.select(
+        "value", "partition", "offset", "mid", "ts",
+        get_string(log["common"], "$.is_new").alias("flag"),
+        first_seen_candidate(log, ts, tz).alias("cand"),
+        ts_to_date(ts, tz).alias("cur_dt"),
+    )
+    return inp.groupBy("mid").transformWithStateInPandas(
+        statefulProcessor=FirstLoginProcessor(rule, ttl_ms),
+        outputStructType=OUTPUT_SCHEMA,
+        outputMode="Append",
+        timeMode="None",
+    )
