@@ -18,21 +18,18 @@ DIM_COLUMNS = ("sink_table", "row_key", "family", "cells")
 
 
 def _writes(changes: DataFrame, order: Column) -> DataFrame:
-    """One row per written cell and one marker row (``col`` NULL) per delete."""
-    ent = F.explode_outer(F.map_entries(F.col("data")))
+    """One row per written cell and one marker row (``col`` NULL) per delete, from a single generator
+    over each change, so the input plan is read once."""
     is_del = F.col("change_op") == "delete"
-    cells = changes.where(~is_del).select(
-        "sink_table", "row_key", F.col("sink_family").alias("family"), order.alias("o"), ent.alias("e")
-    ).select(
-        "sink_table", "row_key", "family", "o",
-        F.col("e.key").alias("col"),
-        get_string(F.col("e.value")).alias("val"),
-    ).where(F.col("col").isNotNull())
-    deletes = changes.where(is_del).select(
+    marker = F.array(F.struct(F.lit(None).cast("string").alias("col"), F.lit(None).cast("string").alias("val")))
+    cells = F.transform(
+        F.map_entries(F.coalesce(F.col("data"), F.create_map().cast("map<string,variant>"))),
+        lambda e: F.struct(e["key"].alias("col"), get_string(e["value"]).alias("val")),
+    )
+    return changes.select(
         "sink_table", "row_key", F.col("sink_family").alias("family"), order.alias("o"),
-        F.lit(None).cast("string").alias("col"), F.lit(None).cast("string").alias("val"),
+        F.inline(F.when(is_del, marker).otherwise(cells)),
     )
-    return cells.unionByName(deletes)
 
 
 def apply_changes(
