@@ -51,3 +51,20 @@ def test_routed_topics(spark):
     topics = {r.route: r.topic for r in with_topic(df).collect()}
     assert topics == {"page": "dwd_traffic_page", "err": "dwd_traffic_err", "display": "dwd_traffic_display"}
     assert kafka_frame(df).columns == ["topic", "value"]
+
+
+def test_dates_in_a_dst_gap_of_the_session_zone(spark):
+    # 2024-03-10 02:30:00 does not exist in New York; at +08:00 it is an ordinary wall time.
+    ms = 1710009000000  # 2024-03-10 02:30:00 +08:00
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = spark.range(1).select(
+            D.ts_to_date_time(F.lit(ms)).alias("s"),
+            D.date_time_to_ts(F.lit("2024-03-10 02:30:00")).alias("back"),
+            D.epoch_ms_of(F.lit("2024-07-01 12:00:00.123456").cast("timestamp_ntz")).alias("e"),
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert r.s == "2024-03-10 02:30:00" and r.back == ms
+    assert r.e == 1719835200123
