@@ -149,3 +149,24 @@ def test_flag_type_int_writes_number(spark):
     out = routes(spark, vals, flag_type="int")
     flags = sorted((o, rec["common"]["is_new"]) for o, r, rec in out if r == "page")
     assert flags == [(0, "1"), (1, 0)]
+
+
+def test_parse_once_in_optimized_plan(spark):
+    df = log_clean(raw(spark, GOOD))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_event_time_never_drops_rows(spark):
+    from wharf.operators.logs import with_event_time
+
+    c = with_event_time(log_clean(raw(spark, GOOD)), watermark="3 seconds")
+    rows = c.select("ts", "event_time").collect()
+    assert len(rows) == 2 and all(r.event_time is not None for r in rows)
+
+
+def test_split_plan_has_no_python_and_one_generator_pass(spark):
+    df = split_log(fix_is_new(log_clean(raw(spark, GOOD))), keep=["offset"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    assert "Union" not in plan
