@@ -93,3 +93,31 @@ def test_plan_ddl_diff():
 def test_config_feed_fixture_is_valid_json():
     for v in CONFIG_FEED:
         json.loads(v)
+
+
+def test_store_create_drop_and_batch_dim_job(spark, scratch):
+    from wharf.plans.dim_job import dim_sync, run_dim_sync
+
+    store = DimStore(spark, f"{scratch}/s")
+    assert store.create_table(0, "dim_x", "info") and store.table_exists("dim_x")
+    assert not store.create_table(1, "dim_x", "info")  # exists: no-op
+    assert not store.create_table(1, "dim_y", "")  # no family: no table
+    assert store.drop_table(2, "dim_x") and not store.table_exists("dim_x")
+    assert not store.drop_table(3, "dim_x")  # absent: no-op
+
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    cfg = current_config(parse_config(config_feed(spark)))
+    raw = part_changes(part)
+    store2 = DimStore(spark, f"{scratch}/s2")
+    run_dim_sync(raw, cfg, store2, batch_id=0)
+    got = store2.snapshot(["dim_part"]).select("row_key", F.to_json("cells").alias("c"))
+    exp = dim_sync(raw, cfg).select("row_key", F.to_json("cells").alias("c"))
+    assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
+
+
+def test_store_entries_of_one_batch_apply_in_order(spark, scratch):
+    store = DimStore(spark, f"{scratch}/s3")
+    store.commit(0, [("dim_a", None, False, "info")])
+    store.commit(1, [("dim_a", None, True, None), ("dim_a", None, False, "info"), ("dim_a", 1, False, "info")])
+    e = store.current()["dim_a"]
+    assert e["version"] == 1 and not e["dropped"]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-MANIFEST_SCHEMA = "sink_table string, version bigint, dropped boolean, family string, b bigint"
+MANIFEST_SCHEMA = "sink_table string, version bigint, dropped boolean, family string, b bigint, seq int"
 DIM_SCHEMA = "sink_table string, row_key string, family string, cells map<string,string>"
 
 
@@ -46,7 +46,9 @@ class DimStore:
     def current(self, before_batch: int | None = None) -> dict[str, dict]:
         """Latest entry per table: ``{sink_table: {version, dropped, family}}``."""
         m = self.manifest(before_batch)
-        latest = m.groupBy("sink_table").agg(F.max_by(F.struct("version", "dropped", "family"), "b").alias("e"))
+        # entries of one batch are ordered by their position (a drop, a create, then a new version)
+        order = F.struct("b", "seq")
+        latest = m.groupBy("sink_table").agg(F.max_by(F.struct("version", "dropped", "family"), order).alias("e"))
         return {r["sink_table"]: r["e"].asDict() for r in latest.collect()}
 
     # -- K8, K6, K7 ------------------------------------------------------------------------------
@@ -80,8 +82,11 @@ class DimStore:
         return df.select("sink_table", "row_key", "family", "cells")
 
     def commit(self, batch_id: int, entries: list[tuple[str, int | None, bool, str | None]], config: DataFrame | None = None) -> None:
-        """Write this batch's manifest entries ``(sink_table, version, dropped, family)`` (idempotent)."""
-        rows = [(t, v, d, f, batch_id) for (t, v, d, f) in entries]
+        """Write this batch's manifest entries ``(sink_table, version, dropped, family)``, in order.
+
+        Idempotent: the entries of a batch id are one directory, rewritten whole on a retry, so each
+        batch id commits once (create/drop calls outside a stream take their own batch ids)."""
+        rows = [(t, v, d, f, batch_id, i) for i, (t, v, d, f) in enumerate(entries)]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(
             f"{self.root}/_manifest/b={batch_id}"
         )
@@ -95,6 +100,20 @@ class DimStore:
             "sink_table"
         ).parquet(f"{self.root}/versions/b={batch_id}")
 
+    def create_table(self, batch_id: int, sink_table: str, family: str | None) -> bool:
+        """K6: create an empty table if absent; no family means no table. Returns True if created."""
+        if not family or self.table_exists(sink_table, before_batch=batch_id + 1):
+            return False
+        self.commit(batch_id, [(sink_table, None, False, family)])
+        return True
+
+    def drop_table(self, batch_id: int, sink_table: str) -> bool:
+        """K7: drop a table if it exists (dropping an absent one is a no-op, not an error)."""
+        if not self.table_exists(sink_table, before_batch=batch_id + 1):
+            return False
+        self.commit(batch_id, [(sink_table, None, True, None)])
+        return True
+
     def previous_config(self, batch_id: int) -> list[dict]:
         cfg = self._read_json(
             "_config",
