@@ -170,3 +170,37 @@ def test_split_plan_has_no_python_and_one_generator_pass(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
     assert "Union" not in plan
+
+
+def test_hot_device_is_salted_and_split(spark):
+    """One device holds a third of all logs: results equal the replay, and the join runs salted with
+    AQE's skew split available (both join inputs are plain shuffles)."""
+    n = 6000
+    rows, vals = [], []
+    for i in range(n):
+        mid = "hot" if i % 3 == 0 else f"m{i % 97}"
+        flag = "1" if i % 5 else "0"
+        ts = T0 + i * 97_000
+        rows.append((mid, ts, i, flag))
+        vals.append((json.dumps({"common": {"mid": mid, "is_new": flag}, "page": {"p": 1}, "ts": ts}), 0, i))
+    df = spark.createDataFrame(vals, "value string, partition int, offset bigint").repartition(8)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        f = fix_is_new(log_clean(df), salt=2).select("offset", "is_new")
+        got = {r.offset: r.is_new for r in f.collect()}
+        plan = f._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == _replay(rows, "later_day")
+    assert "SortMergeJoin(skew=true)" in plan and "_salt" in plan
+    assert "Window" not in plan

@@ -134,6 +134,7 @@ def fix_is_new(
     flag_type: str = "string",
     tz: str = DEFAULT_TZ,
     tie: str = "offset",
+    salt: int = 16,
 ) -> DataFrame:
     """T3, batch form: repair the new-visitor flag per device.
 
@@ -143,11 +144,16 @@ def fix_is_new(
 
     Plan: the stored date is fixed by one log per device, so it is a keyed minimum, not a running
     state. ``min(struct((ts, tie), date))`` per ``mid`` aggregates map-side (a device holding a third of
-    all logs collapses before the shuffle), and a left join hands it back; a log sees the date only if
-    the setting log precedes it. No window over a device's logs, so a hot device is never one sorted
-    task: the join is one shuffle on ``mid`` that AQE may split (skew join) or turn into a broadcast
-    once the per-device table is measured small.
+    all logs collapses before the shuffle), and a join hands it back; a log sees the date only if the
+    setting log precedes it. No window over a device's logs, so a hot device is never one sorted task.
+
+    The join is salted: each log takes a bucket ``hash(tie) mod salt`` and each device's one setter
+    row is copied to every bucket, so a hot device's logs spread over ``salt`` partitions. Both join
+    sides then arrive as plain shuffles, so AQE can still split a partition that stays skewed, or turn
+    the join into a broadcast once the per-device table is measured small. ``salt=1`` turns it off.
     """
+    if salt < 1:
+        raise ValueError("salt must be >= 1")
     log, ts = F.col(LOG), F.col("ts")
     order = F.struct(ts.alias("ts"), F.col(tie).alias("tie"))
     setters = (
@@ -156,7 +162,12 @@ def fix_is_new(
         .groupBy("mid")
         .agg(F.min(F.struct("o", "dt")).alias("_first"))
     )
-    j = clean.join(setters, "mid", "left")
+    if salt > 1:
+        setters = setters.select("mid", "_first", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
+        left = clean.withColumn("_salt", F.pmod(F.xxhash64(F.col(tie)), F.lit(salt)).cast("int"))
+        j = left.join(setters, ["mid", "_salt"], "left")
+    else:
+        j = clean.join(setters, "mid", "left")
     prev = F.when(F.col("_first.o") < order, F.col("_first.dt"))
     flag = get_string(log["common"], "$.is_new")
     repair = repair_condition(flag, prev, ts_to_date(ts, tz), rule)
