@@ -8,6 +8,24 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (set at submit time; shown here so the jobs' assumptions are explicit).
+# AQE re-plans at runtime: coalesces small shuffle partitions, splits skewed join partitions, and
+# turns joins into broadcasts only after measuring the small side. The RocksDB state store keeps the
+# per-device state off-heap and bounded in memory.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.ui.enabled": "false",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wharf") -> SparkSession:
     """A local session configured like the cluster jobs expect (AQE on, UI off, UTC session zone).
 

@@ -26,3 +26,27 @@ def log_split_stream(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), ttl_
 def log_quarantine_stream(raw: DataFrame) -> DataFrame:
     c = classify_logs(raw)
     return c.where(F.col("reason").isNotNull()).select(*raw.columns, "reason")
+
+
+def start_log_split(
+    raw: DataFrame,
+    out_dir: str,
+    checkpoint_root: str,
+    opts: LogJobOptions = LogJobOptions(),
+    available_now: bool = False,
+    trigger_interval: str = "5 seconds",
+    ttl_ms: int | None = None,
+):
+    """Start the two queries of the stream job: routes (exactly-once file sink partitioned by route)
+    and quarantine. Each has its own checkpoint under ``checkpoint_root``."""
+    from wharf.sinks.routed import stream_routes_files
+
+    def trig(w):
+        return w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)
+
+    routes = trig(stream_routes_files(log_split_stream(raw, opts, ttl_ms), f"{out_dir}/routes", f"{checkpoint_root}/routes"))
+    bad = trig(
+        log_quarantine_stream(raw).writeStream.format("parquet")
+        .option("path", f"{out_dir}/quarantine").option("checkpointLocation", f"{checkpoint_root}/quarantine")
+    )
+    return routes.start(), bad.start()
