@@ -151,3 +151,22 @@ def test_apply_on_base_snapshot(spark):
     ops = [("k1", "update", {"a": None, "b": 3}), ("k2", "delete", {}), ("k3", "insert", {"a": None})]
     got = {r.row_key: dict(r.cells) for r in apply_changes(_changes(spark, ops), base=base).collect()}
     assert got == {"k1": {"a": "1", "b": "3"}}  # D8 keeps a; D16: k3 with only nulls makes no row
+
+
+def test_current_config_matches_replay(spark):
+    for seed in (11, 12, 13):
+        rng = random.Random(seed)
+        feed, state = [], {}
+        for i in range(120):
+            src = f"t{rng.randrange(6)}"
+            op = rng.choice(["r", "c", "u", "d", "u"])
+            img = row(src, f"dim_{src}_{i}", f"id,c{i}")
+            if op == "d":
+                feed.append(cfg("d", img, None))
+                state.pop(src, None)
+            else:
+                feed.append(cfg(op, None if op != "u" else img, img))
+                state[src] = img
+        df = raw(spark, feed).repartition(3)
+        got = {r.source_table: (r.sink_table, r.sink_columns) for r in current_config(parse_config(df)).collect()}
+        assert got == {k: (v["sink_table"], v["sink_columns"]) for k, v in state.items()}, seed
