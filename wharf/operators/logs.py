@@ -72,14 +72,16 @@ def classify_logs(raw: DataFrame, value_col: str = "value") -> DataFrame:
         _reason(log).alias("reason"),
         get_string(log["common"], "$.mid").alias("mid"),
         get_long(log["ts"]).alias("ts"),
+        F.when(is_object(log["start"]), F.lit("start")).when(is_object(log["page"]), F.lit("page")).alias("kind"),
     )
 
 
 def log_clean(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Good logs as ``(<raw columns but value>, log, mid, ts)``."""
+    """Good logs as ``(<raw columns but value>, log, mid, ts, kind)``; ``kind`` is ``start`` or
+    ``page`` (start wins), so the split need not test the objects again."""
     c = classify_logs(raw, value_col)
     keep = [x for x in raw.columns if x != value_col]
-    return c.where(F.col("reason").isNull()).select(*keep, LOG, "mid", "ts")
+    return c.where(F.col("reason").isNull()).select(*keep, LOG, "mid", "ts", "kind")
 
 
 def log_quarantine(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -188,12 +190,17 @@ def _fan_out(log: Column, key: str, route: str) -> Column:
     return F.coalesce(recs, F.array().cast(T.ArrayType(ROUTE_RECORD)))
 
 
-def route_records(log: Column) -> Column:
-    """All records of one log as ``array<struct<route, value>>`` (T4a-T4e)."""
+def route_records(log: Column, kind: Column | None = None) -> Column:
+    """All records of one log as ``array<struct<route, value>>`` (T4a-T4e). ``kind`` (from the clean
+    step) saves testing ``start``/``page`` again."""
     err = log["err"]
     base = drop_keys(log, ["err"])
-    is_start = is_object(log["start"])
-    is_page = ~is_start & is_object(log["page"])
+    if kind is None:
+        is_start = is_object(log["start"])
+        is_page = ~is_start & is_object(log["page"])
+    else:
+        is_start = kind == "start"
+        is_page = kind == "page"
     singles = F.array(
         F.struct(F.lit("err").alias("route"), F.when(is_object(err), to_json_text(as_object(err))).alias("value")),
         F.struct(F.lit("start").alias("route"), F.when(is_start, to_json_text(base)).alias("value")),
@@ -218,4 +225,5 @@ def split_log(fixed: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataF
 
     One generator over an array built per row: no union, no second scan of the input.
     """
-    return fixed.select(*keep, F.inline(route_records(F.col(LOG))))
+    kind = F.col("kind") if "kind" in fixed.columns else None
+    return fixed.select(*keep, F.inline(route_records(F.col(LOG), kind)))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wharf.functions.jsonx import get_long, get_string, is_object, parse_object
+from wharf.functions.jsonx import get_long, get_string, parse_object
 from wharf.operators.logs import LOG, fix_is_new, log_clean, log_quarantine, split_log
 from wharf.operators.cdc import cdc_clean, current_config, dim_changes, parse_config, route, trim
 from wharf.operators.dim import apply_changes, unpivot_cells
@@ -37,7 +37,7 @@ def q_log_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         "mid",
         "ts",
         get_string(log["common"], "$.is_new").alias("is_new"),
-        F.when(is_object(log["start"]), F.lit("start")).otherwise(F.lit("page")).alias("kind"),
+        "kind",
     )
 
 

@@ -14,7 +14,7 @@ def log_split_stream(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), ttl_
     """Streaming routes ``(partition, offset, route, value)`` from streaming text ``(value, partition,
     offset)``; same records as the batch plan for the same input in one micro-batch."""
     c = classify_logs(raw)
-    clean = c.where(F.col("reason").isNull()).select("value", "partition", "offset", LOG, "mid", "ts")
+    clean = c.where(F.col("reason").isNull()).select("value", "partition", "offset", LOG, "mid", "ts", "kind")
     repaired = fix_is_new_stream(clean, rule=opts.rule, tz=opts.tz, ttl_ms=ttl_ms)
     reparsed = parse_once(repaired)
     fixed = reparsed.select(
