@@ -151,3 +151,39 @@ def test_start_log_split_writes_routes_and_quarantine(spark, scratch):
     assert set(r.route for r in routes.select("route").distinct().collect()) == {"page", "start", "err", "display", "action"}
     n_bad = ev.where((F.col("event_id") % 101 == 0) | (F.col("event_id") % 103 == 0)).count()
     assert bad.count() == n_bad
+
+
+def test_dim_stream_config_change_mid_stream(spark, scratch):
+    """Config is re-read every batch: an update drops and recreates its table (D9, rows lost as
+    upstream), a delete drops its table and stops its changes."""
+    from wharf.sources.kafka import config_change_feed
+
+    part = spark.read.parquet(f"{SF}/part.parquet").where("p_partkey < 40")
+    sup = spark.read.parquet(f"{SF}/supplier.parquet").where("s_suppkey < 10")
+    os.makedirs(f"{scratch}/cfg")
+    p_cfg = {"source_table": "part", "sink_table": "dim_part", "sink_family": "info", "sink_columns": "p_partkey,p_name", "sink_row_key": "p_partkey"}
+    s_cfg = {"source_table": "supplier", "sink_table": "dim_supplier", "sink_family": "info", "sink_columns": "s_suppkey,s_name", "sink_row_key": "s_suppkey"}
+    with open(f"{scratch}/cfg/a.json", "w") as fh:
+        fh.write(json.dumps({"op": "r", "before": None, "after": p_cfg, "ts_ms": 1}) + "\n")
+        fh.write(json.dumps({"op": "r", "before": None, "after": s_cfg, "ts_ms": 2}) + "\n")
+    config = lambda: current_config(parse_config(config_feed_dir()))
+
+    def config_feed_dir():
+        return config_change_feed(spark, f"{scratch}/cfg")
+
+    store = DimStore(spark, f"{scratch}/store")
+    first = part_changes(part).where(F.col("offset") % 8 == 0).unionByName(supplier_changes(sup))
+    dim_sync_batch(first, 0, store, config)
+    assert store.snapshot(["dim_part"]).count() == 40 and store.snapshot(["dim_supplier"]).count() == 10
+
+    p2 = dict(p_cfg, sink_columns="p_partkey,p_name,p_size")
+    with open(f"{scratch}/cfg/b.json", "w") as fh:
+        fh.write(json.dumps({"op": "u", "before": p_cfg, "after": p2, "ts_ms": 3}) + "\n")
+        fh.write(json.dumps({"op": "d", "before": s_cfg, "after": None, "ts_ms": 4}) + "\n")
+    second = part_changes(part).where(F.col("offset") % 8 == 1).unionByName(supplier_changes(sup))
+    dim_sync_batch(second, 1, store, config)
+    rows = {r.row_key: dict(r.cells) for r in store.snapshot(["dim_part"]).collect()}
+    updated = sorted(int(k) for k in rows)
+    assert updated == [k for k in range(40) if k % 3 == 0]  # only this batch's updates survive the recreate
+    assert set(rows["3"]) == {"p_partkey", "p_name", "p_size"}
+    assert not store.table_exists("dim_supplier") and store.table_exists("dim_part")
