@@ -36,15 +36,19 @@ def dim_sync_batch(
     cfg_rows = [r.asDict() for r in cfg.collect()]  # bounded just above
     cfg_df = spark.createDataFrame(cfg_rows, cfg.schema) if cfg_rows else cfg
     entries: list[tuple[str, int | None, bool, str | None]] = []
-    cur = store.current(before_batch=batch_id)
+    before = store.current(before_batch=batch_id)  # tables as the previous batch left them
+    cur = {k: dict(v) for k, v in before.items()}
+    ddl_touched: set[str] = set()
     for action, table, fam in plan_ddl(store.previous_config(batch_id), cfg_rows):
         exists = table in cur and not cur[table]["dropped"]
         if action == "drop" and exists:
             entries.append((table, None, True, None))
             cur[table] = {"version": None, "dropped": True, "family": None}
+            ddl_touched.add(table)
         elif action == "create" and fam and not exists:
             entries.append((table, None, False, fam))
             cur[table] = {"version": None, "dropped": False, "family": fam}
+            ddl_touched.add(table)
 
     batch = batch.persist()
     try:
@@ -53,10 +57,9 @@ def dim_sync_batch(
         touched = [r[0] for r in good.select("sink_table").distinct().collect()]  # a few names
         live = [x for x in touched if x in cur and not cur[x]["dropped"]]
         if live:
-            base_cur = {k: v for k, v in store.current(before_batch=batch_id).items()}
-            base_tables = [x for x in live if x in base_cur and not base_cur[x]["dropped"] and base_cur[x]["version"] is not None
-                           and not any(e[0] == x for e in entries)]
-            base = store.snapshot(base_tables, before_batch=batch_id) if base_tables else None
+            # a table (re)created by this batch's DDL starts empty; the others continue their version
+            carried = [x for x in live if x not in ddl_touched and before.get(x, {}).get("version") is not None]
+            base = store.snapshot(carried, before_batch=batch_id) if carried else None
             new = apply_changes(good.where(F.col("sink_table").isin(live)), base=base, null_cells=opts.null_cells)
             store.write_versions(batch_id, new)
             for x in live:
