@@ -15,8 +15,11 @@ def kafka_text(
     stream: bool = True,
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     **options: str,
 ) -> DataFrame:
+    """``min_partitions`` splits large topic partitions into more Spark tasks (Kafka's own partition
+    count often is lower than the task slots of a big cluster)."""
     reader = spark.readStream if stream else spark.read
     r = (
         reader.format("kafka")
@@ -26,6 +29,8 @@ def kafka_text(
     )
     if stream and max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
     for k, v in options.items():
         r = r.option(k, v)
     df = r.load()
