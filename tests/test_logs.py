@@ -204,3 +204,27 @@ def test_hot_device_is_salted_and_split(spark):
     assert got == _replay(rows, "later_day")
     assert "SortMergeJoin(skew=true)" in plan and "_salt" in plan
     assert "Window" not in plan
+
+
+def test_one_plan_for_routes_and_quarantine(spark, scratch):
+    from wharf.plans.log_job import log_split, log_split_all, run_log_split
+
+    vals = GOOD + [v for v in BAD if v is not None] + [
+        # bad (page not an object) but with a flag: must not set the device's stored date
+        '{"common":{"mid":"m9","is_new":"1"},"page":5,"ts":%d}' % T0,
+        '{"common":{"mid":"m9","is_new":"1"},"page":{"p":1},"ts":%d}' % (T0 + 3 * DAY),
+    ]
+    df = raw(spark, vals)
+    allr = log_split_all(df)
+    good = allr.where("route <> 'quarantine'").select("offset", "route", "value")
+    ref = log_split(df).select("offset", "route", "value")
+    assert good.exceptAll(ref).count() == 0 and ref.exceptAll(good).count() == 0
+    q = {r.offset: (r.reason, r.value) for r in allr.where("route = 'quarantine'").collect()}
+    exp = {r.offset: (r.reason, r.value) for r in log_quarantine(df).collect()}
+    assert q == exp
+    m9 = [json.loads(r.value) for r in allr.where("route = 'page' and value like '%m9%'").collect()]
+    assert [x["common"]["is_new"] for x in m9] == ["1"]
+    plan = allr._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    run_log_split(df, f"{scratch}/out")
+    assert spark.read.parquet(f"{scratch}/out").where("route = 'quarantine'").count() == len(exp)

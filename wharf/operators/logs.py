@@ -158,8 +158,11 @@ def fix_is_new(
         raise ValueError("salt must be >= 1")
     log, ts = F.col(LOG), F.col("ts")
     order = F.struct(ts.alias("ts"), F.col(tie).alias("tie"))
+    # A frame that still holds bad logs (a ``reason`` column) passes them through untouched.
+    good = F.col("reason").isNull() if "reason" in clean.columns else F.lit(True)
     setters = (
-        clean.select("mid", order.alias("o"), first_seen_candidate(log, ts, tz).alias("dt"))
+        clean.where(good)
+        .select("mid", order.alias("o"), first_seen_candidate(log, ts, tz).alias("dt"))
         .where(F.col("dt").isNotNull())
         .groupBy("mid")
         .agg(F.min(F.struct("o", "dt")).alias("_first"))
@@ -170,7 +173,7 @@ def fix_is_new(
         j = left.join(setters, ["mid", "_salt"], "left")
     else:
         j = clean.join(setters, "mid", "left")
-    prev = F.when(F.col("_first.o") < order, F.col("_first.dt"))
+    prev = F.when(good & (F.col("_first.o") < order), F.col("_first.dt"))
     flag = get_string(log["common"], "$.is_new")
     repair = repair_condition(flag, prev, ts_to_date(ts, tz), rule)
     cols = [c for c in clean.columns if c != LOG]

@@ -1,15 +1,26 @@
-"""The log-split job as one batch plan: ``read -> log_clean -> fix_is_new -> split_log -> write``.
+"""The log-split job as one batch plan: ``read -> classify -> fix_is_new -> split -> write``.
 
-One scan of the input feeds both outputs (routes and quarantine), one shuffle (on ``mid``) repairs
-the flag, and the split is a generator in the same stage as the write.
+One plan feeds both outputs: bad logs ride along as a ``quarantine`` route (their text kept, their
+flag untouched), so routes and quarantine come from the same scan and the same write. The flag repair
+is the only shuffle (on ``mid``, salted); the split is a generator in the same stage as the write.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wharf.config import LogJobOptions
-from wharf.operators.logs import fix_is_new, log_clean, log_quarantine, split_log, with_event_time
+from wharf.operators.logs import (
+    LOG,
+    ROUTE_RECORD,
+    classify_logs,
+    fix_is_new,
+    log_clean,
+    route_records,
+    split_log,
+    with_event_time,
+)
 
 
 def log_split(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), keep: tuple[str, ...] = ("offset",)) -> DataFrame:
@@ -21,7 +32,19 @@ def log_split(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), keep: tuple
     return split_log(fixed, keep=keep)
 
 
+def log_split_all(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), keep: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """Routes and quarantine in one frame ``(*keep, route, value, reason)``: good logs give their five
+    routes (``reason`` NULL), a bad log gives one ``quarantine`` record holding its raw text."""
+    c = classify_logs(raw)
+    bad = F.col("reason").isNotNull()
+    # Only bad logs keep their text through the shuffle; good ones are rebuilt from the parsed log.
+    c = c.withColumn("value", F.when(bad, F.col("value")))
+    fixed = fix_is_new(c, rule=opts.rule, flag_type=opts.flag_type, tz=opts.tz)
+    quarantine = F.array(F.struct(F.lit("quarantine").alias("route"), F.col("value").alias("value")).cast(ROUTE_RECORD))
+    recs = F.when(bad, quarantine).otherwise(route_records(F.col(LOG), F.col("kind")))
+    return fixed.select(*keep, "reason", F.inline(recs)).select(*keep, "route", "value", "reason")
+
+
 def run_log_split(raw: DataFrame, out_dir: str, opts: LogJobOptions = LogJobOptions()) -> None:
-    """Write the routes partitioned by ``route`` and the bad logs beside them."""
-    log_split(raw, opts).write.mode("overwrite").partitionBy("route").parquet(f"{out_dir}/routes")
-    log_quarantine(raw).write.mode("overwrite").parquet(f"{out_dir}/quarantine")
+    """Write every route, quarantine included, partitioned by ``route``, in one job."""
+    log_split_all(raw, opts, keep=("partition", "offset")).write.mode("overwrite").partitionBy("route").parquet(out_dir)

@@ -50,6 +50,15 @@ SELECT route, count(*) AS n FROM (
   UNION ALL SELECT 'page' FROM logs WHERE event_type <> 'signup'
   UNION ALL SELECT 'display' FROM logs, range(0, 4) r(i) WHERE event_type = 'view' AND i < event_id % 4
   UNION ALL SELECT 'action' FROM logs WHERE event_type = 'click'
+) GROUP BY route""",
+    "log_job_routes": f"""WITH {_LOGS}
+SELECT route, count(*) AS n FROM (
+  SELECT 'err' AS route FROM logs WHERE event_type = 'error'
+  UNION ALL SELECT 'start' FROM logs WHERE event_type = 'signup'
+  UNION ALL SELECT 'page' FROM logs WHERE event_type <> 'signup'
+  UNION ALL SELECT 'display' FROM logs, range(0, 4) r(i) WHERE event_type = 'view' AND i < event_id % 4
+  UNION ALL SELECT 'action' FROM logs WHERE event_type = 'click'
+  UNION ALL SELECT 'quarantine' FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0
 ) GROUP BY route""",
     "split_err": f"""WITH {_LOGS}
 SELECT event_id, event_id AS code, 'code' AS keys FROM logs WHERE event_type = 'error'""",

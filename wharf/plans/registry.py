@@ -131,7 +131,15 @@ def q_split_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_log_job_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch job (one plan for routes and quarantine), records per route."""
+    from wharf.plans.log_job import log_split_all
+
+    return log_split_all(_logs(spark, sf_dir)).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
 LOG_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "log_job_routes": q_log_job_routes,
     "log_clean": q_log_clean,
     "log_quarantine": q_log_quarantine,
     "fix_is_new_later_day": _fix("later_day"),
