@@ -187,3 +187,16 @@ def test_dim_stream_config_change_mid_stream(spark, scratch):
     assert updated == [k for k in range(40) if k % 3 == 0]  # only this batch's updates survive the recreate
     assert set(rows["3"]) == {"p_partkey", "p_name", "p_size"}
     assert not store.table_exists("dim_supplier") and store.table_exists("dim_part")
+
+
+def test_store_compaction_and_epochs(spark, scratch):
+    import wharf.sinks.dimstore as DS
+
+    store = DimStore(spark, f"{scratch}/s4")
+    for b in (0, 1, 49, 50, 51, 999, 1000, 1001):
+        store.commit(b, [(f"dim_{b % 3}", b, False, "info")])
+    cur = store.current()
+    assert {k: v["version"] for k, v in cur.items()} == {"dim_0": 999, "dim_1": 1000, "dim_2": 1001}
+    assert store.last_batch() == 1001
+    assert store.current(before_batch=50)["dim_1"]["version"] == 49  # history before the compaction
+    assert DS.COMPACT_EVERY == 50 and store._compacted()[0] == 1000

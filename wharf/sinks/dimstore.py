@@ -2,15 +2,21 @@
 
 There is no table format with MERGE in this environment, so a table is a chain of versions::
 
-    <root>/versions/b=<batch>/sink_table=<name>/part-*.parquet   rows (row_key, family, cells)
-    <root>/_manifest/b=<batch>/part-*.json                       (sink_table, version, dropped)
-    <root>/_config/b=<batch>/part-*.json                         config seen by that batch
+    <root>/versions/b=<batch>/sink_table=<name>/part-*.parquet     rows (row_key, family, cells)
+    <root>/_manifest/e=<epoch>/b=<batch>/part-*.json               (sink_table, version, dropped)
+    <root>/_config/e=<epoch>/b=<batch>/part-*.json                 config seen by that batch
+    <root>/_compacted/part-*.json                                  latest entry per table as of batch c
 
 A batch writes new versions of the tables it touched, then its manifest entry, each with
 ``mode("overwrite")`` on a directory named by the batch id, so a retried batch rewrites the same
 files and a batch already in the manifest is skipped. The current version of a table is its latest
 manifest entry; readers never see a half-written version. The manifest and the config are a few rows
 per batch; they are the only data this module collects to the driver.
+
+Reads stay small however long the stream runs: entries sit in epochs of ``EPOCH`` batches, and every
+``COMPACT_EVERY`` batches the latest entry per table is written to ``_compacted``; a reader takes that
+and the (at most two) epochs after it. Should ``_compacted`` be missing (a crash while rewriting it),
+readers fall back to every epoch, which is slower and equally correct.
 """
 
 from __future__ import annotations
@@ -20,6 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 MANIFEST_SCHEMA = "sink_table string, version bigint, dropped boolean, family string, b bigint, seq int"
+CONFIG_SCHEMA = (
+    "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string, b bigint"
+)
+_MANIFEST_COLS = ("sink_table", "version", "dropped", "family", "b", "seq")
+EPOCH = 1000
+COMPACT_EVERY = 50
 DIM_SCHEMA = "sink_table string, row_key string, family string, cells map<string,string>"
 
 
@@ -29,27 +41,50 @@ class DimStore:
         self.root = root.rstrip("/")
 
     # -- manifest -------------------------------------------------------------------------------
-    def _read_json(self, sub: str, schema: str) -> DataFrame:
+    def _read_json(self, path: str, schema: str, base: str | None = None) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).json(f"{self.root}/{sub}")
+            r = self.spark.read.schema(schema)
+            if base:
+                r = r.option("basePath", base)
+            return r.json(path)
         except AnalysisException:
             return self.spark.createDataFrame([], schema)
 
+    def _epochs(self, sub: str, first: int, last: int, schema: str) -> DataFrame:
+        eps = ",".join(str(e) for e in range(max(first, 0), last + 1))
+        return self._read_json(f"{self.root}/{sub}/e={{{eps}}}", schema, base=f"{self.root}/{sub}")
+
+    def _compacted(self) -> tuple[int, DataFrame] | None:
+        df = self._read_json(f"{self.root}/_compacted", MANIFEST_SCHEMA + ", c bigint")
+        c = df.agg(F.max("c")).first()[0]
+        return None if c is None else (int(c), df.drop("c"))
+
     def manifest(self, before_batch: int | None = None) -> DataFrame:
-        m = self._read_json("_manifest", MANIFEST_SCHEMA)
+        comp = self._compacted()
+        if comp is None or (before_batch is not None and before_batch <= comp[0]):
+            m = self._read_json(f"{self.root}/_manifest", MANIFEST_SCHEMA).select(*_MANIFEST_COLS)
+        else:
+            c, snap = comp
+            after = self._epochs("_manifest", (c + 1) // EPOCH, (c + 1) // EPOCH + 1, MANIFEST_SCHEMA)
+            m = snap.select(*_MANIFEST_COLS).unionByName(after.where(F.col("b") > c).select(*_MANIFEST_COLS))
         return m if before_batch is None else m.where(F.col("b") < before_batch)
 
     def last_batch(self) -> int:
+        comp = self._compacted()
         r = self.manifest().agg(F.max("b")).first()[0]
-        return -1 if r is None else int(r)
+        vals = [x for x in (r, comp[0] if comp else None) if x is not None]
+        return int(max(vals)) if vals else -1
 
     def current(self, before_batch: int | None = None) -> dict[str, dict]:
         """Latest entry per table: ``{sink_table: {version, dropped, family}}``."""
-        m = self.manifest(before_batch)
+        return {r["sink_table"]: r["e"].asDict() for r in self._latest(self.manifest(before_batch)).collect()}
+
+    @staticmethod
+    def _latest(m: DataFrame) -> DataFrame:
         # entries of one batch are ordered by their position (a drop, a create, then a new version)
         order = F.struct("b", "seq")
-        latest = m.groupBy("sink_table").agg(F.max_by(F.struct("version", "dropped", "family"), order).alias("e"))
-        return {r["sink_table"]: r["e"].asDict() for r in latest.collect()}
+        e = F.max_by(F.struct("version", "dropped", "family"), order).alias("e")
+        return m.groupBy("sink_table").agg(e, F.max_by(F.struct("b", "seq"), order).alias("bs"))
 
     # -- K8, K6, K7 ------------------------------------------------------------------------------
     def table_exists(self, sink_table: str, before_batch: int | None = None) -> bool:
@@ -87,11 +122,25 @@ class DimStore:
         Idempotent: the entries of a batch id are one directory, rewritten whole on a retry, so each
         batch id commits once (create/drop calls outside a stream take their own batch ids)."""
         rows = [(t, v, d, f, batch_id, i) for i, (t, v, d, f) in enumerate(entries)]
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(
-            f"{self.root}/_manifest/b={batch_id}"
+        e = batch_id // EPOCH
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).drop("b").coalesce(1).write.mode("overwrite").json(
+            f"{self.root}/_manifest/e={e}/b={batch_id}"
         )
         if config is not None:
-            config.coalesce(1).write.mode("overwrite").json(f"{self.root}/_config/b={batch_id}")
+            config.coalesce(1).write.mode("overwrite").json(f"{self.root}/_config/e={e}/b={batch_id}")
+        if batch_id % COMPACT_EVERY == 0:
+            self.compact(batch_id)
+
+    def compact(self, through_batch: int) -> None:
+        """Write the latest entry per table as of ``through_batch`` to ``_compacted`` (a few rows)."""
+        latest = self._latest(self.manifest(before_batch=through_batch + 1))
+        rows = latest.select(
+            "sink_table", "e.version", "e.dropped", "e.family", F.col("bs.b").alias("b"), F.col("bs.seq").alias("seq"),
+            F.lit(through_batch).cast("bigint").alias("c"),
+        ).collect()
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA + ", c bigint").coalesce(1).write.mode("overwrite").json(
+            f"{self.root}/_compacted"
+        )
 
     def write_versions(self, batch_id: int, tables: DataFrame) -> None:
         """New versions of the touched tables, one directory per table, in one write."""
@@ -115,14 +164,16 @@ class DimStore:
         return True
 
     def previous_config(self, batch_id: int) -> list[dict]:
-        cfg = self._read_json(
-            "_config",
-            "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string, b int",
-        )
-        last = cfg.where(F.col("b") < batch_id).agg(F.max("b")).first()[0]
+        """The config the latest earlier batch ran with (every batch writes one)."""
+        e = (batch_id - 1) // EPOCH
+        cfg = self._epochs("_config", e - 1, e, CONFIG_SCHEMA).where(F.col("b") < batch_id)
+        last = cfg.agg(F.max("b")).first()[0]
         if last is None:
-            return []
-        return [r.asDict() for r in cfg.where(F.col("b") == last).drop("b").collect()]
+            cfg = self._read_json(f"{self.root}/_config", CONFIG_SCHEMA).where(F.col("b") < batch_id)
+            last = cfg.agg(F.max("b")).first()[0]
+            if last is None:
+                return []
+        return [r.asDict() for r in cfg.where(F.col("b") == last).drop("b", "e").collect()]
 
 
 def plan_ddl(previous: list[dict], current: list[dict]) -> list[tuple[str, str, str | None]]:
