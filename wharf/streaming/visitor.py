@@ -40,24 +40,30 @@ class FirstLoginProcessor(StatefulProcessor):
         self.state = handle.getValueState("first_login_dt", STATE_SCHEMA, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        # One device's logs of one micro-batch (bounded by maxOffsetsPerTrigger / maxFilesPerTrigger).
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "partition", "offset"], kind="stable")
         stored = self.state.get()[0] if self.state.exists() else None
-        n = len(pdf)
-        prev = pd.Series([None] * n, index=pdf.index, dtype="object")
         if stored is not None:
-            prev[:] = stored
-        else:
-            setters = pdf["cand"].notna().to_numpy().nonzero()[0]
-            if len(setters):
-                i0 = setters[0]
-                first = pdf["cand"].iloc[i0]
-                prev.iloc[i0 + 1:] = first
-                self.state.update((first,))
+            # A device with a stored date: every log compares with it, order plays no part, so each
+            # Arrow chunk is answered as it comes (nothing of the group is buffered).
+            for pdf in rows:
+                yield self._out(pdf, pd.Series(stored, index=pdf.index, dtype="object"))
+            return
+        # A device seen for the first time: its first setting log decides, so this micro-batch's logs of
+        # the device are ordered by (ts, tie); the group is bounded by the trigger size.
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "partition", "offset"], kind="stable")
+        prev = pd.Series([None] * len(pdf), index=pdf.index, dtype="object")
+        setters = pdf["cand"].notna().to_numpy().nonzero()[0]
+        if len(setters):
+            i0 = setters[0]
+            first = pdf["cand"].iloc[i0]
+            prev.iloc[i0 + 1:] = first
+            self.state.update((first,))
+        yield self._out(pdf, prev)
+
+    def _out(self, pdf: pd.DataFrame, prev: pd.Series) -> pd.DataFrame:
         repair = (pdf["flag"] == "1") & prev.notna() & _hit(prev, pdf["cur_dt"], self.rule)
         out = pdf[["value", "partition", "offset", "mid", "ts"]].copy()
         out["repair"] = repair.fillna(False).astype(bool)
-        yield out
+        return out
 
     def close(self) -> None:
         pass
