@@ -104,8 +104,9 @@ class DimStore:
         )
         return df.select(F.lit(sink_table).alias("sink_table"), "row_key", "family", "cells")
 
-    def snapshot(self, tables: list[str], before_batch: int | None = None) -> DataFrame:
-        cur = self.current(before_batch)
+    def snapshot(self, tables: list[str], before_batch: int | None = None, cur: dict[str, dict] | None = None) -> DataFrame:
+        """Rows of the named tables; ``cur`` (a :meth:`current` result) saves reading the manifest again."""
+        cur = self.current(before_batch) if cur is None else cur
         paths = [
             self._version_path(e["version"], t)
             for t, e in cur.items()

@@ -59,7 +59,7 @@ def dim_sync_batch(
         if live:
             # a table (re)created by this batch's DDL starts empty; the others continue their version
             carried = [x for x in live if x not in ddl_touched and before.get(x, {}).get("version") is not None]
-            base = store.snapshot(carried, before_batch=batch_id) if carried else None
+            base = store.snapshot(carried, cur=before) if carried else None
             new = apply_changes(good.where(F.col("sink_table").isin(live)), base=base, null_cells=opts.null_cells)
             store.write_versions(batch_id, new)
             for x in live:
