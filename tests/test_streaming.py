@@ -200,3 +200,21 @@ def test_store_compaction_and_epochs(spark, scratch):
     assert store.last_batch() == 1001
     assert store.current(before_batch=50)["dim_1"]["version"] == 49  # history before the compaction
     assert DS.COMPACT_EVERY == 50 and store._compacted()[0] == 1000
+
+
+def test_sql_job_over_a_stream(spark, scratch):
+    """A2/P5: the same SQL text over the streaming topic view."""
+    from wharf.plans.sql_job import comment_info
+    from wharf.sources.envelopes import comment_changes
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    staged = comment_changes(orders).unionByName(part_changes(spark.read.parquet(f"{SF}/part.parquet")))
+    _write_chunks(spark, staged, scratch, [(0, 10**12)])
+    raw = text_records(spark, f"{scratch}/flat", stream=True)
+    rows = comment_info(spark, raw)
+    assert rows.isStreaming
+    q = (rows.select("ts", F.col("data")["id"].alias("id")).writeStream.format("memory").queryName("comments_out")
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert spark.table("comments_out").count() == orders.count()
