@@ -68,7 +68,7 @@ def test_dim_stream_equals_batch_and_skips_replayed_batch(spark, scratch):
     sup = spark.read.parquet(f"{SF}/supplier.parquet")
     changes = part_changes(part).unionByName(supplier_changes(sup))
     # order within a row key = file order: seq 0 in f0, updates in f1, deletes and re-inserts in f2
-    seq = F.col("offset") % 8
+    seq = F.col("offset") % 16
     staged = changes.withColumn("offset", F.when(F.col("partition") == 1, 0).otherwise(F.when(seq <= 1, seq).otherwise(2)) * 10**9 + F.col("offset"))
     _write_chunks(spark, staged, scratch, [(0, 10**9), (10**9, 2 * 10**9), (2 * 10**9, 10**12)])
     store = DimStore(spark, f"{scratch}/store")
@@ -172,7 +172,7 @@ def test_dim_stream_config_change_mid_stream(spark, scratch):
         return config_change_feed(spark, f"{scratch}/cfg")
 
     store = DimStore(spark, f"{scratch}/store")
-    first = part_changes(part).where(F.col("offset") % 8 == 0).unionByName(supplier_changes(sup))
+    first = part_changes(part).where(F.col("offset") % 16 == 0).unionByName(supplier_changes(sup))
     dim_sync_batch(first, 0, store, config)
     assert store.snapshot(["dim_part"]).count() == 40 and store.snapshot(["dim_supplier"]).count() == 10
 
@@ -180,7 +180,7 @@ def test_dim_stream_config_change_mid_stream(spark, scratch):
     with open(f"{scratch}/cfg/b.json", "w") as fh:
         fh.write(json.dumps({"op": "u", "before": p_cfg, "after": p2, "ts_ms": 3}) + "\n")
         fh.write(json.dumps({"op": "d", "before": s_cfg, "after": None, "ts_ms": 4}) + "\n")
-    second = part_changes(part).where(F.col("offset") % 8 == 1).unionByName(supplier_changes(sup))
+    second = part_changes(part).where(F.col("offset") % 16 == 1).unionByName(supplier_changes(sup))
     dim_sync_batch(second, 1, store, config)
     rows = {r.row_key: dict(r.cells) for r in store.snapshot(["dim_part"]).collect()}
     updated = sorted(int(k) for k in rows)

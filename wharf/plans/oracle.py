@@ -79,26 +79,29 @@ FROM logs WHERE event_type = 'click'""",
 
 _PART_CHANGES = """
 part_changes AS (
-  SELECT 0 AS partition, p_partkey * 8 AS "offset", 'part' AS table_name, 'bootstrap-insert' AS type,
+  SELECT 0 AS partition, p_partkey * 16 AS "offset", 'part' AS table_name, 'bootstrap-insert' AS type,
          1704067200 AS ts, p_partkey, p_name AS name, p_size AS size FROM part
-  UNION ALL SELECT 0, p_partkey * 8 + 1, 'part', 'update', 1704067201, p_partkey, 'U' || p_name,
+  UNION ALL SELECT 0, p_partkey * 16 + 1, 'part', 'update', 1704067201, p_partkey, 'U' || p_name,
          CASE WHEN p_partkey % 6 <> 0 THEN p_size + 1 END FROM part WHERE p_partkey % 3 = 0
-  UNION ALL SELECT 0, p_partkey * 8 + 2, 'part', 'delete', 1704067202, p_partkey, p_name, p_size
+  UNION ALL SELECT 0, p_partkey * 16 + 2, 'part', 'delete', 1704067202, p_partkey, p_name, p_size
          FROM part WHERE p_partkey % 10 = 0
-  UNION ALL SELECT 0, p_partkey * 8 + 3, 'part', 'insert', 1704067203, p_partkey, 'R' || p_name, NULL
+  UNION ALL SELECT 0, p_partkey * 16 + 3, 'part', 'insert', 1704067203, p_partkey, 'R' || p_name, NULL
          FROM part WHERE p_partkey % 20 = 0
 )"""
 
 CDC_ORACLE: dict[str, str] = {
     "cdc_clean": f"""WITH {_PART_CHANGES}
 SELECT partition, "offset", table_name, type, ts FROM part_changes
-UNION ALL SELECT 0, p_partkey * 8 + 5, 'unknown_table', 'insert', 1704067205 FROM part WHERE p_partkey % 500 = 2
+UNION ALL SELECT 0, p_partkey * 16 + 5, 'unknown_table', 'insert', 1704067205 FROM part WHERE p_partkey % 500 = 2
+UNION ALL SELECT 0, p_partkey * 16 + 10, 'part', 'update', 1704067210 FROM part WHERE p_partkey % 700 = 7
 UNION ALL SELECT 1, s_suppkey, 'supplier', 'bootstrap-insert', 1704067200 FROM supplier
 UNION ALL SELECT 2, n_nationkey, 'nation', 'bootstrap-insert', 1704067200 FROM nation
 UNION ALL SELECT 3, o_orderkey, 'comment_info', 'insert', 1704067200 + o_orderkey % 86400 FROM orders""",
     "dim_route": f"""WITH {_PART_CHANGES}
 SELECT partition, "offset", table_name, 'dim_part' AS sink_table, 'p_partkey,p_name,p_size' AS sink_columns, type
 FROM part_changes
+UNION ALL SELECT 0, p_partkey * 16 + 10, 'part', 'dim_part', 'p_partkey,p_name,p_size', 'update'
+FROM part WHERE p_partkey % 700 = 7
 UNION ALL SELECT 1, s_suppkey, 'supplier', 'dim_supplier', 's_suppkey, s_name, s_nationkey', 'bootstrap-insert'
 FROM supplier""",
     "dim_trim": f"""WITH {_PART_CHANGES}, pc AS (
@@ -109,6 +112,7 @@ FROM supplier""",
 SELECT partition, "offset", sink_table, row_key, change_op, 'p_partkey' AS "column", CAST(p_partkey AS VARCHAR) AS value FROM pc
 UNION ALL SELECT partition, "offset", sink_table, row_key, change_op, 'p_name', name FROM pc
 UNION ALL SELECT partition, "offset", sink_table, row_key, change_op, 'p_size', CAST(size AS VARCHAR) FROM pc
+UNION ALL SELECT 0, p_partkey * 16 + 10, 'dim_part', NULL, 'upsert', 'p_name', 'X' || p_name FROM part WHERE p_partkey % 700 = 7
 UNION ALL SELECT 1, s_suppkey, 'dim_supplier', CAST(s_suppkey AS VARCHAR), 'upsert', 's_suppkey', CAST(s_suppkey AS VARCHAR) FROM supplier
 UNION ALL SELECT 1, s_suppkey, 'dim_supplier', CAST(s_suppkey AS VARCHAR), 'upsert', 's_name', s_name FROM supplier
 UNION ALL SELECT 1, s_suppkey, 'dim_supplier', CAST(s_suppkey AS VARCHAR), 'upsert', 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier""",
@@ -132,6 +136,12 @@ UNION ALL SELECT 'dim_supplier', CAST(s_suppkey AS VARCHAR), 's_name', s_name FR
 UNION ALL SELECT 'dim_supplier', CAST(s_suppkey AS VARCHAR), 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM supplier"""
 
 
+CDC_ORACLE["cdc_quarantine"] = """
+SELECT 0 AS partition, p_partkey * 16 + 8 AS "offset", 'unparseable' AS reason FROM part WHERE p_partkey % 700 = 5
+UNION ALL SELECT 0, p_partkey * 16 + 9, 'no_data' FROM part WHERE p_partkey % 700 = 6"""
+CDC_ORACLE["dim_quarantine"] = """
+SELECT 0 AS partition, p_partkey * 16 + 10 AS "offset", 'dim_part' AS sink_table, 'no_row_key' AS reason
+FROM part WHERE p_partkey % 700 = 7"""
 CDC_ORACLE["dim_apply"] = _dim_apply(True)
 CDC_ORACLE["dim_apply_overwrite"] = _dim_apply(False)
 CDC_ORACLE["topic_filter"] = """

@@ -13,7 +13,16 @@ from pyspark.sql import functions as F
 
 from wharf.functions.jsonx import get_long, get_string, parse_object
 from wharf.operators.logs import LOG, fix_is_new, log_clean, log_quarantine, split_log
-from wharf.operators.cdc import cdc_clean, current_config, dim_changes, parse_config, route, trim
+from wharf.operators.cdc import (
+    cdc_clean,
+    cdc_quarantine,
+    current_config,
+    dim_changes,
+    dim_quarantine,
+    parse_config,
+    route,
+    trim,
+)
 from wharf.operators.dim import apply_changes, unpivot_cells
 from wharf.operators.lookup import lookup_dictionary
 from wharf.sources.files import read_table
@@ -172,6 +181,14 @@ def q_cdc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc_clean(_topic(spark, sf_dir)).select("partition", "offset", F.col("table").alias("table_name"), "type", "ts")
 
 
+def q_cdc_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc_quarantine(_topic(spark, sf_dir)).select("partition", "offset", "reason")
+
+
+def q_dim_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dim_quarantine(_trimmed(spark, sf_dir)).select("partition", "offset", "sink_table", "reason")
+
+
 def q_dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = route(cdc_clean(_topic(spark, sf_dir)), _config(spark))
     return r.select("partition", "offset", F.col("table").alias("table_name"), "sink_table", "sink_columns", "type")
@@ -236,6 +253,8 @@ def q_date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CDC_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_clean": q_cdc_clean,
+    "cdc_quarantine": q_cdc_quarantine,
+    "dim_quarantine": q_dim_quarantine,
     "dim_route": q_dim_route,
     "dim_trim": q_dim_trim,
     "dim_apply": _apply("keep_old"),

@@ -22,6 +22,7 @@ PARTITION_SUPPLIER = 1
 PARTITION_NATION = 2
 PARTITION_COMMENT = 3
 CHANGE_TS0 = 1704067200
+SEQ_SLOTS = 16
 
 
 def log_envelope(events: DataFrame) -> DataFrame:
@@ -99,7 +100,9 @@ def part_changes(part: DataFrame, database: str = "gmall") -> DataFrame:
     ``delete`` when ``p_partkey % 10 = 0``; seq 3 ``insert`` when ``p_partkey % 20 = 0`` (name prefixed
     ``R``, size null). Markers for the clean step: ``p_partkey % 500 = 1`` adds a foreign-database
     record, ``% 500 = 2`` an unknown-table record, ``% 1000 = 3`` a ``bootstrap-start`` and ``% 1000 = 4``
-    a ``bootstrap-complete``. ``ts`` = 1704067200 + seq; ``offset`` = ``p_partkey * 8 + seq``."""
+    a ``bootstrap-complete``. Bad records: ``% 700 = 5`` an insert cut in half, ``% 700 = 6`` an insert
+    without ``data``, ``% 700 = 7`` an update whose ``data`` lacks the row key (name prefixed ``X``).
+    ``ts`` = 1704067200 + seq; ``offset`` = ``p_partkey * 16 + seq``."""
     k = F.col("p_partkey")
     db = F.lit(database)
 
@@ -115,7 +118,8 @@ def part_changes(part: DataFrame, database: str = "gmall") -> DataFrame:
     name, size = F.col("p_name"), F.col("p_size")
     null_int = F.lit(None).cast("int")
     ts = lambda s: F.lit(CHANGE_TS0 + s).cast("bigint")
-    off = lambda s: k * 8 + s
+    off = lambda s: k * SEQ_SLOTS + s
+    cut = lambda t: F.substring(t, F.lit(1), (F.length(t) / 2).cast("int"))
     recs = F.array(
         _rec(_change(db, "part", "bootstrap-insert", ts(0), data(name, size)), 0, off(0)),
         F.when(k % 3 == 0, _rec(_change(db, "part", "update", ts(1),
@@ -126,6 +130,10 @@ def part_changes(part: DataFrame, database: str = "gmall") -> DataFrame:
         F.when(k % 500 == 2, _rec(_change(db, "unknown_table", "insert", ts(5), data(name, size)), 5, off(5))),
         F.when(k % 1000 == 3, _rec(_change(db, "part", "bootstrap-start", ts(6), F.create_map().cast("map<string,variant>")), 6, off(6))),
         F.when(k % 1000 == 4, _rec(_change(db, "part", "bootstrap-complete", ts(7), F.create_map().cast("map<string,variant>")), 7, off(7))),
+        F.when(k % 700 == 5, _rec(cut(_change(db, "part", "insert", ts(8), data(name, size))), 8, off(8))),
+        F.when(k % 700 == 6, _rec(_change(db, "part", "insert", ts(9), F.lit(None).cast("map<string,variant>")), 9, off(9))),
+        F.when(k % 700 == 7, _rec(_change(db, "part", "update", ts(10),
+               F.create_map(F.lit("p_name"), _v(F.concat(F.lit("X"), name)))), 10, off(10))),
     )
     return (
         part.select(F.explode(F.filter(recs, lambda r: r.isNotNull())).alias("r"))
