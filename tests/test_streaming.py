@@ -149,7 +149,7 @@ def test_start_log_split_writes_routes_and_quarantine(spark, scratch):
     routes = spark.read.parquet(f"{scratch}/out/routes")
     bad = spark.read.parquet(f"{scratch}/out/quarantine")
     assert set(r.route for r in routes.select("route").distinct().collect()) == {"page", "start", "err", "display", "action"}
-    n_bad = ev.where((F.col("event_id") % 101 == 0) | (F.col("event_id") % 103 == 0)).count()
+    n_bad = ev.where((F.col("event_id") % 101 == 0) | (F.col("event_id") % 103 == 0) | (F.col("event_id") % 107 == 0)).count()
     assert bad.count() == n_bad
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 _LOGS = """
 logs AS (
   SELECT event_id, user_id, event_type, 'm' || user_id AS mid, epoch_us(ts) // 1000 AS ms,
-         CASE WHEN event_id % 97 = 0 THEN '2'
+         CASE WHEN event_id % 113 = 0 THEN NULL
+              WHEN event_id % 97 = 0 THEN '2'
               WHEN user_id % 3 = 0 AND event_id % 2 = 0 THEN '0' ELSE '1' END AS flag
   FROM events
-  WHERE event_id % 101 <> 0 AND event_id % 103 <> 0
+  WHERE event_id % 101 <> 0 AND event_id % 103 <> 0 AND event_id % 107 <> 0
 )"""
 
 
@@ -39,8 +40,9 @@ SELECT event_id, mid, ms AS ts, flag AS is_new,
        CASE WHEN event_type = 'signup' THEN 'start' ELSE 'page' END AS kind
 FROM logs""",
     "log_quarantine": """
-SELECT event_id, CASE WHEN event_id % 101 = 0 THEN 'unparseable' ELSE 'no_mid' END AS reason
-FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0""",
+SELECT event_id, CASE WHEN event_id % 101 = 0 THEN 'unparseable'
+                      WHEN event_id % 107 = 0 THEN 'bad_field_type' ELSE 'no_mid' END AS reason
+FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0""",
     "fix_is_new_later_day": f"WITH {_LOGS}, {_fixed('later_day')}\nSELECT event_id, mid, dt, is_new FROM fixed",
     "fix_is_new_same_day": f"WITH {_LOGS}, {_fixed('same_day')}\nSELECT event_id, mid, dt, is_new FROM fixed",
     "split_routes": f"""WITH {_LOGS}
@@ -58,7 +60,7 @@ SELECT route, count(*) AS n FROM (
   UNION ALL SELECT 'page' FROM logs WHERE event_type <> 'signup'
   UNION ALL SELECT 'display' FROM logs, range(0, 4) r(i) WHERE event_type = 'view' AND i < event_id % 4
   UNION ALL SELECT 'action' FROM logs WHERE event_type = 'click'
-  UNION ALL SELECT 'quarantine' FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0
+  UNION ALL SELECT 'quarantine' FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0
 ) GROUP BY route""",
     "split_err": f"""WITH {_LOGS}
 SELECT event_id, event_id AS code, 'code' AS keys FROM logs WHERE event_type = 'error'""",

@@ -42,7 +42,7 @@ def log_envelope(events: DataFrame) -> DataFrame:
     )
     common = F.struct(
         F.when(eid % 103 != 0, F.concat(F.lit("m"), uid.cast("string"))).alias("mid"),
-        is_new.alias("is_new"),
+        F.when(eid % 113 != 0, is_new).alias("is_new"),
         uid.cast("string").alias("uid"),
         F.lit("web").alias("ch"),
     )
@@ -67,7 +67,9 @@ def log_envelope(events: DataFrame) -> DataFrame:
             displays.alias("displays"),
             actions.alias("actions"),
             F.col("props").alias("props"),
-            ms.alias("ts"),
+            F.when(eid % 107 == 0, F.lit("abc").cast("variant"))
+            .when(eid % 109 == 0, ms.cast("string").cast("variant"))
+            .otherwise(ms.cast("variant")).alias("ts"),
         ),
         {"ignoreNullFields": "true"},
     )
