@@ -218,3 +218,14 @@ def test_sql_job_over_a_stream(spark, scratch):
     q.awaitTermination(600)
     assert q.exception() is None
     assert spark.table("comments_out").count() == orders.count()
+
+
+def test_cli_log_split_batch(spark, scratch):
+    from wharf.__main__ import main
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])
+    main(["log-split", "--input", f"{scratch}/flat", "--output", f"{scratch}/out"])
+    out = spark.read.parquet(f"{scratch}/out")
+    routes = {r.route for r in out.select("route").distinct().collect()}
+    assert routes == {"page", "start", "err", "display", "action", "quarantine"}
