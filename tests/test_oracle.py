@@ -25,3 +25,10 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert df.columns == ["route", "n"] and len(rows) == 5
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_in_any_query_plan(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        assert node not in plan, (name, node)

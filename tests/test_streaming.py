@@ -229,3 +229,24 @@ def test_cli_log_split_batch(spark, scratch):
     out = spark.read.parquet(f"{scratch}/out")
     routes = {r.route for r in out.select("route").distinct().collect()}
     assert routes == {"page", "start", "err", "display", "action", "quarantine"}
+
+
+def test_run_stream_template_and_console(spark, scratch, capsys):
+    from wharf.config import StreamOptions
+    from wharf.operators.logs import log_clean
+    from wharf.sinks.routed import print_routes
+    from wharf.streaming.runner import run_stream
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])
+    raw = text_records(spark, f"{scratch}/flat", stream=True)
+
+    def sink(df, ck):
+        return df.select("mid", "ts").writeStream.format("parquet").option("path", f"{scratch}/o").option("checkpointLocation", ck)
+
+    q = run_stream(raw, log_clean, sink, "clean_only", StreamOptions(available_now=True), checkpoint=f"{scratch}/ck")
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert spark.read.parquet(f"{scratch}/o").count() == log_clean(text_records(spark, f"{scratch}/flat")).count()
+    print_routes(spark.createDataFrame([("page", "{}")], "route string, value string"))
+    assert "page> {}" in capsys.readouterr().out
