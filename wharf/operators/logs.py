@@ -40,39 +40,58 @@ def parse_once(raw: DataFrame, value_col: str = "value", out: str = LOG) -> Data
     return raw.select("*", F.inline(F.array(F.struct(parse_object(value_col).alias(out)))))
 
 
-def _reason(log: Column) -> Column:
+def _field_checks(log: Column) -> Column:
+    """The facts the clean rules need, each computed once per log, as one struct."""
     page, start, common, ts = log["page"], log["start"], log["common"], log["ts"]
+    return F.struct(
+        is_object(page).alias("page_obj"),
+        is_object(start).alias("start_obj"),
+        is_object(common).alias("common_obj"),
+        present(page).alias("page_set"),
+        present(start).alias("start_set"),
+        present(common).alias("common_set"),
+        present(ts).alias("ts_set"),
+        get_string(common, "$.mid").alias("mid"),
+        get_long(ts).alias("ts"),
+    )
+
+
+def _reason(log: Column, k: Column) -> Column:
     bad_kind = (
-        (present(page) & ~is_object(page))
-        | (present(start) & ~is_object(start))
-        | (present(common) & ~is_object(common))
-        | (present(ts) & get_long(ts).isNull())
+        (k["page_set"] & ~k["page_obj"])
+        | (k["start_set"] & ~k["start_obj"])
+        | (k["common_set"] & ~k["common_obj"])
+        | (k["ts_set"] & k["ts"].isNull())
     )
     return (
         F.when(log.isNull(), F.lit("unparseable"))
         .when(bad_kind, F.lit("bad_field_type"))
-        .when(~is_object(page) & ~is_object(start), F.lit("no_page_or_start"))
-        .when(~is_object(common), F.lit("no_common"))
-        .when(get_string(common, "$.mid").isNull(), F.lit("no_mid"))
-        .when(get_long(ts).isNull(), F.lit("no_ts"))
+        .when(~k["page_obj"] & ~k["start_obj"], F.lit("no_page_or_start"))
+        .when(~k["common_obj"], F.lit("no_common"))
+        .when(k["mid"].isNull(), F.lit("no_mid"))
+        .when(k["ts"].isNull(), F.lit("no_ts"))
     )
 
 
 def classify_logs(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Parse once and attach ``reason`` (NULL for a good log), ``mid`` and ``ts``.
+    """Parse once and attach ``reason`` (NULL for a good log), ``mid``, ``ts`` and ``kind``.
 
     A log is good when it parses to an object, has a ``page`` or ``start`` object, a ``common`` object
     with a non-null ``mid``, and a ``ts`` readable as a long (numeric text is accepted). A log with only
     ``err`` is not good. Anything the upstream parser would throw on is a bad row, never a failure.
+
+    The field checks sit behind a second one-row generator, so the optimizer evaluates each once
+    instead of copying it into the filters that follow.
     """
     parsed = parse_once(raw, value_col)
-    log = F.col(LOG)
-    return parsed.select(
-        "*",
-        _reason(log).alias("reason"),
-        get_string(log["common"], "$.mid").alias("mid"),
-        get_long(log["ts"]).alias("ts"),
-        F.when(is_object(log["start"]), F.lit("start")).when(is_object(log["page"]), F.lit("page")).alias("kind"),
+    checked = parsed.select("*", F.inline(F.array(F.struct(_field_checks(F.col(LOG)).alias("_k")))))
+    log, k = F.col(LOG), F.col("_k")
+    return checked.select(
+        *[F.col(c) for c in parsed.columns],
+        _reason(log, k).alias("reason"),
+        k["mid"].alias("mid"),
+        k["ts"].alias("ts"),
+        F.when(k["start_obj"], F.lit("start")).when(k["page_obj"], F.lit("page")).alias("kind"),
     )
 
 
