@@ -2,7 +2,10 @@
 
 State: ``first_login_dt`` (a date string), set once per device, as upstream; an optional TTL bounds
 it (upstream keeps it for ever). Within a micro-batch a device's logs are taken in ``(ts, tie)`` order;
-across micro-batches arrival order rules (D4). ``timeMode="None"``: no watermark can drop a late log.
+across micro-batches arrival order rules (D4). ``timeMode="None"`` (``"ProcessingTime"`` when a TTL
+is set, as TTL requires): no watermark can drop a late log in either. With a TTL, Spark keeps running
+empty micro-batches for state upkeep; an ``availableNow`` (drain and stop) run needs
+``spark.sql.streaming.noDataMicroBatches.enabled=false`` to finish.
 
 The date arithmetic is done in Spark expressions before the state step (``cand``, ``cur_dt``); the
 processor only compares strings, so no date logic is duplicated in Python.
@@ -87,9 +90,11 @@ def fix_is_new_stream(
         first_seen_candidate(log, ts, tz).alias("cand"),
         ts_to_date(ts, tz).alias("cur_dt"),
     )
+    # State TTL is measured in processing time, so a TTL needs that time mode; neither mode uses a
+    # watermark to drop rows, so late logs always come through.
     return inp.groupBy("mid").transformWithStateInPandas(
         statefulProcessor=FirstLoginProcessor(rule, ttl_ms),
         outputStructType=OUTPUT_SCHEMA,
         outputMode="Append",
-        timeMode="None",
+        timeMode="ProcessingTime" if ttl_ms else "None",
     )
