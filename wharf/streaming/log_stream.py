@@ -49,4 +49,14 @@ def start_log_split(
         log_quarantine_stream(raw).writeStream.format("parquet")
         .option("path", f"{out_dir}/quarantine").option("checkpointLocation", f"{checkpoint_root}/quarantine")
     )
-    return routes.start(), bad.start()
+    spark = raw.sparkSession
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    old = spark.conf.get(key)
+    if ttl_ms and available_now:
+        # TTL upkeep would schedule empty batches for ever; a drain-and-stop run goes without them.
+        # A query copies the session settings when it starts, so the switch stays with this query.
+        spark.conf.set(key, "false")
+    try:
+        return routes.start(), bad.start()
+    finally:
+        spark.conf.set(key, old)
