@@ -273,3 +273,17 @@ def test_log_stream_with_state_ttl(spark, scratch):
     s = spark.read.parquet(f"{scratch}/o").select("route", "value")
     b = log_split(text_records(spark, f"{scratch}/flat")).select("route", "value")
     assert s.count() == b.count() > 0 and s.exceptAll(b).count() == 0
+
+
+def test_start_log_split_with_ttl_drains_and_stops(spark, scratch):
+    from wharf.streaming.log_stream import start_log_split
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])
+    raw = text_records(spark, f"{scratch}/flat", stream=True)
+    qs = start_log_split(raw, f"{scratch}/out", f"{scratch}/ck", available_now=True, ttl_ms=86_400_000)
+    done = [q.awaitTermination(300) for q in qs]
+    for q in qs:
+        if q.isActive:
+            q.stop()
+    assert all(done) and spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
