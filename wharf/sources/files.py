@@ -25,8 +25,10 @@ def text_records(spark: SparkSession, path: str, stream: bool = False, max_files
     """Text files, one record per line, as ``(value, partition, offset)``.
 
     ``partition`` is a hash of the file path and ``offset`` a 64-bit hash of the line: both are
-    deterministic, and serve only to break ties between logs of one device with equal ``ts``. Batch
-    and stream read the same columns.
+    deterministic (a retried task yields the same values), and serve only to break ties between logs
+    of one device with equal ``ts``. Two byte-identical lines tie completely, so neither counts as
+    earlier than the other; Kafka input has real offsets and no such tie. Batch and stream read the
+    same columns.
     """
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
