@@ -77,11 +77,15 @@ def start_dim_sync(
     changes_stream: DataFrame,
     store: DimStore,
     config: Callable[[], DataFrame],
-    checkpoint: str,
+    checkpoint: str | None = None,
     opts: DimJobOptions = DimJobOptions(),
     available_now: bool = False,
     trigger_interval: str = "5 seconds",
 ):
+    """Start the stream; ``checkpoint`` defaults to ``dim_sync`` under ``spark.checkpoint.dir``."""
+    from wharf.streaming.runner import checkpoint_for
+
+    checkpoint = checkpoint_for(changes_stream, "dim_sync", checkpoint)
     w = changes_stream.writeStream.foreachBatch(lambda df, bid: dim_sync_batch(df, bid, store, config, opts))
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)

@@ -31,15 +31,19 @@ def log_quarantine_stream(raw: DataFrame) -> DataFrame:
 def start_log_split(
     raw: DataFrame,
     out_dir: str,
-    checkpoint_root: str,
+    checkpoint_root: str | None = None,
     opts: LogJobOptions = LogJobOptions(),
     available_now: bool = False,
     trigger_interval: str = "5 seconds",
     ttl_ms: int | None = None,
 ):
     """Start the two queries of the stream job: routes (exactly-once file sink partitioned by route)
-    and quarantine. Each has its own checkpoint under ``checkpoint_root``."""
+    and quarantine. Each has its own checkpoint under ``checkpoint_root`` (default: ``log_split``
+    under the session's ``spark.checkpoint.dir``)."""
     from wharf.sinks.routed import stream_routes_files
+    from wharf.streaming.runner import checkpoint_for
+
+    checkpoint_root = checkpoint_for(raw, "log_split", checkpoint_root)
 
     def trig(w):
         return w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)
