@@ -170,3 +170,19 @@ def test_current_config_matches_replay(spark):
         df = raw(spark, feed).repartition(3)
         got = {r.source_table: (r.sink_table, r.sink_columns) for r in current_config(parse_config(df)).collect()}
         assert got == {k: (v["sink_table"], v["sink_columns"]) for k, v in state.items()}, seed
+
+
+def test_dim_plan_broadcasts_config_and_shuffles_only_for_aggregates(spark):
+    from wharf.plans.dim_job import dim_sync
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale: no size-based broadcast
+    try:
+        config = spark.createDataFrame([row("t", "dim_t", "id,name")])
+        df = dim_sync(raw(spark, [chg("t", "insert", {"id": 1, "name": "a"})]), config)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
+    # the two keyed aggregates over the changes (per cell, per row key); the join adds no exchange
+    assert plan.count("Exchange hashpartitioning") == 2
