@@ -228,3 +228,23 @@ def test_one_plan_for_routes_and_quarantine(spark, scratch):
     assert "Union" not in plan
     run_log_split(df, f"{scratch}/out")
     assert spark.read.parquet(f"{scratch}/out").where("route = 'quarantine'").count() == len(exp)
+
+
+def test_bad_rows_without_device_spread_over_partitions(spark):
+    """A third of the input unparseable (NULL device): the one-plan job keeps them whole and spreads
+    them over the join's partitions instead of one NULL-key partition."""
+    from wharf.plans.log_job import log_split_all
+
+    vals = []
+    for i in range(3000):
+        if i % 3 == 0:
+            vals.append(('{"common":', 0, i))
+        else:
+            vals.append((json.dumps({"common": {"mid": f"m{i % 50}", "is_new": "1"}, "page": {"p": 1}, "ts": T0 + i}), 0, i))
+    df = spark.createDataFrame(vals, "value string, partition int, offset bigint").repartition(8)
+    out = log_split_all(df)
+    assert out.where("route = 'quarantine'").count() == 1000
+    sizes = (
+        out.where("route = 'quarantine'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    )
+    assert len(sizes) >= 4  # not one partition

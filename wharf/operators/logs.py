@@ -188,7 +188,11 @@ def fix_is_new(
     )
     if salt > 1:
         setters = setters.select("mid", "_first", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
-        left = clean.withColumn("_salt", F.pmod(F.xxhash64(F.col(tie)), F.lit(salt)).cast("int"))
+        h = F.xxhash64(F.col(tie))
+        # Logs without a device (bad ones riding along) can never match; a wide salt spreads them over
+        # every partition instead of the few buckets a NULL key would share.
+        bucket = F.when(F.col("mid").isNull(), F.pmod(h, F.lit(1 << 30))).otherwise(F.pmod(h, F.lit(salt)))
+        left = clean.withColumn("_salt", bucket.cast("int"))
         j = left.join(setters, ["mid", "_salt"], "left")
     else:
         j = clean.join(setters, "mid", "left")
