@@ -154,6 +154,9 @@ CDC_ORACLE["lookup_dictionary"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS appraise,
        CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' END AS appraise_name
 FROM orders"""
+CDC_ORACLE["lookup_nation"] = """
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, CAST(s_nationkey AS VARCHAR) AS s_nationkey, n_name AS nation_name
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"""
 CDC_ORACLE["date_functions"] = """
 WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events)
 SELECT event_id,

@@ -234,6 +234,19 @@ def q_lookup_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_dictionary(comments, "appraise", dic, out="appraise_name")
 
 
+def q_lookup_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 with a dictionary read from a table: supplier changes enriched with their nation's name."""
+    register_topic_db(_topic(spark, sf_dir))
+    suppliers = spark.sql(
+        "SELECT data['s_suppkey'] AS s_suppkey, data['s_nationkey'] AS s_nationkey FROM topic_db "
+        "WHERE `database` = 'gmall' AND `table` = 'supplier'"
+    )
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("dic_code"), F.col("n_name").alias("dic_name")
+    )
+    return lookup_dictionary(suppliers, "s_nationkey", nation, out="nation_name")
+
+
 def q_date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wharf.functions import dates as D
 
@@ -261,6 +274,7 @@ CDC_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_apply_overwrite": _apply("overwrite"),
     "topic_filter": q_topic_filter,
     "lookup_dictionary": q_lookup_dictionary,
+    "lookup_nation": q_lookup_nation,
     "date_functions": q_date_functions,
 }
 
