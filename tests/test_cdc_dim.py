@@ -186,3 +186,24 @@ def test_dim_plan_broadcasts_config_and_shuffles_only_for_aggregates(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Window" not in plan
     # the two keyed aggregates over the changes (per cell, per row key); the join adds no exchange
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_over_the_bound_falls_back_to_a_shuffle_join(spark):
+    from wharf.operators.lookup import lookup_dictionary
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        config = spark.createDataFrame([row("t", "dim_t", "id"), row("u", "dim_u", "id")])
+        ch = cdc_clean(raw(spark, [chg("t", "insert", {"id": 1}), chg("u", "insert", {"id": 2}), chg("v", "insert", {"id": 3})]))
+        small = route(ch, config, max_config_rows=1)  # 2 config rows > 1: no broadcast
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan
+        assert sorted(r.sink_table for r in small.collect()) == ["dim_t", "dim_u"]
+        facts = spark.createDataFrame([("F",), ("O",), ("P",), (None,)], "code string")
+        dic = spark.createDataFrame([("F", "finished"), ("O", "open"), ("O", "open")], "dic_code string, dic_name string")
+        out = lookup_dictionary(facts, "code", dic, max_dictionary_rows=1)
+        assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.code or "", r.dic_name or "") for r in out.collect()) == [("", ""), ("F", "finished"), ("O", "open"), ("P", "")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
