@@ -68,3 +68,17 @@ def test_dates_in_a_dst_gap_of_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert r.s == "2024-03-10 02:30:00" and r.back == ms
     assert r.e == 1719835200123
+
+
+def test_jdbc_argument_rules(spark):
+    """S3/S5 need a database to run (none may be started here); the argument rules are checked."""
+    import pytest
+
+    from wharf.sources.jdbc import read_jdbc
+
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x", query="select 1", dbtable="t")
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x")
+    with pytest.raises(ValueError):
+        read_jdbc(spark, "jdbc:none://x", query="select 1", partition_column="id", lower_bound=0, upper_bound=9)
