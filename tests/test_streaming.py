@@ -287,3 +287,22 @@ def test_start_log_split_with_ttl_drains_and_stops(spark, scratch):
         if q.isActive:
             q.stop()
     assert all(done) and spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def test_cli_dim_sync_batch(spark, scratch):
+    from wharf.__main__ import main
+
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    _write_chunks(spark, part_changes(part), scratch, [(0, 10**12)])
+    os.makedirs(f"{scratch}/cfg")
+    with open(f"{scratch}/cfg/a.json", "w") as fh:
+        for i, v in enumerate(CONFIG_FEED):
+            rec = json.loads(v)
+            rec["ts_ms"] = i
+            fh.write(json.dumps(rec) + "\n")
+    main(["dim-sync", "--input", f"{scratch}/flat", "--config", f"{scratch}/cfg", "--store", f"{scratch}/store", "--batch-id", "0"])
+    store = DimStore(spark, f"{scratch}/store")
+    exp = apply_changes(dim_changes(trim(route(cdc_clean(part_changes(part)), current_config(parse_config(config_feed(spark)))))))
+    got = store.snapshot(["dim_part"]).select("row_key", F.to_json("cells").alias("c"))
+    e = exp.select("row_key", F.to_json("cells").alias("c"))
+    assert got.count() == e.count() > 0 and got.exceptAll(e).count() == 0
