@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wharf.llm.ann import nearest
 from wharf.llm.langid import label, train
 from wharf.llm.mixing import mix
 from wharf.llm.neardup import near_duplicates
 from wharf.llm.packing import pack, pieces
 from wharf.llm.quality import quality_rules
 from wharf.llm.suffix_dedup import remove_repeats
+from wharf.llm.token_counts import token_counts
+from wharf.llm.toxicity import severity, train as train_toxicity
 from wharf.llm.url_filter import FIXED_RULES, url_filter
 
 
@@ -27,6 +30,15 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return severity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -42,6 +54,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label(docs.select("doc_id", "text"), train(docs)).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -65,9 +81,12 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_packing": op4_packing,
     "op5_language": op5_language,
+    "op6_token_counts": op6_token_counts,
     "op7_repetition": op7_repetition,
     "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,

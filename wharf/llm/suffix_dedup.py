@@ -249,27 +249,33 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     held = documents.join(wanted, F.col("id").eqNullSafe(F.col("_i")) & (F.col("hash") == F.col("_h"))).select("id", "hash", "text", "keys")
     places = cut(_stretches(held, length, gram, id_type))
 
-    groups = places.groupBy("key", "content").agg(
-        F.count(F.lit(1)).alias("count"), F.first("bytes", ignorenulls=True).alias("bytes"), F.first("anchor").alias("anchor")
-    )
-    groups = cut(groups.withColumn("owner_key", F.col("key")).withColumn("owner", F.col("content")).withColumn("shift", F.lit(0)))
-    found = None
-    for width in (*WIDTHS, None):
-        crowd = cut(groups.groupBy("key").agg(F.count_distinct("content").alias("n")).where(F.col("n") > CROWDED).select("key"))
-        last = width is None or crowd.isEmpty()
-        here = groups if last else groups.join(crowd, "key", "left_anti")
-        # a content that repeats within a key (parts of different stretches) is searched once
-        distinct = here.groupBy("key", "content").agg(F.sum("count").alias("count"), F.first("bytes").alias("bytes"))
-        spans = _search(distinct, length)
-        if found is None:
-            part = here.select("key", "content", "owner_key", "owner", "shift").join(spans, ["key", "content"]).select("owner_key", "owner", "spans")
-        else:
-            part = here.select("key", "content", "owner_key", "owner", "shift").join(spans, ["key", "content"])
-            part = part.select("owner_key", "owner", F.transform("spans", lambda s: F.struct((s["a"] + F.col("shift")).alias("a"), (s["b"] + F.col("shift")).alias("b"))).alias("spans"))
-        found = part if found is None else found.unionByName(part)
-        if last:
-            break
-        groups = cut(_split(groups.join(crowd, "key"), width, length, gram))
+    def merged(rows: DataFrame) -> DataFrame:
+        """Different stretches of each key, with the number of their places."""
+        return rows.groupBy("key", "content").agg(
+            F.count(F.lit(1)).alias("count"), F.first("bytes", ignorenulls=True).alias("bytes"), F.first("anchor").alias("anchor")
+        )
+
+    def crowds(rows: DataFrame) -> DataFrame:
+        return cut(rows.groupBy("key").agg(F.count_distinct("content").alias("n")).where(F.col("n") > CROWDED).select("key"))
+
+    crowd = crowds(places)
+    if crowd.isEmpty():
+        found = _search(merged(places), length).withColumnsRenamed({"key": "owner_key", "content": "owner"})
+    else:
+        found = _search(merged(places.join(crowd, "key", "left_anti")), length).withColumnsRenamed({"key": "owner_key", "content": "owner"})
+        parts = merged(places.join(crowd, "key")).withColumns({"owner_key": F.col("key"), "owner": F.col("content"), "shift": F.lit(0)})
+        for width in WIDTHS:
+            parts = cut(_split(parts, width, length, gram))
+            crowd = crowds(parts)
+            last = width == 1 or crowd.isEmpty()  # at width 1 a key's windows are all equal
+            here = parts if last else parts.join(crowd, "key", "left_anti")
+            distinct = here.groupBy("key", "content").agg(F.sum("count").alias("count"), F.first("bytes").alias("bytes"))
+            spans = here.select("key", "content", "owner_key", "owner", "shift").join(_search(distinct, length), ["key", "content"])
+            moved = F.transform("spans", lambda s: F.struct((s["a"] + F.col("shift")).alias("a"), (s["b"] + F.col("shift")).alias("b")))
+            found = found.unionByName(spans.select("owner_key", "owner", moved.alias("spans")))
+            if last:
+                break
+            parts = parts.join(crowd, "key")
     spans = found.groupBy("owner_key", "owner").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = places.select("id", "hash", "at", F.col("key").alias("owner_key"), F.col("content").alias("owner")).join(spans, ["owner_key", "owner"])
     spans = spans.select("id", "hash", F.transform("spans", lambda s: F.struct((s["a"] + F.col("at")).alias("a"), (s["b"] + F.col("at")).alias("b"))).alias("spans"))
