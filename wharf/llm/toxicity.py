@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from wharf.llm.common import RollingHash, ready, slices, text_buffer, word_spans
 
-BITS = 18
-SAMPLE = 8000  # labelled documents that training may use
-SAMPLE_FEATURES = 2000  # different words of each that training may use, by smallest hash
+BITS = 20
+SAMPLE = 10000  # labelled documents that training may use
+SAMPLE_FEATURES = 4000  # different words of each that training may use, by smallest hash
 EPOCHS = 6
 GRADES = 3
+STEMS = (4, 5, 6)  # first bytes of longer words, as features of their own: inflected words share them
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -34,7 +35,7 @@ def grade(toxic: Column, quality: Column) -> Column:
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row bounds, hashed words, log counts): the words of every text without case and outer signs."""
+    """(row bounds, hashed words and stems, log counts) of every text; case and signs do not count."""
     raw, offsets = text_buffer(column)
     n = len(column)
     # words of letters only: everything else parts them
@@ -42,8 +43,15 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends, rows = word_spans(letters, offsets)
     if not len(starts):
         return np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    slot = (RollingHash(letters, fold=True).spans(starts, ends) >> np.uint64(64 - BITS)).astype(np.int64)
-    key = np.sort((rows << BITS) | slot)
+    rolling = RollingHash(letters, fold=True)
+    parts = [rolling.spans(starts, ends) ^ np.uint64(1)]
+    owner = [rows]
+    for size in STEMS:
+        long = ends - starts > size
+        parts.append(rolling.spans(starts[long], starts[long] + size) * np.uint64(2 * size + 1))
+        owner.append(rows[long])
+    slot = (np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64)
+    key = np.sort((np.concatenate(owner) << BITS) | slot)
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     count = np.diff(np.concatenate([first, [len(key)]]))
     key = key[first]
@@ -60,7 +68,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.thresholds[None, :] - score[:, None], -40, 40)))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, epochs: int = EPOCHS, rate: float = 0.3, l1: float = 0.6, seed: int = 3) -> Model:
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, epochs: int = EPOCHS, rate: float = 1.0, l1: float = 3.0, seed: int = 3) -> Model:
     """``rows``: (slots, values, grade). Follow-the-regularised-leader steps on the shared weights, plain
     steps on the thresholds, which stay in order."""
     rng = np.random.default_rng(seed)
