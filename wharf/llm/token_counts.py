@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from wharf.llm.common import ready, slices
 
-CACHE, CACHE_CHARS = 600_000, 24 << 20  # words a worker keeps, and their characters; then it starts anew
+CACHE, CACHE_CHARS = 900_000, 24 << 20  # words a worker keeps, and their characters; then it starts anew
 SPACE = "▁"
 
 
@@ -43,7 +43,13 @@ class Unigram:
         norm = math.log(sum(1 / (r + 2) for r in range(len(pieces) + 256)))
         self.score = {p: -math.log(r + 2) - norm for r, p in reversed(list(enumerate(pieces)))}
         self.byte = -math.log(len(pieces) + 257) - norm
-        self.longest = max(map(len, pieces), default=1)
+        # the pieces from their last character back: a prefix's last pieces are found in one walk
+        self.back: dict = {}
+        for p, value in self.score.items():
+            node = self.back
+            for ch in reversed(p):
+                node = node.setdefault(ch, {})
+            node[""] = value
         self.words: dict[str, tuple[int, float]] = {}
         self.chars = 0
 
@@ -63,23 +69,30 @@ class Unigram:
             depth, ch, node = todo.pop()
             del path[depth - 1 :], forward[depth:], best[depth:], tokens[depth:]
             path.append(ch)
-            text = "".join(path[-self.longest :])
             sums, top, count = [], -math.inf, 0
-            for size in range(1, len(text) + 1):
-                score = self.score.get(text[-size:])
-                n = 1
-                if score is None:
-                    if size > 1:
-                        continue
-                    n = len(ch.encode("utf-8", "replace"))
-                    score = n * self.byte
-                before = depth - size
-                sums.append(forward[before] + score)
-                value = best[before] + score
-                if value > top or (value == top and tokens[before] + n < count):
-                    top, count = value, tokens[before] + n
-            high = max(sums)
-            forward.append(high + math.log(sum(math.exp(s - high) for s in sums)))
+            back, before = self.back, depth
+            while before:
+                back = back.get(path[before - 1])
+                if back is None:
+                    break
+                before -= 1
+                score = back.get("")
+                if score is not None:
+                    sums.append(forward[before] + score)
+                    value = best[before] + score
+                    if value > top or (value == top and tokens[before] + 1 < count):
+                        top, count = value, tokens[before] + 1
+            if ch not in self.score:  # spelt in bytes
+                n = len(ch.encode("utf-8", "replace"))
+                sums.append(forward[depth - 1] + n * self.byte)
+                value = best[depth - 1] + n * self.byte
+                if value > top or (value == top and tokens[depth - 1] + n < count):
+                    top, count = value, tokens[depth - 1] + n
+            if len(sums) == 1:
+                forward.append(sums[0])
+            else:
+                high = max(sums)
+                forward.append(high + math.log(sum([math.exp(s - high) for s in sums])))
             best.append(top)
             tokens.append(count)
             for nxt, child in node.items():
@@ -115,7 +128,7 @@ def token_counts(documents: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram = Unigram.of(model)
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text"):
             words, tokens, prob = zip(*unigram.count(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(tokens, pa.int64()), pa.array(np.array(prob))],

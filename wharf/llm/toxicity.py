@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wharf.llm.common import RollingHash, ready, slices, text_buffer, word_spans
 
 BITS = 20
-SAMPLE = 10000  # labelled documents that training may use
+SAMPLE = 6000  # labelled documents that training may use
 SAMPLE_FEATURES = 4000  # different words of each that training may use, by smallest hash
 EPOCHS = 6
 GRADES = 3
