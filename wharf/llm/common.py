@@ -44,8 +44,15 @@ def content_key(*cols: str) -> Column:
     return F.xxhash64(*[F.col(c) for c in cols])
 
 
-def null_safe(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def boxed(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``row`` (a struct of all columns but the text) and ``text``: the names of other columns then clash
+    with none that an operator adds on its way. :func:`unboxed` gives the columns back."""
+    rest = [c for c in (columns or df.columns) if c != "text"]
+    return df.select(F.struct(*[F.col(c) for c in rest]).alias("row"), "text")
+
+
+def unboxed(columns: list[str], text: str = "text") -> list[Column]:
+    return [F.col(text).alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns]
 
 
 # ------------------------------------------------------------------ Arrow batches as byte buffers

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wharf.llm.common import WORD, content_key, cut
+from wharf.llm.common import WORD, boxed, content_key, cut, unboxed
 
 BLOCK = 64  # words of a block
 SHARD = 1 << 20  # words of a shard, about: bounds what one window sorts together
@@ -167,19 +167,19 @@ def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
     """The mix itself, with the columns of ``documents``: a document comes ``rounds`` times whole, and once
     more with the words of its spans (joined by single spaces) if it has any. ``n_chars`` follows the text."""
     plan = mix(documents, **settings)
-    nth = Window.partitionBy("doc_id", "_hash").orderBy(F.lit(0))
-    plan = plan.where("taken > 0").withColumn("_nth", F.row_number().over(nth.orderBy("rounds", F.size("spans"))))
+    nth = Window.partitionBy("doc_id", "_hash").orderBy("rounds", F.size("spans"))
+    plan = plan.where("taken > 0").withColumn("_nth", F.row_number().over(nth))
     plan = plan.select(F.col("doc_id").alias("_i"), F.col("_hash").alias("_h"), F.col("_nth").alias("_m"), "rounds", "spans")
     cols = documents.columns
-    rows = documents.withColumn("_hash", content_key("doc_id", "text")).withColumn("_nth", F.row_number().over(nth))
-    rows = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")) & (F.col("_nth") == F.col("_m")))
+    rows = boxed(documents).withColumn("_id", F.col("row.doc_id")).withColumn("_key", F.xxhash64("_id", "text"))
+    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.lit(0))))
+    rows = rows.join(plan, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_h")) & (F.col("_nth") == F.col("_m")))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(words, (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))), " ")
-    part = F.when(F.size("spans") > 0, part)
-    whole = F.when(F.col("rounds") > 0, F.array_repeat(F.col("text"), F.col("rounds"))).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumn("_texts", F.concat(whole, F.when(F.size("spans") > 0, F.array(part)).otherwise(F.array().cast("array<string>"))))
-    rows = rows.select(*cols, F.explode("_texts").alias("_text"))
-    out = {"text": F.col("_text")}
+    no_text = F.array().cast("array<string>")
+    whole = F.when(F.col("rounds") > 0, F.array_repeat(F.col("text"), F.col("rounds"))).otherwise(no_text)
+    rows = rows.select("row", F.explode(F.concat(whole, F.when(F.size("spans") > 0, F.array(part)).otherwise(no_text))).alias("_text"))
+    rows = rows.select(*unboxed(cols, "_text"))
     if "n_chars" in cols:
-        out["n_chars"] = F.length("_text").cast(dict(documents.dtypes)["n_chars"])
-    return rows.withColumns(out).select(*cols)
+        rows = rows.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
+    return rows

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wharf.llm.common import RollingHash, content_key, cut, ready, slices, text_buffer, window_hash, word_spans
+from wharf.llm.common import RollingHash, boxed, content_key, cut, ready, slices, text_buffer, unboxed, window_hash, word_spans
 from wharf.llm.components import components
 
 COORDINATES = 40
@@ -325,7 +325,7 @@ def keep_one(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = near_duplicates(documents, k, percent).where("kept AND _first")
     found = found.select(F.col("doc_id").alias("_i"), F.col("_hash").alias("_h"), "n_shingles").distinct()
     cols = documents.columns
-    nth = Window.partitionBy("doc_id", "_key").orderBy(F.lit(0))
-    rows = documents.withColumn("_key", content_key("doc_id", "text"))
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_h")))
-    return rows.withColumn("_nth", F.row_number().over(nth)).where((F.col("_nth") == 1) | (F.col("n_shingles") == 0)).select(*cols)
+    nth = Window.partitionBy("_id", "_key").orderBy(F.lit(0))
+    rows = boxed(documents).withColumn("_id", F.col("row.doc_id")).withColumn("_key", F.xxhash64("_id", "text"))
+    rows = rows.join(found, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_h")))
+    return rows.withColumn("_nth", F.row_number().over(nth)).where((F.col("_nth") == 1) | (F.col("n_shingles") == 0)).select(*unboxed(cols))

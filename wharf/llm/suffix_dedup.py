@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wharf.llm.common import RollingHash, content_key, cut, ready, slices, text_buffer
+from wharf.llm.common import RollingHash, boxed, content_key, cut, ready, slices, text_buffer, unboxed
 from wharf.llm.suffix_array import repeated
 
 LENGTH = 400
@@ -303,12 +303,14 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     their own: what they hold is repeated. An empty table gives an empty result."""
     ready(documents.sparkSession)
     names = [c for c in documents.columns if c not in ("n_bytes", "n_removed", "removed", "kept_bytes")]
-    base = documents.select(*names, content_key("doc_id", "text").alias("_hash"))
-    spans = repeated_spans(base.select(F.col("doc_id").alias("id"), F.col("_hash").alias("hash"), "text"), length, gram)
+    base = documents.select(F.col("doc_id").alias("id"), content_key("doc_id", "text").alias("hash"), "text")
+    spans = repeated_spans(base, length, gram)
     spans = spans.select(F.col("id").alias("_i"), F.col("hash").alias("_h"), F.col("spans").alias("_spans"))
-    rows = base.join(spans, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left").select(*names, "_spans")
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*names).schema.fields]
-    schema = ", ".join([*kinds, "n_bytes long, n_removed long, removed array<struct<a:long,b:long>>, kept_bytes binary"])
+    rows = boxed(documents, names).withColumn("_id", F.col("row.doc_id"))
+    rows = rows.withColumn("_hash", F.xxhash64("_id", "text"))
+    rows = rows.join(spans, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left").select("row", "text", "_spans")
+    schema = rows.schema["row"].dataType.simpleString()
+    schema = f"row {schema}, text string, n_bytes long, n_removed long, removed array<struct<a:long,b:long>>, kept_bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -327,18 +329,19 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
                 kept.append(b"".join(parts))
             span_type = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, span_type), pa.array(kept, pa.binary())],
-                names=[*names, "n_bytes", "n_removed", "removed", "kept_bytes"],
+                [batch.column("row"), batch.column("text"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, span_type), pa.array(kept, pa.binary())],
+                names=["row", "text", "n_bytes", "n_removed", "removed", "kept_bytes"],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select(*unboxed(names), "n_bytes", "n_removed", "removed", "kept_bytes")
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """``documents`` with repeated bytes cut out of the text (bytes of characters cut in two go as well).
     Texts of which nothing is left but white space go, unless they were so before. ``n_chars`` follows the text."""
     cols = documents.columns
-    out = remove_repeats(documents, length)
+    plain = boxed(documents).select(F.col("row.doc_id").alias("doc_id"), "row", "text")
+    out = remove_repeats(plain, length).select("row", "text", "n_removed", "kept_bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -346,12 +349,11 @@ def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
                 t.as_py() if not n.as_py() else k.as_py().decode("utf-8", "ignore")
                 for t, n, k in zip(batch.column("text"), batch.column("n_removed"), batch.column("kept_bytes"))
             ]
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in cols]
             stays = [not n.as_py() or not t.isspace() and t != "" for t, n in zip(texts, batch.column("n_removed"))]
-            yield pa.RecordBatch.from_arrays(columns, names=cols).filter(pa.array(stays, pa.bool_()))
+            left = pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+            yield left.filter(pa.array(stays, pa.bool_()))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    out = out.select(*cols, "n_removed", "kept_bytes").mapInArrow(run, kinds)
+    out = out.mapInArrow(run, f"row {out.schema['row'].dataType.simpleString()}, text string").select(*unboxed(cols))
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
     return out.select(*cols)

@@ -117,10 +117,11 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         )
     )
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict") or c == url]
-    return pages.select(*kept).join(hits, F.col(url) == F.col("_url"), "left").select(
-        *kept,
-        url_host(F.col(url)).alias("host"),
-        url_path(F.col(url)).alias("path"),
+    rows = pages.select(F.struct(*kept).alias("row"), F.col(url).alias("_u")).join(hits, F.col("_u") == F.col("_url"), "left")
+    return rows.select(
+        "row.*",
+        url_host(F.col("_u")).alias("host"),
+        url_path(F.col("_u")).alias("path"),
         F.col("_best.rule").alias("rule"),
         F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"),
     )
