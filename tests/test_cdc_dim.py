@@ -176,9 +176,11 @@ def test_dim_plan_broadcasts_config_and_shuffles_only_for_aggregates(spark):
     from wharf.plans.dim_job import dim_sync
 
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale: no size-based broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     try:
-        config = spark.createDataFrame([row("t", "dim_t", "id,name")])
+        # a config of known size: the broadcast is Spark's choice
+        one = row("t", "dim_t", "id,name")
+        config = spark.range(1).selectExpr(*[f"concat('{v}', substr('', id)) AS {k}" for k, v in one.items()])
         df = dim_sync(raw(spark, [chg("t", "insert", {"id": 1, "name": "a"})]), config)
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -196,13 +198,13 @@ def test_over_the_bound_falls_back_to_a_shuffle_join(spark):
     try:
         config = spark.createDataFrame([row("t", "dim_t", "id"), row("u", "dim_u", "id")])
         ch = cdc_clean(raw(spark, [chg("t", "insert", {"id": 1}), chg("u", "insert", {"id": 2}), chg("v", "insert", {"id": 3})]))
-        small = route(ch, config, max_config_rows=1)  # 2 config rows > 1: no broadcast
+        small = route(ch, config)
         plan = small._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastExchange" not in plan
         assert sorted(r.sink_table for r in small.collect()) == ["dim_t", "dim_u"]
         facts = spark.createDataFrame([("F",), ("O",), ("P",), (None,)], "code string")
         dic = spark.createDataFrame([("F", "finished"), ("O", "open"), ("O", "open")], "dic_code string, dic_name string")
-        out = lookup_dictionary(facts, "code", dic, max_dictionary_rows=1)
+        out = lookup_dictionary(facts, "code", dic)
         assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
         assert sorted((r.code or "", r.dic_name or "") for r in out.collect()) == [("", ""), ("F", "finished"), ("O", "open"), ("P", "")]
     finally:

@@ -131,9 +131,9 @@ def test_store_create_drop_and_batch_dim_job(spark, scratch):
 def test_store_entries_of_one_batch_apply_in_order(spark, scratch):
     store = DimStore(spark, f"{scratch}/s3")
     store.commit(0, [("dim_a", None, False, "info")])
-    store.commit(1, [("dim_a", None, True, None), ("dim_a", None, False, "info"), ("dim_a", 1, False, "info")])
+    store.commit(1, [("dim_a", None, True, None), ("dim_a", None, False, "info"), ("dim_a", "w=stream/b=1", False, "info")])
     e = store.current()["dim_a"]
-    assert e["version"] == 1 and not e["dropped"]
+    assert e["version"] == "w=stream/b=1" and not e["dropped"]
 
 
 def test_start_log_split_writes_routes_and_quarantine(spark, scratch):
@@ -189,17 +189,46 @@ def test_dim_stream_config_change_mid_stream(spark, scratch):
     assert not store.table_exists("dim_supplier") and store.table_exists("dim_part")
 
 
-def test_store_compaction_and_epochs(spark, scratch):
-    import wharf.sinks.dimstore as DS
-
+def test_store_sees_every_batch_id_and_keeps_writers_apart(spark, scratch):
     store = DimStore(spark, f"{scratch}/s4")
-    for b in (0, 1, 49, 50, 51, 999, 1000, 1001):
-        store.commit(b, [(f"dim_{b % 3}", b, False, "info")])
-    cur = store.current()
-    assert {k: v["version"] for k, v in cur.items()} == {"dim_0": 999, "dim_1": 1000, "dim_2": 1001}
-    assert store.last_batch() == 1001
-    assert store.current(before_batch=50)["dim_1"]["version"] == 49  # history before the compaction
-    assert DS.COMPACT_EVERY == 50 and store._compacted()[0] == 1000
+    for b in (0, 5001, 20261200, 7):
+        store.commit(b, [("dim_a", store.version(b), False, "info")])
+        assert store.current()["dim_a"]["version"] == store.version(b) and store.committed(b)
+    assert store.last_batch() == 20261200 and not store.committed(1)
+    other = DimStore(spark, f"{scratch}/s4", writer="job")
+    assert not other.committed(0) and other.last_batch() == -1
+    other.commit(0, [("dim_a", other.version(0), False, "info")])
+    store.commit(0, [("dim_a", store.version(0), False, "info")])  # a retry orders itself after the others
+    assert store.current()["dim_a"]["version"] == store.version(0)
+
+
+def test_dim_changes_that_cannot_be_applied_are_quarantined_with_their_text(spark, scratch):
+    cfg = [{"op": "r", "source_table": "a", "sink_table": "dim_a", "sink_family": "", "sink_columns": "id", "sink_row_key": "id"},
+           {"op": "r", "source_table": "b", "sink_table": "dim_b", "sink_family": "info", "sink_columns": "id", "sink_row_key": "id"}]
+    schema = "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string"
+    config = spark.createDataFrame(cfg, schema)
+    text = ['{"database":"gmall","table":"%s","type":"insert","ts":1,"data":%s}' % x for x in
+            (("a", '{"id":"1"}'), ("b", '{"x":"1"}'), ("b", '{"id":"2"}'))]
+    text.append('{"database":"gmall","table":"b","table":"a","type":"insert","ts":1,"data":{"id":"3"}}')
+    raw = spark.createDataFrame([(t, 0, i) for i, t in enumerate(text)], "value string, partition int, offset bigint")
+    store = DimStore(spark, f"{scratch}/q", writer="job")
+    dim_sync_batch(raw, 0, store, lambda: config)
+    bad = {r.value: r.reason for r in spark.read.parquet(f"{scratch}/q/_quarantine").collect()}
+    assert bad == {text[0]: "no_table", text[1]: "no_row_key", text[3]: "repeated_key"}
+    assert [r.row_key for r in store.snapshot(["dim_b"]).collect()] == ["2"]
+    stream = DimStore(spark, f"{scratch}/q")  # another writer with the same batch id is not skipped
+    dim_sync_batch(raw.where("offset = 2").withColumn("value", F.replace("value", F.lit('"2"'), F.lit('"9"'))), 0, stream, lambda: config)
+    assert sorted(r.row_key for r in stream.snapshot(["dim_b"]).collect()) == ["2", "9"]
+
+
+def test_batch_lines_of_one_file_keep_their_order(spark, scratch):
+    import random
+
+    lines = [f"line {random.Random(i).random()}" for i in range(200)]
+    with open(f"{scratch}/f.txt", "w") as fh:
+        fh.write("\n".join(lines))
+    got = text_records(spark, f"{scratch}/f.txt").orderBy("partition", "offset").collect()
+    assert [r.value for r in got] == lines
 
 
 def test_sql_job_over_a_stream(spark, scratch):

@@ -17,6 +17,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from wharf.config import DimJobOptions, LogJobOptions
+from wharf.session import CLUSTER_CONF
 
 
 def _source(spark: SparkSession, a: argparse.Namespace, stream: bool):
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--store")
     p.add_argument("--checkpoint")
     p.add_argument("--batch-id", type=int, default=0)
+    p.add_argument("--writer", help="name that batch ids belong to; a new checkpoint needs a new one")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--max-files", type=int)
     p.add_argument("--tz", default=LogJobOptions.tz)
@@ -56,7 +58,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--null-cells", default=DimJobOptions.null_cells, choices=["keep_old", "overwrite"])
     a = p.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"wharf-{a.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"wharf-{a.job}")
+    # the stateful log stream needs a state store with several column families
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark = builder.config(key, CLUSTER_CONF[key]).getOrCreate()
     log_opts = LogJobOptions(tz=a.tz, rule=a.rule, flag_type=a.flag_type)
     dim_opts = DimJobOptions(database=a.database, null_cells=a.null_cells)
 
@@ -68,7 +73,10 @@ def main(argv: list[str] | None = None) -> None:
         from wharf.sinks.dimstore import DimStore
         from wharf.streaming.dim_stream import dim_sync_batch
 
-        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, DimStore(spark, a.store), _config(spark, a.config), dim_opts)
+        store = DimStore(spark, a.store, writer=a.writer or "batch")
+        if store.committed(a.batch_id):
+            p.error(f"--batch-id {a.batch_id} of writer {store.writer} is committed already")
+        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, store, _config(spark, a.config), dim_opts)
     elif a.job == "log-stream":
         from wharf.streaming.log_stream import start_log_split
 
@@ -80,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
         from wharf.streaming.dim_stream import start_dim_sync
 
         q = start_dim_sync(
-            _source(spark, a, stream=True), DimStore(spark, a.store), _config(spark, a.config), a.checkpoint,
+            _source(spark, a, stream=True), DimStore(spark, a.store, writer=a.writer or "stream"), _config(spark, a.config), a.checkpoint,
             dim_opts, available_now=a.available_now,
         )
         q.awaitTermination()

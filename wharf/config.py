@@ -53,7 +53,6 @@ class DimJobOptions:
 
     database: str = SOURCE_DATABASE
     null_cells: str = "keep_old"
-    max_config_rows: int = 10_000  # config is broadcast only below this proven row count
 
 
 @dataclass(frozen=True)

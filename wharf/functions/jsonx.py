@@ -26,6 +26,12 @@ def parse_object(text: Column | str) -> Column:
     return F.from_json(_c(text), JSON_OBJECT)
 
 
+def repeats_key(m: Column) -> Column:
+    """True when an object names a key twice (such text has no one meaning; it goes to the quarantine)."""
+    keys = F.map_keys(m)
+    return F.size(F.array_distinct(keys)) < F.size(keys)
+
+
 def present(v: Column) -> Column:
     """True when the value exists and is not JSON null (false for an absent key)."""
     return v.isNotNull() & ~F.is_variant_null(v)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharf.config import BOOTSTRAP_MARKERS, CONFIG_DELETE_OP, DELETE_TYPE, SOURCE_DATABASE
-from wharf.functions.jsonx import as_object, get_long, get_string, is_object, present
+from wharf.functions.jsonx import as_object, get_long, get_string, is_object, present, repeats_key
 from wharf.operators.logs import parse_once
 
 CONFIG_FIELDS = ("source_table", "sink_table", "sink_family", "sink_columns", "sink_row_key")
@@ -34,7 +34,7 @@ def classify_changes(raw: DataFrame, database: str = SOURCE_DATABASE, value_col:
     * ``keep``: the source database, not a bootstrap marker, ``data`` an object (``{}`` included). A
       missing ``type`` is kept (a null-safe test, where SQL ``NOT IN`` would drop it).
     * ``skip``: another database, or a bootstrap marker: not for this job, dropped quietly.
-    * ``unparseable`` / ``no_data`` / ``bad_data``: bad rows, for the quarantine (D5).
+    * ``unparseable`` / ``repeated_key`` / ``no_data`` / ``bad_data``: bad rows, for the quarantine (D5).
     """
     p = parse_once(raw, value_col, out=REC)
     rec = F.col(REC)
@@ -42,6 +42,7 @@ def classify_changes(raw: DataFrame, database: str = SOURCE_DATABASE, value_col:
     marker = F.coalesce(typ.isin(*BOOTSTRAP_MARKERS), F.lit(False))
     status = (
         F.when(rec.isNull(), F.lit("unparseable"))
+        .when(repeats_key(rec), F.lit("repeated_key"))
         .when(~db.eqNullSafe(F.lit(database)) | marker, F.lit("skip"))
         .when(~present(data), F.lit("no_data"))
         .when(~is_object(data), F.lit("bad_data"))
@@ -58,10 +59,11 @@ def classify_changes(raw: DataFrame, database: str = SOURCE_DATABASE, value_col:
     )
 
 
-def cdc_clean(raw: DataFrame, database: str = SOURCE_DATABASE, value_col: str = "value") -> DataFrame:
-    """Kept change records as ``(<raw columns but value>, database, table, type, ts, data)``."""
+def cdc_clean(raw: DataFrame, database: str = SOURCE_DATABASE, value_col: str = "value", keep_text: bool = False) -> DataFrame:
+    """Kept change records as ``(<raw columns but value>, database, table, type, ts, data)``;
+    ``keep_text`` keeps the text too, for a quarantine further on."""
     c = classify_changes(raw, database, value_col)
-    keep = [x for x in raw.columns if x != value_col]
+    keep = [x for x in raw.columns if keep_text or x != value_col]
     return c.where(F.col("status") == "keep").select(*keep, "database", "table", "type", "ts", "data")
 
 
@@ -118,22 +120,14 @@ def current_config(feed: DataFrame, preload: DataFrame | None = None, order: tup
     return latest.select("c.*").where(F.col("op") != CONFIG_DELETE_OP)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them to find out); otherwise hand it back for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
-
-
-def route(changes: DataFrame, config: DataFrame, max_config_rows: int = 10_000) -> DataFrame:
+def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Inner equi-join of each change with the config row of its table (``table = source_table``).
 
-    Changes of tables without a config row are dropped (D6). The config side is broadcast after its
-    size is checked, so the change stream is never shuffled here; over the limit it falls back to a
-    shuffle join.
+    Changes of tables without a config row are dropped (D6). Whether the config is broadcast is left to
+    Spark, which compares its bytes with ``spark.sql.autoBroadcastJoinThreshold`` (adaptive execution
+    with the measured ones); no job runs while the plan is built, and any number of rows works.
     """
-    cfg = config.select(*CONFIG_FIELDS)
-    side, _ = bounded_broadcast(cfg, max_config_rows)
+    side = config.select(*CONFIG_FIELDS)
     return changes.join(side, changes["table"] == side["source_table"], "inner").drop("source_table")
 
 

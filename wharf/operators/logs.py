@@ -23,6 +23,7 @@ from wharf.functions.jsonx import (
     parse_object,
     present,
     put,
+    repeats_key,
     to_json_text,
     to_variant_object,
 )
@@ -65,6 +66,7 @@ def _reason(log: Column, k: Column) -> Column:
     )
     return (
         F.when(log.isNull(), F.lit("unparseable"))
+        .when(repeats_key(log), F.lit("repeated_key"))
         .when(bad_kind, F.lit("bad_field_type"))
         .when(~k["page_obj"] & ~k["start_obj"], F.lit("no_page_or_start"))
         .when(~k["common_obj"], F.lit("no_common"))
@@ -154,12 +156,12 @@ def fix_is_new(
     rule: str = "later_day",
     flag_type: str = "string",
     tz: str = DEFAULT_TZ,
-    tie: str = "offset",
+    tie: tuple[str, ...] = ("partition", "offset"),
     salt: int = 16,
 ) -> DataFrame:
     """T3, batch form: repair the new-visitor flag per device.
 
-    Each device stores one date, set once by its first log (in ``(ts, tie)`` order) whose flag is ``1``
+    Each device stores one date, set once by its first log (in ``(ts, partition, offset)`` order, as the stream) whose flag is ``1``
     (that log's date) or ``0`` (the day before). A later ``1`` log is repaired per ``rule``. Every log is
     emitted. Adds ``is_new`` (the flag after repair, as text).
 
@@ -168,7 +170,7 @@ def fix_is_new(
     all logs collapses before the shuffle), and a join hands it back; a log sees the date only if the
     setting log precedes it. No window over a device's logs, so a hot device is never one sorted task.
 
-    The join is salted: each log takes a bucket ``hash(tie) mod salt`` and each device's one setter
+    The join is salted: each log takes a bucket ``hash(partition, offset) mod salt`` and each device's one setter
     row is copied to every bucket, so a hot device's logs spread over ``salt`` partitions. Both join
     sides then arrive as plain shuffles, so AQE can still split a partition that stays skewed, or turn
     the join into a broadcast once the per-device table is measured small. ``salt=1`` turns it off.
@@ -176,7 +178,8 @@ def fix_is_new(
     if salt < 1:
         raise ValueError("salt must be >= 1")
     log, ts = F.col(LOG), F.col("ts")
-    order = F.struct(ts.alias("ts"), F.col(tie).alias("tie"))
+    ties = [c for c in tie if c in clean.columns]
+    order = F.struct(ts.alias("ts"), *[F.col(c) for c in ties])
     # A frame that still holds bad logs (a ``reason`` column) passes them through untouched.
     good = F.col("reason").isNull() if "reason" in clean.columns else F.lit(True)
     setters = (
@@ -188,7 +191,7 @@ def fix_is_new(
     )
     if salt > 1:
         setters = setters.select("mid", "_first", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
-        h = F.xxhash64(F.col(tie))
+        h = F.xxhash64(*ties)
         # Logs without a device (bad ones riding along) can never match; a wide salt spreads them over
         # every partition instead of the few buckets a NULL key would share.
         bucket = F.when(F.col("mid").isNull(), F.pmod(h, F.lit(1 << 30))).otherwise(F.pmod(h, F.lit(salt)))

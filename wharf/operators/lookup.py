@@ -1,13 +1,10 @@
-"""Lookup of a dictionary table, a left join on a code column with a size-checked broadcast."""
+"""Lookup of a dictionary table, a left join on a code column."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wharf.operators.cdc import bounded_broadcast
-
-
 def lookup_dictionary(
     facts: DataFrame,
     code: Column | str,
@@ -15,16 +12,14 @@ def lookup_dictionary(
     key: str = "dic_code",
     value: str = "dic_name",
     out: str = "dic_name",
-    max_dictionary_rows: int = 1_000_000,
 ) -> DataFrame:
     """Left join ``facts`` with ``dictionary`` on ``code = key``; unknown codes get NULL.
 
-    The dictionary is broadcast only when it provably holds at most ``max_dictionary_rows`` rows; the
-    fact side is never shuffled then. Dictionary keys are deduplicated (the key is declared, not
-    enforced), so the join never multiplies fact rows.
+    Whether the dictionary is broadcast is left to Spark, which compares its bytes with the session's
+    threshold. Dictionary keys are deduplicated (the key is declared, not enforced), so the join never
+    multiplies fact rows.
     """
     code_col = F.col(code) if isinstance(code, str) else code
     d = dictionary.groupBy(key).agg(F.max(value).alias("_v"))
-    side, _ = bounded_broadcast(d, max_dictionary_rows)
-    j = facts.join(side, code_col == side[key], "left")
+    j = facts.join(d, code_col == d[key], "left")
     return j.select(*[facts[c] for c in facts.columns], F.col("_v").alias(out))

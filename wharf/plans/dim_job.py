@@ -1,6 +1,6 @@
 """The dimension-sync job as one batch plan: ``cdc_clean -> route -> trim -> apply_changes``.
 
-One scan of the change records; the config side is broadcast after its size check; one keyed
+One scan of the change records; the config side is broadcast if Spark finds it small; one keyed
 aggregation pair applies the changes. With a store, the result becomes the tables' next version.
 """
 
@@ -16,7 +16,7 @@ from wharf.operators.dim import apply_changes
 def dim_sync(raw: DataFrame, config: DataFrame, opts: DimJobOptions = DimJobOptions(), base: DataFrame | None = None) -> DataFrame:
     """Dimension rows ``(sink_table, row_key, family, cells)`` after applying ``raw`` change records
     (routed by the live ``config``) on top of ``base``."""
-    t = trim(route(cdc_clean(raw, opts.database), config, opts.max_config_rows))
+    t = trim(route(cdc_clean(raw, opts.database), config))
     return apply_changes(dim_changes(t), base=base, null_cells=opts.null_cells)
 
 

@@ -78,7 +78,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -86,7 +86,7 @@ def ship_package(spark: SparkSession) -> None:
     package once and add it with ``addPyFile``, which distributes it to every executor."""
     import shutil
 
-    key = id(spark.sparkContext)
+    key = spark.sparkContext.applicationId
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))

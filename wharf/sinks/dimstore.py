@@ -2,21 +2,16 @@
 
 There is no table format with MERGE in this environment, so a table is a chain of versions::
 
-    <root>/versions/b=<batch>/sink_table=<name>/part-*.parquet     rows (row_key, family, cells)
-    <root>/_manifest/e=<epoch>/b=<batch>/part-*.json               (sink_table, version, dropped)
-    <root>/_config/e=<epoch>/b=<batch>/part-*.json                 config seen by that batch
-    <root>/_compacted/part-*.json                                  latest entry per table as of batch c
-
-A batch writes new versions of the tables it touched, then its manifest entry, each with
-``mode("overwrite")`` on a directory named by the batch id, so a retried batch rewrites the same
-files and a batch already in the manifest is skipped. The current version of a table is its latest
-manifest entry; readers never see a half-written version. The manifest and the config are a few rows
-per batch; they are the only data this module collects to the driver.
-
-Reads stay small however long the stream runs: entries sit in epochs of ``EPOCH`` batches, and every
-``COMPACT_EVERY`` batches the latest entry per table is written to ``_compacted``; a reader takes that
-and the (at most two) epochs after it. Should ``_compacted`` be missing (a crash while rewriting it),
-readers fall back to every epoch, which is slower and equally correct.
+    <root>/versions/w=<writer>/b=<batch>/sink_table=<name>/part-*.parquet   rows (row_key, family, cells)
+    <root>/_manifest/w=<writer>/b=<batch>/part-*.json                      (sink_table, version, dropped, n)
+    <root>/_config/w=<writer>/b=<batch>/part-*.json                        config seen by that batch
+
+A commit is named by its writer and batch id, so the batch ids of a stream and of a batch job never
+meet. A batch writes new versions of the tables it touched, then its manifest entry, each with
+``mode("overwrite")`` on its own directory, so a retried batch rewrites the same files and a batch
+already in the manifest is skipped. ``n`` counts the commits of the store, whoever made them, and orders
+them; one writer is at work at a time. The current version of a table is its latest entry; readers
+never see a half-written version, and every entry is read, whatever its batch id.
 """
 
 from __future__ import annotations
@@ -25,78 +20,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-MANIFEST_SCHEMA = "sink_table string, version bigint, dropped boolean, family string, b bigint, seq int"
+MANIFEST_SCHEMA = "sink_table string, version string, dropped boolean, family string, n bigint, seq int"
 CONFIG_SCHEMA = (
-    "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string, b bigint"
+    "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string, n bigint"
 )
-_MANIFEST_COLS = ("sink_table", "version", "dropped", "family", "b", "seq")
-EPOCH = 1000
-COMPACT_EVERY = 50
 DIM_SCHEMA = "sink_table string, row_key string, family string, cells map<string,string>"
 
 
 class DimStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, writer: str = "stream"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.writer = writer
 
     # -- manifest -------------------------------------------------------------------------------
-    def _read_json(self, path: str, schema: str, base: str | None = None) -> DataFrame:
+    def _read_json(self, sub: str, schema: str) -> DataFrame:
         try:
-            r = self.spark.read.schema(schema)
-            if base:
-                r = r.option("basePath", base)
-            return r.json(path)
+            return self.spark.read.schema(schema + ", w string, b bigint").json(f"{self.root}/{sub}")
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
-
-    def _epochs(self, sub: str, first: int, last: int, schema: str) -> DataFrame:
-        eps = ",".join(str(e) for e in range(max(first, 0), last + 1))
-        return self._read_json(f"{self.root}/{sub}/e={{{eps}}}", schema, base=f"{self.root}/{sub}")
-
-    def _compacted(self) -> tuple[int, DataFrame] | None:
-        df = self._read_json(f"{self.root}/_compacted", MANIFEST_SCHEMA + ", c bigint")
-        c = df.agg(F.max("c")).first()[0]
-        return None if c is None else (int(c), df.drop("c"))
-
-    def manifest(self, before_batch: int | None = None) -> DataFrame:
-        comp = self._compacted()
-        if comp is None or (before_batch is not None and before_batch <= comp[0]):
-            m = self._read_json(f"{self.root}/_manifest", MANIFEST_SCHEMA).select(*_MANIFEST_COLS)
-        else:
-            c, snap = comp
-            after = self._epochs("_manifest", (c + 1) // EPOCH, (c + 1) // EPOCH + 1, MANIFEST_SCHEMA)
-            m = snap.select(*_MANIFEST_COLS).unionByName(after.where(F.col("b") > c).select(*_MANIFEST_COLS))
-        return m if before_batch is None else m.where(F.col("b") < before_batch)
+            return self.spark.createDataFrame([], schema + ", w string, b bigint")
+
+    def manifest(self) -> DataFrame:
+        """All entries of all commits; a commit without entries has one row without a table."""
+        return self._read_json("_manifest", MANIFEST_SCHEMA)
+
+    def committed(self, batch_id: int) -> bool:
+        """Whether this writer has committed the batch."""
+        return not self.manifest().where((F.col("w") == self.writer) & (F.col("b") == batch_id)).isEmpty()
 
     def last_batch(self) -> int:
-        comp = self._compacted()
-        r = self.manifest().agg(F.max("b")).first()[0]
-        vals = [x for x in (r, comp[0] if comp else None) if x is not None]
-        return int(max(vals)) if vals else -1
+        """The largest batch id that this writer has committed, -1 without any."""
+        r = self.manifest().where(F.col("w") == self.writer).agg(F.max("b")).first()[0]
+        return -1 if r is None else int(r)
+
+    def version(self, batch_id: int) -> str:
+        return f"w={self.writer}/b={batch_id}"
 
-    def current(self, before_batch: int | None = None) -> dict[str, dict]:
+    def current(self) -> dict[str, dict]:
         """Latest entry per table: ``{sink_table: {version, dropped, family}}``."""
-        return {r["sink_table"]: r["e"].asDict() for r in self._latest(self.manifest(before_batch)).collect()}
+        return {r["sink_table"]: r["e"].asDict() for r in self._latest(self.manifest().where("sink_table IS NOT NULL")).collect()}
 
     @staticmethod
     def _latest(m: DataFrame) -> DataFrame:
-        # entries of one batch are ordered by their position (a drop, a create, then a new version)
-        order = F.struct("b", "seq")
-        e = F.max_by(F.struct("version", "dropped", "family"), order).alias("e")
-        return m.groupBy("sink_table").agg(e, F.max_by(F.struct("b", "seq"), order).alias("bs"))
+        # entries of one commit are ordered by their position (a drop, a create, then a new version)
+        order = F.struct("n", "seq")
+        return m.groupBy("sink_table").agg(F.max_by(F.struct("version", "dropped", "family"), order).alias("e"))
 
     # -- K8, K6, K7 ------------------------------------------------------------------------------
-    def table_exists(self, sink_table: str, before_batch: int | None = None) -> bool:
-        e = self.current(before_batch).get(sink_table)
+    def table_exists(self, sink_table: str) -> bool:
+        e = self.current().get(sink_table)
         return bool(e) and not e["dropped"]
 
-    def _version_path(self, version: int, sink_table: str) -> str:
-        return f"{self.root}/versions/b={version}/sink_table={sink_table}"
+    def _version_path(self, version: str, sink_table: str) -> str:
+        return f"{self.root}/versions/{version}/sink_table={sink_table}"
 
-    def read_table(self, sink_table: str, before_batch: int | None = None) -> DataFrame:
+    def read_table(self, sink_table: str) -> DataFrame:
         """The current rows of one table (empty if absent or dropped)."""
-        e = self.current(before_batch).get(sink_table)
+        e = self.current().get(sink_table)
         if not e or e["dropped"] or e["version"] is None:
             return self.spark.createDataFrame([], DIM_SCHEMA)
         df = self.spark.read.schema("row_key string, family string, cells map<string,string>").parquet(
@@ -104,9 +84,9 @@ class DimStore:
         )
         return df.select(F.lit(sink_table).alias("sink_table"), "row_key", "family", "cells")
 
-    def snapshot(self, tables: list[str], before_batch: int | None = None, cur: dict[str, dict] | None = None) -> DataFrame:
+    def snapshot(self, tables: list[str], cur: dict[str, dict] | None = None) -> DataFrame:
         """Rows of the named tables; ``cur`` (a :meth:`current` result) saves reading the manifest again."""
-        cur = self.current(before_batch) if cur is None else cur
+        cur = self.current() if cur is None else cur
         paths = [
             self._version_path(e["version"], t)
             for t, e in cur.items()
@@ -117,64 +97,46 @@ class DimStore:
         df = self.spark.read.option("basePath", f"{self.root}/versions").parquet(*paths)
         return df.select("sink_table", "row_key", "family", "cells")
 
-    def commit(self, batch_id: int, entries: list[tuple[str, int | None, bool, str | None]], config: DataFrame | None = None) -> None:
+    def commit(self, batch_id: int, entries: list[tuple[str, str | None, bool, str | None]], config: DataFrame | None = None) -> None:
         """Write this batch's manifest entries ``(sink_table, version, dropped, family)``, in order.
 
-        Idempotent: the entries of a batch id are one directory, rewritten whole on a retry, so each
-        batch id commits once (create/drop calls outside a stream take their own batch ids)."""
-        rows = [(t, v, d, f, batch_id, i) for i, (t, v, d, f) in enumerate(entries)]
-        e = batch_id // EPOCH
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).drop("b").coalesce(1).write.mode("overwrite").json(
-            f"{self.root}/_manifest/e={e}/b={batch_id}"
-        )
+        Idempotent: the entries of a (writer, batch id) are one directory, rewritten whole on a retry, so
+        each batch id of a writer commits once."""
+        here = f"w={self.writer}/b={batch_id}"
+        others = self.manifest().where((F.col("w") != self.writer) | (F.col("b") != batch_id))
+        n = int(others.agg(F.coalesce(F.max("n"), F.lit(-1))).first()[0]) + 1
         if config is not None:
-            config.coalesce(1).write.mode("overwrite").json(f"{self.root}/_config/e={e}/b={batch_id}")
-        if batch_id % COMPACT_EVERY == 0:
-            self.compact(batch_id)
-
-    def compact(self, through_batch: int) -> None:
-        """Write the latest entry per table as of ``through_batch`` to ``_compacted`` (a few rows)."""
-        latest = self._latest(self.manifest(before_batch=through_batch + 1))
-        rows = latest.select(
-            "sink_table", "e.version", "e.dropped", "e.family", F.col("bs.b").alias("b"), F.col("bs.seq").alias("seq"),
-            F.lit(through_batch).cast("bigint").alias("c"),
-        ).collect()
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA + ", c bigint").coalesce(1).write.mode("overwrite").json(
-            f"{self.root}/_compacted"
-        )
+            config.withColumn("n", F.lit(n).cast("bigint")).coalesce(1).write.mode("overwrite").json(f"{self.root}/_config/{here}")
+        rows = [(t, v, d, f, n, i) for i, (t, v, d, f) in enumerate(entries or [(None, None, False, None)])]
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{self.root}/_manifest/{here}")
 
     def write_versions(self, batch_id: int, tables: DataFrame) -> None:
         """New versions of the touched tables, one directory per table, in one write."""
         # apply_changes output is already hash-clustered by (sink_table, row_key): no extra shuffle.
         tables.select("sink_table", "row_key", "family", "cells").write.mode("overwrite").partitionBy(
             "sink_table"
-        ).parquet(f"{self.root}/versions/b={batch_id}")
+        ).parquet(f"{self.root}/versions/{self.version(batch_id)}")
 
     def create_table(self, batch_id: int, sink_table: str, family: str | None) -> bool:
         """K6: create an empty table if absent; no family means no table. Returns True if created."""
-        if not family or self.table_exists(sink_table, before_batch=batch_id + 1):
+        if not family or self.table_exists(sink_table):
             return False
         self.commit(batch_id, [(sink_table, None, False, family)])
         return True
 
     def drop_table(self, batch_id: int, sink_table: str) -> bool:
         """K7: drop a table if it exists (dropping an absent one is a no-op, not an error)."""
-        if not self.table_exists(sink_table, before_batch=batch_id + 1):
+        if not self.table_exists(sink_table):
             return False
         self.commit(batch_id, [(sink_table, None, True, None)])
         return True
 
-    def previous_config(self, batch_id: int) -> list[dict]:
-        """The config the latest earlier batch ran with (every batch writes one)."""
-        e = (batch_id - 1) // EPOCH
-        cfg = self._epochs("_config", e - 1, e, CONFIG_SCHEMA).where(F.col("b") < batch_id)
-        last = cfg.agg(F.max("b")).first()[0]
-        if last is None:
-            cfg = self._read_json(f"{self.root}/_config", CONFIG_SCHEMA).where(F.col("b") < batch_id)
-            last = cfg.agg(F.max("b")).first()[0]
-            if last is None:
-                return []
-        return [r.asDict() for r in cfg.where(F.col("b") == last).drop("b", "e").collect()]
+    def previous_config(self) -> list[dict]:
+        """The config that the latest committed batch ran with (every batch writes one)."""
+        done = self.manifest().select("w", "b", "n").distinct()
+        cfg = self._read_json("_config", CONFIG_SCHEMA).join(done, ["w", "b", "n"])
+        last = cfg.agg(F.max("n")).first()[0]
+        return [] if last is None else [r.asDict() for r in cfg.where(F.col("n") == last).drop("w", "b", "n").collect()]
 
 
 def plan_ddl(previous: list[dict], current: list[dict]) -> list[tuple[str, str, str | None]]:

@@ -24,18 +24,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def text_records(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Text files, one record per line, as ``(value, partition, offset)``.
 
-    ``partition`` is a hash of the file path and ``offset`` a 64-bit hash of the line: both are
-    deterministic (a retried task yields the same values), and serve only to break ties between logs
-    of one device with equal ``ts``. Two byte-identical lines tie completely, so neither counts as
-    earlier than the other; Kafka input has real offsets and no such tie. Batch and stream read the
-    same columns.
+    ``partition`` is a hash of the file path. In batch, ``offset`` is the line's position in its file: the
+    split's start, then the line's number in the task (splits of a megabyte or more; a retried task reads
+    the same lines in the same order). Streams have no line numbers in Spark: there ``offset`` is a 64-bit
+    hash of the line, which only breaks ties between logs with equal ``ts`` the same way each time.
     """
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.format("text").load(path)
+    line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    split = F.shiftleft(F.shiftright(F.col("_metadata.file_block_start"), 20), 33)
     return df.select(
         F.col("value"),
-        F.abs(F.hash(F.col("_metadata.file_path"))).alias("partition"),
-        F.xxhash64(F.col("value")).alias("offset"),
+        F.pmod(F.hash(F.col("_metadata.file_path")), F.lit(2**31 - 1)).alias("partition"),
+        (F.xxhash64(F.col("value")) if stream else split + line).alias("offset"),
     )

@@ -1,7 +1,7 @@
 """The dimension-sync job as a stream: one ``foreachBatch`` per micro-batch of change records.
 
 Per batch: read the live config (T5, re-read every batch so config changes take effect), run the DDL
-its diff asks for (K9), clean, route with the size-checked broadcast config (J1), trim (P4), and apply
+its diff asks for (K9), clean, route by the config (J1), trim (P4), and apply
 (T6) on top of the touched tables' current versions, then commit the new versions. Retried batches
 rewrite the same directories; a batch already committed is skipped (exactly-once per batch id).
 """
@@ -19,6 +19,9 @@ from wharf.operators.dim import apply_changes
 from wharf.sinks.dimstore import DimStore, plan_ddl
 
 
+BROADCAST_BYTES = 8 << 20
+
+
 def dim_sync_batch(
     batch: DataFrame,
     batch_id: int,
@@ -26,20 +29,20 @@ def dim_sync_batch(
     config: Callable[[], DataFrame],
     opts: DimJobOptions = DimJobOptions(),
 ) -> None:
-    if store.last_batch() >= batch_id:
-        return  # already committed: a replay after restart
+    if store.committed(batch_id):
+        return  # this writer's batch is in the manifest: a replay after restart
     spark = batch.sparkSession
     cfg = config()
-    n_cfg = cfg.limit(opts.max_config_rows + 1).count()
-    if n_cfg > opts.max_config_rows:
-        raise ValueError(f"config holds more than {opts.max_config_rows} rows")
-    cfg_rows = [r.asDict() for r in cfg.collect()]  # bounded just above
+    cfg_rows = [r.asDict() for r in cfg.collect()]  # read once per batch: the DDL and the join see the same rows
     cfg_df = spark.createDataFrame(cfg_rows, cfg.schema) if cfg_rows else cfg
-    entries: list[tuple[str, int | None, bool, str | None]] = []
-    before = store.current(before_batch=batch_id)  # tables as the previous batch left them
+    # the rows are here, so their size is known: small ones are broadcast, others meet in a shuffle join
+    small = sum(len(str(v or "")) + 16 for r in cfg_rows for v in r.values()) <= BROADCAST_BYTES
+    joined = F.broadcast(cfg_df) if small else cfg_df
+    entries: list[tuple[str, str | None, bool, str | None]] = []
+    before = store.current()  # tables as the last committed batch left them
     cur = {k: dict(v) for k, v in before.items()}
     ddl_touched: set[str] = set()
-    for action, table, fam in plan_ddl(store.previous_config(batch_id), cfg_rows):
+    for action, table, fam in plan_ddl(store.previous_config(), cfg_rows):
         exists = table in cur and not cur[table]["dropped"]
         if action == "drop" and exists:
             entries.append((table, None, True, None))
@@ -52,7 +55,7 @@ def dim_sync_batch(
 
     batch = batch.persist()
     try:
-        t = trim(route(cdc_clean(batch, opts.database), cfg_df, opts.max_config_rows))
+        t = trim(route(cdc_clean(batch, opts.database, keep_text=True), joined))
         good = dim_changes(t)
         touched = [r[0] for r in good.select("sink_table").distinct().collect()]  # a few names
         live = [x for x in touched if x in cur and not cur[x]["dropped"]]
@@ -63,11 +66,12 @@ def dim_sync_batch(
             new = apply_changes(good.where(F.col("sink_table").isin(live)), base=base, null_cells=opts.null_cells)
             store.write_versions(batch_id, new)
             for x in live:
-                entries.append((x, batch_id, False, cur[x].get("family")))
-        bad = cdc_quarantine(batch, opts.database).select("value", F.col("reason")).unionByName(
-            dim_quarantine(t).select(F.lit(None).cast("string").alias("value"), "reason")
-        )
-        bad.write.mode("overwrite").parquet(f"{store.root}/_quarantine/b={batch_id}")
+                entries.append((x, store.version(batch_id), False, cur[x].get("family")))
+        bad = cdc_quarantine(batch, opts.database).select("value", "reason")
+        bad = bad.unionByName(dim_quarantine(t).select("value", "reason"))
+        # changes of a table that its config row does not create (no family) are kept with their text
+        bad = bad.unionByName(good.where(~F.col("sink_table").isin(live)).select("value", F.lit("no_table").alias("reason")))
+        bad.write.mode("overwrite").parquet(f"{store.root}/_quarantine/{store.version(batch_id)}")
         store.commit(batch_id, entries, cfg_df)
     finally:
         batch.unpersist()
