@@ -46,8 +46,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens: one row per piece with its token ids."""
-    return pack(pieces(docs, tokenizer_path(), with_ids=True)).drop("_hash")
+    """Sequences of at most 4096 tokens: one row per piece, with its place (ids are checked by their CRC)."""
+    return pack(pieces(docs, tokenizer_path())).drop("_hash")
 
 
 STAGES = [

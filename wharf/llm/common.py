@@ -17,7 +17,7 @@ from wharf.session import ensure_checkpoint_dir, ship_package
 
 # ASCII white space that parts words: the complement of [^\x20\x09-\x0D].
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_BYTES = 4 << 20  # texts handled together in one numpy pass
+BATCH_BYTES = 2 << 20  # texts handled together in one numpy pass
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -122,7 +122,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(max(n, 1 << 16), base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if n <= 16 * BATCH_BYTES:  # one very long text does not stay in memory
+        if n <= 2 * BATCH_BYTES:  # one very long text does not stay in memory
             _POWERS[int(base)] = have
     return have[:n]
 

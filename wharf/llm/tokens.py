@@ -14,7 +14,7 @@ import unicodedata
 
 import numpy as np
 
-CACHE = 1_000_000  # distinct pre-tokens that a worker keeps, and
+CACHE = 600_000  # distinct pre-tokens that a worker keeps, and
 CACHE_CHARS = 32 << 20  # their characters; beyond either the cache starts anew
 
 
