@@ -18,6 +18,7 @@ from wharf.session import ensure_checkpoint_dir, ship_package
 # ASCII white space that parts words: the complement of [^\x20\x09-\x0D].
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 2 << 20  # texts handled together in one numpy pass
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000}  # rows that Spark sends to Python at once
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -26,8 +27,14 @@ LOWER[65:91] += 32
 
 
 def ready(spark: SparkSession) -> None:
-    """Ship the package to the executors and make sure that a shared checkpoint folder is set."""
+    """Ship the package to the executors, make sure that a shared checkpoint folder is set, and keep the
+    Arrow batches between Spark and Python small: with long texts, Spark's 10,000 rows a batch are held
+    several times over in each task. A smaller setting of the session stays as it is."""
     ship_package(spark)
+    for name, most in ARROW_BATCH.items():
+        have = int(spark.conf.get(name))
+        if have <= 0 or have > most:
+            spark.conf.set(name, str(most))
     folder = ensure_checkpoint_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)

@@ -293,6 +293,28 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _with_spans(documents: DataFrame, columns: list[str], length: int, gram: int) -> DataFrame:
+    """``row`` (the columns but the text), ``text`` and ``_spans`` (null: nothing repeats) of every document."""
+    base = documents.select(F.col("doc_id").alias("id"), content_key("doc_id", "text").alias("hash"), "text")
+    spans = repeated_spans(base, length, gram)
+    spans = spans.select(F.col("id").alias("_i"), F.col("hash").alias("_h"), F.col("spans").alias("_spans"))
+    rows = boxed(documents, columns).withColumn("_id", F.col("row.doc_id"))
+    rows = rows.withColumn("_hash", F.xxhash64("_id", "text"))
+    return rows.join(spans, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left").select("row", "text", "_spans")
+
+
+def _cut_out(text: pa.Scalar, spans: list[dict] | None) -> tuple[int, list[tuple[int, int]], bytes]:
+    """(bytes of the text, maximal runs that go, what is left)."""
+    raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+    runs = _merged(spans or [])
+    at, parts = 0, []
+    for a, b in runs:
+        parts.append(raw[at:a])
+        at = b
+    parts.append(raw[at:])
+    return len(raw), runs, b"".join(parts)
+
+
 def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """All columns of ``documents`` plus ``n_bytes``, ``n_removed``, ``removed`` (maximal byte spans that
     go) and ``kept_bytes`` (what is left of the UTF-8 text, in order). Such columns are replaced.
@@ -303,30 +325,16 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     their own: what they hold is repeated. An empty table gives an empty result."""
     ready(documents.sparkSession)
     names = [c for c in documents.columns if c not in ("n_bytes", "n_removed", "removed", "kept_bytes")]
-    base = documents.select(F.col("doc_id").alias("id"), content_key("doc_id", "text").alias("hash"), "text")
-    spans = repeated_spans(base, length, gram)
-    spans = spans.select(F.col("id").alias("_i"), F.col("hash").alias("_h"), F.col("spans").alias("_spans"))
-    rows = boxed(documents, names).withColumn("_id", F.col("row.doc_id"))
-    rows = rows.withColumn("_hash", F.xxhash64("_id", "text"))
-    rows = rows.join(spans, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left").select("row", "text", "_spans")
+    rows = _with_spans(documents, names, length, gram)
     schema = rows.schema["row"].dataType.simpleString()
     schema = f"row {schema}, text string, n_bytes long, n_removed long, removed array<struct<a:long,b:long>>, kept_bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            size, gone, cuts, kept = [], [], [], []
-            for text, spans in zip(batch.column("text"), batch.column("_spans").to_pylist()):
-                raw = b"" if not text.is_valid else text.as_buffer().to_pybytes()
-                runs = _merged(spans or [])
-                at, parts = 0, []
-                for a, b in runs:
-                    parts.append(raw[at:a])
-                    at = b
-                parts.append(raw[at:])
-                size.append(len(raw))
-                gone.append(sum(b - a for a, b in runs))
-                cuts.append([{"a": a, "b": b} for a, b in runs])
-                kept.append(b"".join(parts))
+            found = [_cut_out(text, spans) for text, spans in zip(batch.column("text"), batch.column("_spans").to_pylist())]
+            size, runs, kept = zip(*found)
+            gone = [sum(b - a for a, b in r) for r in runs]
+            cuts = [[{"a": a, "b": b} for a, b in r] for r in runs]
             span_type = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("text"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(cuts, span_type), pa.array(kept, pa.binary())],
@@ -336,24 +344,24 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     return rows.mapInArrow(run, schema).select(*unboxed(names), "n_bytes", "n_removed", "removed", "kept_bytes")
 
 
-def without_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``documents`` with repeated bytes cut out of the text (bytes of characters cut in two go as well).
     Texts of which nothing is left but white space go, unless they were so before. ``n_chars`` follows the text."""
+    ready(documents.sparkSession)
     cols = documents.columns
-    plain = boxed(documents).select(F.col("row.doc_id").alias("doc_id"), "row", "text")
-    out = remove_repeats(plain, length).select("row", "text", "n_removed", "kept_bytes")
+    rows = _with_spans(documents, cols, length, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [
-                t.as_py() if not n.as_py() else k.as_py().decode("utf-8", "ignore")
-                for t, n, k in zip(batch.column("text"), batch.column("n_removed"), batch.column("kept_bytes"))
-            ]
-            stays = [not n.as_py() or not t.isspace() and t != "" for t, n in zip(texts, batch.column("n_removed"))]
-            left = pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
-            yield left.filter(pa.array(stays, pa.bool_()))
-
-    out = out.mapInArrow(run, f"row {out.schema['row'].dataType.simpleString()}, text string").select(*unboxed(cols))
+        for batch in slices(batches, "text"):
+            texts, stays = [], []
+            for text, spans in zip(batch.column("text"), batch.column("_spans").to_pylist()):
+                left = _cut_out(text, spans)[2].decode("utf-8", "ignore") if spans else text.as_py()
+                texts.append(left)
+                stays.append(not spans or not (left == "" or left.isspace()))
+            kept = pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+            yield kept.filter(pa.array(stays, pa.bool_()))
+
+    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string").select(*unboxed(cols))
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
     return out.select(*cols)
