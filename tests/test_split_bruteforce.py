@@ -4,7 +4,8 @@ import json
 import random
 from collections import Counter
 
-from wharf.operators.logs import fix_is_new, log_clean, split_log
+from wharf.operators.logs import fix_is_new, log_clean, log_quarantine, split_log
+from wharf.plans.log_job import log_split_all
 
 
 def _drop_nulls(d):
@@ -34,6 +35,21 @@ def _split(log):
     return out
 
 
+def _bad_parts(log):
+    """The parts of a good log that no route takes, with the reason."""
+    out = []
+    if log.get("err") is not None and not isinstance(log["err"], dict):
+        out.append(("err_not_object", log["err"]))
+    if not isinstance(log.get("start"), dict):
+        for key, reason in (("displays", "display_not_object"), ("actions", "action_not_object")):
+            elems = log.get(key)
+            if isinstance(elems, list):
+                out += [(reason, e) for e in elems if not isinstance(e, dict)]
+            elif elems is not None:
+                out.append((f"{key}_not_array", elems))
+    return out
+
+
 def _random_log(rng, i):
     def elem():
         return rng.choice([None, 7, "x", {"item": rng.randrange(9), "pos": None},
@@ -54,6 +70,10 @@ def _random_log(rng, i):
             log[key] = [elem() for _ in range(rng.randrange(4))]
         elif r < 0.4:
             log[key] = None
+        elif r < 0.5:
+            log[key] = rng.choice(["nope", 7, {"item": 1}, True])
+    if "err" not in log and rng.random() < 0.3:
+        log["err"] = rng.choice([None, "boom", 5, [1, {"code": 2}]])
     if rng.random() < 0.5:
         log["extra"] = rng.choice([None, {"deep": [1, None]}, 3.5])
     return log
@@ -73,6 +93,11 @@ def test_split_matches_bruteforce(spark):
             (i, route, json.dumps(rec, sort_keys=True)) for i, l in enumerate(logs) for route, rec in _split(l)
         )
         assert got == want, seed
+        # what no route takes is in the quarantine, from the operator and from the one-plan job alike
+        want = Counter((i, reason, json.dumps(part, sort_keys=True)) for i, l in enumerate(logs) for reason, part in _bad_parts(l))
+        for found in (log_quarantine(df), log_split_all(df).where("route = 'quarantine'")):
+            got = Counter((r.offset, r.reason, json.dumps(json.loads(r.value), sort_keys=True)) for r in found.collect())
+            assert got == want, seed
 
 
 def _dim_replay(records, config, keep_old=True):

@@ -30,6 +30,7 @@ from wharf.functions.jsonx import (
 
 LOG = "log"
 ROUTE_RECORD = T.StructType([T.StructField("route", T.StringType()), T.StructField("value", T.StringType())])
+BAD_PART = T.StructType([T.StructField("reason", T.StringType()), T.StructField("value", T.StringType())])
 
 
 def parse_once(raw: DataFrame, value_col: str = "value", out: str = LOG) -> DataFrame:
@@ -105,10 +106,39 @@ def log_clean(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return c.where(F.col("reason").isNull()).select(*keep, LOG, "mid", "ts", "kind")
 
 
+def bad_parts(log: Column, kind: Column) -> Column:
+    """Parts of a good log that the split cannot route, as ``array<struct<reason, value>>`` with their JSON
+    text: an ``err`` that is no object, and on page logs ``displays``/``actions`` that are no arrays and
+    elements of theirs that are no objects. The other parts of the log are routed as usual."""
+    empty = F.array().cast(T.ArrayType(BAD_PART))
+
+    def part(reason: str, v: Column) -> Column:
+        return F.struct(F.lit(reason).alias("reason"), F.coalesce(F.to_json(v), F.lit("null")).alias("value"))
+
+    def elements(key: str, reason: str) -> Column:
+        found = log[key].try_cast("array<variant>")
+        odd = F.transform(F.filter(found, lambda e: as_object(e).isNull()), lambda e: part(reason, e))
+        whole = F.when(present(log[key]), F.array(part(f"{key}_not_array", log[key]))).otherwise(empty)
+        return F.when((kind == "page") & found.isNull(), whole).when(kind == "page", odd).otherwise(empty)
+
+    err = F.when(present(log["err"]) & ~is_object(log["err"]), F.array(part("err_not_object", log["err"]))).otherwise(empty)
+    return F.concat(err, elements("displays", "display_not_object"), elements("actions", "action_not_object"))
+
+
+def quarantine_records(value_col: str = "value") -> Column:
+    """What a classified log gives to the quarantine, as ``array<struct<reason, value>>``: a bad log its
+    whole text, a good log its :func:`bad_parts`."""
+    whole = F.array(F.struct(F.col("reason").alias("reason"), F.col(value_col).alias("value")))
+    return F.when(F.col("reason").isNotNull(), whole).otherwise(bad_parts(F.col(LOG), F.col("kind")))
+
+
 def log_quarantine(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """The bad logs, as the raw columns plus ``reason``, instead of a silent drop."""
+    """The raw columns plus ``reason`` of what would otherwise be dropped: bad logs with their text,
+    and parts of good logs that the split cannot route with the text of the part."""
     c = classify_logs(raw, value_col)
-    return c.where(F.col("reason").isNotNull()).select(*raw.columns, "reason")
+    rest = [x for x in raw.columns if x != value_col]
+    out = c.select(*rest, F.inline(quarantine_records(value_col)).alias("reason", "_part"))
+    return out.select(*[F.col("_part").alias(x) if x == value_col else F.col(x) for x in raw.columns], "reason")
 
 
 def with_event_time(df: DataFrame, watermark: str | None = None, col: str = "event_time") -> DataFrame:
@@ -212,7 +242,7 @@ def fix_is_new(
 
 def _fan_out(log: Column, key: str, route: str) -> Column:
     """T4d/T4e: one record per object element of ``displays``/``actions`` with the log's ``common``,
-    ``ts`` and ``page`` put in (overwriting). Null and non-object elements are skipped."""
+    ``ts`` and ``page`` put in (overwriting). Other elements go to the quarantine (:func:`bad_parts`)."""
     elems = F.filter(as_object_array(log[key]), lambda e: e.isNotNull())
     extra = {"common": log["common"], "ts": F.col("ts").cast("variant"), "page": log["page"]}
     recs = F.transform(elems, lambda e: F.struct(F.lit(route).alias("route"), to_json_text(put(e, extra)).alias("value")))

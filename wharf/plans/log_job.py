@@ -7,8 +7,9 @@ is the only shuffle (on ``mid``, salted); the split is a generator in the same s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from wharf.config import LogJobOptions
 from wharf.operators.logs import (
@@ -17,6 +18,7 @@ from wharf.operators.logs import (
     classify_logs,
     fix_is_new,
     log_clean,
+    quarantine_records,
     route_records,
     split_log,
     with_event_time,
@@ -34,15 +36,23 @@ def log_split(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), keep: tuple
 
 def log_split_all(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), keep: tuple[str, ...] = ("offset",)) -> DataFrame:
     """Routes and quarantine in one frame ``(*keep, route, value, reason)``: good logs give their five
-    routes (``reason`` NULL), a bad log gives one ``quarantine`` record holding its raw text."""
+    routes (``reason`` NULL), a bad log gives one ``quarantine`` record holding its raw text, and a part
+    of a good log that no route can take gives one holding the text of the part."""
     c = classify_logs(raw)
     bad = F.col("reason").isNotNull()
     # Only bad logs keep their text through the shuffle; good ones are rebuilt from the parsed log.
     c = c.withColumn("value", F.when(bad, F.col("value")))
     fixed = fix_is_new(c, rule=opts.rule, flag_type=opts.flag_type, tz=opts.tz)
-    quarantine = F.array(F.struct(F.lit("quarantine").alias("route"), F.col("value").alias("value")).cast(ROUTE_RECORD))
-    recs = F.when(bad, quarantine).otherwise(route_records(F.col(LOG), F.col("kind")))
-    return fixed.select(*keep, "reason", F.inline(recs)).select(*keep, "route", "value", "reason")
+
+    def record(route: Column, value: Column, reason: Column) -> Column:
+        return F.struct(route.alias("route"), value.alias("value"), reason.cast("string").alias("reason"))
+
+    routed = F.when(~bad, route_records(F.col(LOG), F.col("kind"))).otherwise(F.array().cast(ArrayType(ROUTE_RECORD)))
+    recs = F.concat(
+        F.transform(routed, lambda r: record(r["route"], r["value"], F.lit(None))),
+        F.transform(quarantine_records(), lambda r: record(F.lit("quarantine"), r["value"], r["reason"])),
+    )
+    return fixed.select(*keep, F.inline(recs))
 
 
 def run_log_split(raw: DataFrame, out_dir: str, opts: LogJobOptions = LogJobOptions()) -> None:

@@ -34,36 +34,45 @@ dated AS (
 )"""
 
 
+# Parts of good logs that no route takes.
+_PARTS = """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'err_not_object' WHEN 'click' THEN 'actions_not_array'
+                                 ELSE 'display_not_object' END AS reason
+FROM logs WHERE event_id % 7 = 3 AND event_type IN ('error', 'click', 'view')"""
+
+
 LOG_ORACLE: dict[str, str] = {
     "log_clean": f"""WITH {_LOGS}
 SELECT event_id, mid, ms AS ts, flag AS is_new,
        CASE WHEN event_type = 'signup' THEN 'start' ELSE 'page' END AS kind
 FROM logs""",
-    "log_quarantine": """
+    "log_quarantine": f"""WITH {_LOGS}
 SELECT event_id, CASE WHEN event_id % 101 = 0 THEN 'unparseable'
                       WHEN event_id % 107 = 0 THEN 'bad_field_type' ELSE 'no_mid' END AS reason
-FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0""",
+FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0
+UNION ALL {_PARTS}""",
     "fix_is_new_later_day": f"WITH {_LOGS}, {_fixed('later_day')}\nSELECT event_id, mid, dt, is_new FROM fixed",
     "fix_is_new_same_day": f"WITH {_LOGS}, {_fixed('same_day')}\nSELECT event_id, mid, dt, is_new FROM fixed",
     "split_routes": f"""WITH {_LOGS}
 SELECT route, count(*) AS n FROM (
-  SELECT 'err' AS route FROM logs WHERE event_type = 'error'
+  SELECT 'err' AS route FROM logs WHERE event_type = 'error' AND event_id % 7 <> 3
   UNION ALL SELECT 'start' FROM logs WHERE event_type = 'signup'
   UNION ALL SELECT 'page' FROM logs WHERE event_type <> 'signup'
   UNION ALL SELECT 'display' FROM logs, range(0, 4) r(i) WHERE event_type = 'view' AND i < event_id % 4
-  UNION ALL SELECT 'action' FROM logs WHERE event_type = 'click'
+  UNION ALL SELECT 'action' FROM logs WHERE event_type = 'click' AND event_id % 7 <> 3
 ) GROUP BY route""",
     "log_job_routes": f"""WITH {_LOGS}
 SELECT route, count(*) AS n FROM (
-  SELECT 'err' AS route FROM logs WHERE event_type = 'error'
+  SELECT 'err' AS route FROM logs WHERE event_type = 'error' AND event_id % 7 <> 3
   UNION ALL SELECT 'start' FROM logs WHERE event_type = 'signup'
   UNION ALL SELECT 'page' FROM logs WHERE event_type <> 'signup'
   UNION ALL SELECT 'display' FROM logs, range(0, 4) r(i) WHERE event_type = 'view' AND i < event_id % 4
-  UNION ALL SELECT 'action' FROM logs WHERE event_type = 'click'
+  UNION ALL SELECT 'action' FROM logs WHERE event_type = 'click' AND event_id % 7 <> 3
   UNION ALL SELECT 'quarantine' FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0
+  UNION ALL SELECT 'quarantine' FROM ({_PARTS})
 ) GROUP BY route""",
     "split_err": f"""WITH {_LOGS}
-SELECT event_id, event_id AS code, 'code' AS keys FROM logs WHERE event_type = 'error'""",
+SELECT event_id, event_id AS code, 'code' AS keys FROM logs WHERE event_type = 'error' AND event_id % 7 <> 3""",
     "split_start": f"""WITH {_LOGS}, {_fixed('later_day')}
 SELECT event_id, mid, ms AS ts, is_new, 'icon' AS entry, 'common,props,start,ts' AS keys
 FROM fixed WHERE event_type = 'signup'""",
@@ -75,7 +84,7 @@ SELECT event_id, mid, ms AS ts, is_new, event_type AS page_id, event_id * 10 + i
 FROM fixed, range(0, 4) r(i) WHERE event_type = 'view' AND i < event_id % 4""",
     "split_action": f"""WITH {_LOGS}
 SELECT event_id, mid, ms AS ts, event_type AS page_id, 'fav' AS action_id, event_id AS item
-FROM logs WHERE event_type = 'click'""",
+FROM logs WHERE event_type = 'click' AND event_id % 7 <> 3""",
 }
 
 

@@ -31,7 +31,9 @@ def log_envelope(events: DataFrame) -> DataFrame:
     ``mid = 'm' || user_id``; ``ts`` = epoch ms; ``is_new`` = ``'2'`` when ``event_id % 97 = 0``, else
     ``'0'`` when ``user_id % 3 = 0 and event_id % 2 = 0``, else ``'1'``; ``start`` for signup, ``page``
     for the rest; ``err`` (holding ``event_id``) for error; ``event_id % 4`` displays for view; one
-    action for click. Dirty: ``event_id % 101 = 0`` cut in half; ``event_id % 103 = 0`` has no ``mid``.
+    action for click. Dirty: ``event_id % 101 = 0`` cut in half; ``event_id % 103 = 0`` has no ``mid``;
+    ``event_id % 7 = 3`` has a text for ``err`` (error) or ``actions`` (click), or a number after its
+    displays (view).
     """
     eid, uid, typ = F.col("event_id"), F.col("user_id"), F.col("event_type")
     ms = epoch_ms_of("ts")
@@ -48,16 +50,21 @@ def log_envelope(events: DataFrame) -> DataFrame:
     )
     start = F.when(typ == "signup", F.struct(F.lit("icon").alias("entry"), F.col("value").alias("loading_time")))
     page = F.when(typ != "signup", F.struct(typ.alias("page_id"), F.col("value").alias("during_time")))
-    err = F.when(typ == "error", F.struct(eid.alias("code")))
+    odd = eid % 7 == 3
+    err = F.when(typ == "error", F.when(odd, _v(F.lit("boom"))).otherwise(F.to_variant_object(F.struct(eid.alias("code")))))
     n_disp = (eid % 4).cast("int")
     displays = F.when(
         typ == "view",
-        F.transform(
-            F.filter(F.sequence(F.lit(0), F.lit(3)), lambda i: i < n_disp),
-            lambda i: F.struct((eid * 10 + i).alias("item"), (i + 1).alias("pos")),
+        F.concat(
+            F.transform(
+                F.filter(F.sequence(F.lit(0), F.lit(3)), lambda i: i < n_disp),
+                lambda i: F.to_variant_object(F.struct((eid * 10 + i).alias("item"), (i + 1).alias("pos"))),
+            ),
+            F.when(odd, F.array(_v(eid))).otherwise(F.array().cast("array<variant>")),
         ),
     )
-    actions = F.when(typ == "click", F.array(F.struct(F.lit("fav").alias("action_id"), eid.alias("item"))))
+    action = F.array(F.struct(F.lit("fav").alias("action_id"), eid.alias("item")))
+    actions = F.when(typ == "click", F.when(odd, _v(F.lit("nope"))).otherwise(F.to_variant_object(action)))
     text = F.to_json(
         F.struct(
             common.alias("common"),

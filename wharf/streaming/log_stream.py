@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharf.config import LogJobOptions
-from wharf.operators.logs import LOG, apply_repair, classify_logs, parse_once, split_log
+from wharf.operators.logs import LOG, apply_repair, classify_logs, log_quarantine, parse_once, split_log
 from wharf.streaming.visitor import fix_is_new_stream
 
 
@@ -24,8 +24,8 @@ def log_split_stream(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), ttl_
 
 
 def log_quarantine_stream(raw: DataFrame) -> DataFrame:
-    c = classify_logs(raw)
-    return c.where(F.col("reason").isNotNull()).select(*raw.columns, "reason")
+    """Bad logs and the parts of good ones that no route can take, as the batch quarantine."""
+    return log_quarantine(raw)
 
 
 def start_log_split(
