@@ -223,6 +223,78 @@ def test_dim_changes_that_cannot_be_applied_are_quarantined_with_their_text(spar
     assert sorted(r.row_key for r in stream.snapshot(["dim_b"]).collect()) == ["2", "9"]
 
 
+def _dim_raw(spark, records):
+    text = [json.dumps({"database": "gmall", "table": "b", "type": typ, "ts": ts, "data": data}) for typ, ts, data in records]
+    return spark.createDataFrame([(t, 0, i) for i, t in enumerate(text)], "value string, partition int, offset bigint")
+
+
+def test_store_appends_what_a_batch_did_and_compacts_apart(spark, scratch):
+    """A batch writes its own row keys only; deletes, retries, whole versions and a later DDL read right."""
+    from wharf.operators.dim import row_effects
+
+    schema = "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string"
+    conf = lambda cols="id,x,y": spark.createDataFrame([("b", "dim_b", "info", cols, "id", "r")], schema)
+    store = DimStore(spark, f"{scratch}/s", writer="job")
+
+    def rows():
+        return {r.row_key: dict(r.cells) for r in store.read_table("dim_b").collect()}
+
+    def written(b):
+        return spark.read.parquet(f"{scratch}/s/versions/w=job/b={b}").count()
+
+    dim_sync_batch(_dim_raw(spark, [("insert", 1, {"id": i, "x": i, "y": 0}) for i in range(500)]), 0, store, conf)
+    assert written(0) == 500 and len(rows()) == 500
+    dim_sync_batch(_dim_raw(spark, [("update", 2, {"id": 7, "x": None, "y": 5})]), 1, store, conf)
+    assert written(1) == 1 and rows()["7"] == {"id": "7", "x": "7", "y": "5"} and len(rows()) == 500
+    dim_sync_batch(_dim_raw(spark, [("delete", 3, {"id": 8})]), 2, store, conf)  # a batch of deletes alone
+    dim_sync_batch(_dim_raw(spark, [("delete", 4, {"id": 9}), ("insert", 5, {"id": 9, "y": 1})]), 3, store, conf)
+    want = rows()
+    assert "8" not in want and want["9"] == {"id": "9", "y": "1"} and len(want) == 499
+    dim_sync_batch(_dim_raw(spark, [("insert", 6, {"x": 1})]), 4, store, conf)  # nothing to apply
+    assert rows() == want and store.committed(4)
+
+    # a batch whose first try died before its commit is written anew, whole
+    lost = _dim_raw(spark, [("insert", 7, {"id": "lost"})]).selectExpr("'dim_b' AS sink_table", "'info' AS sink_family", "'lost' AS row_key", "'delete' AS change_op", "cast(NULL AS map<string,variant>) AS data", "1L AS ts", "partition", "offset")
+    store.write_effects(5, store.next_number(5), row_effects(lost))
+    assert rows() == want
+    dim_sync_batch(_dim_raw(spark, [("insert", 7, {"id": "new"})]), 5, store, conf)
+    want["new"] = {"id": "new"}
+    assert rows() == want
+
+    assert store.compact() == ["dim_b"] and rows() == want
+    assert len(store.current()["dim_b"]["versions"]) == 1 and store.compact() == []
+    dim_sync_batch(_dim_raw(spark, [("update", 8, {"id": 7, "y": 6})]), 6, store, conf)
+    want["7"]["y"] = "6"
+    assert rows() == want
+    # a config update drops and recreates the table: only this batch's rows are there
+    dim_sync_batch(_dim_raw(spark, [("insert", 9, {"id": 1, "x": 1})]), 7, store, lambda: conf("id"))
+    assert rows() == {"1": {"id": "1"}}
+
+
+def test_effects_of_batches_fold_to_the_table(spark):
+    """Batches cut anywhere, applied one after the other, give what one apply of all changes gives."""
+    import random
+
+    from wharf.operators.dim import fold_effects, row_effects
+
+    from tests.test_cdc_dim import _changes
+
+    for seed in (3, 4):
+        rng = random.Random(seed)
+        ops = []
+        for _ in range(200):
+            rk = f"k{rng.randrange(12)}"
+            cells = {c: (None if rng.random() < 0.3 else rng.randrange(99)) for c in rng.sample(["a", "b", "c"], 2)}
+            ops.append((rk, "delete", {}) if rng.random() < 0.15 else (rk, "update", cells))
+        ch = _changes(spark, ops)
+        for null_cells in ("keep_old", "overwrite"):
+            parts = [row_effects(ch.where(F.col("offset").between(a, b)), null_cells).withColumn("n", F.lit(a)) for a, b in ((0, 60), (61, 140), (141, 199))]
+            got = fold_effects(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+            exp = apply_changes(ch, null_cells=null_cells)
+            as_rows = lambda d: {r.row_key: dict(r.cells) for r in d.collect()}
+            assert as_rows(got) == as_rows(exp), (seed, null_cells)
+
+
 def test_batch_lines_of_one_file_keep_their_order(spark, scratch):
     import random
 

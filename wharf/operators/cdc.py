@@ -154,6 +154,26 @@ def dim_changes(trimmed: DataFrame) -> DataFrame:
     return trimmed.where(F.col("row_key").isNotNull())
 
 
+def judge_changes(raw: DataFrame, config: DataFrame, tables: list[str], database: str = SOURCE_DATABASE) -> DataFrame:
+    """Every change that concerns this job, parsed and routed once, with ``reason`` (NULL: it can be applied
+    to one of ``tables``): bad records, changes without a row key, changes of a table that is not there.
+    ``value`` stays with those that have a reason; changes of tables without a config row are gone (D6)."""
+    c = classify_changes(raw, database).drop(REC).where("status <> 'skip'")
+    side = config.select(*CONFIG_FIELDS)
+    keep = F.col("status") == "keep"
+    routed = c.join(side, keep & (c["table"] == side["source_table"]), "left").drop("source_table")
+    reason = (
+        F.when(~keep, F.col("status"))
+        .when(F.col("row_key").isNull(), F.lit("no_row_key"))
+        .when(~F.coalesce(F.col("sink_table").isin(tables), F.lit(False)), F.lit("no_table"))
+    )
+    judged = trim(routed.where(~keep | F.col("sink_table").isNotNull())).withColumn("reason", reason)
+    text = F.when(F.col("reason").isNotNull(), F.col("value"))
+    return judged.select(
+        "ts", "partition", "offset", "sink_table", "sink_family", "row_key", "change_op", "data", "reason", text.alias("value")
+    )
+
+
 def dim_quarantine(trimmed: DataFrame) -> DataFrame:
     """Routed changes without a row key, with ``reason``."""
     return trimmed.where(F.col("row_key").isNull()).withColumn("reason", F.lit("no_row_key"))

@@ -51,8 +51,6 @@ def apply_changes(
     ``base`` cells count as writes ordered before every change, so a delete clears them and a kept
     old cell survives a null update.
     """
-    if null_cells not in ("keep_old", "overwrite"):
-        raise ValueError("null_cells must be 'keep_old' or 'overwrite'")
     o = F.struct(F.lit(1).alias("src"), F.struct(*[F.col(c) for c in order]).alias("pos"))
     w = _writes(changes, o)
     if base is not None:
@@ -62,6 +60,37 @@ def apply_changes(
             "sink_table", "row_key", "family", "o", F.col("e.key").alias("col"), F.col("e.value").alias("val")
         )
         w = bw.unionByName(w)
+    return _rows(_fold(w, null_cells))
+
+
+def row_effects(changes: DataFrame, null_cells: str = "keep_old", order: tuple[str, ...] = ("ts", "partition", "offset")) -> DataFrame:
+    """What a batch of changes does to each row key, without reading the table: ``(sink_table, row_key,
+    family, cleared, cells)``. ``cleared``: a delete emptied the row; ``cells``: the last writes after it
+    (a null value, under ``"overwrite"``, removes the cell). The work grows with the batch alone."""
+    w = _writes(changes, F.struct(*[F.col(c) for c in order]))
+    return _fold(w, null_cells).where(F.col("cleared") | (F.size("cells") > 0))
+
+
+def fold_effects(effects: DataFrame, n: str = "n") -> DataFrame:
+    """The table that :func:`row_effects` of batches numbered ``n`` lead to, applied in that order."""
+    none = F.lit(None).cast("string")
+    marker = F.array(F.struct(none.alias("col"), none.alias("val"), F.lit(0).alias("s")))
+    cells = F.transform(F.map_entries("cells"), lambda e: F.struct(e["key"].alias("col"), e["value"].alias("val"), F.lit(1).alias("s")))
+    w = effects.select("sink_table", "row_key", "family", F.col(n).alias("_n"), F.inline(F.when(F.col("cleared"), F.concat(marker, cells)).otherwise(cells)))
+    w = w.select("sink_table", "row_key", "family", F.struct("_n", "s").alias("o"), "col", "val")
+    return _rows(_fold(w, "overwrite"))
+
+
+def _rows(folded: DataFrame) -> DataFrame:
+    """The rows of a table: those with a cell."""
+    cells = F.map_filter("cells", lambda _k, v: v.isNotNull())
+    return folded.select("sink_table", "row_key", "family", cells.alias("cells")).where(F.size("cells") > 0)
+
+
+def _fold(w: DataFrame, null_cells: str) -> DataFrame:
+    """Writes (``o, col, val``; a delete has no ``col``) to one row per row key, as :func:`row_effects`."""
+    if null_cells not in ("keep_old", "overwrite"):
+        raise ValueError("null_cells must be 'keep_old' or 'overwrite'")
     is_cell = F.col("col").isNotNull()
     counted = (is_cell & F.col("val").isNotNull()) if null_cells == "keep_old" else is_cell
     o_kept = F.when(counted | ~is_cell, F.col("o"))
@@ -74,12 +103,12 @@ def apply_changes(
     last_del = F.max(F.when(F.col("col").isNull(), F.col("o")))
     per_row = per_cell.groupBy("sink_table", "row_key").agg(
         last_del.alias("ld"),
-        F.collect_list(F.when(F.col("col").isNotNull() & F.col("val").isNotNull(), F.struct("col", "val", "o"))).alias("cs"),
+        F.collect_list(F.when(F.col("col").isNotNull() & F.col("o").isNotNull(), F.struct("col", "val", "o"))).alias("cs"),
         F.max_by(F.col("family"), F.col("o_any")).alias("family"),
     )
     live = F.filter(F.col("cs"), lambda c: F.col("ld").isNull() | (c["o"] > F.col("ld")))
     cells = F.map_from_entries(F.transform(live, lambda c: F.struct(c["col"], c["val"])))
-    return per_row.select("sink_table", "row_key", "family", cells.alias("cells")).where(F.size("cells") > 0)
+    return per_row.select("sink_table", "row_key", "family", F.col("ld").isNotNull().alias("cleared"), cells.alias("cells"))
 
 
 def unpivot_cells(dim: DataFrame) -> DataFrame:

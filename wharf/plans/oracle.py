@@ -53,6 +53,8 @@ FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0
 UNION ALL {_PARTS}""",
     "fix_is_new_later_day": f"WITH {_LOGS}, {_fixed('later_day')}\nSELECT event_id, mid, dt, is_new FROM fixed",
     "fix_is_new_same_day": f"WITH {_LOGS}, {_fixed('same_day')}\nSELECT event_id, mid, dt, is_new FROM fixed",
+    "fix_is_new_int": f"""WITH {_LOGS}, {_fixed('later_day')}
+SELECT event_id, is_new, coalesce(flag = '1' AND is_new = '0', false) AS is_number FROM fixed""",
     "split_routes": f"""WITH {_LOGS}
 SELECT route, count(*) AS n FROM (
   SELECT 'err' AS route FROM logs WHERE event_type = 'error' AND event_id % 7 <> 3
@@ -155,6 +157,16 @@ SELECT 0 AS partition, p_partkey * 16 + 10 AS "offset", 'dim_part' AS sink_table
 FROM part WHERE p_partkey % 700 = 7"""
 CDC_ORACLE["dim_apply"] = _dim_apply(True)
 CDC_ORACLE["dim_apply_overwrite"] = _dim_apply(False)
+CDC_ORACLE["dim_apply_on_base"] = f"SELECT 'info' AS family, x.* FROM ({_dim_apply(True)}) x"
+CDC_ORACLE["dim_apply_by_batches"] = _dim_apply(True)
+CDC_ORACLE["dim_apply_by_batches_overwrite"] = _dim_apply(False)
+CDC_ORACLE["dim_route_preload"] = f"""WITH {_PART_CHANGES}
+SELECT partition, "offset", table_name, 'dim_part' AS sink_table, 'p_partkey,p_name,p_size' AS sink_columns, type
+FROM part_changes
+UNION ALL SELECT 0, p_partkey * 16 + 10, 'part', 'dim_part', 'p_partkey,p_name,p_size', 'update'
+FROM part WHERE p_partkey % 700 = 7
+UNION ALL SELECT 1, s_suppkey, 'supplier', 'dim_supplier', 's_suppkey,s_name', 'bootstrap-insert'
+FROM supplier, region WHERE r_regionkey = 0"""
 CDC_ORACLE["topic_filter"] = """
 SELECT 'gmall' AS db_name, 'comment_info' AS table_name, 1704067200 + o_orderkey % 86400 AS ts,
        CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id, o_orderstatus AS appraise

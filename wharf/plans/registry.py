@@ -23,7 +23,7 @@ from wharf.operators.cdc import (
     route,
     trim,
 )
-from wharf.operators.dim import apply_changes, unpivot_cells
+from wharf.operators.dim import apply_changes, fold_effects, row_effects, unpivot_cells
 from wharf.operators.lookup import lookup_dictionary
 from wharf.sources.files import read_table
 from wharf.sources.envelopes import config_feed, log_envelope, topic_db_envelope
@@ -153,6 +153,7 @@ LOG_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_quarantine": q_log_quarantine,
     "fix_is_new_later_day": _fix("later_day"),
     "fix_is_new_same_day": _fix("same_day"),
+    "fix_is_new_int": q_fix_is_new_int,
     "split_routes": q_split_routes,
     "split_err": q_split_err,
     "split_start": q_split_start,
@@ -211,6 +212,59 @@ def _apply(null_cells: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+# Seconds of the change records: their first half is written up to here (loads and updates), the deletes
+# and second inserts come after it.
+FIRST_HALF = 1704067201
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    t = dim_changes(_trimmed(spark, sf_dir))
+    return t.where(F.col("ts") <= FIRST_HALF), t.where(F.col("ts") > FIRST_HALF)
+
+
+def q_dim_apply_on_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T6 over a table: the second half of the changes applied to what the first half built."""
+    first, second = _halves(spark, sf_dir)
+    out = apply_changes(second, base=apply_changes(first))
+    return out.select("family", "sink_table", "row_key", F.explode(F.map_entries("cells")).alias("e")).select(
+        "family", "sink_table", "row_key", F.col("e.key").alias("column"), F.col("e.value").alias("value")
+    )
+
+
+def _by_batches(null_cells: str) -> Callable[[SparkSession, str], DataFrame]:
+    """K3-K5 as the store keeps them: each batch's effects on its row keys, folded in order."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        first, second = (row_effects(h, null_cells).withColumn("n", F.lit(i)) for i, h in enumerate(_halves(spark, sf_dir)))
+        return unpivot_cells(fold_effects(first.unionByName(second)))
+
+    return q
+
+
+def q_fix_is_new_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 with ``flag_type="int"``: a repaired flag is the number 0, the others stay text."""
+    f = fix_is_new(log_clean(_logs(spark, sf_dir)), flag_type="int")
+    flag = F.try_variant_get(F.col(LOG)["common"], "$.is_new", "variant")
+    return f.select(
+        F.col("offset").alias("event_id"),
+        get_string(F.col(LOG)["common"], "$.is_new").alias("is_new"),
+        F.coalesce(F.schema_of_variant(flag) == "BIGINT", F.lit(False)).alias("is_number"),
+    )
+
+
+def q_dim_route_preload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routing by a snapshot that ``region`` derives (one row per region names the supplier's or another
+    table) under a feed that knows ``part`` alone."""
+    name = F.when(F.col("r_regionkey") == 0, F.lit("supplier")).otherwise(F.concat(F.lit("t_"), F.lower("r_name")))
+    snapshot = table(spark, sf_dir, "region").select(
+        name.alias("source_table"), F.concat(F.lit("dim_"), name).alias("sink_table"), F.lit("info").alias("sink_family"),
+        F.lit("s_suppkey,s_name").alias("sink_columns"), F.lit("s_suppkey").alias("sink_row_key"),
+    )
+    feed = parse_config(config_feed(spark)).where("source_table = 'part'")
+    r = route(cdc_clean(_topic(spark, sf_dir)), current_config(feed, preload=snapshot))
+    return r.select("partition", "offset", F.col("table").alias("table_name"), "sink_table", "sink_columns", "type")
+
+
 def q_topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_topic_db(_topic(spark, sf_dir))
     rows = spark.sql(comment_filter_sql())
@@ -272,6 +326,10 @@ CDC_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_trim": q_dim_trim,
     "dim_apply": _apply("keep_old"),
     "dim_apply_overwrite": _apply("overwrite"),
+    "dim_apply_on_base": q_dim_apply_on_base,
+    "dim_apply_by_batches": _by_batches("keep_old"),
+    "dim_apply_by_batches_overwrite": _by_batches("overwrite"),
+    "dim_route_preload": q_dim_route_preload,
     "topic_filter": q_topic_filter,
     "lookup_dictionary": q_lookup_dictionary,
     "lookup_nation": q_lookup_nation,

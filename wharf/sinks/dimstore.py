@@ -1,17 +1,19 @@
-"""Dimension tables (K3-K9) as versioned Parquet snapshots with an append-only manifest.
+"""Dimension tables (K3-K9) as Parquet change logs with an append-only manifest.
 
-There is no table format with MERGE in this environment, so a table is a chain of versions::
+There is no table format with MERGE in this environment, so a table is what its batches did to it, over
+its last whole version::
 
-    <root>/versions/w=<writer>/b=<batch>/sink_table=<name>/part-*.parquet   rows (row_key, family, cells)
+    <root>/versions/w=<writer>/b=<batch>/sink_table=<name>/part-*.parquet   (row_key, family, cleared, cells, n)
     <root>/_manifest/w=<writer>/b=<batch>/part-*.json                      (sink_table, version, dropped, n)
     <root>/_config/w=<writer>/b=<batch>/part-*.json                        config seen by that batch
 
 A commit is named by its writer and batch id, so the batch ids of a stream and of a batch job never
-meet. A batch writes new versions of the tables it touched, then its manifest entry, each with
+meet. A batch appends what it did to each row key (``row_effects``), then its manifest entry, each with
 ``mode("overwrite")`` on its own directory, so a retried batch rewrites the same files and a batch
-already in the manifest is skipped. ``n`` counts the commits of the store, whoever made them, and orders
-them; one writer is at work at a time. The current version of a table is its latest entry; readers
-never see a half-written version, and every entry is read, whatever its batch id.
+already in the manifest is skipped. A batch never rewrites a table: its work grows with the batch.
+``n`` counts the commits of the store, whoever made them, and orders them; one writer is at work at a
+time. Readers fold the effects since the last drop, create or whole version, in order of ``n``; they
+never see a half-written batch. :meth:`DimStore.compact`, a job of its own, writes whole versions.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-MANIFEST_SCHEMA = "sink_table string, version string, dropped boolean, family string, n bigint, seq int"
+from wharf.operators.dim import fold_effects
+
+MANIFEST_SCHEMA = "sink_table string, version string, dropped boolean, family string, whole boolean, n bigint, seq int"
+EFFECT_SCHEMA = "row_key string, family string, cleared boolean, cells map<string,string>, n bigint, sink_table string"
 CONFIG_SCHEMA = (
     "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string, n bigint"
 )
@@ -57,65 +62,93 @@ class DimStore:
         return f"w={self.writer}/b={batch_id}"
 
     def current(self) -> dict[str, dict]:
-        """Latest entry per table: ``{sink_table: {version, dropped, family}}``."""
-        return {r["sink_table"]: r["e"].asDict() for r in self._latest(self.manifest().where("sink_table IS NOT NULL")).collect()}
-
-    @staticmethod
-    def _latest(m: DataFrame) -> DataFrame:
+        """State per table: ``{sink_table: {versions, version, start, dropped, family}}``. ``versions``: what
+        batches have written since ``start``, the number of the commit with the table's last drop, create
+        or whole version; ``version``: the last of them."""
         # entries of one commit are ordered by their position (a drop, a create, then a new version)
-        order = F.struct("n", "seq")
-        return m.groupBy("sink_table").agg(F.max_by(F.struct("version", "dropped", "family"), order).alias("e"))
+        m = self.manifest().where("sink_table IS NOT NULL").withColumn("o", F.struct("n", "seq"))
+        restart = F.col("version").isNull() | F.col("whole")
+        e = m.groupBy("sink_table").agg(
+            F.max_by(F.struct("dropped", "family"), "o").alias("last"),
+            F.max(F.when(restart, F.col("o"))).alias("_start"),
+            F.collect_list(F.when(F.col("version").isNotNull(), F.struct("o", "version"))).alias("vs"),
+        )
+        since = F.filter("vs", lambda v: F.col("_start").isNull() | (v["o"] >= F.col("_start")))
+        e = e.select(
+            "sink_table", "last.dropped", "last.family", F.coalesce("_start.n", F.lit(-1)).alias("start"),
+            F.transform(F.array_sort(since), lambda v: v["version"]).alias("versions"),
+        )
+        rows = {r["sink_table"]: r.asDict() for r in e.collect()}
+        return {t: r | {"version": r["versions"][-1] if r["versions"] else None} for t, r in rows.items()}
 
     # -- K8, K6, K7 ------------------------------------------------------------------------------
     def table_exists(self, sink_table: str) -> bool:
         e = self.current().get(sink_table)
         return bool(e) and not e["dropped"]
 
-    def _version_path(self, version: str, sink_table: str) -> str:
-        return f"{self.root}/versions/{version}/sink_table={sink_table}"
-
     def read_table(self, sink_table: str) -> DataFrame:
         """The current rows of one table (empty if absent or dropped)."""
-        e = self.current().get(sink_table)
-        if not e or e["dropped"] or e["version"] is None:
-            return self.spark.createDataFrame([], DIM_SCHEMA)
-        df = self.spark.read.schema("row_key string, family string, cells map<string,string>").parquet(
-            self._version_path(e["version"], sink_table)
-        )
-        return df.select(F.lit(sink_table).alias("sink_table"), "row_key", "family", "cells")
+        return self.snapshot([sink_table])
 
     def snapshot(self, tables: list[str], cur: dict[str, dict] | None = None) -> DataFrame:
         """Rows of the named tables; ``cur`` (a :meth:`current` result) saves reading the manifest again."""
         cur = self.current() if cur is None else cur
-        paths = [
-            self._version_path(e["version"], t)
-            for t, e in cur.items()
-            if t in tables and not e["dropped"] and e["version"] is not None
-        ]
-        if not paths:
+        live = {t: e for t, e in cur.items() if t in tables and not e["dropped"] and e["versions"]}
+        if not live:
             return self.spark.createDataFrame([], DIM_SCHEMA)
-        df = self.spark.read.option("basePath", f"{self.root}/versions").parquet(*paths)
-        return df.select("sink_table", "row_key", "family", "cells")
-
-    def commit(self, batch_id: int, entries: list[tuple[str, str | None, bool, str | None]], config: DataFrame | None = None) -> None:
-        """Write this batch's manifest entries ``(sink_table, version, dropped, family)``, in order.
+        paths = sorted({f"{self.root}/versions/{v}" for e in live.values() for v in e["versions"]})
+        df = self.spark.read.schema(EFFECT_SCHEMA).option("basePath", f"{self.root}/versions").parquet(*paths)
+        start = F.create_map(*[F.lit(x) for t, e in live.items() for x in (t, e["start"])])
+        # a partition filter, then the effects from before a drop or a whole version go
+        df = df.where(F.col("sink_table").isin(list(live))).where(F.col("n") >= start[F.col("sink_table")])
+        return fold_effects(df)
+
+    def next_number(self, batch_id: int) -> int:
+        """The number of this batch's commit: one more than any other's."""
+        others = self.manifest().where((F.col("w") != self.writer) | (F.col("b") != batch_id))
+        return int(others.agg(F.coalesce(F.max("n"), F.lit(-1))).first()[0]) + 1
+
+    def commit(
+        self,
+        batch_id: int,
+        entries: list[tuple[str, str | None, bool, str | None]],
+        config: DataFrame | None = None,
+        n: int | None = None,
+        whole: bool = False,
+    ) -> None:
+        """Write this batch's manifest entries ``(sink_table, version, dropped, family)``, in order; ``n`` as
+        its rows carry it; ``whole``: the versions hold all of their tables.
 
         Idempotent: the entries of a (writer, batch id) are one directory, rewritten whole on a retry, so
         each batch id of a writer commits once."""
-        here = f"w={self.writer}/b={batch_id}"
-        others = self.manifest().where((F.col("w") != self.writer) | (F.col("b") != batch_id))
-        n = int(others.agg(F.coalesce(F.max("n"), F.lit(-1))).first()[0]) + 1
+        here = self.version(batch_id)
+        n = self.next_number(batch_id) if n is None else n
         if config is not None:
             config.withColumn("n", F.lit(n).cast("bigint")).coalesce(1).write.mode("overwrite").json(f"{self.root}/_config/{here}")
-        rows = [(t, v, d, f, n, i) for i, (t, v, d, f) in enumerate(entries or [(None, None, False, None)])]
+        rows = [(t, v, d, f, whole, n, i) for i, (t, v, d, f) in enumerate(entries or [(None, None, False, None)])]
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{self.root}/_manifest/{here}")
 
-    def write_versions(self, batch_id: int, tables: DataFrame) -> None:
-        """New versions of the touched tables, one directory per table, in one write."""
-        # apply_changes output is already hash-clustered by (sink_table, row_key): no extra shuffle.
-        tables.select("sink_table", "row_key", "family", "cells").write.mode("overwrite").partitionBy(
-            "sink_table"
-        ).parquet(f"{self.root}/versions/{self.version(batch_id)}")
+    def write_effects(self, batch_id: int, n: int, effects: DataFrame) -> list[str]:
+        """Append a batch's effects, one directory per table, in one write; the tables that got any."""
+        # the effects are already hash-clustered by (sink_table, row_key): no extra shuffle
+        path = f"{self.root}/versions/{self.version(batch_id)}"
+        rows = effects.select("sink_table", "row_key", "family", "cleared", "cells", F.lit(n).cast("bigint").alias("n"))
+        rows.write.mode("overwrite").partitionBy("sink_table").parquet(path)
+        return sorted(r[0] for r in self.spark.read.schema(EFFECT_SCHEMA).parquet(path).select("sink_table").distinct().collect())
+
+    def compact(self) -> list[str]:
+        """Write a whole version of every table that more than one batch has written since its last; returns
+        their names. A job of its own: batches only append. Older files stay, for readers that use them."""
+        cur = self.current()
+        many = [t for t, e in cur.items() if not e["dropped"] and len(e["versions"]) > 1]
+        if not many:
+            return []
+        own = DimStore(self.spark, self.root, writer="compact")
+        n = own.next_number(-1)  # its commits are named by their numbers
+        rows = self.snapshot(many, cur).withColumn("cleared", F.lit(True))
+        held = set(own.write_effects(n, n, rows))
+        own.commit(n, [(t, own.version(n) if t in held else None, False, cur[t]["family"]) for t in many], n=n, whole=True)
+        return many
 
     def create_table(self, batch_id: int, sink_table: str, family: str | None) -> bool:
         """K6: create an empty table if absent; no family means no table. Returns True if created."""

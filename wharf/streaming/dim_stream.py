@@ -1,9 +1,10 @@
 """The dimension-sync job as a stream: one ``foreachBatch`` per micro-batch of change records.
 
 Per batch: read the live config (T5, re-read every batch so config changes take effect), run the DDL
-its diff asks for (K9), clean, route by the config (J1), trim (P4), and apply
-(T6) on top of the touched tables' current versions, then commit the new versions. Retried batches
-rewrite the same directories; a batch already committed is skipped (exactly-once per batch id).
+its diff asks for (K9), parse, route by the config (J1) and trim (P4) every change once, append
+what the batch does to each row key (T6) to the change logs of the tables, quarantine the rest with its
+text, then commit. Retried batches rewrite the same directories; a batch already committed is skipped
+(exactly-once per batch id).
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharf.config import DimJobOptions
-from wharf.operators.cdc import cdc_clean, cdc_quarantine, dim_changes, dim_quarantine, route, trim
-from wharf.operators.dim import apply_changes
+from wharf.operators.cdc import judge_changes
+from wharf.operators.dim import row_effects
 from wharf.sinks.dimstore import DimStore, plan_ddl
 
 
@@ -28,7 +29,10 @@ def dim_sync_batch(
     store: DimStore,
     config: Callable[[], DataFrame],
     opts: DimJobOptions = DimJobOptions(),
+    cache: bool = False,
 ) -> None:
+    """``cache``: keep the parsed batch between its two writes (a micro-batch is bounded by its trigger;
+    all of a batch job's input is not, so that one reads its input twice)."""
     if store.committed(batch_id):
         return  # this writer's batch is in the manifest: a replay after restart
     spark = batch.sparkSession
@@ -39,42 +43,29 @@ def dim_sync_batch(
     small = sum(len(str(v or "")) + 16 for r in cfg_rows for v in r.values()) <= BROADCAST_BYTES
     joined = F.broadcast(cfg_df) if small else cfg_df
     entries: list[tuple[str, str | None, bool, str | None]] = []
-    before = store.current()  # tables as the last committed batch left them
-    cur = {k: dict(v) for k, v in before.items()}
-    ddl_touched: set[str] = set()
+    cur = store.current()  # tables as the last committed batch left them
     for action, table, fam in plan_ddl(store.previous_config(), cfg_rows):
         exists = table in cur and not cur[table]["dropped"]
         if action == "drop" and exists:
             entries.append((table, None, True, None))
-            cur[table] = {"version": None, "dropped": True, "family": None}
-            ddl_touched.add(table)
+            cur[table] = {"dropped": True, "family": None}
         elif action == "create" and fam and not exists:
             entries.append((table, None, False, fam))
-            cur[table] = {"version": None, "dropped": False, "family": fam}
-            ddl_touched.add(table)
+            cur[table] = {"dropped": False, "family": fam}
 
-    batch = batch.persist()
+    live = [t for t, e in cur.items() if not e["dropped"]]
+    judged = judge_changes(batch, joined, live, opts.database)
+    judged = judged.persist() if cache else judged
     try:
-        t = trim(route(cdc_clean(batch, opts.database, keep_text=True), joined))
-        good = dim_changes(t)
-        touched = [r[0] for r in good.select("sink_table").distinct().collect()]  # a few names
-        live = [x for x in touched if x in cur and not cur[x]["dropped"]]
-        if live:
-            # a table (re)created by this batch's DDL starts empty; the others continue their version
-            carried = [x for x in live if x not in ddl_touched and before.get(x, {}).get("version") is not None]
-            base = store.snapshot(carried, cur=before) if carried else None
-            new = apply_changes(good.where(F.col("sink_table").isin(live)), base=base, null_cells=opts.null_cells)
-            store.write_versions(batch_id, new)
-            for x in live:
-                entries.append((x, store.version(batch_id), False, cur[x].get("family")))
-        bad = cdc_quarantine(batch, opts.database).select("value", "reason")
-        bad = bad.unionByName(dim_quarantine(t).select("value", "reason"))
-        # changes of a table that its config row does not create (no family) are kept with their text
-        bad = bad.unionByName(good.where(~F.col("sink_table").isin(live)).select("value", F.lit("no_table").alias("reason")))
+        n = store.next_number(batch_id)
+        touched = store.write_effects(batch_id, n, row_effects(judged.where("reason IS NULL"), opts.null_cells))
+        entries += [(t, store.version(batch_id), False, cur[t]["family"]) for t in touched]
+        bad = judged.where("reason IS NOT NULL").select("value", "reason")
         bad.write.mode("overwrite").parquet(f"{store.root}/_quarantine/{store.version(batch_id)}")
-        store.commit(batch_id, entries, cfg_df)
+        store.commit(batch_id, entries, cfg_df, n)
     finally:
-        batch.unpersist()
+        if cache:
+            judged.unpersist()
 
 
 def start_dim_sync(
@@ -90,7 +81,7 @@ def start_dim_sync(
     from wharf.streaming.runner import checkpoint_for
 
     checkpoint = checkpoint_for(changes_stream, "dim_sync", checkpoint)
-    w = changes_stream.writeStream.foreachBatch(lambda df, bid: dim_sync_batch(df, bid, store, config, opts))
+    w = changes_stream.writeStream.foreachBatch(lambda df, bid: dim_sync_batch(df, bid, store, config, opts, cache=True))
     w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)
     return w.start()
