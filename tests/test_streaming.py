@@ -409,3 +409,65 @@ def test_cli_dim_sync_batch(spark, scratch):
     got = store.snapshot(["dim_part"]).select("row_key", F.to_json("cells").alias("c"))
     e = exp.select("row_key", F.to_json("cells").alias("c"))
     assert got.count() == e.count() > 0 and got.exceptAll(e).count() == 0
+
+
+def _cli(*args):
+    """One job in a process of its own, with the session that the job itself makes."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    conf = "--master local[4] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4 pyspark-shell"
+    env = dict(os.environ, PYTHONPATH=root, PYSPARK_SUBMIT_ARGS=conf)
+    done = subprocess.run([sys.executable, "-m", "wharf", *args], cwd=root, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
+def test_cli_log_stream_in_its_own_process(spark, scratch):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])
+    _cli("log-stream", "--input", f"{scratch}/flat", "--output", f"{scratch}/out", "--checkpoint", f"{scratch}/ck",
+         "--max-files", "1", "--trigger", "1 seconds", "--watermark", "3 seconds", "--available-now")
+    got = spark.read.parquet(f"{scratch}/out/routes").select("route", "value")
+    exp = log_split(text_records(spark, f"{scratch}/flat")).select("route", "value")
+    assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
+    assert spark.read.parquet(f"{scratch}/out/quarantine").count() > 0
+
+
+def test_cli_dim_stream_with_preload_then_compaction(spark, scratch):
+    part = spark.read.parquet(f"{SF}/part.parquet").where("p_partkey < 60")
+    _write_chunks(spark, part_changes(part), scratch, [(0, 300), (300, 10**12)])
+    os.makedirs(f"{scratch}/cfg")
+    open(f"{scratch}/cfg/a.json", "w").close()  # a feed without a record: the snapshot alone routes
+    with open(f"{scratch}/pre.json", "w") as fh:
+        fh.write(json.dumps({"source_table": "part", "sink_table": "dim_part", "sink_family": "info", "sink_columns": "p_partkey,p_name,p_size", "sink_row_key": "p_partkey"}))
+    _cli("dim-stream", "--input", f"{scratch}/flat", "--config", f"{scratch}/cfg", "--preload", f"{scratch}/pre.json", "--store", f"{scratch}/store",
+         "--checkpoint", f"{scratch}/ck", "--max-files", "1", "--available-now")
+    store = DimStore(spark, f"{scratch}/store")
+    config = spark.read.json(f"{scratch}/pre.json")
+    exp = apply_changes(dim_changes(trim(route(cdc_clean(part_changes(part)), config)))).select("row_key", F.to_json("cells").alias("c"))
+    got = store.read_table("dim_part").select("row_key", F.to_json("cells").alias("c"))
+    assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
+    assert len(store.current()["dim_part"]["versions"]) == 2
+    _cli("dim-compact", "--store", f"{scratch}/store")
+    got = store.read_table("dim_part").select("row_key", F.to_json("cells").alias("c"))
+    assert len(store.current()["dim_part"]["versions"]) == 1 and got.count() == exp.count() and got.exceptAll(exp).count() == 0
+
+
+def test_cli_sql_job(spark, scratch):
+    from wharf.__main__ import main
+    from wharf.sources.envelopes import comment_changes
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    _write_chunks(spark, comment_changes(orders), scratch, [(0, 10**12)])
+    with open(f"{scratch}/q.sql", "w") as fh:
+        fh.write("SELECT data['id'] AS id, ts FROM topic_db WHERE `table` = 'comment_info'")
+    main(["sql", "--input", f"{scratch}/flat", "--sql", f"{scratch}/q.sql", "--output", f"{scratch}/out"])
+    assert spark.read.parquet(f"{scratch}/out").count() == orders.count()
+
+
+def test_routes_without_a_topic_do_not_reach_kafka(spark):
+    from wharf.sinks.routed import kafka_frame
+
+    rows = spark.createDataFrame([("page", "{}"), ("quarantine", "x")], "route string, value string")
+    assert [(r.topic, r.value) for r in kafka_frame(rows).collect()] == [("dwd_traffic_page", "{}")]

@@ -1,9 +1,11 @@
 """Job entry points (A1), for ``spark-submit --py-files wharf.zip -m wharf <job> ...`` or
 ``python -m wharf <job> ...``.
 
-    log-split   --input DIR --output DIR                 batch: routes + quarantine, by route
-    dim-sync    --input DIR --config DIR --store DIR --batch-id N
-    log-stream  --input DIR --output DIR --checkpoint DIR [--available-now]
+    log-split   --input DIR --output DIR [--kafka-out SERVERS]     batch: routes + quarantine
+    dim-sync    --input DIR --config DIR --store DIR --batch-id N [--preload FILE]
+    dim-compact --store DIR                                        whole versions of the tables
+    sql         --input DIR --sql FILE --output DIR                a query over the topic view
+    log-stream  --input DIR --output DIR --checkpoint DIR [--kafka-out SERVERS] [--ttl-hours N] [--available-now]
     dim-stream  --input DIR --config DIR --store DIR --checkpoint DIR [--available-now]
 
 Inputs are text files with one JSON record per line (``--kafka SERVERS --topic T`` reads Kafka
@@ -16,7 +18,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from wharf.config import DimJobOptions, LogJobOptions
+from wharf.config import DimJobOptions, LogJobOptions, StreamOptions
 from wharf.session import CLUSTER_CONF
 
 
@@ -24,22 +26,29 @@ def _source(spark: SparkSession, a: argparse.Namespace, stream: bool):
     if a.kafka:
         from wharf.sources.kafka import kafka_text
 
-        return kafka_text(spark, a.kafka, a.topic, stream=stream)
+        return kafka_text(spark, a.kafka, a.topic, stream=stream, max_offsets_per_trigger=a.max_offsets)
     from wharf.sources.files import text_records
 
     return text_records(spark, a.input, stream=stream, max_files_per_trigger=a.max_files)
 
 
-def _config(spark: SparkSession, path: str):
-    from wharf.operators.cdc import current_config, parse_config
+def _config(spark: SparkSession, a: argparse.Namespace):
+    """The live config, read anew at each call: the change feed over the snapshot taken at the start."""
+    from wharf.operators.cdc import CONFIG_FIELDS, current_config, parse_config
+    from wharf.sources.jdbc import read_config_snapshot
     from wharf.sources.kafka import config_change_feed
 
-    return lambda: current_config(parse_config(config_change_feed(spark, path)))
+    snapshot = None
+    if a.preload_jdbc:
+        snapshot = read_config_snapshot(spark, a.preload_jdbc, a.preload_table)
+    elif a.preload:
+        snapshot = spark.read.schema(", ".join(f"{f} string" for f in CONFIG_FIELDS)).json(a.preload)
+    return lambda: current_config(parse_config(config_change_feed(spark, a.config)), preload=snapshot)
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="wharf")
-    p.add_argument("job", choices=["log-split", "dim-sync", "log-stream", "dim-stream"])
+    p.add_argument("job", choices=["log-split", "dim-sync", "dim-compact", "sql", "log-stream", "dim-stream"])
     p.add_argument("--input")
     p.add_argument("--kafka")
     p.add_argument("--topic")
@@ -50,7 +59,16 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--batch-id", type=int, default=0)
     p.add_argument("--writer", help="name that batch ids belong to; a new checkpoint needs a new one")
     p.add_argument("--available-now", action="store_true")
-    p.add_argument("--max-files", type=int)
+    p.add_argument("--max-files", type=int, help="files of a micro-batch")
+    p.add_argument("--max-offsets", type=int, default=1_000_000, help="Kafka records of a micro-batch")
+    p.add_argument("--trigger", default=StreamOptions.trigger_interval)
+    p.add_argument("--ttl-hours", type=float, help="forget a device's first date after this time")
+    p.add_argument("--watermark", help="assigned only; no row is dropped")
+    p.add_argument("--kafka-out", help="servers for the five routes; the quarantine goes to --output")
+    p.add_argument("--preload", help="config snapshot, JSON lines")
+    p.add_argument("--preload-jdbc", help="config snapshot, JDBC URL")
+    p.add_argument("--preload-table", default="table_process_dim")
+    p.add_argument("--sql", help="file with the query of the sql job")
     p.add_argument("--tz", default=LogJobOptions.tz)
     p.add_argument("--rule", default=LogJobOptions.rule, choices=["later_day", "same_day"])
     p.add_argument("--flag-type", default=LogJobOptions.flag_type, choices=["string", "int"])
@@ -62,13 +80,27 @@ def main(argv: list[str] | None = None) -> None:
     # the stateful log stream needs a state store with several column families
     key = "spark.sql.streaming.stateStore.providerClass"
     spark = builder.config(key, CLUSTER_CONF[key]).getOrCreate()
-    log_opts = LogJobOptions(tz=a.tz, rule=a.rule, flag_type=a.flag_type)
+    log_opts = LogJobOptions(tz=a.tz, rule=a.rule, flag_type=a.flag_type, watermark=a.watermark)
     dim_opts = DimJobOptions(database=a.database, null_cells=a.null_cells)
 
     if a.job == "log-split":
-        from wharf.plans.log_job import run_log_split
+        from wharf.plans.log_job import run_log_split, run_log_split_kafka
+
+        raw = _source(spark, a, stream=False)
+        if a.kafka_out:
+            run_log_split_kafka(raw, a.kafka_out, a.output, log_opts)
+        else:
+            run_log_split(raw, a.output, log_opts)
+    elif a.job == "sql":
+        from wharf.plans.sql_job import run_sql_job
+
+        with open(a.sql) as fh:
+            query = fh.read()
+        run_sql_job(spark, _source(spark, a, stream=False), lambda s: s.sql(query)).write.mode("overwrite").parquet(a.output)
+    elif a.job == "dim-compact":
+        from wharf.sinks.dimstore import DimStore
 
-        run_log_split(_source(spark, a, stream=False), a.output, log_opts)
+        DimStore(spark, a.store).compact()
     elif a.job == "dim-sync":
         from wharf.sinks.dimstore import DimStore
         from wharf.streaming.dim_stream import dim_sync_batch
@@ -76,11 +108,15 @@ def main(argv: list[str] | None = None) -> None:
         store = DimStore(spark, a.store, writer=a.writer or "batch")
         if store.committed(a.batch_id):
             p.error(f"--batch-id {a.batch_id} of writer {store.writer} is committed already")
-        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, store, _config(spark, a.config), dim_opts)
+        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, store, _config(spark, a), dim_opts)
     elif a.job == "log-stream":
         from wharf.streaming.log_stream import start_log_split
 
-        qs = start_log_split(_source(spark, a, stream=True), a.output, a.checkpoint, log_opts, available_now=a.available_now)
+        ttl = int(a.ttl_hours * 3_600_000) if a.ttl_hours else None
+        qs = start_log_split(
+            _source(spark, a, stream=True), a.output, a.checkpoint, log_opts,
+            available_now=a.available_now, trigger_interval=a.trigger, ttl_ms=ttl, kafka=a.kafka_out,
+        )
         for q in qs:
             q.awaitTermination()
     else:
@@ -88,8 +124,8 @@ def main(argv: list[str] | None = None) -> None:
         from wharf.streaming.dim_stream import start_dim_sync
 
         q = start_dim_sync(
-            _source(spark, a, stream=True), DimStore(spark, a.store, writer=a.writer or "stream"), _config(spark, a.config), a.checkpoint,
-            dim_opts, available_now=a.available_now,
+            _source(spark, a, stream=True), DimStore(spark, a.store, writer=a.writer or "stream"), _config(spark, a), a.checkpoint,
+            dim_opts, available_now=a.available_now, trigger_interval=a.trigger,
         )
         q.awaitTermination()
 

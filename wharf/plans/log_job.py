@@ -18,6 +18,7 @@ from wharf.operators.logs import (
     classify_logs,
     fix_is_new,
     log_clean,
+    log_quarantine,
     quarantine_records,
     route_records,
     split_log,
@@ -58,3 +59,11 @@ def log_split_all(raw: DataFrame, opts: LogJobOptions = LogJobOptions(), keep: t
 def run_log_split(raw: DataFrame, out_dir: str, opts: LogJobOptions = LogJobOptions()) -> None:
     """Write every route, quarantine included, partitioned by ``route``, in one job."""
     log_split_all(raw, opts, keep=("partition", "offset")).write.mode("overwrite").partitionBy("route").parquet(out_dir)
+
+
+def run_log_split_kafka(raw: DataFrame, bootstrap_servers: str, out_dir: str, opts: LogJobOptions = LogJobOptions()) -> None:
+    """The five routes to their topics, the quarantine to files (two sinks, so the input is read twice)."""
+    from wharf.sinks.routed import write_kafka
+
+    write_kafka(log_split(raw, opts, keep=()), bootstrap_servers)
+    log_quarantine(raw).write.mode("overwrite").parquet(f"{out_dir}/quarantine")

@@ -22,8 +22,9 @@ def with_topic(routed: DataFrame, topics: dict[str, str] = ROUTE_TOPICS) -> Data
 
 
 def kafka_frame(routed: DataFrame, key_col: str | None = None) -> DataFrame:
-    """The ``(topic, key, value)`` frame Spark's Kafka sink writes; value only unless a key is given."""
-    t = with_topic(routed)
+    """The ``(topic, key, value)`` frame Spark's Kafka sink writes; value only unless a key is given. Routes
+    without a topic (``quarantine``) are not for Kafka; the jobs write them to files."""
+    t = with_topic(routed).where("topic IS NOT NULL")
     cols = [F.col("topic"), F.col("value").cast("string").alias("value")]
     if key_col:
         cols.append(F.col(key_col).cast("string").alias("key"))

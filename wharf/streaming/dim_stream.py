@@ -13,8 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
-from wharf.config import DimJobOptions
+from wharf.config import DimJobOptions, StreamOptions
 from wharf.operators.cdc import judge_changes
 from wharf.operators.dim import row_effects
 from wharf.sinks.dimstore import DimStore, plan_ddl
@@ -78,10 +79,11 @@ def start_dim_sync(
     trigger_interval: str = "5 seconds",
 ):
     """Start the stream; ``checkpoint`` defaults to ``dim_sync`` under ``spark.checkpoint.dir``."""
-    from wharf.streaming.runner import checkpoint_for
+    from wharf.streaming.runner import run_stream
 
-    checkpoint = checkpoint_for(changes_stream, "dim_sync", checkpoint)
-    w = changes_stream.writeStream.foreachBatch(lambda df, bid: dim_sync_batch(df, bid, store, config, opts, cache=True))
-    w = w.option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)
-    return w.start()
+    def sink(df: DataFrame, ck: str) -> DataStreamWriter:
+        w = df.writeStream.foreachBatch(lambda b, i: dim_sync_batch(b, i, store, config, opts, cache=True))
+        return w.option("checkpointLocation", ck)
+
+    stream = StreamOptions(trigger_interval=trigger_interval, available_now=available_now)
+    return run_stream(changes_stream, lambda df: df, sink, "dim_sync", stream, checkpoint)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
-from wharf.config import LogJobOptions
+from wharf.config import LogJobOptions, StreamOptions
 from wharf.operators.logs import LOG, apply_repair, classify_logs, log_quarantine, parse_once, split_log
 from wharf.streaming.visitor import fix_is_new_stream
 
@@ -36,23 +37,23 @@ def start_log_split(
     available_now: bool = False,
     trigger_interval: str = "5 seconds",
     ttl_ms: int | None = None,
+    kafka: str | None = None,
 ):
-    """Start the two queries of the stream job: routes (exactly-once file sink partitioned by route)
-    and quarantine. Each has its own checkpoint under ``checkpoint_root`` (default: ``log_split``
-    under the session's ``spark.checkpoint.dir``)."""
-    from wharf.sinks.routed import stream_routes_files
-    from wharf.streaming.runner import checkpoint_for
+    """Start the two queries of the stream job: routes (exactly-once file sink partitioned by route, or the
+    topics of the ``kafka`` servers) and quarantine (files). Each has its own checkpoint under
+    ``checkpoint_root`` (default: ``log_split`` under the session's ``spark.checkpoint.dir``)."""
+    from wharf.sinks.routed import stream_kafka, stream_routes_files
+    from wharf.streaming.runner import checkpoint_for, run_stream
 
     checkpoint_root = checkpoint_for(raw, "log_split", checkpoint_root)
+    stream = StreamOptions(trigger_interval=trigger_interval, available_now=available_now)
 
-    def trig(w):
-        return w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger_interval)
+    def to_routes(df: DataFrame, ck: str) -> DataStreamWriter:
+        return stream_kafka(df, kafka, ck) if kafka else stream_routes_files(df, f"{out_dir}/routes", ck)
+
+    def to_quarantine(df: DataFrame, ck: str) -> DataStreamWriter:
+        return df.writeStream.format("parquet").option("path", f"{out_dir}/quarantine").option("checkpointLocation", ck)
 
-    routes = trig(stream_routes_files(log_split_stream(raw, opts, ttl_ms), f"{out_dir}/routes", f"{checkpoint_root}/routes"))
-    bad = trig(
-        log_quarantine_stream(raw).writeStream.format("parquet")
-        .option("path", f"{out_dir}/quarantine").option("checkpointLocation", f"{checkpoint_root}/quarantine")
-    )
     spark = raw.sparkSession
     key = "spark.sql.streaming.noDataMicroBatches.enabled"
     old = spark.conf.get(key)
@@ -61,6 +62,8 @@ def start_log_split(
         # A query copies the session settings when it starts, so the switch stays with this query.
         spark.conf.set(key, "false")
     try:
-        return routes.start(), bad.start()
+        routes = run_stream(raw, lambda r: log_split_stream(r, opts, ttl_ms), to_routes, "log_routes", stream, f"{checkpoint_root}/routes")
+        bad = run_stream(raw, log_quarantine_stream, to_quarantine, "log_quarantine", stream, f"{checkpoint_root}/quarantine")
+        return routes, bad
     finally:
         spark.conf.set(key, old)
