@@ -80,6 +80,18 @@ def test_config_parse_current_and_preload(spark):
     assert cur2 == {"a", "b", "p"}  # the feed's delete of c beats the snapshot; p only in snapshot
 
 
+def test_refused_config_records_keep_their_text(spark):
+    from wharf.operators.cdc import config_quarantine
+
+    a = row("a", "dim_a", "id")
+    feed = [cfg("c", None, a), "{broken", cfg("c", None, row("b", "dim_b", "id", fam="f1,f2")), cfg("c", None, row(None, "dim_c", "id")),
+            cfg("c", None, row("d", None, "id")), cfg("d", a, None)]
+    df = raw(spark, feed).withColumn("offset", F.expr("CASE WHEN offset < 5 THEN offset END"))  # the delete has no order
+    assert {r.value: r.reason for r in config_quarantine(df).collect()} == {
+        feed[1]: "no_op", feed[2]: "multiple_families", feed[3]: "no_source_table", feed[4]: "incomplete", feed[5]: "no_order"}
+    assert [r.source_table for r in current_config(parse_config(df)).collect()] == ["a"]
+
+
 def test_route_trim_rowkey_and_unknown_table(spark):
     config = spark.createDataFrame([row("t", "dim_t", "id, name")])
     vals = [

@@ -403,8 +403,11 @@ def test_cli_dim_sync_batch(spark, scratch):
             rec = json.loads(v)
             rec["ts_ms"] = i
             fh.write(json.dumps(rec) + "\n")
+        fh.write("{broken\n")
     main(["dim-sync", "--input", f"{scratch}/flat", "--config", f"{scratch}/cfg", "--store", f"{scratch}/store", "--batch-id", "0"])
     store = DimStore(spark, f"{scratch}/store")
+    refused = spark.read.parquet(f"{scratch}/store/_config_refused").collect()
+    assert [(r.value, r.reason) for r in refused] == [("{broken", "no_op")]
     exp = apply_changes(dim_changes(trim(route(cdc_clean(part_changes(part)), current_config(parse_config(config_feed(spark)))))))
     got = store.snapshot(["dim_part"]).select("row_key", F.to_json("cells").alias("c"))
     e = exp.select("row_key", F.to_json("cells").alias("c"))

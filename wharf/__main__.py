@@ -46,6 +46,13 @@ def _config(spark: SparkSession, a: argparse.Namespace):
     return lambda: current_config(parse_config(config_change_feed(spark, a.config)), preload=snapshot)
 
 
+def _refused(spark: SparkSession, a: argparse.Namespace):
+    from wharf.operators.cdc import config_quarantine
+    from wharf.sources.kafka import config_change_feed
+
+    return lambda: config_quarantine(config_change_feed(spark, a.config))
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="wharf")
     p.add_argument("job", choices=["log-split", "dim-sync", "dim-compact", "sql", "log-stream", "dim-stream"])
@@ -108,7 +115,7 @@ def main(argv: list[str] | None = None) -> None:
         store = DimStore(spark, a.store, writer=a.writer or "batch")
         if store.committed(a.batch_id):
             p.error(f"--batch-id {a.batch_id} of writer {store.writer} is committed already")
-        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, store, _config(spark, a), dim_opts)
+        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, store, _config(spark, a), dim_opts, refused=_refused(spark, a))
     elif a.job == "log-stream":
         from wharf.streaming.log_stream import start_log_split
 
@@ -125,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
 
         q = start_dim_sync(
             _source(spark, a, stream=True), DimStore(spark, a.store, writer=a.writer or "stream"), _config(spark, a), a.checkpoint,
-            dim_opts, available_now=a.available_now, trigger_interval=a.trigger,
+            dim_opts, available_now=a.available_now, trigger_interval=a.trigger, refused=_refused(spark, a),
         )
         q.awaitTermination()
 

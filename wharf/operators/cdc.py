@@ -98,17 +98,28 @@ def validate_config(cfg: DataFrame) -> DataFrame:
     return cfg.withColumn("reason", reason)
 
 
+def config_quarantine(raw: DataFrame, order: tuple[str, ...] = ("offset",), value_col: str = "value") -> DataFrame:
+    """D5 for the config feed: records that :func:`current_config` refuses, with their text and ``reason``
+    (unreadable ones are ``no_op``; ``no_order``: nothing says what came before or after it)."""
+    parsed = raw.withColumn("_text", F.col(value_col))
+    checked = validate_config(parse_config(parsed, value_col))
+    unordered = F.greatest(F.lit(False), *[F.col(c).isNull() for c in order])
+    reason = F.coalesce(F.col("reason"), F.when(unordered, F.lit("no_order")))
+    return checked.select(F.col("_text").alias("value"), reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def current_config(feed: DataFrame, preload: DataFrame | None = None, order: tuple[str, ...] = ("offset",)) -> DataFrame:
     """T5 (+ J2): the live config, one row per ``source_table``.
 
     ``feed`` holds parsed config changes ordered by ``order``; the latest change per key wins and a
     delete removes the key. ``preload`` (a snapshot, e.g. read by JDBC) counts as ``op='r'`` rows that
     come before the whole feed, so a key the feed never mentions is still live, and a delete in the
-    feed beats the snapshot. Invalid changes (:func:`validate_config`) are ignored. The config is a
-    handful of rows; the aggregate is a keyed ``max_by`` with no window.
+    feed beats the snapshot. Invalid changes (:func:`validate_config`) and those without an order take no
+    part; :func:`config_quarantine` gives them with their text. The config is a handful of rows; the
+    aggregate is a keyed ``max_by`` with no window.
     """
     cols = list(CONFIG_FIELDS) + ["op"]
-    f = validate_config(feed).where(F.col("reason").isNull())
+    f = validate_config(feed).where(F.col("reason").isNull()).dropna(subset=list(order))
     rows = f.select(*cols, F.struct(F.lit(1).alias("src"), _order(*order).alias("o")).alias("_o"))
     if preload is not None:
         p = preload.select(*CONFIG_FIELDS).withColumn("op", F.lit("r"))

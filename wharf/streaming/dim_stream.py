@@ -31,9 +31,11 @@ def dim_sync_batch(
     config: Callable[[], DataFrame],
     opts: DimJobOptions = DimJobOptions(),
     cache: bool = False,
+    refused: Callable[[], DataFrame] | None = None,
 ) -> None:
     """``cache``: keep the parsed batch between its two writes (a micro-batch is bounded by its trigger;
-    all of a batch job's input is not, so that one reads its input twice)."""
+    all of a batch job's input is not, so that one reads its input twice). ``refused``: the config records
+    that take no part (``config_quarantine``), kept as of the last batch under ``_config_refused``."""
     if store.committed(batch_id):
         return  # this writer's batch is in the manifest: a replay after restart
     spark = batch.sparkSession
@@ -63,6 +65,8 @@ def dim_sync_batch(
         entries += [(t, store.version(batch_id), False, cur[t]["family"]) for t in touched]
         bad = judged.where("reason IS NOT NULL").select("value", "reason")
         bad.write.mode("overwrite").parquet(f"{store.root}/_quarantine/{store.version(batch_id)}")
+        if refused is not None:
+            refused().write.mode("overwrite").parquet(f"{store.root}/_config_refused")
         store.commit(batch_id, entries, cfg_df, n)
     finally:
         if cache:
@@ -77,12 +81,13 @@ def start_dim_sync(
     opts: DimJobOptions = DimJobOptions(),
     available_now: bool = False,
     trigger_interval: str = "5 seconds",
+    refused: Callable[[], DataFrame] | None = None,
 ):
     """Start the stream; ``checkpoint`` defaults to ``dim_sync`` under ``spark.checkpoint.dir``."""
     from wharf.streaming.runner import run_stream
 
     def sink(df: DataFrame, ck: str) -> DataStreamWriter:
-        w = df.writeStream.foreachBatch(lambda b, i: dim_sync_batch(b, i, store, config, opts, cache=True))
+        w = df.writeStream.foreachBatch(lambda b, i: dim_sync_batch(b, i, store, config, opts, cache=True, refused=refused))
         return w.option("checkpointLocation", ck)
 
     stream = StreamOptions(trigger_interval=trigger_interval, available_now=available_now)
