@@ -215,6 +215,43 @@ def test_mixing(docs, none):
     assert mix(none).count() == 0 and mixed_documents(none).count() == 0
 
 
+@pytest.mark.parametrize("large", [4_300_000, 21_500])
+def test_mixing_small_sources_meet_their_targets(spark, large):
+    """Blocks have one size for every corpus, and a source of less than a block gets all of its words."""
+    from wharf.llm.mixing import mix, mixed_documents
+
+    words = [("a", 2150)] * (large // 2150) + [("b", 10), ("c", 65), ("d", 129)]
+    df = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(words)], "doc_id long, source string, n int")
+    df = df.select("doc_id", "source", F.expr("repeat('w ', n)").alias("text"))
+    source = {i: s for i, (s, _) in enumerate(words)}
+    taken, lengths = collections.Counter(), []
+    for r in mix(df, block=64).collect():
+        taken[source[r["doc_id"]]] += r["taken"]
+        lengths += [x["to"] - x["from"] for x in r["spans"]]
+    total = sum(n for _, n in words)
+    assert taken == {"a": total - 612, "b": 30, "c": 195, "d": 387}
+    assert max(lengths) == 64
+    if large > 1_000_000:  # the texts themselves are made of the same spans
+        return
+    got = collections.Counter()
+    for r in mixed_documents(df).groupBy("source").agg(F.sum(F.regexp_count("text", F.lit("w"))).alias("n")).collect():
+        got[r["source"]] = r["n"]
+    assert got == taken
+
+
+@pytest.mark.parametrize("extra", [65, 150, 190])
+def test_mixing_cuts_the_last_block(spark, extra):
+    """One source of 129 words takes ``extra`` words beside a large one, whatever block is chosen last."""
+    from wharf.llm.mixing import mix
+
+    df = spark.createDataFrame([(1, "a", "w " * 129), (2, "b", "w " * 871)], "doc_id long, source string, text string")
+    for seed in range(2):
+        got = {r["doc_id"]: r for r in mix(df, seed=seed, weights=(extra, 1000 - extra), block=64).collect()}
+        assert got[1]["taken"] == extra and got[2]["taken"] == 1000 - extra
+        inside = sorted(w for x in got[1]["spans"] for w in range(x["from"], x["to"]))
+        assert len(inside) == len(set(inside)) == extra - 129 * got[1]["rounds"]
+
+
 def test_packing(docs, none):
     from tokenizers import Tokenizer
 

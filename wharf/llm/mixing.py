@@ -1,9 +1,10 @@
-"""Mixing sources to target weights: Sainte-Lague apportionment of equal-token blocks.
+"""Mixing sources to target weights: Sainte-Lague apportionment of words, taken in blocks.
 
 A source's words are laid out in seeded order, shard by shard, and cut into blocks of ``block`` words.
-Target words become integer block quotas by highest quotients, first over the sources, then over each
+Targets become integer quotas of words by highest quotients, first over the sources, then over each
 source's shards. Within a shard, whole rounds take every block; the rest of the quota goes to the blocks
-with the smallest seeded hash. All of it is aggregates, windows and joins of Spark.
+with the smallest seeded hash, the last of them cut to the words still owed. All of it is aggregates,
+windows and joins of Spark.
 """
 
 from __future__ import annotations
@@ -94,8 +95,9 @@ def _rows(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", content_key("doc_id", "text").alias("_hash"), "source", size_column().alias("size"))
 
 
-def _is_taken(seed: int, source: Column, shard: Column, number: Column) -> Column:
-    return F.xxhash64(F.lit(seed), source, shard, number)
+def _place(seed: int, number: Column) -> Column:
+    """A block's place among those of its shard (columns ``source`` and ``_shard``): by seeded hash."""
+    return F.struct(F.xxhash64(F.lit(seed), F.col("source"), F.col("_shard"), number).alias("hash"), number.alias("number"))
 
 
 def mix(documents: DataFrame, seed: int = 7, block: int = BLOCK, shard: int = SHARD, most: int = MOST, weights: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
@@ -103,8 +105,8 @@ def mix(documents: DataFrame, seed: int = 7, block: int = BLOCK, shard: int = SH
     ``rounds`` and ``spans``.
 
     The mix takes the whole document ``rounds`` times, and once more its words [from, to) of each entry of
-    ``spans``. No word is taken more than ``most`` times. A source's taken words differ from its target by
-    about one block per shard; corpora under 65,536 blocks get smaller blocks, down to one word.
+    ``spans``. No word is taken more than ``most`` times. A source's taken words are its target rounded by
+    highest quotients, whatever the size of the corpus: a shard's last block counts by the words it holds.
 
     Null text has size 0 and is never taken; a null source is a source like others (last in order). Rows
     that repeat are mixed as documents of their own. An empty table gives an empty result. Other columns
@@ -113,8 +115,6 @@ def mix(documents: DataFrame, seed: int = 7, block: int = BLOCK, shard: int = SH
     rows = cut(_rows(documents))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, most))
-    total = targets.agg(F.sum("source_size")).first()[0] or 0
-    block = max(1, min(block, total >> 16))
 
     by_source = targets.select(F.col("source").alias("_s"), "source_size", "target")
     rows = rows.join(by_source, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
@@ -125,20 +125,31 @@ def mix(documents: DataFrame, seed: int = 7, block: int = BLOCK, shard: int = SH
     rows = rows.withColumn("_at", F.coalesce(F.sum("size").over(line), F.lit(0).cast("long")))
 
     cells = rows.groupBy("source", "_shard").agg(F.sum("size").alias("_words")).where(F.col("_words") > 0)
-    parties = targets.withColumn("_seats", F.floor(F.sum("target").over(Window.partitionBy(F.lit(0))) / block + 0.5))
+    parties = targets.withColumn("_seats", F.floor(F.sum("target").over(Window.partitionBy(F.lit(0))) + 0.5))
     quotas = sainte_lague(parties, "target", [], ["source"], "_seats").select(F.col("source").alias("_s"), F.col("quota").alias("_seats"))
     cells = cells.join(quotas, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     cells = sainte_lague(cells, "_words", ["source"], ["_shard"], "_seats")
     # Of a cell's blocks, those beyond the whole rounds are the ones with the smallest seeded hashes: the
-    # cell keeps the hash of the last one as a limit, so documents can judge their own blocks.
-    blocks = F.ceil(F.col("_words") / block).cast("long")
-    quota = F.least(F.col("quota"), F.lit(most) * blocks)
-    rounds = F.floor(quota / blocks).cast("int")
-    extra = (quota - rounds * blocks).cast("int")
-    hashes = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda b: _is_taken(seed, F.col("source"), F.col("_shard"), b))
+    # cell keeps the last one as a limit, so documents can judge their own blocks, and the words that it
+    # still owes (all blocks but the one at the cell's end hold ``block`` words).
+    quota = F.least(F.col("quota"), F.lit(most) * F.col("_words"))
+    rounds = F.floor(quota / F.col("_words")).cast("int")
+    end = F.floor((F.col("_words") - 1) / block).cast("long")
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), end), lambda b: _place(seed, b)))
     cells = cells.select(
-        F.col("source").alias("_s"), F.col("_shard").alias("_c"), rounds.alias("rounds"),
-        F.when(extra > 0, F.element_at(F.array_sort(hashes), extra)).alias("_limit"),
+        "source", "_shard", rounds.alias("rounds"), (quota - rounds * F.col("_words")).alias("_extra"),
+        end.alias("_end"), (F.col("_words") - end * block).alias("_short"), ranked.alias("_ranked"),
+    )
+    before = (F.array_position("_ranked", _place(seed, F.col("_end"))) - 1) * block  # words taken before the end's block
+    lacks = F.when(F.col("_extra") > before + F.col("_short"), block - F.col("_short")).otherwise(F.lit(0).cast("long"))
+    nth = F.when(
+        (F.col("_extra") > before) & (F.col("_extra") <= before + F.col("_short")), F.floor(before / block) + 1
+    ).otherwise(F.ceil((F.col("_extra") + lacks) / block))
+    cells = cells.select("*", nth.cast("int").alias("_nth"), lacks.alias("_lacks"))
+    cells = cells.select(
+        F.col("source").alias("_s"), F.col("_shard").alias("_c"), "rounds",
+        F.when(F.col("_extra") > 0, F.element_at("_ranked", F.greatest("_nth", F.lit(1)))).alias("_limit"),
+        (F.col("_extra") + F.col("_lacks") - (F.col("_nth") - 1) * block).alias("_owed"),
     )
     rows = rows.join(cells, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_c")), "left").drop("_s", "_c")
     last = F.col("_at") + F.col("size")
@@ -146,16 +157,17 @@ def mix(documents: DataFrame, seed: int = 7, block: int = BLOCK, shard: int = SH
         (F.col("size") > 0) & F.col("_limit").isNotNull(),
         F.filter(
             F.sequence(F.floor(F.col("_at") / block), F.floor((last - 1) / block)),
-            lambda b: _is_taken(seed, F.col("source"), F.col("_shard"), b) <= F.col("_limit"),
+            lambda b: _place(seed, b) <= F.col("_limit"),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
     spans = F.transform(
         touched,
         lambda b: F.struct(
             (F.greatest(b * block, F.col("_at")) - F.col("_at")).alias("from"),
-            (F.least((b + 1) * block, last) - F.col("_at")).alias("to"),
+            (F.least(b * block + F.when(b == F.col("_limit.number"), F.col("_owed")).otherwise(F.lit(block)), last) - F.col("_at")).alias("to"),
         ),
     )
+    spans = F.filter(spans, lambda x: x["to"] > x["from"])  # the last block may end before the document
     rows = rows.withColumn("rounds", F.when(F.col("size") > 0, F.coalesce("rounds", F.lit(0))).otherwise(F.lit(0))).withColumn("spans", spans)
     more = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["to"] - x["from"])
     return rows.select(
