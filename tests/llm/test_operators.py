@@ -405,6 +405,21 @@ def test_toxicity(spark, docs, none):
     assert train(none, lab.limit(0)) is None and severity(docs, None).where("severity != 0 OR toxic").count() == 0
 
 
+def test_toxicity_sample_has_whole_documents_of_every_grade(spark, monkeypatch):
+    from wharf.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "fit", lambda rows: rows)
+    long = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(6000))
+    df = spark.createDataFrame([(i, long if i == 7 else f"word{chr(97 + i % 26)}") for i in range(2000)], "doc_id long, text string")
+    grades = [(i, int(i % 100 != 0), int(i % 100 == 0 or i % 2)) for i in range(2000)]
+    lab = spark.createDataFrame(grades, "doc_id long, quality int, toxic int")
+    rows = toxicity.train(df, lab, sample=100)
+    counts = collections.Counter(g for *_, g in rows)
+    assert len(rows) <= 100 and min(counts[g] for g in range(3)) >= 16
+    (slots, values, _), = toxicity.train(df, lab.where("doc_id = 7"))
+    assert len(slots) == len(values) > 5900
+
+
 def test_url_filter(spark):
     from wharf.llm.queries import FIXED_RULES
     from wharf.llm.url_filter import url_filter

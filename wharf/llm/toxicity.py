@@ -20,7 +20,7 @@ from wharf.llm.common import RollingHash, ready, slices, text_buffer, word_spans
 
 BITS = 20
 SAMPLE = 6000  # labelled documents that training may use
-SAMPLE_FEATURES = 4000  # different words of each that training may use, by smallest hash
+RARE = 200  # of these, drawn from each grade apart
 EPOCHS = 6
 GRADES = 3
 STEMS = (4, 5, 6)  # first bytes of longer words, as features of their own: inflected words share them
@@ -100,26 +100,33 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int = GRADES, ep
 def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, exclude: Column | None = None) -> Model | None:
     """A model of the documents that ``labels`` (doc_id, quality, toxic) grades; None without any.
 
-    At most ``sample`` documents, chosen by a hash of the id, and at most ``SAMPLE_FEATURES`` different
-    words of each come to the driver. ``exclude``: documents (by doc_id) that training must not see."""
+    At most ``sample`` documents, chosen by a hash of the id, come to the driver, each with all of its
+    features. ``RARE`` of each grade are drawn from that grade alone, so that a rare grade is learned at any
+    size; the others come as they fall. ``exclude``: documents (by doc_id) that training must not see."""
     ready(documents.sparkSession)
     graded = labels.select("doc_id", grade(F.col("toxic"), F.col("quality")).alias("grade")).dropna().dropDuplicates(["doc_id"])
     if exclude is not None:
         graded = graded.where(~exclude)
-    chosen = graded.orderBy(F.xxhash64(F.lit("toxic"), "doc_id"), "doc_id").limit(sample)
+    order = [F.xxhash64(F.lit("toxic"), "doc_id"), F.col("doc_id")]
+    rare = min(RARE, sample // (2 * GRADES))
+    chosen = graded.orderBy(*order).limit(sample - GRADES * rare).withColumn("_later", F.lit(1))
+    for g in range(GRADES):
+        chosen = chosen.unionByName(graded.where(F.col("grade") == g).orderBy(*order).limit(rare).withColumn("_later", F.lit(0)))
+    chosen = chosen.groupBy("doc_id", "grade").agg(F.min("_later").alias("_later"))
     rows = documents.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             bounds, slots, values = features(batch.column("text"))
-            take = [slice(a, min(b, a + SAMPLE_FEATURES)) for a, b in zip(bounds, bounds[1:])]
+            take = [slice(a, b) for a, b in zip(bounds, bounds[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("grade"), pa.array([slots[t].astype(np.int32).tobytes() for t in take], pa.binary()), pa.array([values[t].tobytes() for t in take], pa.binary())],
-                names=["doc_id", "grade", "slots", "values"],
+                [batch.column("doc_id"), batch.column("grade"), batch.column("_later"), pa.array([slots[t].astype(np.int32).tobytes() for t in take], pa.binary()), pa.array([values[t].tobytes() for t in take], pa.binary())],
+                names=["doc_id", "grade", "_later", "slots", "values"],
             )
 
     kind = dict(documents.dtypes)["doc_id"]
-    got = rows.mapInArrow(run, f"doc_id {kind}, grade int, slots binary, values binary").orderBy("doc_id", "slots").limit(sample).collect()
+    got = rows.mapInArrow(run, f"doc_id {kind}, grade int, _later int, slots binary, values binary").orderBy("_later", "doc_id", "slots").limit(sample)
+    got = got.orderBy("doc_id", "slots").collect()
     rows = [(np.frombuffer(r["slots"], np.int32).astype(np.int64), np.frombuffer(r["values"]), r["grade"]) for r in got]
     return fit(rows) if rows else None
 
