@@ -376,6 +376,8 @@ def test_language(spark, docs, none):
     assert rest.count() == docs.count() and rest.where("score < 0 OR score > 1").count() == 0
     for r in rest.collect():
         assert (r["lang_pred"] == "und") == (not any(c.isalpha() for c in r["text"] or ""))
+    rare = [(1000 + i, "mnopk nopkm " * 20, "r") for i in range(6)]
+    assert train(df.unionByName(spark.createDataFrame(rare, df.schema)), sample=30, steps=2).classes == ["p", "q", "r"]
     assert train(none) is None and label(docs, None).where("lang_pred != 'und'").count() == 0
     assert label(none, model).count() == 0
 

@@ -13,14 +13,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wharf.llm.common import ready, slices, text_buffer
 
 HIDDEN = 8
 CHUNK = 64  # positions that one pass of the network sees
-SAMPLE = 4000  # labelled documents that training may use
+SAMPLE = 4000  # labelled documents that training may use, shared evenly by the languages
+LEAST = 50  # of each language, however many there are
 WINDOWS = 6  # windows taken of each
 STEPS = 500
 BATCH = 256
@@ -192,18 +193,22 @@ def _windows(text: bytes, seed: int) -> list[bytes]:
 def train(documents: DataFrame, sample: int = SAMPLE, **settings) -> Model | None:
     """A model of the labelled documents outside the held-out fold; None if there are none.
 
-    At most ``sample`` documents, chosen by a hash of the id, are used (the bound of the sample), and of
-    each a few windows: what comes to the driver does not grow with the table."""
+    Every language gives up to ``sample`` / languages documents (``LEAST`` at least), those with the smallest
+    hashes of the id, and of each a few windows: a language is learned however rare it is, and what comes to
+    the driver grows with the languages, not with the table."""
     ready(documents.sparkSession)
     rows = documents.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "") & ~held_out(F.col("doc_id"))
     )
-    count = rows.select("doc_id").count()
-    if not count:
+    counts = rows.groupBy("lang").count().collect()
+    if not counts:
         return None
+    each = max(LEAST, sample // len(counts))
     key = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 40))
-    share = min(1.0, 1.5 * sample / count)
-    rows = rows.withColumn("_key", key).where(F.col("_key") < int(share * (1 << 40)))
+    # the smallest hashes of each language, with a margin: only these are cut into windows
+    below = [(r["lang"], int(min(1.0, (1.5 * each + 50) / r["count"]) * (1 << 40))) for r in counts]
+    below = documents.sparkSession.createDataFrame(below, "lang string, _below long")
+    rows = rows.join(F.broadcast(below), "lang").withColumn("_key", key).where("_key < _below").select("_key", "lang", "text")
 
     def cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +217,9 @@ def train(documents: DataFrame, sample: int = SAMPLE, **settings) -> Model | Non
                 if w:
                     yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([lang]), pa.array([w], pa.list_(pa.binary()))], names=["_key", "lang", "windows"])
 
-    got = rows.mapInArrow(cutter, "_key long, lang string, windows array<binary>").orderBy("_key", "lang", "windows").limit(sample).collect()
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "windows"))
+    got = rows.mapInArrow(cutter, "_key long, lang string, windows array<binary>").withColumn("_nth", nth).where(F.col("_nth") <= each)
+    got = got.orderBy("_key", "lang", "windows").collect()
     windows = [bytes(w) for r in got for w in r["windows"]]
     labels = [r["lang"] for r in got for _ in r["windows"]]
     return fit(windows, labels, **settings) if windows else None
