@@ -186,6 +186,46 @@ def test_quality(docs, none):
     assert quality_rules(none).count() == 0
 
 
+def test_quality_shares_and_verdict(spark, docs):
+    from wharf.llm.quality import ALL_SHARE, LINE_SHARE, TOP_SHARE, quality_rules
+
+    def brute(t):
+        w = [x.decode() for x in _split(t)]
+        total = max(1, sum(map(len, w)))
+        share = {}
+        for k in range(2, 11):
+            runs = collections.Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+            if k < 5:
+                share[f"top_{k}"] = min(1.0, max((c * sum(map(len, g)) for g, c in runs.items() if c > 1), default=0) / total)
+                continue
+            inside = {j for i in range(len(w) - k + 1) if runs[tuple(w[i : i + k])] > 1 for j in range(i, i + k)}
+            share[f"dup_{k}"] = sum(len(w[j]) for j in inside) / total
+        seen, again = set(), 0
+        for line in (t or "").split("\n"):
+            if line.encode().split():
+                again += sum(len(x.decode()) for x in line.encode().split()) * (line in seen)
+                seen.add(line)
+        share["dup_lines"] = again / total
+        runs = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        inside = {j for i in range(len(w) - 4) if runs[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+        limits = {f"top_{k}": v for k, v in TOP_SHARE.items()} | {f"dup_{k}": v for k, v in ALL_SHARE.items()} | {"dup_lines": LINE_SHARE}
+        wide = 1 if len(w) >= 300 else 2
+        kept = len(w) >= 10 and 5 * len(inside) <= len(w) and all(share[c] <= wide * v for c, v in limits.items())
+        return share, kept
+
+    # 17 % of the words lie in repeated 10-grams: a long text fails the published limits, a short one stays
+    made = [(n, " ".join([f"v{i}" for i in range(n - 2 * r)] + 2 * [f"r{i}" for i in range(r)])) for n, r in ((400, 34), (150, 13), (299, 25), (300, 26))]
+    df = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(1000 + n, t) for n, t in made], "doc_id long, text string"))
+    text = {(r["doc_id"], hashlib.sha256((r["text"] or "").encode()).hexdigest()): r["text"] for r in df.collect()}
+    got = collections.defaultdict(list)
+    for r in quality_rules(df).collect():
+        got[r["doc_id"]].append(r)
+    for (i, _), t in text.items():
+        share, kept = brute(t)
+        assert any(r["kept"] == kept and all(math.isclose(r[c], v, abs_tol=1e-12) for c, v in share.items()) for r in got[i]), i
+    assert [got[1000 + n][0]["kept"] for n, _ in made] == [False, True, True, False]
+
+
 def test_mixing(docs, none):
     from wharf.llm.mixing import mix, mixed_documents
 

@@ -22,6 +22,7 @@ TOP_SHARE = {2: 0.20, 3: 0.18, 4: 0.16}
 ALL_SHARE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 LINE_SHARE = 0.20
 LEAST_WORDS = 10
+LONG_WORDS = 300  # from here on the published limits stand; below, they are widened
 REPEAT_PERCENT = 20  # words in repeated 5-word windows
 SYMBOLS = b"#*$%&|<>"
 
@@ -114,11 +115,12 @@ def measure(column: pa.Array) -> dict[str, np.ndarray]:
 
 
 def judge(m: dict[str, np.ndarray], strict: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
-    """(base_failed, kept). ``strict``: the coverage limits are this many times the published ones."""
+    """(base_failed, kept). ``strict``: the coverage limits of texts under LONG_WORDS words are this many
+    times the published ones, which longer texts are held to."""
     base = (m["n_words"] < LEAST_WORDS) | (100 * m["n_repeat_words"] > REPEAT_PERCENT * m["n_words"])
     bad = base.copy()
     for name, limit in [(f"top_{k}", v) for k, v in TOP_SHARE.items()] + [(f"dup_{k}", v) for k, v in ALL_SHARE.items()] + [("dup_lines", LINE_SHARE)]:
-        bad |= m[name] > min(strict * limit, 1.0)
+        bad |= m[name] > np.where(m["n_words"] < LONG_WORDS, min(strict * limit, 1.0), limit)
     return base, ~bad
 
 
@@ -127,8 +129,8 @@ def quality_rules(documents: DataFrame, strict: float = 2.0) -> DataFrame:
 
     ``kept`` is false if the base rules fail or if more of the word characters than allowed lie inside the
     top 2 to 4-word n-gram, inside repeated 5 to 10-word n-grams, or inside repeated lines. The published
-    limits are meant for prose of several hundred words; ``strict`` = 2 doubles them, so that short clean
-    documents stay.
+    limits are meant for prose of several hundred words: texts of LONG_WORDS words or more are held to them;
+    ``strict`` = 2 doubles them for shorter ones, so that short clean documents stay.
 
     Null and empty texts have all counts 0 and fail the base rules. Rows that repeat are judged one by
     one; an empty table gives an empty result; other columns of ``documents`` do not matter.
