@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wharf.llm.ann import nearest
 from wharf.llm.langid import label, train
+from wharf.llm.merkle import manifest, verified
 from wharf.llm.mixing import mix
 from wharf.llm.neardup import near_duplicates
 from wharf.llm.packing import pack, pieces
@@ -80,6 +81,14 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = verified(manifest(table(spark, sf_dir, "documents"), other={"text": text}))
+    digests = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return found.select("doc_id", *digests, "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_toxicity": op2_toxicity,
@@ -91,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,
     "op10_suffix_array": op10_suffix_array,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -111,5 +121,56 @@ WITH p AS (
   FROM q LEFT JOIN r ON (q.host = rh OR ends_with(q.host, '.' || rh)) AND starts_with(q.path, rp)
 )
 SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM m WHERE n = 1
+""",
+    "op13_merkle": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    CASE WHEN xor(list_reduce([ord(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')], lambda s, b:
+      list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(s, b)),
+      4294967295::BIGINT), 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other
+  FROM documents
+), l AS (
+  SELECT doc_id, source,
+    [CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END FOR x IN [doc_id::VARCHAR, source, lang, n_chars::VARCHAR]] AS head,
+    CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS t, CASE WHEN other IS NULL THEN '-' ELSE strlen(other) || ':' || other END AS o
+  FROM d
+), leaf AS (
+  SELECT doc_id, source, sha256(array_to_string(head, '') || t) AS leaf, sha256(array_to_string(head, '') || o) AS other FROM l
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaf
+), low AS (
+  SELECT source, 0 AS lv, list(leaf ORDER BY r) AS nodes FROM numbered GROUP BY source
+  UNION ALL
+  SELECT source, lv + 1, [sha256(array_to_string(nodes[3 * i + 1 : 3 * i + 3], '')) FOR i IN range(0, (len(nodes) + 2) // 3)] FROM low WHERE len(nodes) > 1
+), sub AS (
+  SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r FROM low WHERE len(nodes) = 1
+), high AS (
+  SELECT 0 AS lv, list(subroot ORDER BY r) AS nodes FROM sub HAVING count(*) > 0
+  UNION ALL
+  SELECT lv + 1, [sha256(array_to_string(nodes[3 * i + 1 : 3 * i + 3], '')) FOR i IN range(0, (len(nodes) + 2) // 3)] FROM high WHERE len(nodes) > 1
+), tall AS (
+  SELECT source, max(lv) AS h FROM low GROUP BY source
+), steps AS (
+  SELECT n.source, n.r, w.lv AS lv, (n.r // (3 ** w.lv)::BIGINT) AS p, w.nodes FROM numbered n JOIN low w ON w.source IS NOT DISTINCT FROM n.source AND len(w.nodes) > 1
+  UNION ALL
+  SELECT n.source, n.r, t.h + w.lv, (s.r // (3 ** w.lv)::BIGINT), w.nodes
+  FROM numbered n JOIN sub s ON s.source IS NOT DISTINCT FROM n.source JOIN tall t ON t.source IS NOT DISTINCT FROM n.source JOIN high w ON len(w.nodes) > 1
+), sides AS (
+  SELECT source, r, lv, coalesce(array_to_string(nodes[p // 3 * 3 + 1 : p], ''), '') AS lft, coalesce(array_to_string(nodes[p + 2 : p // 3 * 3 + 3], ''), '') AS rgt FROM steps
+), ways AS (
+  SELECT source, r, list(lft ORDER BY lv) AS ls, list(rgt ORDER BY lv) AS rs, sha256(string_agg(lft || rgt, '' ORDER BY lv)) AS proof FROM sides GROUP BY source, r
+), fold AS (
+  SELECT n.source, n.r, 0 AS lv, n.other AS digest, coalesce(w.ls, []) AS ls, coalesce(w.rs, []) AS rs
+  FROM numbered n LEFT JOIN ways w ON w.source IS NOT DISTINCT FROM n.source AND w.r = n.r
+  UNION ALL
+  SELECT source, r, lv + 1, sha256(ls[lv + 1] || digest || rs[lv + 1]), ls, rs FROM fold WHERE lv < len(ls)
+), folded AS (
+  SELECT source, r, digest FROM fold WHERE lv = len(ls)
+)
+SELECT n.doc_id, n.leaf, s.subroot, t.root, coalesce(w.proof, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = t.root AS verified
+FROM numbered n JOIN sub s ON s.source IS NOT DISTINCT FROM n.source
+JOIN folded f ON f.source IS NOT DISTINCT FROM n.source AND f.r = n.r
+LEFT JOIN ways w ON w.source IS NOT DISTINCT FROM n.source AND w.r = n.r
+CROSS JOIN (SELECT nodes[1] AS root FROM high WHERE len(nodes) = 1) t
 """,
 }
