@@ -17,13 +17,16 @@ COLUMNS = {
     "op8_url_filter": "page_id long, host string, path string, rule string, verdict string",
     "op9_minhash": "doc_id long, n_shingles long, component_id long, kept boolean",
     "op10_suffix_array": "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
+    "op11_chat": "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
+    "op12_repair": "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string",
+    "op13_merkle": "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
 }
-ONE_ROW_EACH = {"op3_mixing", "op5_language", "op7_repetition", "op9_minhash", "op10_suffix_array"}
+ONE_ROW_EACH = {"op3_mixing", "op5_language", "op7_repetition", "op9_minhash", "op10_suffix_array", "op13_merkle"}
 
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in E.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharf.llm.ann import nearest
+from wharf.llm.chat import format_chat, read_back
 from wharf.llm.langid import label, train
 from wharf.llm.merkle import manifest, verified
 from wharf.llm.mixing import mix
 from wharf.llm.neardup import near_duplicates
 from wharf.llm.packing import pack, pieces
 from wharf.llm.quality import quality_rules
+from wharf.llm.repair import audits, damage, digested, repaired
 from wharf.llm.suffix_dedup import remove_repeats
 from wharf.llm.token_counts import token_counts
 from wharf.llm.toxicity import severity, train as train_toxicity
@@ -81,6 +83,23 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed value: a text that says what marks turns and what escapes marks.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], turns.schema)
+    path = tokenizer_path("byte_bpe_50k.json")
+    return read_back(format_chat(turns.unionByName(more), path), path)
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damage(table(spark, sf_dir, "conversations"))
+    found = digested(repaired(rows, audits(rows)))
+    return found.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     text = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
@@ -100,6 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_minhash": op9_minhash,
     "op10_suffix_array": op10_suffix_array,
+    "op11_chat": op11_chat,
+    "op12_repair": op12_repair,
     "op13_merkle": op13_merkle,
 }
 
@@ -121,6 +142,85 @@ WITH p AS (
   FROM q LEFT JOIN r ON (q.host = rh OR ends_with(q.host, '.' || rh)) AND starts_with(q.path, rp)
 )
 SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM m WHERE n = 1
+""",
+    "op11_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), s AS (
+  SELECT *, length(role) + length(text) + 14
+    + len(regexp_extract_all(role || ' ' || text, '\\')) + len(regexp_extract_all(role || ' ' || text, '#'))
+    - len(regexp_extract_all(role || ' ' || text, '#+')) + len(regexp_extract_all(role || ' ' || text, '<[/|]'))
+    + len(regexp_extract_all(role, ': ')) AS chars
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM s GROUP BY conv_id
+""",
+    "op12_repair": r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    [ord(x)::BIGINT FOR x IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')] AS codes
+  FROM conversations
+), h AS (
+  SELECT *, xor(list_reduce(codes, lambda s, b:
+      list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(s, b)),
+      4294967295::BIGINT), 4294967295) % 20 AS f
+  FROM c
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM h WHERE f <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged
+), rows AS (
+  SELECT conv_id, i, turn, role, text, role[1] AS ch,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+         WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) AS prev
+  FROM placed
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 1) AS blank,
+    count(*) FILTER (WHERE fault = 2) AS duplicate, count(*) FILTER (WHERE fault = 3) AS truncated,
+    count(*) FILTER (WHERE i > 1 AND prev || ch NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM rows GROUP BY conv_id
+), nxt(s, t, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+keep(s, ch, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(s, t, cost, letters, added) AS (
+  SELECT s, s, 0, '', []::VARCHAR[] FROM nxt
+  UNION ALL SELECT s, t, 3, 'I', [role || ':'] FROM nxt
+  UNION ALL SELECT s, 3, 6, 'II', ['user:', 'assistant:'] FROM nxt WHERE s < 2
+), dp AS (
+  SELECT conv_id, n, 0::BIGINT AS i, 0 AS s, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS rep FROM stats
+  UNION ALL
+  SELECT conv_id, n, i, s, cost, audit, rep FROM (
+    SELECT d.conv_id, d.n, r.i, e.t AS s, d.cost + ins.cost + e.cost AS cost, d.audit || ins.letters || e.letter AS audit,
+      list_concat(list_concat(d.rep, ins.added), e.added) AS rep,
+      row_number() OVER (PARTITION BY d.conv_id, e.t ORDER BY d.cost + ins.cost + e.cost, d.audit || ins.letters || e.letter) AS best
+    FROM dp d JOIN ins ON ins.s = d.s JOIN rows r ON r.conv_id IS NOT DISTINCT FROM d.conv_id AND r.i = d.i + 1
+    JOIN LATERAL (
+      SELECT ins.t AS t, 4 AS cost, 'D' AS letter, []::VARCHAR[] AS added
+      UNION ALL SELECT k.t, CASE WHEN r.fault = 3 THEN 3 ELSE 0 END, 'K', [r.role || ':' || r.text] FROM keep k WHERE k.s = ins.t AND k.ch = r.ch AND r.fault IN (0, 3)
+      UNION ALL SELECT x.t, CASE WHEN r.fault = 3 THEN 6 ELSE 3 END, 'R', [x.role || ':' || r.text] FROM nxt x WHERE x.s = ins.t AND r.fault IN (0, 3)
+    ) e ON true
+  ) WHERE best = 1
+), done AS (
+  SELECT d.conv_id, d.cost + ins.cost AS cost, d.audit || ins.letters AS audit, list_concat(d.rep, ins.added) AS rep,
+    row_number() OVER (PARTITION BY d.conv_id ORDER BY d.cost + ins.cost, d.audit || ins.letters) AS best
+  FROM dp d JOIN ins ON ins.s = d.s WHERE d.i = d.n AND ins.t IN (0, 3)
+)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(rep, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id AND d.best = 1
 """,
     "op13_merkle": r"""
 WITH RECURSIVE d AS (
