@@ -94,10 +94,11 @@ class TokenIds:
         """uint32 ids without special tokens; null counts as empty."""
         if not text:
             return np.zeros(0, np.uint32)
-        if not self.cached or _OTHER.search(text):
+        # some capitals below U+0250 have their lower case beyond it, so the lower-cased text is judged too
+        plain = None if not self.cached or _OTHER.search(text) else unicodedata.normalize("NFC", text).lower()
+        if plain is None or _OTHER.search(plain):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        # per-character lower case equals str.lower below U+0250
-        parts = _SPLIT.findall(unicodedata.normalize("NFC", text).lower())
+        parts = _SPLIT.findall(plain)
         if not parts:
             return np.zeros(0, np.uint32)
         if len(self.codes) > CACHE or self.chars > CACHE_CHARS:
