@@ -17,7 +17,7 @@ from wharf.session import ensure_checkpoint_dir, ship_package
 
 # ASCII white space that parts words: the complement of [^\x20\x09-\x0D].
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_BYTES = 2 << 20  # texts handled together in one numpy pass
+BATCH_BYTES = 256 << 10  # texts handled together in one numpy pass
 ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000}  # rows that Spark sends to Python at once
 
 _SPACE = np.zeros(256, bool)

@@ -27,8 +27,8 @@ from wharf.llm.suffix_array import repeated
 
 LENGTH = 400
 GRAM = 32
-SHARD_BYTES = 1 << 20  # stretches whose suffixes are sorted together, about
-CROWDED = 1500  # different stretches of a key beyond which the key is split
+SHARD_BYTES = 256 << 10  # stretches whose suffixes are sorted together, about
+CROWDED = 500  # different stretches of a key beyond which the key is split
 WIDTHS = (64, 16, 4, 1)  # classes of window distances when a key is split, ever narrower
 SEEN = 100_000  # stretches that a task remembers so as not to send one twice
 
