@@ -186,13 +186,17 @@ def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
     rows = boxed(documents).withColumn("_id", F.col("row.doc_id")).withColumn("_key", F.xxhash64("_id", "text"))
     rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.lit(0))))
     rows = rows.join(plan, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_h")) & (F.col("_nth") == F.col("_m")))
-    # a text's words are found once, behind a one-row generator, whatever the number of its spans
-    words = F.when(F.size("spans") > 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    rows = rows.select("row", "text", "rounds", "spans", F.inline(F.array(F.struct(words.alias("_words")))))
-    part = F.array_join(F.flatten(F.transform("spans", lambda s: F.slice(F.col("_words"), (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))), " ")
+    # a text's words are found once, as the one element that the outer lambda sees, whatever its spans
+    words = F.array(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+
+    def taken_words(w: Column) -> Column:
+        cuts = F.transform("spans", lambda s: F.slice(w, (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int")))
+        return F.array_join(F.flatten(cuts), " ")
+
+    part = F.transform(words, taken_words)
     no_text = F.array().cast("array<string>")
     whole = F.when(F.col("rounds") > 0, F.array_repeat(F.col("text"), F.col("rounds"))).otherwise(no_text)
-    rows = rows.select("row", F.explode(F.concat(whole, F.when(F.size("spans") > 0, F.array(part)).otherwise(no_text))).alias("_text"))
+    rows = rows.select("row", F.explode(F.concat(whole, F.when(F.size("spans") > 0, part).otherwise(no_text))).alias("_text"))
     rows = rows.select(*unboxed(cols, "_text"))
     if "n_chars" in cols:
         rows = rows.withColumn("n_chars", F.length("text").cast(dict(documents.dtypes)["n_chars"]))
