@@ -4,16 +4,17 @@ import json
 import os
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
-from wharf.operators.cdc import cdc_clean, current_config, dim_changes, parse_config, route, trim
+from wharf.operators.cdc import cdc_clean, config_changes, current_config, dim_changes, parse_config, route, trim
 from wharf.operators.dim import apply_changes
 from wharf.plans.log_job import log_split
 from wharf.sinks.dimstore import DimStore, plan_ddl
 from wharf.sources.envelopes import CONFIG_FEED, config_feed, log_envelope, part_changes, supplier_changes
 from wharf.sources.files import text_records
 from wharf.streaming.dim_stream import dim_sync_batch, start_dim_sync
-from wharf.streaming.log_stream import log_split_stream
+from wharf.streaming.log_stream import batch_records, known_devices, log_split_batch, start_log_split
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,14 +38,13 @@ def test_log_stream_equals_batch_and_restarts(spark, scratch):
 
     def run():
         raw = text_records(spark, f"{scratch}/flat", stream=True, max_files_per_trigger=1)
-        q = (log_split_stream(raw).writeStream.format("parquet").option("path", out)
-             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        q = start_log_split(raw, out, ck, available_now=True)
         q.awaitTermination(600)
         assert q.exception() is None
 
     run()
     run()  # restart: nothing new, nothing written twice
-    s = spark.read.parquet(out).select("route", "value")
+    s = spark.read.parquet(f"{out}/routes").select("route", "value")
     b = log_split(text_records(spark, f"{scratch}/flat"), keep=("partition", "offset")).select("route", "value")
     assert s.count() == b.count() > 0
     assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
@@ -56,11 +56,13 @@ def test_log_stream_equals_batch_and_restarts(spark, scratch):
     os.utime(f"{scratch}/flat/f9.txt", (1_700_001_000, 1_700_001_000))
     n0 = s.count()
     run()
-    after = spark.read.parquet(out)
+    after = spark.read.parquet(f"{out}/routes")
     assert after.count() == n0 + 3
     # device m1 already has a first-seen date from the earlier batches, so the late '1' logs are repaired
     late_flags = [json.loads(r.value)["common"]["is_new"] for r in after.where(F.col("value").contains("1600000000")).collect()]
     assert late_flags == ["0", "0", "0"]
+    told = {r["batch"]: (r["n"], r["late"]) for r in spark.read.parquet(f"{ck}/state/late").collect()}
+    assert len(told) == 4 and told[0][1] == 0 and told[3] == (3, 3)  # late logs are counted, and all are there
 
 
 def test_dim_stream_equals_batch_and_skips_replayed_batch(spark, scratch):
@@ -74,7 +76,7 @@ def test_dim_stream_equals_batch_and_skips_replayed_batch(spark, scratch):
     store = DimStore(spark, f"{scratch}/store")
     cfg = lambda: current_config(parse_config(config_feed(spark)))
     raw = text_records(spark, f"{scratch}/flat", stream=True, max_files_per_trigger=1)
-    q = start_dim_sync(raw, store, cfg, f"{scratch}/ck", available_now=True)
+    q = start_dim_sync(raw, store, cfg, f"{scratch}/ck", available_now=True, changes=lambda: config_changes(config_feed(spark)))
     q.awaitTermination(600)
     assert q.exception() is None
 
@@ -89,18 +91,23 @@ def test_dim_stream_equals_batch_and_skips_replayed_batch(spark, scratch):
 
     last = store.last_batch()
     before = store.snapshot(["dim_part"]).count()
-    bogus = text_records(spark, f"{scratch}/flat").limit(5)
-    dim_sync_batch(bogus, last, store, cfg)  # replay of a committed batch id: skipped
+    again = text_records(spark, f"{scratch}/flat/f2.txt")
+    dim_sync_batch(again, last, store, cfg, changes=lambda: config_changes(config_feed(spark)))  # a batch run again
     assert store.last_batch() == last and store.snapshot(["dim_part"]).count() == before
+    g = store.snapshot(["dim_part", "dim_supplier"]).select(*cols)
+    assert g.exceptAll(e).count() == 0 and e.exceptAll(g).count() == 0
 
 
-def test_plan_ddl_diff():
+def test_plan_ddl_walks_changes_in_order():
     a = {"source_table": "a", "sink_table": "dim_a", "sink_family": "info", "sink_columns": "x", "sink_row_key": "id"}
     b = dict(a, source_table="b", sink_table="dim_b")
-    a2 = dict(a, sink_columns="x,y")
-    assert plan_ddl([], [a]) == [("create", "dim_a", "info")]
-    assert plan_ddl([a, b], [a2]) == [("drop", "dim_b", None), ("drop", "dim_a", None), ("create", "dim_a", "info")]
-    assert plan_ddl([a], [dict(a, sink_family="")]) == [("drop", "dim_a", None), ("create", "dim_a", None)]
+    ev = lambda op, before, after: {"op": op, "before": before, "after": after}
+    assert plan_ddl([ev("c", None, a), ev("r", None, b)]) == [("create", "dim_a", "info"), ("create", "dim_b", "info")]
+    assert plan_ddl([ev("d", b, None), ev("u", a, dict(a, sink_columns="x,y"))]) == [
+        ("drop", "dim_b", None), ("drop", "dim_a", None), ("create", "dim_a", "info")]
+    assert plan_ddl([ev("d", a, None), ev("c", None, a)]) == [("drop", "dim_a", None), ("create", "dim_a", "info")]
+    assert plan_ddl([ev("u", a, b)]) == [("drop", "dim_a", None), ("drop", "dim_b", None), ("create", "dim_b", "info")]
+    assert plan_ddl([ev("u", None, dict(a, sink_family=""))]) == [("drop", "dim_a", None), ("create", "dim_a", None)]
 
 
 def test_config_feed_fixture_is_valid_json():
@@ -112,11 +119,12 @@ def test_store_create_drop_and_batch_dim_job(spark, scratch):
     from wharf.plans.dim_job import dim_sync, run_dim_sync
 
     store = DimStore(spark, f"{scratch}/s")
-    assert store.create_table(0, "dim_x", "info") and store.table_exists("dim_x")
-    assert not store.create_table(1, "dim_x", "info")  # exists: no-op
-    assert not store.create_table(1, "dim_y", "")  # no family: no table
-    assert store.drop_table(2, "dim_x") and not store.table_exists("dim_x")
-    assert not store.drop_table(3, "dim_x")  # absent: no-op
+    assert store.create_table("dim_x", "it's") and store.table_exists("dim_x")
+    assert spark.catalog.tableExists("gmall.dim_x") and spark.table("gmall.dim_x").count() == 0
+    assert not store.create_table("dim_x", "info")  # exists: no-op
+    assert not store.create_table("dim_y", "") and not store.table_exists("dim_y")  # no family: no table
+    assert store.drop_table("dim_x") and not store.table_exists("dim_x")
+    assert not store.drop_table("dim_x")  # absent: no-op
 
     part = spark.read.parquet(f"{SF}/part.parquet")
     cfg = current_config(parse_config(config_feed(spark)))
@@ -128,24 +136,13 @@ def test_store_create_drop_and_batch_dim_job(spark, scratch):
     assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
 
 
-def test_store_entries_of_one_batch_apply_in_order(spark, scratch):
-    store = DimStore(spark, f"{scratch}/s3")
-    store.commit(0, [("dim_a", None, False, "info")])
-    store.commit(1, [("dim_a", None, True, None), ("dim_a", None, False, "info"), ("dim_a", "w=stream/b=1", False, "info")])
-    e = store.current()["dim_a"]
-    assert e["version"] == "w=stream/b=1" and not e["dropped"]
-
-
 def test_start_log_split_writes_routes_and_quarantine(spark, scratch):
-    from wharf.streaming.log_stream import start_log_split
-
     ev = spark.read.parquet(f"{SF}/events.parquet")
     _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])
     raw = text_records(spark, f"{scratch}/flat", stream=True)
-    q1, q2 = start_log_split(raw, f"{scratch}/out", f"{scratch}/ck", available_now=True)
-    q1.awaitTermination(600)
-    q2.awaitTermination(600)
-    assert q1.exception() is None and q2.exception() is None
+    q = start_log_split(raw, f"{scratch}/out", f"{scratch}/ck", available_now=True)
+    q.awaitTermination(600)
+    assert q.exception() is None and not [x for x in spark.streams.active if x.name]
     routes = spark.read.parquet(f"{scratch}/out/routes")
     bad = spark.read.parquet(f"{scratch}/out/quarantine")
     assert set(r.route for r in routes.select("route").distinct().collect()) == {"page", "start", "err", "display", "action"}
@@ -191,17 +188,22 @@ def test_dim_stream_config_change_mid_stream(spark, scratch):
     assert not store.table_exists("dim_supplier") and store.table_exists("dim_part")
 
 
-def test_store_sees_every_batch_id_and_keeps_writers_apart(spark, scratch):
-    store = DimStore(spark, f"{scratch}/s4")
-    for b in (0, 5001, 20261200, 7):
-        store.commit(b, [("dim_a", store.version(b), False, "info")])
-        assert store.current()["dim_a"]["version"] == store.version(b) and store.committed(b)
-    assert store.last_batch() == 20261200 and not store.committed(1)
-    other = DimStore(spark, f"{scratch}/s4", writer="job")
+def test_store_sees_every_batch_id_and_orders_runs(spark, scratch):
+    conf = _one_table(spark)
+    first = DimStore(spark, f"{scratch}/s4")
+    for i, b in enumerate((0, 5001, 20261200)):
+        dim_sync_batch(_dim_raw(spark, [("insert", i, {"id": 1, "x": b})]), b, first, conf)
+        assert first.committed(b) and first.read_table("dim_b").first()["cells"]["x"] == str(b)
+    assert first.last_batch() == 20261200 and not first.committed(1)
+    other = DimStore(spark, f"{scratch}/s4", run=1)  # a new checkpoint: its batch 0 comes after all of run 0
     assert not other.committed(0) and other.last_batch() == -1
-    other.commit(0, [("dim_a", other.version(0), False, "info")])
-    store.commit(0, [("dim_a", store.version(0), False, "info")])  # a retry orders itself after the others
-    assert store.current()["dim_a"]["version"] == store.version(0)
+    dim_sync_batch(_dim_raw(spark, [("update", 0, {"id": 1, "x": "new"})]), 0, other, conf)
+    assert other.read_table("dim_b").first()["cells"]["x"] == "new" and first.last_batch() == 20261200
+
+
+def _one_table(spark, cols="id,x,y"):
+    schema = "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string"
+    return lambda: spark.createDataFrame([("b", "dim_b", "info", cols, "id", "r")], schema)
 
 
 def test_dim_changes_that_cannot_be_applied_are_quarantined_with_their_text(spark, scratch):
@@ -213,12 +215,12 @@ def test_dim_changes_that_cannot_be_applied_are_quarantined_with_their_text(spar
             (("a", '{"id":"1"}'), ("b", '{"x":"1"}'), ("b", '{"id":"2"}'))]
     text.append('{"database":"gmall","table":"b","table":"a","type":"insert","ts":1,"data":{"id":"3"}}')
     raw = spark.createDataFrame([(t, 0, i) for i, t in enumerate(text)], "value string, partition int, offset bigint")
-    store = DimStore(spark, f"{scratch}/q", writer="job")
+    store = DimStore(spark, f"{scratch}/q")
     dim_sync_batch(raw, 0, store, lambda: config)
     bad = {r.value: r.reason for r in spark.read.parquet(f"{scratch}/q/_quarantine").collect()}
     assert bad == {text[0]: "no_table", text[1]: "no_row_key", text[3]: "repeated_key"}
     assert [r.row_key for r in store.snapshot(["dim_b"]).collect()] == ["2"]
-    stream = DimStore(spark, f"{scratch}/q")  # another writer with the same batch id is not skipped
+    stream = DimStore(spark, f"{scratch}/q", run=1)  # another run with the same batch id
     dim_sync_batch(raw.where("offset = 2").withColumn("value", F.replace("value", F.lit('"2"'), F.lit('"9"'))), 0, stream, lambda: config)
     assert sorted(r.row_key for r in stream.snapshot(["dim_b"]).collect()) == ["2", "9"]
 
@@ -229,18 +231,15 @@ def _dim_raw(spark, records):
 
 
 def test_store_appends_what_a_batch_did_and_compacts_apart(spark, scratch):
-    """A batch writes its own row keys only; deletes, retries, whole versions and a later DDL read right."""
-    from wharf.operators.dim import row_effects
-
-    schema = "source_table string, sink_table string, sink_family string, sink_columns string, sink_row_key string, op string"
-    conf = lambda cols="id,x,y": spark.createDataFrame([("b", "dim_b", "info", cols, "id", "r")], schema)
-    store = DimStore(spark, f"{scratch}/s", writer="job")
+    """A batch writes its own row keys only; deletes, a batch run again, whole versions and a later DDL read right."""
+    conf = lambda cols="id,x,y": _one_table(spark, cols)()
+    store = DimStore(spark, f"{scratch}/s")
 
-    def rows():
-        return {r.row_key: dict(r.cells) for r in store.read_table("dim_b").collect()}
+    def rows(of=None):
+        return {r.row_key: dict(r.cells) for r in (of or store).read_table("dim_b").collect()}
 
     def written(b):
-        return spark.read.parquet(f"{scratch}/s/versions/w=job/b={b}").count()
+        return spark.read.parquet(f"{scratch}/s/effects/sink_table=dim_b/run=0/batch={b}").count()
 
     dim_sync_batch(_dim_raw(spark, [("insert", 1, {"id": i, "x": i, "y": 0}) for i in range(500)]), 0, store, conf)
     assert written(0) == 500 and len(rows()) == 500
@@ -252,23 +251,195 @@ def test_store_appends_what_a_batch_did_and_compacts_apart(spark, scratch):
     assert "8" not in want and want["9"] == {"id": "9", "y": "1"} and len(want) == 499
     dim_sync_batch(_dim_raw(spark, [("insert", 6, {"x": 1})]), 4, store, conf)  # nothing to apply
     assert rows() == want and store.committed(4)
-
-    # a batch whose first try died before its commit is written anew, whole
-    lost = _dim_raw(spark, [("insert", 7, {"id": "lost"})]).selectExpr("'dim_b' AS sink_table", "'info' AS sink_family", "'lost' AS row_key", "'delete' AS change_op", "cast(NULL AS map<string,variant>) AS data", "1L AS ts", "partition", "offset")
-    store.write_effects(5, store.next_number(5), row_effects(lost))
-    assert rows() == want
-    dim_sync_batch(_dim_raw(spark, [("insert", 7, {"id": "new"})]), 5, store, conf)
+    for _ in range(2):  # and once more: the same files
+        dim_sync_batch(_dim_raw(spark, [("insert", 7, {"id": "new"})]), 5, store, conf)
     want["new"] = {"id": "new"}
-    assert rows() == want
+    assert rows() == want and rows(DimStore(spark, f"{scratch}/s")) == want
 
     assert store.compact() == ["dim_b"] and rows() == want
-    assert len(store.current()["dim_b"]["versions"]) == 1 and store.compact() == []
+    assert store.effects(["dim_b"]).select("n").distinct().count() == 1 and store.compact() == []
     dim_sync_batch(_dim_raw(spark, [("update", 8, {"id": 7, "y": 6})]), 6, store, conf)
     want["7"]["y"] = "6"
     assert rows() == want
     # a config update drops and recreates the table: only this batch's rows are there
     dim_sync_batch(_dim_raw(spark, [("insert", 9, {"id": 1, "x": 1})]), 7, store, lambda: conf("id"))
     assert rows() == {"1": {"id": "1"}}
+    # a session whose catalog has lost the table finds it again
+    spark.sql("DROP TABLE gmall.dim_b")
+    assert not store.table_exists("dim_b") and rows(DimStore(spark, f"{scratch}/s")) == {"1": {"id": "1"}}
+
+
+def _config_file(scratch, name, events):
+    os.makedirs(f"{scratch}/cfg", exist_ok=True)
+    with open(f"{scratch}/cfg/{name}.json", "w") as fh:
+        for ts, op, before, after in events:
+            fh.write(json.dumps({"op": op, "before": before, "after": after, "ts_ms": ts}) + "\n")
+
+
+def test_config_changes_between_two_batches_are_walked_in_order(spark, scratch):
+    """Delete and re-create of one config row empties its table, though the config looks the same before and
+    after; a renamed source table drops the old sink table and ends the old route; a late change is passed over."""
+    from wharf.sources.kafka import config_change_feed
+
+    row = lambda src, sink: {"source_table": src, "sink_table": sink, "sink_family": "info", "sink_columns": "id,x", "sink_row_key": "id"}
+    b, c = row("b", "dim_b"), row("c", "dim_c")
+    feed = lambda: config_change_feed(spark, f"{scratch}/cfg")
+    live, changes = lambda: current_config(parse_config(feed())), lambda: config_changes(feed())
+    store = DimStore(spark, f"{scratch}/s")
+    keys = lambda t: sorted(r.row_key for r in store.read_table(t).collect())
+
+    def batch(i, table, key):
+        rec = json.dumps({"database": "gmall", "table": table, "type": "insert", "ts": i, "data": {"id": key}})
+        dim_sync_batch(spark.createDataFrame([(rec, 0, 0)], "value string, partition int, offset bigint"), i, store, live, changes=changes)
+
+    _config_file(scratch, "0", [(10, "r", None, b), (11, "r", None, c)])
+    batch(0, "b", "one")
+    batch(1, "c", "two")
+    assert keys("dim_b") == ["one"] and keys("dim_c") == ["two"]
+    _config_file(scratch, "1", [(20, "d", b, None), (21, "c", None, b)])
+    batch(2, "b", "three")
+    assert keys("dim_b") == ["three"] and keys("dim_c") == ["two"]
+    _config_file(scratch, "2", [(30, "u", c, row("c2", "dim_c2"))])
+    batch(3, "c2", "four")
+    assert not store.table_exists("dim_c") and keys("dim_c2") == ["four"] and keys("dim_c") == []
+    batch(4, "c", "five")  # the old name routes nowhere
+    assert keys("dim_c2") == ["four"]
+    _config_file(scratch, "3", [(15, "d", b, None)])  # older than what has been walked for b
+    batch(5, "b", "six")
+    assert keys("dim_b") == ["six", "three"]
+
+
+def test_same_second_changes_keep_the_later_line_in_a_stream(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    rec = lambda typ, key, x: json.dumps({"database": "gmall", "table": "b", "type": typ, "ts": 5, "data": {"id": key, "x": x}})
+    with open(f"{scratch}/in/a.txt", "w") as fh:
+        for k in range(200):
+            fh.write(f"{rec('insert', k, 'old')}\n{rec('update', k, 'new')}\n")
+    store = DimStore(spark, f"{scratch}/s")
+    raw = text_records(spark, f"{scratch}/in", stream=True)
+    q = start_dim_sync(raw, store, _one_table(spark), f"{scratch}/ck", available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert {r.cells["x"] for r in store.read_table("dim_b").collect()} == {"new"}
+
+
+def test_stream_lines_get_the_positions_of_the_batch_read(spark, scratch):
+    import random
+
+    from wharf.sources.files import with_positions
+
+    os.makedirs(f"{scratch}/in")
+    for f in range(3):
+        with open(f"{scratch}/in/f{f}.txt", "w") as fh:
+            fh.write("\n".join(f"{f} {random.Random(f * 1000 + i).random()}" for i in range(500)))
+    got = []
+    raw = text_records(spark, f"{scratch}/in", stream=True)
+    q = raw.writeStream.foreachBatch(lambda b, i: got.extend(map(tuple, with_positions(b).collect()))).option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    assert q.exception() is None and sorted(got) == sorted(map(tuple, text_records(spark, f"{scratch}/in").collect()))
+
+
+def test_stream_repair_needs_no_python_and_spreads_a_hot_device(spark):
+    n = 4000
+    rows = [(json.dumps({"common": {"mid": "hot", "is_new": "1"}, "page": {"p": i}, "ts": 1_700_000_000_000 + i * 40_000}), 0, i) for i in range(n)]
+    batch = spark.createDataFrame(rows, "value string, partition int, offset bigint")
+    out = batch_records(batch, spark.createDataFrame([], "mid string, dt string"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # a batch this small would be put together again
+    spark.conf.set(key, "false")
+    try:
+        pages = out.where("route = 'page'").withColumn("task", F.spark_partition_id())
+        held = [r["count"] for r in pages.groupBy("task").count().collect()]
+    finally:
+        spark.conf.set(key, "true")
+    assert sum(held) == n and len(held) >= 4 and max(held) < n / 2
+    assert [(r.value, r.reason) for r in out.where("route = 'device'").collect()] == [("hot", "2023-11-15")]
+
+
+# ------------------------------------------------------------------ recovery (A3): a job dies at each of its writes
+
+
+class _Dies(Exception):
+    pass
+
+
+def _die_before(monkeypatch, piece):
+    """The first write to a path that holds ``piece`` fails."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    real, left = DataFrameWriter.parquet, [1]
+
+    def parquet(self, path, *args, **kwargs):
+        if piece in path and left[0]:
+            left[0] -= 1
+            raise _Dies(piece)
+        return real(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return left
+
+
+def _rows_of(spark, path, *drop):
+    return sorted(repr(r) for r in spark.read.parquet(path).drop(*drop).collect())
+
+
+@pytest.mark.parametrize("piece", ["/quarantine/batch=1", "/devices/batch=1", "/late/batch=1"])
+def test_log_stream_recovers_from_a_death_at_each_write(spark, scratch, monkeypatch, piece):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    _write_chunks(spark, log_envelope(ev), scratch, [(0, 300), (300, 700), (700, 10**9)])
+
+    def run(name):
+        raw = text_records(spark, f"{scratch}/flat", stream=True, max_files_per_trigger=1)
+        q = start_log_split(raw, f"{scratch}/{name}", f"{scratch}/{name}-ck", available_now=True)
+        try:
+            q.awaitTermination(300)
+        except Exception as e:
+            assert "_Dies" in str(e)
+
+    run("clean")
+    left = _die_before(monkeypatch, piece)
+    run("again")
+    assert not left[0]
+    run("again")
+    for sub in ("routes", "quarantine"):
+        assert _rows_of(spark, f"{scratch}/again/{sub}") == _rows_of(spark, f"{scratch}/clean/{sub}")
+    assert _rows_of(spark, f"{scratch}/again-ck/state/devices", "seen") == _rows_of(spark, f"{scratch}/clean-ck/state/devices", "seen")
+    assert _rows_of(spark, f"{scratch}/again-ck/state/late") == _rows_of(spark, f"{scratch}/clean-ck/state/late")
+
+
+@pytest.mark.parametrize("piece", ["/ddl/run=0/batch=1", "/_quarantine/run=0/batch=1", "/done/run=0/batch=1"])
+def test_dim_stream_recovers_from_a_death_at_each_write(spark, scratch, monkeypatch, piece):
+    part = spark.read.parquet(f"{SF}/part.parquet").where("p_partkey < 60")
+    seq = F.col("offset") % 16
+    staged = part_changes(part).withColumn("offset", F.when(seq <= 1, seq).otherwise(2) * 10**9 + F.col("offset"))
+    _write_chunks(spark, staged, scratch, [(0, 10**9), (10**9, 2 * 10**9), (2 * 10**9, 10**12)])
+    p = json.loads(CONFIG_FEED[0])["after"]
+    events = [(1, "r", None, p), (2, "u", p, dict(p, sink_columns="p_partkey,p_name"))]
+
+    def run(name):
+        from wharf.sources.kafka import config_change_feed
+
+        feed = lambda: config_change_feed(spark, f"{scratch}/cfg")
+        store = DimStore(spark, f"{scratch}/{name}")
+        work = lambda b, i: (_config_file(scratch, "0", events[: 1 + (i > 0)]), dim_sync_batch(
+            b, i, store, lambda: current_config(parse_config(feed())), changes=lambda: config_changes(feed())))
+        raw = text_records(spark, f"{scratch}/flat", stream=True, max_files_per_trigger=1)
+        q = raw.writeStream.foreachBatch(work).option("checkpointLocation", f"{scratch}/{name}-ck").trigger(availableNow=True).start()
+        try:
+            q.awaitTermination(300)
+        except Exception as e:
+            assert "_Dies" in str(e)
+        return store
+
+    want = run("clean").read_table("dim_part").collect()
+    left = _die_before(monkeypatch, piece)
+    run("again")
+    assert not left[0]
+    store = run("again")
+    assert len(want) and sorted(map(repr, store.read_table("dim_part").collect())) == sorted(map(repr, want))
+    assert _rows_of(spark, f"{scratch}/again/_quarantine") == _rows_of(spark, f"{scratch}/clean/_quarantine")
+    assert _rows_of(spark, f"{scratch}/again/ddl") == _rows_of(spark, f"{scratch}/clean/ddl")
 
 
 def test_effects_of_batches_fold_to_the_table(spark):
@@ -359,37 +530,15 @@ def test_log_stream_with_state_ttl(spark, scratch):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])
     raw = text_records(spark, f"{scratch}/flat", stream=True)
-    # With a TTL the state runs in processing time, which keeps scheduling empty batches for state
-    # upkeep; a drain-and-stop run switches those off so availableNow can finish.
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        q = (log_split_stream(raw, ttl_ms=7 * 24 * 3600 * 1000).writeStream.format("parquet").option("path", f"{scratch}/o")
-             .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
-        finished = q.awaitTermination(300)
-        if not finished:
-            q.stop()
-    finally:
-        spark.conf.set(key, old)
-    assert finished and q.exception() is None
-    s = spark.read.parquet(f"{scratch}/o").select("route", "value")
+    q = start_log_split(raw, f"{scratch}/o", f"{scratch}/ck", available_now=True, ttl_ms=7 * 24 * 3600 * 1000)
+    assert q.awaitTermination(300) and q.exception() is None
+    s = spark.read.parquet(f"{scratch}/o/routes").select("route", "value")
     b = log_split(text_records(spark, f"{scratch}/flat")).select("route", "value")
     assert s.count() == b.count() > 0 and s.exceptAll(b).count() == 0
-
-
-def test_start_log_split_with_ttl_drains_and_stops(spark, scratch):
-    from wharf.streaming.log_stream import start_log_split
-
-    ev = spark.read.parquet(f"{SF}/events.parquet")
-    _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])
-    raw = text_records(spark, f"{scratch}/flat", stream=True)
-    qs = start_log_split(raw, f"{scratch}/out", f"{scratch}/ck", available_now=True, ttl_ms=86_400_000)
-    done = [q.awaitTermination(300) for q in qs]
-    for q in qs:
-        if q.isActive:
-            q.stop()
-    assert all(done) and spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+    state = f"{scratch}/ck/state"
+    assert known_devices(spark, state, 1, 3_600_000).count() == known_devices(spark, state, 1).count() > 0
+    assert known_devices(spark, state, 1, 1).count() == 0  # all are older than a millisecond
+    assert known_devices(spark, state, 0).count() == 0  # a batch sees earlier batches only
 
 
 def test_cli_dim_sync_batch(spark, scratch):
@@ -451,10 +600,12 @@ def test_cli_dim_stream_with_preload_then_compaction(spark, scratch):
     exp = apply_changes(dim_changes(trim(route(cdc_clean(part_changes(part)), config)))).select("row_key", F.to_json("cells").alias("c"))
     got = store.read_table("dim_part").select("row_key", F.to_json("cells").alias("c"))
     assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
-    assert len(store.current()["dim_part"]["versions"]) == 2
+    assert store.effects(["dim_part"]).select("n").distinct().count() == 2
     _cli("dim-compact", "--store", f"{scratch}/store")
+    store = DimStore(spark, f"{scratch}/store")
+    spark.sql("REFRESH TABLE gmall.dim_part")
     got = store.read_table("dim_part").select("row_key", F.to_json("cells").alias("c"))
-    assert len(store.current()["dim_part"]["versions"]) == 1 and got.count() == exp.count() and got.exceptAll(exp).count() == 0
+    assert store.effects(["dim_part"]).select("n").distinct().count() == 1 and got.count() == exp.count() and got.exceptAll(exp).count() == 0
 
 
 def test_cli_sql_job(spark, scratch):

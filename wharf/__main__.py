@@ -19,7 +19,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from wharf.config import DimJobOptions, LogJobOptions, StreamOptions
-from wharf.session import CLUSTER_CONF
+from wharf.session import with_cluster_conf
 
 
 def _source(spark: SparkSession, a: argparse.Namespace, stream: bool):
@@ -33,17 +33,18 @@ def _source(spark: SparkSession, a: argparse.Namespace, stream: bool):
 
 
 def _config(spark: SparkSession, a: argparse.Namespace):
-    """The live config, read anew at each call: the change feed over the snapshot taken at the start."""
-    from wharf.operators.cdc import CONFIG_FIELDS, current_config, parse_config
+    """The live config and its changes, read anew at each call: the change feed over the snapshot taken at the start."""
+    from wharf.operators.cdc import CONFIG_FIELDS, config_changes, current_config, parse_config
     from wharf.sources.jdbc import read_config_snapshot
     from wharf.sources.kafka import config_change_feed
 
+    feed = lambda: config_change_feed(spark, a.config)
     snapshot = None
     if a.preload_jdbc:
         snapshot = read_config_snapshot(spark, a.preload_jdbc, a.preload_table)
     elif a.preload:
         snapshot = spark.read.schema(", ".join(f"{f} string" for f in CONFIG_FIELDS)).json(a.preload)
-    return lambda: current_config(parse_config(config_change_feed(spark, a.config)), preload=snapshot)
+    return lambda: current_config(parse_config(feed()), preload=snapshot), lambda: config_changes(feed(), snapshot)
 
 
 def _refused(spark: SparkSession, a: argparse.Namespace):
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--store")
     p.add_argument("--checkpoint")
     p.add_argument("--batch-id", type=int, default=0)
-    p.add_argument("--writer", help="name that batch ids belong to; a new checkpoint needs a new one")
+    p.add_argument("--run", type=int, default=0, help="number that batch ids belong to; a new checkpoint needs the next one")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--max-files", type=int, help="files of a micro-batch")
     p.add_argument("--max-offsets", type=int, default=1_000_000, help="Kafka records of a micro-batch")
@@ -83,10 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--null-cells", default=DimJobOptions.null_cells, choices=["keep_old", "overwrite"])
     a = p.parse_args(argv)
 
-    builder = SparkSession.builder.appName(f"wharf-{a.job}")
-    # the stateful log stream needs a state store with several column families
-    key = "spark.sql.streaming.stateStore.providerClass"
-    spark = builder.config(key, CLUSTER_CONF[key]).getOrCreate()
+    spark = with_cluster_conf(SparkSession.builder.appName(f"wharf-{a.job}")).getOrCreate()
     log_opts = LogJobOptions(tz=a.tz, rule=a.rule, flag_type=a.flag_type, watermark=a.watermark)
     dim_opts = DimJobOptions(database=a.database, null_cells=a.null_cells)
 
@@ -112,27 +110,28 @@ def main(argv: list[str] | None = None) -> None:
         from wharf.sinks.dimstore import DimStore
         from wharf.streaming.dim_stream import dim_sync_batch
 
-        store = DimStore(spark, a.store, writer=a.writer or "batch")
-        if store.committed(a.batch_id):
-            p.error(f"--batch-id {a.batch_id} of writer {store.writer} is committed already")
-        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, store, _config(spark, a), dim_opts, refused=_refused(spark, a))
+        store = DimStore(spark, a.store, run=a.run)
+        if store.last_batch() >= a.batch_id:
+            p.error(f"run {a.run} has finished batch {store.last_batch()}; --batch-id must be greater")
+        live, changes = _config(spark, a)
+        dim_sync_batch(_source(spark, a, stream=False), a.batch_id, store, live, dim_opts, refused=_refused(spark, a), changes=changes)
     elif a.job == "log-stream":
         from wharf.streaming.log_stream import start_log_split
 
         ttl = int(a.ttl_hours * 3_600_000) if a.ttl_hours else None
-        qs = start_log_split(
+        q = start_log_split(
             _source(spark, a, stream=True), a.output, a.checkpoint, log_opts,
             available_now=a.available_now, trigger_interval=a.trigger, ttl_ms=ttl, kafka=a.kafka_out,
         )
-        for q in qs:
-            q.awaitTermination()
+        q.awaitTermination()
     else:
         from wharf.sinks.dimstore import DimStore
         from wharf.streaming.dim_stream import start_dim_sync
 
+        live, changes = _config(spark, a)
         q = start_dim_sync(
-            _source(spark, a, stream=True), DimStore(spark, a.store, writer=a.writer or "stream"), _config(spark, a), a.checkpoint,
-            dim_opts, available_now=a.available_now, trigger_interval=a.trigger, refused=_refused(spark, a),
+            _source(spark, a, stream=True), DimStore(spark, a.store, run=a.run), live, a.checkpoint,
+            dim_opts, available_now=a.available_now, trigger_interval=a.trigger, refused=_refused(spark, a), changes=changes,
         )
         q.awaitTermination()
 

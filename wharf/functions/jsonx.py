@@ -74,6 +74,21 @@ def drop_null_values(m: Column) -> Column:
     return F.map_filter(m, lambda _k, v: ~F.is_variant_null(v))
 
 
+# One JSON string; a member with a null value and the comma before it (a string that a colon follows is a
+# key); a comma left at the start of an object.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_NULL_MEMBER = rf'({_STRING}(?!:null[,}}]))|,?{_STRING}:null(?=[,}}])'
+_FIRST_COMMA = rf'({_STRING})|(?<=\{{),'
+
+
+def drop_null_members(json: Column) -> Column:
+    """Compact JSON text without the null-valued members of its objects, at every depth; nulls in arrays stay.
+
+    The text is read string by string, so what looks like a member inside a string is left alone."""
+    bare = F.regexp_replace(F.regexp_replace(json, _NULL_MEMBER, "$1"), _FIRST_COMMA, "$1")
+    return F.when(json.contains(":null"), bare).otherwise(json)
+
+
 def put(m: Column, entries: dict[str, Column]) -> Column:
     """Set keys on an object map, overwriting; values are variants. ``map_concat`` refuses repeated
     keys under the default policy, so the keys are filtered out first."""
@@ -91,5 +106,5 @@ def to_variant_object(m: Column) -> Column:
 
 
 def to_json_text(m: Column) -> Column:
-    """Object map -> JSON text, null-valued top-level keys left out. Key order is free; compare parsed."""
-    return F.to_json(drop_null_values(m))
+    """Object map -> JSON text, null-valued keys left out at every depth. Key order is free; compare parsed."""
+    return drop_null_members(F.to_json(drop_null_values(m)))

@@ -76,17 +76,39 @@ def cdc_quarantine(raw: DataFrame, database: str = SOURCE_DATABASE, value_col: s
 def parse_config(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Config change text -> ``(<raw columns but value>, source_table, sink_table, sink_family,
     sink_columns, sink_row_key, op)``. ``d`` takes the fields from ``before``; ``c``, ``r``, ``u`` and
-    anything else from ``after``."""
+    anything else from ``after``. A change that renames ``source_table`` is also a ``d`` of the old name."""
     cfg = F.from_json(F.col(value_col), CONFIG_SCHEMA)
-    img = F.when(cfg["op"] == CONFIG_DELETE_OP, cfg["before"]).otherwise(cfg["after"])
+    op, before, after = cfg["op"], cfg["before"], cfg["after"]
+    row = lambda o, img: F.struct(o.alias("op"), img.alias("img"))
+    own = row(op, F.when(op == CONFIG_DELETE_OP, before).otherwise(after))
+    rows = F.when(_renames(op, before, after), F.array(row(F.lit(CONFIG_DELETE_OP), before), own)).otherwise(F.array(own))
     keep = [x for x in raw.columns if x != value_col]
-    return raw.select(*keep, img.alias("img"), cfg["op"].alias("op")).select(
-        *keep, *[F.col("img")[f].alias(f) for f in CONFIG_FIELDS], "op"
-    )
+    return raw.select(*keep, F.inline(rows)).select(*keep, *[F.col("img")[f].alias(f) for f in CONFIG_FIELDS], "op")
+
+
+def _renames(op: Column, before: Column, after: Column) -> Column:
+    return (op != CONFIG_DELETE_OP) & (before["source_table"] != after["source_table"])
+
+
+def config_changes(raw: DataFrame, preload: DataFrame | None = None, order: str = "offset", value_col: str = "value") -> DataFrame:
+    """The config feed as changes to walk (K9): ``source_table .. sink_row_key`` and ``op`` as
+    :func:`parse_config` has them, ``o`` (the order), ``before`` and ``after``. Changes that the current config
+    refuses are left out. ``preload`` rows are ``r`` changes before the whole feed."""
+    cfg = F.from_json(F.col(value_col), CONFIG_SCHEMA)
+    img = F.when(cfg["op"] == CONFIG_DELETE_OP, cfg["before"]).otherwise(cfg["after"])
+    fields = [F.col("img")[f].alias(f) for f in CONFIG_FIELDS]
+    rows = raw.select(F.col(order).cast("long").alias("o"), cfg["op"].alias("op"), cfg["before"].alias("before"), cfg["after"].alias("after"), img.alias("img"))
+    rows = rows.select(*fields, "op", "o", "before", "after").where("o IS NOT NULL")
+    if preload is not None:
+        after = F.struct(*[F.col(f).cast("string").alias(f) for f in CONFIG_FIELDS])
+        first = preload.select(*CONFIG_FIELDS, F.lit("r").alias("op"), F.lit(-(1 << 62)).alias("o"), F.lit(None).cast(rows.schema["before"].dataType).alias("before"), after.alias("after"))
+        rows = first.unionByName(rows)
+    return validate_config(rows).where("reason IS NULL").drop("reason")
 
 
 def validate_config(cfg: DataFrame) -> DataFrame:
-    """Add ``reason`` (NULL when valid). D10: one column family per table; a list is refused."""
+    """Add ``reason`` (NULL when valid). D10: one column family per table; a list is refused, and so is a table
+    name that a catalog cannot hold."""
     fam = F.trim(F.col("sink_family"))
     reason = (
         F.when(F.col("op").isNull(), F.lit("no_op"))
@@ -94,6 +116,7 @@ def validate_config(cfg: DataFrame) -> DataFrame:
         .when(F.col("op") == CONFIG_DELETE_OP, F.lit(None).cast("string"))
         .when(F.col("sink_table").isNull() | F.col("sink_row_key").isNull(), F.lit("incomplete"))
         .when(fam.contains(","), F.lit("multiple_families"))
+        .when(~F.col("sink_table").rlike(r"\A\w+\z"), F.lit("bad_table_name"))
     )
     return cfg.withColumn("reason", reason)
 
@@ -165,18 +188,18 @@ def dim_changes(trimmed: DataFrame) -> DataFrame:
     return trimmed.where(F.col("row_key").isNotNull())
 
 
-def judge_changes(raw: DataFrame, config: DataFrame, tables: list[str], database: str = SOURCE_DATABASE) -> DataFrame:
+def judge_changes(raw: DataFrame, config: DataFrame, tables: DataFrame, database: str = SOURCE_DATABASE) -> DataFrame:
     """Every change that concerns this job, parsed and routed once, with ``reason`` (NULL: it can be applied
-    to one of ``tables``): bad records, changes without a row key, changes of a table that is not there.
-    ``value`` stays with those that have a reason; changes of tables without a config row are gone (D6)."""
+    to one of ``tables``, by ``sink_table``): bad records, changes without a row key, changes of a table that is
+    not there. ``value`` stays with those that have a reason; changes of tables without a config row are gone (D6)."""
     c = classify_changes(raw, database).drop(REC).where("status <> 'skip'")
-    side = config.select(*CONFIG_FIELDS)
+    side = config.select(*CONFIG_FIELDS).join(tables.select("sink_table", F.lit(True).alias("_there")), "sink_table", "left")
     keep = F.col("status") == "keep"
     routed = c.join(side, keep & (c["table"] == side["source_table"]), "left").drop("source_table")
     reason = (
         F.when(~keep, F.col("status"))
         .when(F.col("row_key").isNull(), F.lit("no_row_key"))
-        .when(~F.coalesce(F.col("sink_table").isin(tables), F.lit(False)), F.lit("no_table"))
+        .when(F.col("_there").isNull(), F.lit("no_table"))
     )
     judged = trim(routed.where(~keep | F.col("sink_table").isNotNull())).withColumn("reason", reason)
     text = F.when(F.col("reason").isNotNull(), F.col("value"))

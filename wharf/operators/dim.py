@@ -73,12 +73,17 @@ def row_effects(changes: DataFrame, null_cells: str = "keep_old", order: tuple[s
 
 def fold_effects(effects: DataFrame, n: str = "n") -> DataFrame:
     """The table that :func:`row_effects` of batches numbered ``n`` lead to, applied in that order."""
+    return _rows(fold_to_effects(effects, n))
+
+
+def fold_to_effects(effects: DataFrame, n: str = "n") -> DataFrame:
+    """:func:`row_effects` of several batches as those of one."""
     none = F.lit(None).cast("string")
     marker = F.array(F.struct(none.alias("col"), none.alias("val"), F.lit(0).alias("s")))
     cells = F.transform(F.map_entries("cells"), lambda e: F.struct(e["key"].alias("col"), e["value"].alias("val"), F.lit(1).alias("s")))
     w = effects.select("sink_table", "row_key", "family", F.col(n).alias("_n"), F.inline(F.when(F.col("cleared"), F.concat(marker, cells)).otherwise(cells)))
     w = w.select("sink_table", "row_key", "family", F.struct("_n", "s").alias("o"), "col", "val")
-    return _rows(_fold(w, "overwrite"))
+    return _fold(w, "overwrite")
 
 
 def _rows(folded: DataFrame) -> DataFrame:

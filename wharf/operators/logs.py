@@ -7,7 +7,7 @@ into a ``log map<string,variant>`` column, so fields the jobs do not know surviv
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,62 +181,81 @@ def apply_repair(log: Column, repair: Column, flag_type: str) -> Column:
     return F.when(repair, put(log, {"common": new_common})).otherwise(log)
 
 
+def device_buckets(clean: DataFrame) -> int:
+    """Buckets that a device's logs are dealt to: a sixteenth of the shuffle partitions, 16 at least."""
+    return max(16, int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 16)
+
+
 def fix_is_new(
     clean: DataFrame,
     rule: str = "later_day",
     flag_type: str = "string",
     tz: str = DEFAULT_TZ,
     tie: tuple[str, ...] = ("partition", "offset"),
-    salt: int = 16,
+    salt: int | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """T3, batch form: repair the new-visitor flag per device.
+    """Repair the new-visitor flag per device.
 
-    Each device stores one date, set once by its first log (in ``(ts, partition, offset)`` order, as the stream) whose flag is ``1``
+    Each device stores one date, set once by its first log (in ``(ts, partition, offset)`` order) whose flag is ``1``
     (that log's date) or ``0`` (the day before). A later ``1`` log is repaired per ``rule``. Every log is
     emitted. Adds ``is_new`` (the flag after repair, as text).
 
-    Plan: the stored date is fixed by one log per device, so it is a keyed minimum, not a running
-    state. ``min(struct((ts, tie), date))`` per ``mid`` aggregates map-side (a device holding a third of
-    all logs collapses before the shuffle), and a join hands it back; a log sees the date only if the
-    setting log precedes it. No window over a device's logs, so a hot device is never one sorted task.
+    ``known`` (``mid, dt``, one row per device; a stream's earlier batches) are dates stored already: such a
+    device's logs all compare with that date. The result then also has ``sets``: the date that a log
+    stores, on the one log of each new device that does.
 
-    The join is salted: each log takes a bucket ``hash(partition, offset) mod salt`` and each device's one setter
-    row is copied to every bucket, so a hot device's logs spread over ``salt`` partitions. Both join
-    sides then arrive as plain shuffles, so AQE can still split a partition that stays skewed, or turn
-    the join into a broadcast once the per-device table is measured small. ``salt=1`` turns it off.
+    Plan: the input is read and parsed once, and its logs are shuffled once, by device and bucket
+    (``hash(partition, offset) mod salt``, :func:`device_buckets` by default). That one exchange feeds both
+    the keyed minimum ``min(struct((ts, tie), date))`` and the logs that it is joined to. No window runs
+    over a device's logs: a device holding a third of all logs lies over ``salt`` partitions, and its
+    minimum comes from one row per bucket. A bucket's row goes back to that bucket alone, so a device has
+    as many copies as it has buckets with logs (one, for a device with one log).
     """
+    salt = device_buckets(clean) if salt is None else salt
     if salt < 1:
         raise ValueError("salt must be >= 1")
     log, ts = F.col(LOG), F.col("ts")
     ties = [c for c in tie if c in clean.columns]
-    order = F.struct(ts.alias("ts"), *[F.col(c) for c in ties])
     # A frame that still holds bad logs (a ``reason`` column) passes them through untouched.
     good = F.col("reason").isNull() if "reason" in clean.columns else F.lit(True)
-    setters = (
-        clean.where(good)
-        .select("mid", order.alias("o"), first_seen_candidate(log, ts, tz).alias("dt"))
-        .where(F.col("dt").isNotNull())
-        .groupBy("mid")
-        .agg(F.min(F.struct("o", "dt")).alias("_first"))
-    )
-    if salt > 1:
-        setters = setters.select("mid", "_first", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
-        h = F.xxhash64(*ties)
-        # Logs without a device (bad ones riding along) can never match; a wide salt spreads them over
-        # every partition instead of the few buckets a NULL key would share.
-        bucket = F.when(F.col("mid").isNull(), F.pmod(h, F.lit(1 << 30))).otherwise(F.pmod(h, F.lit(salt)))
-        left = clean.withColumn("_salt", bucket.cast("int"))
-        j = left.join(setters, ["mid", "_salt"], "left")
+    h = F.xxhash64(*ties)
+    # Logs without a device (bad ones riding along) never match; they spread over every partition.
+    bucket = F.when(F.col("mid").isNull(), F.pmod(h, F.lit(1 << 30))).otherwise(F.pmod(h, F.lit(salt)))
+    dealt = clean.select(
+        "mid",
+        bucket.cast("int").alias("_bucket"),
+        *[F.col(c) for c in clean.columns if c != "mid"],
+        F.struct(ts.alias("ts"), *[F.col(c) for c in ties]).alias("_o"),
+        F.when(good, first_seen_candidate(log, ts, tz)).alias("_dt"),
+        good.alias("_good"),
+    ).repartition("mid", "_bucket")
+    # Behind a one-row generator both readers of the exchange need all of its columns, so its two
+    # occurrences stay the same plan and Spark runs it once.
+    rest = [c for c in dealt.columns if c not in ("mid", "_bucket")]
+    held = dealt.select("mid", "_bucket", F.inline(F.array(F.struct(*rest))))
+    # the keys come out as aggregates, so that no filter on them reaches one reader's side of the exchange
+    cells = held.groupBy("mid", "_bucket").agg(
+        F.min("mid").alias("_m"), F.min("_bucket").alias("_b"), F.max("_good").alias("_any"),
+        F.min(F.when(F.col("_dt").isNotNull(), F.struct("_o", "_dt"))).alias("_first"),
+    ).where("_any").select("_m", "_b", "_first")
+    cells = cells.select("_m", "_b", F.min("_first").over(Window.partitionBy("_m")).alias("_first"))
+    if known is None:
+        stored = F.lit(None).cast("string")
     else:
-        j = clean.join(setters, "mid", "left")
-    prev = F.when(good & (F.col("_first.o") < order), F.col("_first.dt"))
+        cells = cells.join(known.select(F.col("mid").alias("_k"), F.col("dt").alias("_stored")), F.col("_m") == F.col("_k"), "left").drop("_k")
+        stored = F.col("_stored")
+    j = held.join(cells, (F.col("mid") == F.col("_m")) & (F.col("_bucket") == F.col("_b")), "left")
+    later = F.when(F.col("_good") & (F.col("_first._o") < F.col("_o")), F.col("_first._dt"))
+    prev = F.when(F.col("_good"), F.coalesce(stored, later))
     flag = get_string(log["common"], "$.is_new")
     repair = repair_condition(flag, prev, ts_to_date(ts, tz), rule)
-    cols = [c for c in clean.columns if c != LOG]
+    sets = F.when(F.col("_good") & stored.isNull() & (F.col("_first._o") == F.col("_o")), F.col("_dt"))
     return j.select(
-        *cols,
+        *[c for c in clean.columns if c != LOG],
         apply_repair(log, repair, flag_type).alias(LOG),
         F.when(repair, F.lit("0")).otherwise(flag).alias("is_new"),
+        *([] if known is None else [sets.alias("sets")]),
     )
 
 

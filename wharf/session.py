@@ -5,13 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
-# Settings for a large cluster (set at submit time; shown here so the jobs' assumptions are explicit).
+# Settings for a large cluster, which the job entries apply where the submit command says nothing else.
 # AQE re-plans at runtime: coalesces small shuffle partitions, splits skewed join partitions, and
-# turns joins into broadcasts only after measuring the small side. The RocksDB state store keeps the
-# per-device state off-heap and bounded in memory.
+# turns joins into broadcasts only after measuring the small side.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -19,13 +19,22 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
 
+def with_cluster_conf(builder: SparkSession.Builder) -> SparkSession.Builder:
+    """The settings of ``CLUSTER_CONF`` that neither the submit command nor the defaults file names. A session
+    that is there already keeps its own."""
+    if SparkSession.getActiveSession() is not None:
+        return builder
+    named = SparkConf()
+    for key, value in CLUSTER_CONF.items():
+        if not named.contains(key):
+            builder = builder.config(key, value)
+    return builder
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wharf") -> SparkSession:
     """A local session configured like the cluster jobs expect (AQE on, UI off, UTC session zone).
 
@@ -48,10 +57,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -21,22 +21,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spread(spark.read.parquet(path))
 
 
+# The line's position is known only where a task reads the file: streams carry the place of its split instead.
+SPLIT = "_split"
+
+
+def with_positions(batch: DataFrame) -> DataFrame:
+    """A micro-batch of :func:`text_records` with ``offset``, the line's position in its file, as the batch
+    read gives it. Call it on the micro-batch itself, before any shuffle. Other frames stay as they are."""
+    if SPLIT not in batch.columns:
+        return batch
+    line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return batch.select("value", "partition", (F.col(SPLIT) + line).alias("offset"))
+
+
 def text_records(spark: SparkSession, path: str, stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Text files, one record per line, as ``(value, partition, offset)``.
 
-    ``partition`` is a hash of the file path. In batch, ``offset`` is the line's position in its file: the
-    split's start, then the line's number in the task (splits of a megabyte or more; a retried task reads
-    the same lines in the same order). Streams have no line numbers in Spark: there ``offset`` is a 64-bit
-    hash of the line, which only breaks ties between logs with equal ``ts`` the same way each time.
+    ``partition`` is a hash of the file path; ``offset`` is the line's position in its file: the split's
+    start, then the line's number in the task (splits of a megabyte or more; a retried task reads the same
+    lines in the same order). A stream has no line numbers until a micro-batch is there: it has the
+    split's place (``_split``) instead, and :func:`with_positions` gives the micro-batch its ``offset``.
     """
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.format("text").load(path)
-    line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     split = F.shiftleft(F.shiftright(F.col("_metadata.file_block_start"), 20), 33)
-    return df.select(
-        F.col("value"),
-        F.pmod(F.hash(F.col("_metadata.file_path")), F.lit(2**31 - 1)).alias("partition"),
-        (F.xxhash64(F.col("value")) if stream else split + line).alias("offset"),
-    )
+    partition = F.pmod(F.hash(F.col("_metadata.file_path")), F.lit(2**31 - 1))
+    placed = df.select(F.col("value"), partition.alias("partition"), split.alias(SPLIT))
+    return placed if stream else with_positions(placed)

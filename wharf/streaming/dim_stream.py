@@ -1,17 +1,17 @@
 """The dimension-sync job as a stream: one ``foreachBatch`` per micro-batch of change records.
 
-Per batch: read the live config (T5, re-read every batch so config changes take effect), run the DDL
-its diff asks for (K9), parse, route by the config (J1) and trim (P4) every change once, append
-what the batch does to each row key (T6) to the change logs of the tables, quarantine the rest with its
-text, then commit. Retried batches rewrite the same directories; a batch already committed is skipped
-(exactly-once per batch id).
+Per batch: take the live config (T5, read anew every batch so that changes take effect), walk the config
+changes that came since the last batch through the catalog (K9), parse, route by the config (J1) and trim
+(P4) every change once, append what the batch does to each row key (T6) to its table, and quarantine the
+rest with its text. Every write is named by the batch and made whole, and a batch reads only what earlier
+ones wrote, so a batch that died anywhere and is run again leaves what one run would have left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -19,9 +19,7 @@ from wharf.config import DimJobOptions, StreamOptions
 from wharf.operators.cdc import judge_changes
 from wharf.operators.dim import row_effects
 from wharf.sinks.dimstore import DimStore, plan_ddl
-
-
-BROADCAST_BYTES = 8 << 20
+from wharf.sources.files import with_positions
 
 
 def dim_sync_batch(
@@ -32,42 +30,28 @@ def dim_sync_batch(
     opts: DimJobOptions = DimJobOptions(),
     cache: bool = False,
     refused: Callable[[], DataFrame] | None = None,
+    changes: Callable[[], DataFrame] | None = None,
 ) -> None:
-    """``cache``: keep the parsed batch between its two writes (a micro-batch is bounded by its trigger;
-    all of a batch job's input is not, so that one reads its input twice). ``refused``: the config records
-    that take no part (``config_quarantine``), kept as of the last batch under ``_config_refused``."""
-    if store.committed(batch_id):
-        return  # this writer's batch is in the manifest: a replay after restart
-    spark = batch.sparkSession
-    cfg = config()
-    cfg_rows = [r.asDict() for r in cfg.collect()]  # read once per batch: the DDL and the join see the same rows
-    cfg_df = spark.createDataFrame(cfg_rows, cfg.schema) if cfg_rows else cfg
-    # the rows are here, so their size is known: small ones are broadcast, others meet in a shuffle join
-    small = sum(len(str(v or "")) + 16 for r in cfg_rows for v in r.values()) <= BROADCAST_BYTES
-    joined = F.broadcast(cfg_df) if small else cfg_df
-    entries: list[tuple[str, str | None, bool, str | None]] = []
-    cur = store.current()  # tables as the last committed batch left them
-    for action, table, fam in plan_ddl(store.previous_config(), cfg_rows):
-        exists = table in cur and not cur[table]["dropped"]
-        if action == "drop" and exists:
-            entries.append((table, None, True, None))
-            cur[table] = {"dropped": True, "family": None}
-        elif action == "create" and fam and not exists:
-            entries.append((table, None, False, fam))
-            cur[table] = {"dropped": False, "family": fam}
-
-    live = [t for t, e in cur.items() if not e["dropped"]]
-    judged = judge_changes(batch, joined, live, opts.database)
+    """``changes``: the config feed's changes in order (``config_changes``), for the tables' DDL; without a feed,
+    the config as a whole is compared with the one noted before. Only changed config rows reach the driver.
+    ``cache``: keep the parsed batch between its two writes (a micro-batch is bounded by its trigger; all of a
+    batch job's input is not, so that one reads its input twice). ``refused``: the config records that take no
+    part (``config_quarantine``), kept as of the last batch under ``_config_refused``."""
+    store.attach(batch_id)  # the tables as earlier batches left them, also when this one is run again
+    live = config()
+    noted = store.new_config_changes(changes(), batch_id) if changes else store.changed_config(live, batch_id)
+    store.run_ddl(batch_id, plan_ddl(noted))
+    judged = judge_changes(with_positions(batch), live, store.tables(batch_id + 1), opts.database)
     judged = judged.persist() if cache else judged
     try:
-        n = store.next_number(batch_id)
-        touched = store.write_effects(batch_id, n, row_effects(judged.where("reason IS NULL"), opts.null_cells))
-        entries += [(t, store.version(batch_id), False, cur[t]["family"]) for t in touched]
+        seen = Observation()
+        effects = row_effects(judged.where("reason IS NULL"), opts.null_cells)
+        store.write_effects(batch_id, effects.observe(seen, F.collect_set("sink_table").alias("tables")), lambda: seen.get.get("tables") or [])
         bad = judged.where("reason IS NOT NULL").select("value", "reason")
-        bad.write.mode("overwrite").parquet(f"{store.root}/_quarantine/{store.version(batch_id)}")
+        bad.write.mode("overwrite").parquet(f"{store.root}/_quarantine/run={store.run}/batch={batch_id}")
         if refused is not None:
             refused().write.mode("overwrite").parquet(f"{store.root}/_config_refused")
-        store.commit(batch_id, entries, cfg_df, n)
+        store.finish(batch_id)
     finally:
         if cache:
             judged.unpersist()
@@ -82,12 +66,13 @@ def start_dim_sync(
     available_now: bool = False,
     trigger_interval: str = "5 seconds",
     refused: Callable[[], DataFrame] | None = None,
+    changes: Callable[[], DataFrame] | None = None,
 ):
     """Start the stream; ``checkpoint`` defaults to ``dim_sync`` under ``spark.checkpoint.dir``."""
     from wharf.streaming.runner import run_stream
 
     def sink(df: DataFrame, ck: str) -> DataStreamWriter:
-        w = df.writeStream.foreachBatch(lambda b, i: dim_sync_batch(b, i, store, config, opts, cache=True, refused=refused))
+        w = df.writeStream.foreachBatch(lambda b, i: dim_sync_batch(b, i, store, config, opts, cache=True, refused=refused, changes=changes))
         return w.option("checkpointLocation", ck)
 
     stream = StreamOptions(trigger_interval=trigger_interval, available_now=available_now)
