@@ -575,6 +575,18 @@ def _cli(*args):
     assert done.returncode == 0, done.stderr[-3000:]
 
 
+def test_job_session_applies_cluster_settings_that_nothing_else_names():
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("from wharf.session import job_session; s = job_session('x'); "
+            "print(s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.files.maxPartitionBytes'))")
+    env = dict(os.environ, PYTHONPATH=root, PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.sql.shuffle.partitions=4 pyspark-shell")
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=200)
+    assert done.stdout.split() == ["4", "256m"], done.stderr[-2000:]
+
+
 def test_cli_log_stream_in_its_own_process(spark, scratch):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     _write_chunks(spark, log_envelope(ev), scratch, [(0, 10**9)])

@@ -19,7 +19,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from wharf.config import DimJobOptions, LogJobOptions, StreamOptions
-from wharf.session import with_cluster_conf
+from wharf.session import job_session
 
 
 def _source(spark: SparkSession, a: argparse.Namespace, stream: bool):
@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--null-cells", default=DimJobOptions.null_cells, choices=["keep_old", "overwrite"])
     a = p.parse_args(argv)
 
-    spark = with_cluster_conf(SparkSession.builder.appName(f"wharf-{a.job}")).getOrCreate()
+    spark = job_session(f"wharf-{a.job}")
     log_opts = LogJobOptions(tz=a.tz, rule=a.rule, flag_type=a.flag_type, watermark=a.watermark)
     dim_opts = DimJobOptions(database=a.database, null_cells=a.null_cells)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -23,16 +22,18 @@ CLUSTER_CONF = {
 }
 
 
-def with_cluster_conf(builder: SparkSession.Builder) -> SparkSession.Builder:
-    """The settings of ``CLUSTER_CONF`` that neither the submit command nor the defaults file names. A session
-    that is there already keeps its own."""
-    if SparkSession.getActiveSession() is not None:
-        return builder
-    named = SparkConf()
+def job_session(name: str) -> SparkSession:
+    """The session of a job entry: the settings of ``CLUSTER_CONF`` hold where neither the submit command nor
+    the defaults file says otherwise. A session that is there already keeps its own."""
+    there = SparkSession.getActiveSession()
+    if there is not None:
+        return there
+    spark = SparkSession.builder.appName(name).config("spark.ui.enabled", "false").getOrCreate()
+    named = spark.sparkContext.getConf()
     for key, value in CLUSTER_CONF.items():
-        if not named.contains(key):
-            builder = builder.config(key, value)
-    return builder
+        if key.startswith("spark.sql.") and not named.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "wharf") -> SparkSession:
