@@ -173,8 +173,8 @@ def test_split_plan_has_no_python_and_one_generator_pass(spark):
 
 
 def test_hot_device_is_salted_and_split(spark):
-    """One device holds a third of all logs: results equal the replay, and the join runs salted with
-    AQE's skew split available (both join inputs are plain shuffles)."""
+    """One device holds a third of all logs: results equal the replay whatever the number of buckets, and the
+    only window runs over a row per device and bucket."""
     n = 6000
     rows, vals = [], []
     for i in range(n):
@@ -187,23 +187,19 @@ def test_hot_device_is_salted_and_split(spark):
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
     }
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        f = fix_is_new(log_clean(df), salt=2).select("offset", "is_new")
-        got = {r.offset: r.is_new for r in f.collect()}
+        for salt in (1, 2, 40, None):
+            f = fix_is_new(log_clean(df), salt=salt).select("offset", "is_new")
+            assert {r.offset: r.is_new for r in f.collect()} == _replay(rows, "later_day")
         plan = f._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert got == _replay(rows, "later_day")
-    assert "SortMergeJoin(skew=true)" in plan and "_salt" in plan
-    assert "Window" not in plan
+    assert "_bucket" in plan and "windowspecdefinition(_m" in plan and plan.count("Window [") == plan.count("windowspecdefinition(_m")
 
 
 def test_one_plan_for_routes_and_quarantine(spark, scratch):
@@ -244,7 +240,82 @@ def test_bad_rows_without_device_spread_over_partitions(spark):
     df = spark.createDataFrame(vals, "value string, partition int, offset bigint").repartition(8)
     out = log_split_all(df)
     assert out.where("route = 'quarantine'").count() == 1000
-    sizes = (
-        out.where("route = 'quarantine'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
-    )
+    key = "spark.sql.adaptive.coalescePartitions.enabled"  # an input this small would be put together again
+    spark.conf.set(key, "false")
+    try:
+        sizes = (
+            out.where("route = 'quarantine'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        )
+    finally:
+        spark.conf.set(key, "true")
     assert len(sizes) >= 4  # not one partition
+
+
+def test_nulls_are_left_out_at_every_depth(spark):
+    import json
+    import random
+
+    from wharf.functions.jsonx import drop_null_members
+
+    rng = random.Random(2)
+    texts = ["a", '"n":null,', "{,", "x\\", '":null}', "\n{", '"', ",", 'k":null']
+
+    def value(depth):
+        k = rng.random()
+        if k < 0.25 or depth > 3:
+            return None
+        if k < 0.5:
+            return rng.choice(texts)
+        if k < 0.55:
+            return rng.randrange(9)
+        if k < 0.8:
+            return {rng.choice(["a", "b", 'c"', "{", "n:", "null", "\\"]): value(depth + 1) for _ in range(rng.randrange(4))}
+        return [value(depth + 1) for _ in range(rng.randrange(4))]
+
+    def bare(v):
+        if isinstance(v, dict):
+            return {k: bare(x) for k, x in v.items() if x is not None}
+        return [bare(x) for x in v] if isinstance(v, list) else v
+
+    objects = [{"r": value(0), "q": value(0), "z": value(0)} for _ in range(2000)]
+    objects += [{}, {"a": None}, {"a": None, "b": None}, {"t": '\n"\\' * 30000, "n": None}]
+    df = spark.createDataFrame([(json.dumps(o),) for o in objects], "v string")
+    rows = df.select("v", drop_null_members(F.to_json(F.parse_json("v"))).alias("s")).collect()
+    assert all(json.loads(r.s) == bare(json.loads(r.v)) for r in rows)
+
+
+def test_lateness_equals_a_running_maximum_over_blocks(spark, monkeypatch):
+    import random
+
+    from wharf.operators import logs
+
+    monkeypatch.setattr(logs, "LATE_BLOCK", 7)
+    rng = random.Random(4)
+    rows = [(p, o, 10_000 + o * 500 + rng.randrange(-6000, 6000)) for p in (0, 1, None) for o in range(200)]
+    rng.shuffle(rows)
+    found = logs.with_lateness(spark.createDataFrame(rows, "partition int, offset bigint, ts bigint"), 3000).collect()
+    most, wanted = {}, {}
+    for p, o, ts in sorted(rows, key=lambda r: r[1]):
+        wanted[p, o] = p in most and ts < most[p] - 3000
+        most[p] = max(ts, most.get(p, ts))
+    assert {(r.partition, r.offset): r.late for r in found} == wanted and 0 < sum(wanted.values()) < len(rows)
+
+
+def test_repair_reads_and_parses_once_and_shuffles_logs_once(spark, scratch):
+    from wharf.plans.log_job import log_split_all
+    from wharf.sources.files import text_records
+
+    with open(f"{scratch}/a.txt", "w") as fh:
+        for i in range(50):
+            fh.write(json.dumps({"common": {"mid": f"m{i % 7}", "is_new": "1"}, "page": {"p": 1}, "ts": T0 + i}) + "\n")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = log_split_all(text_records(spark, f"{scratch}/a.txt"))
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
+    assert final.count("FileScan") == final.count("from_json") == final.count("ReusedExchange") == 1

@@ -8,8 +8,11 @@ from wharf.operators.logs import fix_is_new, log_clean, log_quarantine, split_lo
 from wharf.plans.log_job import log_split_all
 
 
-def _drop_nulls(d):
-    return {k: v for k, v in d.items() if v is not None}
+def _drop_nulls(v):
+    """Null-valued keys go at every depth; nulls in arrays stay."""
+    if isinstance(v, dict):
+        return {k: _drop_nulls(x) for k, x in v.items() if x is not None}
+    return [_drop_nulls(x) for x in v] if isinstance(v, list) else v
 
 
 def _split(log):

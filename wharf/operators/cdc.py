@@ -8,7 +8,7 @@ are written to a dimension table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wharf.config import BOOTSTRAP_MARKERS, CONFIG_DELETE_OP, DELETE_TYPE, SOURCE_DATABASE
@@ -165,6 +165,25 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     return changes.join(side, changes["table"] == side["source_table"], "inner").drop("source_table")
 
 
+def config_intervals(feed: DataFrame, batch: str = "batch", order: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """The config as each batch saw it, from parsed config changes that say in which batch they were there
+    (``batch``): the config columns, ``from_batch`` and ``to_batch`` (exclusive; NULL: still live). Of the
+    changes of one batch the last counts; a delete ends the row before it and starts none."""
+    cols = [*CONFIG_FIELDS, "op"]
+    f = validate_config(feed).where("reason IS NULL").dropna(subset=[*order, batch])
+    last = f.groupBy("source_table", F.col(batch).alias("from_batch")).agg(F.max_by(F.struct(*cols), _order(*order)).alias("c"))
+    to = F.lead("from_batch").over(Window.partitionBy("source_table").orderBy("from_batch"))  # a row per config change
+    return last.select("c.*", "from_batch", to.alias("to_batch")).where(F.col("op") != CONFIG_DELETE_OP)
+
+
+def route_by_batch(changes: DataFrame, feed: DataFrame, batch: str = "batch", order: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """:func:`route` of many batches in one plan, each change (``batch``) by the config that its batch saw."""
+    side = config_intervals(feed, batch, order).select(*CONFIG_FIELDS, "from_batch", "to_batch")
+    n = F.col(batch)
+    seen = (changes["table"] == side["source_table"]) & (n >= F.col("from_batch")) & (F.col("to_batch").isNull() | (n < F.col("to_batch")))
+    return changes.join(side, seen, "inner").drop("source_table", "from_batch", "to_batch")
+
+
 def sink_column_list(sink_columns: Column) -> Column:
     """Split on ``,`` and trim, so ``"id, name"`` keeps ``name``."""
     return F.transform(F.split(sink_columns, ","), lambda c: F.trim(c))

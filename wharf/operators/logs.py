@@ -148,6 +148,34 @@ def with_event_time(df: DataFrame, watermark: str | None = None, col: str = "eve
     return out.withWatermark(col, watermark) if watermark else out
 
 
+LATE_BLOCK = 1 << 16  # offsets of a source partition that are ordered together
+
+
+def with_lateness(clean: DataFrame, disorder_ms: int = 3000) -> DataFrame:
+    """``partition, offset, ts`` of every log with ``late``: a log before it in its source partition was more
+    than ``disorder_ms`` ahead of it, so a watermark of that disorder had passed it. No log is dropped.
+
+    The greatest time before a log is that of earlier blocks of ``LATE_BLOCK`` offsets (a row per block) or
+    that of the logs before it in its own block, so a partition's logs are never ordered in one task."""
+    rows = clean.select("partition", "offset", "ts", F.floor(F.col("offset") / LATE_BLOCK).alias("_block"))
+    blocks = rows.groupBy("partition", "_block").agg(F.max("ts").alias("_most"))
+    before = Window.partitionBy("partition").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col("partition").alias("_p"), F.col("_block").alias("_b"), F.max("_most").over(before).alias("_earlier"))
+    within = Window.partitionBy("partition", "_block").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_here", F.max("ts").over(within))
+    rows = rows.join(blocks, F.col("partition").eqNullSafe(F.col("_p")) & F.col("_block").eqNullSafe(F.col("_b")))
+    late = F.coalesce(F.col("ts") < F.greatest("_earlier", "_here") - disorder_ms, F.lit(False))
+    return rows.select("partition", "offset", "ts", late.alias("late"))
+
+
+def late_by_hour(clean: DataFrame, disorder_ms: int = 3000) -> DataFrame:
+    """``hour`` (of the epoch), ``n`` logs and ``n_late`` among them."""
+    rows = with_lateness(clean, disorder_ms)
+    return rows.groupBy(F.floor(F.col("ts") / 3_600_000).alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("late"), 1)).alias("n_late")
+    )
+
+
 def _flag_value(flag_type: str) -> Column:
     if flag_type == "string":
         return F.lit("0").cast("variant")

@@ -89,6 +89,37 @@ SELECT event_id, mid, ms AS ts, event_type AS page_id, 'fav' AS action_id, event
 FROM logs WHERE event_type = 'click' AND event_id % 7 <> 3""",
 }
 
+LOG_ORACLE["log_job_records"] = f"""WITH {_LOGS}, {_fixed('later_day')}, f AS (
+  SELECT f.*, e.props FROM fixed f JOIN events e USING (event_id)
+)
+SELECT event_id, 'err' AS route, NULL AS reason, NULL AS part, NULL AS mid, NULL AS uid, NULL AS ch, NULL AS is_new, NULL AS page_id,
+       NULL AS entry, NULL AS action_id, NULL AS props, NULL::BIGINT AS ts, NULL::BIGINT AS item, NULL::BIGINT AS pos, event_id AS code
+FROM f WHERE event_type = 'error' AND event_id % 7 <> 3
+UNION ALL SELECT event_id, 'start', NULL, NULL, mid, user_id::VARCHAR, 'web', is_new, NULL, 'icon', NULL, props, ms, NULL, NULL, NULL
+FROM f WHERE event_type = 'signup'
+UNION ALL SELECT event_id, 'page', NULL, NULL, mid, user_id::VARCHAR, 'web', is_new, event_type, NULL, NULL, props, ms, NULL, NULL, NULL
+FROM f WHERE event_type <> 'signup'
+UNION ALL SELECT event_id, 'display', NULL, NULL, mid, user_id::VARCHAR, 'web', is_new, event_type, NULL, NULL, NULL, ms, event_id * 10 + i, i + 1, NULL
+FROM f, range(0, 4) r(i) WHERE event_type = 'view' AND i < event_id % 4
+UNION ALL SELECT event_id, 'action', NULL, NULL, mid, user_id::VARCHAR, 'web', is_new, event_type, NULL, 'fav', NULL, ms, event_id, NULL, NULL
+FROM f WHERE event_type = 'click' AND event_id % 7 <> 3
+UNION ALL SELECT event_id, 'quarantine', CASE WHEN event_id % 101 = 0 THEN 'unparseable' WHEN event_id % 107 = 0 THEN 'bad_field_type' ELSE 'no_mid' END,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 107 = 0
+UNION ALL SELECT p.event_id, 'quarantine', p.reason,
+       CASE p.reason WHEN 'err_not_object' THEN '"boom"' WHEN 'actions_not_array' THEN '"nope"' ELSE p.event_id::VARCHAR END,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM ({_PARTS}) p"""
+LOG_ORACLE["split_nulls"] = """
+SELECT event_id, CASE WHEN event_id % 2 = 1 THEN 'ch,is_new,mid' ELSE 'is_new,mid' END AS common_keys,
+       CASE WHEN event_id % 3 <> 0 THEN 'deep,last,list,page_id' ELSE 'deep,list,page_id' END AS page_keys, 'b' AS deep_keys,
+       '[null,{"y":' || event_id || '},{}]' AS list, 'a "n":null, b' AS note
+FROM events"""
+LOG_ORACLE["late_logs"] = f"""WITH {_LOGS}, seen AS (
+  SELECT ms, max(ms) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS most FROM logs
+)
+SELECT ms // 3600000 AS hour, count(*) AS n, count(*) FILTER (WHERE ms < most - 3000) AS n_late FROM seen GROUP BY 1"""
+
 
 _PART_CHANGES = """
 part_changes AS (
@@ -103,6 +134,38 @@ part_changes AS (
 )"""
 
 CDC_ORACLE: dict[str, str] = {
+    "cdc_clean_data": f"""WITH {_PART_CHANGES}, pc AS (
+  SELECT partition, "offset", p_partkey, name, size FROM part_changes
+  UNION ALL SELECT 0, p_partkey * 16 + 5, p_partkey, p_name, p_size FROM part WHERE p_partkey % 500 = 2
+), pp AS (
+  SELECT pc.*, p_brand, p_retailprice FROM pc JOIN part USING (p_partkey)
+)
+SELECT partition, "offset", 'p_partkey' AS "column", p_partkey::VARCHAR AS value, NULL::DOUBLE AS amount FROM pp
+UNION ALL SELECT partition, "offset", 'p_name', name, NULL FROM pp
+UNION ALL SELECT partition, "offset", 'p_size', size::VARCHAR, NULL FROM pp
+UNION ALL SELECT partition, "offset", 'p_brand', p_brand, NULL FROM pp
+UNION ALL SELECT partition, "offset", 'p_retailprice', NULL, p_retailprice FROM pp
+UNION ALL SELECT 0, p_partkey * 16 + 10, 'p_name', 'X' || p_name, NULL FROM part WHERE p_partkey % 700 = 7
+UNION ALL SELECT 1, s_suppkey, 's_suppkey', s_suppkey::VARCHAR, NULL FROM supplier
+UNION ALL SELECT 1, s_suppkey, 's_name', s_name, NULL FROM supplier
+UNION ALL SELECT 1, s_suppkey, 's_nationkey', s_nationkey::VARCHAR, NULL FROM supplier
+UNION ALL SELECT 1, s_suppkey, 's_acctbal', NULL, s_acctbal FROM supplier
+UNION ALL SELECT 2, n_nationkey, 'n_nationkey', n_nationkey::VARCHAR, NULL FROM nation
+UNION ALL SELECT 2, n_nationkey, 'n_name', n_name, NULL FROM nation
+UNION ALL SELECT 2, n_nationkey, 'n_regionkey', n_regionkey::VARCHAR, NULL FROM nation
+UNION ALL SELECT 3, o_orderkey, 'id', o_orderkey::VARCHAR, NULL FROM orders
+UNION ALL SELECT 3, o_orderkey, 'user_id', o_custkey::VARCHAR, NULL FROM orders
+UNION ALL SELECT 3, o_orderkey, 'appraise', o_orderstatus, NULL FROM orders
+UNION ALL SELECT 3, o_orderkey, 'comment_txt', o_orderpriority, NULL FROM orders""",
+    "dim_route_by_batches": f"""WITH {_PART_CHANGES}, pc AS (
+  SELECT partition, "offset", type, ts FROM part_changes
+  UNION ALL SELECT 0, p_partkey * 16 + 10, 'update', 1704067210 FROM part WHERE p_partkey % 700 = 7
+)
+SELECT partition, "offset", 'part' AS table_name, CASE WHEN ts > 1704067201 THEN 'dim_part2' ELSE 'dim_part' END AS sink_table,
+       CASE WHEN ts > 1704067201 THEN 'p_partkey,p_name' ELSE 'p_partkey,p_name,p_size' END AS sink_columns, type, (ts > 1704067201)::INT AS batch
+FROM pc
+UNION ALL SELECT 1, s_suppkey, 'supplier', 'dim_supplier', 's_suppkey,s_name', 'bootstrap-insert', 0 FROM supplier
+UNION ALL SELECT 2, n_nationkey, 'nation', 'dim_nation', 'n_nationkey,n_name', 'bootstrap-insert', 0 FROM nation""",
     "cdc_clean": f"""WITH {_PART_CHANGES}
 SELECT partition, "offset", table_name, type, ts FROM part_changes
 UNION ALL SELECT 0, p_partkey * 16 + 5, 'unknown_table', 'insert', 1704067205 FROM part WHERE p_partkey % 500 = 2

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharf.functions.jsonx import get_long, get_string, parse_object
-from wharf.operators.logs import LOG, fix_is_new, log_clean, log_quarantine, split_log
+from wharf.operators.logs import LOG, fix_is_new, late_by_hour, log_clean, log_quarantine, split_log
 from wharf.operators.cdc import (
     cdc_clean,
     cdc_quarantine,
@@ -21,12 +21,13 @@ from wharf.operators.cdc import (
     dim_quarantine,
     parse_config,
     route,
+    route_by_batch,
     trim,
 )
 from wharf.operators.dim import apply_changes, fold_effects, row_effects, unpivot_cells
 from wharf.operators.lookup import lookup_dictionary
 from wharf.sources.files import read_table
-from wharf.sources.envelopes import config_feed, log_envelope, topic_db_envelope
+from wharf.sources.envelopes import config_feed, log_envelope, null_log_envelope, topic_db_envelope
 from wharf.sources.topic import comment_filter_sql, register_topic_db
 
 
@@ -158,8 +159,47 @@ def q_log_job_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_split_all(_logs(spark, sf_dir)).groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_log_job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch job, every record's body: what each route says of its log, and the text of odd parts."""
+    from wharf.plans.log_job import log_split_all
+
+    rows = log_split_all(_logs(spark, sf_dir)).select("offset", "route", "value", "reason", F.inline(F.array(F.struct(parse_object("value").alias("rec")))))
+    rec, page, common = F.col("rec"), F.col("rec")["page"], F.col("rec")["common"]
+    odd = F.col("reason").rlike("not_(object|array)$")
+    return rows.select(
+        F.col("offset").alias("event_id"), "route", "reason", F.when(odd, F.col("value")).alias("part"),
+        *[F.when(F.col("route") != "quarantine", get_string(v, path)).alias(name) for name, v, path in (
+            ("mid", common, "$.mid"), ("uid", common, "$.uid"), ("ch", common, "$.ch"), ("is_new", common, "$.is_new"),
+            ("page_id", page, "$.page_id"), ("entry", rec["start"], "$.entry"), ("action_id", rec["action_id"], "$"), ("props", rec["props"], "$"),
+        )],
+        *[F.when(F.col("route") != "quarantine", get_long(rec[name])).alias(name) for name in ("ts", "item", "pos", "code")],
+    )
+
+
+def q_split_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page records of logs with nulls at every depth; what is left of each object, as its keys."""
+    logs = log_clean(null_log_envelope(table(spark, sf_dir, "events")))
+    rows = split_log(fix_is_new(logs), keep=["offset"]).where("route = 'page'")
+    rows = rows.select("offset", F.inline(F.array(F.struct(parse_object("value").alias("rec")))))
+    rec = F.col("rec")
+    keys = lambda v: _keys(v.try_cast("map<string,variant>"))
+    deep = F.try_variant_get(rec["page"], "$.deep", "variant")
+    return rows.select(
+        F.col("offset").alias("event_id"), keys(rec["common"]).alias("common_keys"), keys(rec["page"]).alias("page_keys"),
+        keys(deep).alias("deep_keys"), get_string(rec["page"], "$.list").alias("list"), get_string(rec["note"]).alias("note"),
+    )
+
+
+def q_late_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late logs per hour at the upstream disorder; the counts of all logs show that none is dropped."""
+    return late_by_hour(log_clean(_logs(spark, sf_dir)))
+
+
 LOG_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_job_routes": q_log_job_routes,
+    "log_job_records": q_log_job_records,
+    "split_nulls": q_split_nulls,
+    "late_logs": q_late_logs,
     "log_clean": q_log_clean,
     "log_quarantine": q_log_quarantine,
     "fix_is_new_later_day": _fix("later_day"),
@@ -265,6 +305,33 @@ def q_dim_route_preload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("partition", "offset", F.col("table").alias("table_name"), "sink_table", "sink_columns", "type")
 
 
+# Fixed value: a config change that comes with the second half of the change records.
+PART_UPDATE = (
+    '{"op":"u","before":{"source_table":"part","sink_table":"dim_part"},"after":{"source_table":"part","sink_table":"dim_part2",'
+    '"sink_family":"info","sink_columns":"p_partkey,p_name","sink_row_key":"p_partkey"}}'
+)
+
+
+def q_dim_route_by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of change records, cut by time; the config's loads and its create are there in the first,
+    its updates and its delete come with the second."""
+    feed = config_feed(spark).unionByName(spark.createDataFrame([(PART_UPDATE, 0, 6)], "value string, partition int, offset bigint"))
+    feed = parse_config(feed.withColumn("batch", (F.col("offset") >= 4).cast("int")))
+    changes = cdc_clean(_topic(spark, sf_dir)).withColumn("batch", (F.col("ts") > FIRST_HALF).cast("int"))
+    r = route_by_batch(changes, feed)
+    return r.select("partition", "offset", F.col("table").alias("table_name"), "sink_table", "sink_columns", "type", "batch")
+
+
+def q_cdc_clean_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1 with the records' ``data``: a row per cell, as text (prices and balances as numbers)."""
+    rows = cdc_clean(_topic(spark, sf_dir)).select("partition", "offset", F.explode(F.map_entries("data")).alias("e"))
+    amount = F.col("e.key").isin("p_retailprice", "s_acctbal")
+    return rows.select(
+        "partition", "offset", F.col("e.key").alias("column"), F.when(~amount, get_string(F.col("e.value"))).alias("value"),
+        F.when(amount, F.try_variant_get(F.col("e.value"), "$", "double")).alias("amount"),
+    )
+
+
 def q_topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_topic_db(_topic(spark, sf_dir))
     rows = spark.sql(comment_filter_sql())
@@ -320,7 +387,9 @@ def q_date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CDC_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cdc_clean": q_cdc_clean,
+    "cdc_clean_data": q_cdc_clean_data,
     "cdc_quarantine": q_cdc_quarantine,
+    "dim_route_by_batches": q_dim_route_by_batches,
     "dim_quarantine": q_dim_quarantine,
     "dim_route": q_dim_route,
     "dim_trim": q_dim_trim,

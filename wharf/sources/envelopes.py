@@ -88,6 +88,27 @@ def log_envelope(events: DataFrame) -> DataFrame:
     )
 
 
+def null_log_envelope(events: DataFrame) -> DataFrame:
+    """Page logs from ``events`` with JSON nulls at every depth: ``common.ch`` null for even ``event_id``;
+    ``page.last`` null when ``event_id % 3 = 0``; ``page.deep`` with a null and a member; ``page.list`` with a
+    null, an object with a null, and an empty object; ``note`` a text that looks like a null member."""
+    eid = F.col("event_id")
+    common = F.struct(
+        F.concat(F.lit("m"), F.col("user_id").cast("string")).alias("mid"), F.lit("1").alias("is_new"),
+        F.when(eid % 2 == 1, F.lit("web")).alias("ch"),
+    )
+    none = F.lit(None).cast("string")
+    item = lambda x, y: F.to_variant_object(F.struct(x.alias("x"), y.alias("y")))
+    page = F.struct(
+        F.col("event_type").alias("page_id"), F.when(eid % 3 != 0, F.lit("home")).alias("last"),
+        F.struct(none.alias("a"), eid.alias("b")).alias("deep"),
+        F.array(F.parse_json(F.lit("null")), item(none, eid), item(none, F.lit(None).cast("bigint"))).alias("list"),
+    )
+    record = F.struct(common.alias("common"), page.alias("page"), F.lit('a "n":null, b').alias("note"), epoch_ms_of("ts").alias("ts"))
+    text = F.to_json(record, {"ignoreNullFields": "false"})
+    return events.select(text.alias("value"), F.lit(0).alias("partition"), eid.alias("offset"))
+
+
 def _v(c: Column) -> Column:
     return c.cast("variant")
 
