@@ -56,6 +56,9 @@ def _blocks(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", "embedding").mapInArrow(run, "dim int, n int, ids binary, data binary")
 
 
+PAIRS = 1 << 16  # pairs recomputed in double together
+
+
 class Quantised:
     """Vectors as int8 with one scale each, and the norms that bound the error of products."""
 
@@ -92,7 +95,12 @@ def best_of_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
             floor = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps[rows]])
             alive = (near + bound >= np.maximum(least, floor)[:, None]) & ~own
             i, j = np.nonzero(alive)
-            score = np.einsum("ij,ij->i", q[rows][i], part[j])
+            pairs = [slice(p, p + PAIRS) for p in range(0, len(i), PAIRS)]
+            score = np.concatenate([np.einsum("ij,ij->i", q[rows][i[p]], part[j[p]]) for p in pairs] or [np.zeros(0)])
+            # equal vectors all survive the bound: of each query's pairs the k best, ties to smaller ids, go on
+            order = np.lexsort((ids[j], -score, i))
+            order = order[np.arange(len(i)) - np.searchsorted(i, i[order]) < k]
+            i, j, score = i[order], j[order], score[order]
             for x, y, s in zip(i.tolist(), ids[j].tolist(), score.tolist()):
                 heap = heaps[a + x]
                 if len(heap) < k:

@@ -9,6 +9,7 @@ partitions and packs again.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +25,6 @@ from wharf.llm.tokens import TokenIds
 CAPACITY = 4096
 END_ID = 1  # follows every document's ids
 PARTITION_TOKENS = 1 << 24  # tokens that one task packs, about (4,096 full sequences)
-ROUNDS = 4  # exchanges at most
 
 PIECE = "doc_id {id}, _hash long, piece int, start long, length long, ids_crc32 long"
 
@@ -121,20 +121,20 @@ def _pack(capacity: int, base: int):
     return run
 
 
-def pack(found: DataFrame, capacity: int = CAPACITY, partition_tokens: int = PARTITION_TOKENS, rounds: int = ROUNDS) -> DataFrame:
+def pack(found: DataFrame, capacity: int = CAPACITY, partition_tokens: int = PARTITION_TOKENS) -> DataFrame:
     """Adds ``sequence_id``, ``offset``, ``partition_bins`` and ``partition_bound`` to pieces.
 
     ``found`` has ``doc_id, _hash, piece, start, length`` (and more) with lengths from 1 to ``capacity``.
     Every task packs about ``partition_tokens`` tokens, in every round. A sequence's offsets are gapless
-    from 0. The last round stands even where a gap remains; ``partition_bins`` and ``partition_bound`` say
-    how large it is. An empty input gives an empty result; repeated pieces are packed one by one.
+    from 0. Exchanges go on as long as one wins bins; ``partition_bins`` and ``partition_bound`` say how large
+    a gap remains. An empty input gives an empty result; repeated pieces are packed one by one.
     """
     ready(found.sparkSession)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields]
     schema = ", ".join([*kinds, "sequence_id long", "offset long", "partition_bins long", "partition_bound long", "_open boolean"])
     open_rows, settled, names = cut(found), None, found.columns
     before = None
-    for n in range(rounds + 1):
+    for n in itertools.count():
         tokens = open_rows.agg(F.sum("length")).first()[0] or 0
         if settled is not None and not tokens:
             break
@@ -154,6 +154,4 @@ def pack(found: DataFrame, capacity: int = CAPACITY, partition_tokens: int = PAR
         if groups == 1 or not before:
             break
         open_rows = last
-    else:
-        last = packed.where("_open")
     return settled.unionByName(last).drop("_open")
