@@ -69,6 +69,7 @@ class Codec:
         self.tokenizer.no_truncation()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.open, self.role_end, self.close = range(self.size, self.size + 3)
+        self.kind = np.dtype("<u2" if self.close < 1 << 16 else "<u4")  # of ids between tasks
         # a byte-level vocabulary spells bytes as printable characters: those that print stand for
         # themselves, the others for the characters from 256 on, in order
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -81,7 +82,7 @@ class Codec:
             self.bytes[i] = mark.encode()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<i4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes.__getitem__, ids.tolist())).decode()
@@ -99,9 +100,9 @@ def _runs_of(batch: pa.RecordBatch, codec: Codec, learn: frozenset[str]) -> pa.R
 def _assembled(turns: list[tuple[bytes, bytes, bool]], codec: Codec) -> tuple[np.ndarray, np.ndarray]:
     """(ids, loss mask) of turns in a row."""
     parts, edges, at = [], [], 0
-    marks = [np.array([m], "<i4") for m in (codec.open, codec.role_end, codec.close)]
+    marks = [np.array([m], codec.kind) for m in (codec.open, codec.role_end, codec.close)]
     for role, text, learned in turns:
-        r, t = np.frombuffer(role, "<i4"), np.frombuffer(text, "<i4")
+        r, t = np.frombuffer(role, codec.kind), np.frombuffer(text, codec.kind)
         parts += [marks[0], r, marks[1], t, marks[2]]
         start = at + len(r) + 2
         at = start + len(t) + 1
@@ -111,7 +112,7 @@ def _assembled(turns: list[tuple[bytes, bytes, bool]], codec: Codec) -> tuple[np
     for start, end in edges:
         step[start] += 1
         step[end] -= 1
-    return np.concatenate(parts), np.cumsum(step[:-1]).astype(np.int8)
+    return np.concatenate(parts).astype(np.int32), np.cumsum(step[:-1]).astype(np.int8)
 
 
 def format_chat(conversations: DataFrame, tokenizer: str, learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
@@ -158,7 +159,7 @@ def format_chat(conversations: DataFrame, tokenizer: str, learn: tuple[str, ...]
                 if here != key:
                     close()
                     key, chunk = here, 0
-                more = (len(role) + len(text)) // 4 + 3
+                more = (len(role) + len(text)) // codec.kind.itemsize + 3
                 if size + more > CHUNK:
                     close()
                 turns.append((role, text, learned_))
