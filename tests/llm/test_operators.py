@@ -492,3 +492,16 @@ def test_url_filter(spark):
     part = spark.createDataFrame([("block", "com", "/x/pa")], "verdict string, host string, path string")
     some = spark.createDataFrame([("http://com/x/path",), ("http://com/x/p",)], "url string")
     assert [r["verdict"] for r in url_filter(some, part).orderBy("url").collect()] == ["allow", "block"]
+
+
+def test_cached_ids_equal_the_tokenizer_on_every_latin_character():
+    from wharf.llm.queries import tokenizer_path
+    from wharf.llm.tokens import TokenIds
+
+    tokens = TokenIds.of(tokenizer_path())
+    chars = [chr(c) for c in range(0x20, 0x250)]
+    rng = random.Random(1)
+    texts = [t for c in chars for t in (c, f"ab{c}cd", c + c)]
+    texts += ["".join(rng.choice(chars) for _ in range(rng.randrange(30))) for _ in range(5000)]
+    for text in texts:
+        assert tokens.ids(text).tolist() == tokens.whole.encode(text, add_special_tokens=False).ids

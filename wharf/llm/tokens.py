@@ -26,8 +26,10 @@ _L, _N = _char_class("L"), _char_class("N")
 # Fixed value: the pre-token pattern of the tokenizer file, for characters below U+0250.
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
 # Control characters that Python and the file's pattern may class differently are left to the tokenizer,
-# as is everything beyond Latin and every text that may spell a special token.
-_OTHER = re.compile("[^\t-\r -~\xa0-ɉ]|<\\|")
+# as is everything beyond Latin (some capitals have their lower case there) and every text that may spell a
+# special token.
+_FAR_LOWER = "".join(chr(c) for c in range(0x250) if max(unicodedata.normalize("NFC", chr(c)).lower()) > chr(0x24F))
+_OTHER = re.compile(f"[^\t-\r -~\xa0-ɉ]|[{_FAR_LOWER}]|<\\|")
 
 
 class TokenIds:
@@ -94,11 +96,10 @@ class TokenIds:
         """uint32 ids without special tokens; null counts as empty."""
         if not text:
             return np.zeros(0, np.uint32)
-        # some capitals below U+0250 have their lower case beyond it, so the lower-cased text is judged too
-        plain = None if not self.cached or _OTHER.search(text) else unicodedata.normalize("NFC", text).lower()
-        if plain is None or _OTHER.search(plain):
+        if not self.cached or _OTHER.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        parts = _SPLIT.findall(plain)
+        # per-character lower case equals str.lower for what is left below U+0250
+        parts = _SPLIT.findall(unicodedata.normalize("NFC", text).lower())
         if not parts:
             return np.zeros(0, np.uint32)
         if len(self.codes) > CACHE or self.chars > CACHE_CHARS:
