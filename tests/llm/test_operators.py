@@ -152,7 +152,11 @@ def test_suffix_array():
     rng = random.Random(1)
     for _ in range(150):
         x = [rng.randrange(rng.choice([1, 2, 4, 200])) + 1 for _ in range(rng.randrange(1, 200))] + [0]
-        assert list(suffix_array(np.array(x, np.uint16), 202, 10**6)) == sorted(range(len(x)), key=lambda i: x[i:])
+        assert list(suffix_array(np.array(x, np.uint16), 202)) == sorted(range(len(x)), key=lambda i: x[i:])
+    for size, most in ((4000, 255), (3000, 3), (2500, 40)):  # thousands of names, several levels of them
+        x = bytes(rng.randrange(1, most + 1) for _ in range(size))
+        x = x + x[size // 3 :] + x + b"\0"
+        assert list(suffix_array(np.frombuffer(x, np.uint8), 256)) == sorted(range(len(x)), key=lambda i: x[i:])
     for _ in range(150):
         n = rng.choice([1, 2, 5, 12])
         texts = [bytes(rng.randrange(rng.choice([1, 3, 256])) for _ in range(rng.randrange(1, 60))) for _ in range(8)]

@@ -1,18 +1,20 @@
-"""Suffix arrays by induced sorting, in numpy: whole buckets at a time instead of one suffix at a time.
+"""Suffix arrays by induced sorting.
 
 Suffixes are classed as L (larger than the next one) or S (smaller). The leftmost-S (LMS) substrings are
-sorted by one induction and named; the text of names is sorted in turn, by the same steps while its
-alphabet is small enough for bucket-wise work and by rank doubling beyond; a last induction from the
-sorted LMS suffixes gives the array. Every suffix enters its place once per induction, so the work of an
-induction is linear; a bucket is scanned in as many array operations as its longest run of one symbol.
+sorted by one induction and named; the text of names is sorted in turn by the same steps, level by level,
+until all names differ; an induction from the sorted LMS suffixes then gives each level's array. Every
+suffix enters its place once per induction, and a level is at most half as long as the one above, so the
+work is linear.
+
+Bytes fall into few large buckets, so the first level's inductions move whole buckets in numpy (a bucket
+takes as many array operations as its longest run of one symbol). Names fall into very many small buckets:
+the levels below induce one suffix at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-SMALL_ALPHABET = 1024
-
 
 def _is_s(text: np.ndarray) -> np.ndarray:
     """Which suffixes are S; ``text`` ends with its only, smallest symbol."""
@@ -75,37 +77,38 @@ def _induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, k: int) -> np.n
     return array
 
 
-def _doubling(names: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of ``names`` (the last is the smallest) up to ``depth`` symbols: ranks of
-    growing prefixes, sorting only what is still tied."""
-    m = len(names)
-    order = np.argsort(names, kind="stable")
-    value = names[order]
-    head = np.concatenate([[True], value[1:] != value[:-1]])
-    first = np.maximum.accumulate(np.where(head, np.arange(m), 0))
-    rank = np.empty(m, np.int64)
-    rank[order] = first
-    tied = np.flatnonzero(np.bincount(rank, minlength=m)[rank] > 1)
-    h = 1
-    while h < depth and len(tied):
-        after = np.where(tied + h < m, rank[np.minimum(tied + h, m - 1)] + 1, 0)
-        sort = np.argsort(rank[tied] * (m + 1) + after, kind="stable")
-        tied, after = tied[sort], after[sort]
-        r = rank[tied]
-        new_group = np.concatenate([[True], r[1:] != r[:-1]])
-        new_value = new_group | np.concatenate([[True], after[1:] != after[:-1]])
-        place = np.arange(len(tied))
-        group_at = np.maximum.accumulate(np.where(new_group, place, 0))
-        value_at = np.maximum.accumulate(np.where(new_value, place, 0))
-        rank[tied] = r + value_at - group_at
-        size = np.bincount(np.cumsum(new_value) - 1)
-        tied = tied[np.repeat(size, size) > 1]
-        h *= 2
-    return np.argsort(rank, kind="stable")
-
-
-def suffix_array(text: np.ndarray, k: int, depth: int) -> np.ndarray:
-    """Suffixes of ``text`` (symbols 0 to k - 1, 0 only at the end) in order of at least ``depth`` symbols."""
+def _induce_names(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
+    """As :func:`_induce`, one suffix at a time. 0 stands for a free place: nothing comes before suffix 0."""
+    n = len(text)
+    count = np.bincount(text, minlength=k)
+    ends = np.cumsum(count)
+    array = np.zeros(n, np.int64)
+    mine = np.bincount(text[lms], minlength=k)
+    first = np.cumsum(mine) - mine
+    array[np.repeat(ends - mine - first, mine) + np.arange(len(lms))] = lms
+    places = array.tolist()
+    # the symbol before each suffix, if the suffix there is to be induced (L, then S); else -1
+    before = np.concatenate([[-1], text[:-1]])
+    s_before = np.concatenate([[False], is_s[:-1]])
+    wanted = np.where(s_before, -1, before).tolist()
+    edge = (ends - count).tolist()
+    for p in places:  # sees what the loop itself puts further on
+        c = wanted[p]
+        if c >= 0:
+            places[edge[c]] = p - 1
+            edge[c] += 1
+    wanted = np.where(s_before, before, -1).tolist()
+    edge = ends.tolist()
+    for p in reversed(places):
+        c = wanted[p]
+        if c >= 0:
+            edge[c] -= 1
+            places[edge[c]] = p - 1
+    return np.array(places, np.int32)
+
+
+def suffix_array(text: np.ndarray, k: int, induce=_induce) -> np.ndarray:
+    """Suffixes of ``text`` (symbols 0 to k - 1, 0 only at the end) in order."""
     n = len(text)
     if n == 1:
         return np.zeros(1, np.int32)
@@ -114,7 +117,7 @@ def suffix_array(text: np.ndarray, k: int, depth: int) -> np.ndarray:
     mark[0] = False
     mark[1:] &= ~is_s[:-1]
     lms = np.flatnonzero(mark).astype(np.int32)
-    rough = _induce(text, is_s, lms[np.argsort(text[lms], kind="stable")], k)
+    rough = induce(text, is_s, lms[np.argsort(text[lms], kind="stable")], k)
     order = rough[mark[rough]]
     # name the LMS substrings: neighbours in order are equal if length and symbols are
     length = np.zeros(n, np.int32)
@@ -132,13 +135,8 @@ def suffix_array(text: np.ndarray, k: int, depth: int) -> np.ndarray:
     names = np.empty(n, np.int32)
     names[order] = name
     if name[-1] + 1 < len(order):
-        reduced = names[lms]
-        # an LMS substring is two symbols or longer, so half the depth will do
-        if name[-1] < SMALL_ALPHABET and len(reduced) > 1:
-            order = lms[suffix_array(reduced, int(name[-1]) + 1, depth // 2 + 1)]
-        else:
-            order = lms[_doubling(reduced, depth // 2 + 1)]
-    return _induce(text, is_s, order, k)
+        order = lms[suffix_array(names[lms], int(name[-1]) + 1, _induce_names)]
+    return induce(text, is_s, order, k)
 
 
 def common_prefixes(raw: np.ndarray, array: np.ndarray, starts: np.ndarray, most: int) -> np.ndarray:
@@ -187,7 +185,7 @@ def repeated(stretches: list[bytes], length: int) -> list[np.ndarray]:
     text[:-1] += 2
     text[ends] = 1
     text[-1] = 0
-    array = suffix_array(text, 258, length)
+    array = suffix_array(text, 258)
     array = array[array < len(raw)]
     shared = common_prefixes(raw, array, starts, int(sizes.max()) + length)
     rest = np.repeat(ends, sizes + 1) - np.arange(len(raw))  # bytes up to the separator
