@@ -1,7 +1,7 @@
 """Language ID: a bidirectional gated recurrent network over bytes, in numpy.
 
-Trained on the driver by backpropagation through time on windows of a bounded sample of labelled
-documents; the weights (some 60 KB) travel with the task. Every position of every text is labelled from
+Trained on the driver by backpropagation through time on a bounded sample of labelled documents, whole
+texts of which every step draws places anew; the weights (some 60 KB) travel with the task. Every position of every text is labelled from
 the states of both directions, and a document's probabilities are the mean over its positions. Texts are
 read whole, cut into chunks that run side by side as one batch of the network.
 """
@@ -20,9 +20,9 @@ from wharf.llm.common import ready, slices, text_buffer
 
 HIDDEN = 8
 CHUNK = 64  # positions that one pass of the network sees
-SAMPLE = 4000  # labelled documents that training may use, shared evenly by the languages
-LEAST = 50  # of each language, however many there are
-WINDOWS = 6  # windows taken of each
+SAMPLE = 1600  # labelled documents that training may use, shared evenly by the languages
+LEAST = 50  # of each language, if there are many
+LANGUAGES = 200  # languages learned at most: those of the most documents
 STEPS = 500
 BATCH = 256
 BYTES_AT_ONCE = 1 << 18
@@ -133,8 +133,9 @@ def _softmax(x: np.ndarray, axis: int) -> np.ndarray:
     return x
 
 
-def fit(windows: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, seed: int = 1) -> Model:
-    """Adam on the cross entropy of every position; classes count alike however many windows they have."""
+def fit(texts: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: int = STEPS, batch: int = BATCH, seed: int = 1) -> Model:
+    """Adam on the cross entropy of every position of ``CHUNK`` bytes at places drawn from the whole texts
+    (not empty); classes count alike however many texts they have, and texts however long they are."""
     classes = sorted(set(labels))
     rng = np.random.default_rng(seed)
     scale = 1 / np.sqrt(hidden)
@@ -147,22 +148,24 @@ def fit(windows: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: in
     model = Model(classes, Direction(*weights[0:2]), Direction(*weights[2:4]), weights[4], weights[5])
     y = np.array([classes.index(x) for x in labels])
     groups = [np.flatnonzero(y == k) for k in range(len(classes))]
-    data = np.zeros((len(windows), CHUNK), np.uint8)
-    length = np.zeros(len(windows), np.int64)
-    for i, w in enumerate(windows):
-        data[i, : len(w)] = np.frombuffer(w, np.uint8)
-        length[i] = len(w)
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    size = np.array([len(t) for t in texts])
+    start = np.cumsum(size) - size
+    length = np.minimum(size, CHUNK)
+    position = np.arange(CHUNK)[:, None]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for step in range(1, steps + 1):
         pick = np.concatenate([rng.choice(g, batch // len(classes) + 1) for g in groups])
-        x, truth = data[pick].T, y[pick]
+        inside = position < length[pick]
+        grid = start[pick] + rng.integers(0, size[pick] - length[pick] + 1) + position
+        x, truth = np.where(inside, raw[np.minimum(grid, len(raw) - 1)], 0).astype(np.uint8), y[pick]
         n = len(pick)
         a, tape_a = model.forward.run(x, keep=True)
         b, tape_b = model.backward.run(x[::-1], keep=True)
         both = np.concatenate([a, b[::-1]], axis=1)  # T x 2H x N
         p = _softmax(np.matmul(model.output, both) + model.bias[:, None], axis=1)
         p[:, truth, np.arange(n)] -= 1
-        mask = (np.arange(CHUNK)[:, None] < length[pick][None, :]).astype(np.float32)
+        mask = inside.astype(np.float32)
         p *= mask[:, None, :] / max(1.0, float(mask.sum()))
         d_output = np.einsum("tcn,thn->ch", p, both, optimize=True)
         d_both = np.matmul(model.output.T, p)
@@ -181,48 +184,29 @@ def fit(windows: list[bytes], labels: list[str], hidden: int = HIDDEN, steps: in
     return model
 
 
-def _windows(text: bytes, seed: int) -> list[bytes]:
-    """Up to WINDOWS chunks of a text at seeded places; a short text is one window."""
-    if len(text) <= CHUNK:
-        return [text] if text else []
-    rng = np.random.default_rng(seed)
-    count = min(WINDOWS, len(text) // CHUNK)
-    return [text[a : a + CHUNK] for a in rng.integers(0, len(text) - CHUNK + 1, count)]
-
-
 def train(documents: DataFrame, sample: int = SAMPLE, **settings) -> Model | None:
     """A model of the labelled documents outside the held-out fold; None if there are none.
 
-    Every language gives up to ``sample`` / languages documents (``LEAST`` at least), those with the smallest
-    hashes of the id, and of each a few windows: a language is learned however rare it is, and what comes to
-    the driver grows with the languages, not with the table."""
+    Every language gives up to ``sample`` / languages documents (``LEAST`` at least), whole: those with the
+    smallest hashes of the id. A language is learned however rare it is, unless there are more than
+    ``LANGUAGES``: then those of the most documents are (ties: the first names). What comes to the driver is
+    bounded by these parameters and does not grow with the table."""
     ready(documents.sparkSession)
     rows = documents.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("text") != "") & ~held_out(F.col("doc_id"))
     )
-    counts = rows.groupBy("lang").count().collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return None
     each = max(LEAST, sample // len(counts))
     key = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 40))
-    # the smallest hashes of each language, with a margin: only these are cut into windows
+    # the smallest hashes of each language, with a margin: only the texts of these are moved
     below = [(r["lang"], int(min(1.0, (1.5 * each + 50) / r["count"]) * (1 << 40))) for r in counts]
     below = documents.sparkSession.createDataFrame(below, "lang string, _below long")
     rows = rows.join(F.broadcast(below), "lang").withColumn("_key", key).where("_key < _below").select("_key", "lang", "text")
-
-    def cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, lang, text in zip(batch["_key"].to_pylist(), batch["lang"].to_pylist(), batch["text"]):
-                w = _windows(text.as_py().encode(), k)
-                if w:
-                    yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([lang]), pa.array([w], pa.list_(pa.binary()))], names=["_key", "lang", "windows"])
-
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "windows"))
-    got = rows.mapInArrow(cutter, "_key long, lang string, windows array<binary>").withColumn("_nth", nth).where(F.col("_nth") <= each)
-    got = got.orderBy("_key", "lang", "windows").collect()
-    windows = [bytes(w) for r in got for w in r["windows"]]
-    labels = [r["lang"] for r in got for _ in r["windows"]]
-    return fit(windows, labels, **settings) if windows else None
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_key", "text"))
+    got = rows.withColumn("_nth", nth).where(F.col("_nth") <= each).orderBy("_key", "lang", "text").collect()
+    return fit([r["text"].encode() for r in got], [r["lang"] for r in got], **settings) if got else None
 
 
 def predict(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
