@@ -102,9 +102,10 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, exclude
 
     At most ``sample`` documents, chosen by a hash of the id, come to the driver, each with all of its
     features. ``RARE`` of each grade are drawn from that grade alone, so that a rare grade is learned at any
-    size; the others come as they fall. ``exclude``: documents (by doc_id) that training must not see."""
+    size; the others come as they fall. Of several grades of one id the worst counts. ``exclude``: documents (by doc_id) that training must not see."""
     ready(documents.sparkSession)
-    graded = labels.select("doc_id", grade(F.col("toxic"), F.col("quality")).alias("grade")).dropna().dropDuplicates(["doc_id"])
+    graded = labels.select("doc_id", grade(F.col("toxic"), F.col("quality")).alias("grade")).dropna()
+    graded = graded.groupBy("doc_id").agg(F.max("grade").alias("grade"))
     if exclude is not None:
         graded = graded.where(~exclude)
     order = [F.xxhash64(F.lit("toxic"), "doc_id"), F.col("doc_id")]
