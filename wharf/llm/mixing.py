@@ -121,7 +121,9 @@ def mix(documents: DataFrame, seed: int = 7, block: int = BLOCK, shard: int = SH
     shards = F.greatest(F.ceil(F.col("source_size") / shard), F.lit(1)).cast("long")
     rows = rows.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "_hash"))
     rows = rows.withColumn("_shard", F.pmod(F.xxhash64("_order"), shards))
-    line = Window.partitionBy("source", "_shard").orderBy("_order", "doc_id", "_hash").rowsBetween(Window.unboundedPreceding, -1)
+    # rows without words have no place in the line: however many there are, they stand in groups of their own
+    alone = F.when(F.col("size") == 0, F.col("_order"))
+    line = Window.partitionBy("source", "_shard", alone).orderBy("_order", "doc_id", "_hash").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_at", F.coalesce(F.sum("size").over(line), F.lit(0).cast("long")))
 
     cells = rows.groupBy("source", "_shard").agg(F.sum("size").alias("_words")).where(F.col("_words") > 0)
