@@ -15,7 +15,8 @@ by the bytes that its windows share, ever more narrowly, until the groups are sm
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ GRAM = 32
 SHARD_BYTES = 256 << 10  # stretches whose suffixes are sorted together, about
 CROWDED = 500  # different stretches of a key beyond which the key is split
 WIDTHS = (64, 16, 4, 1)  # classes of window distances when a key is split, ever narrower
+ALONE = 1_000  # stretches without an order to find that a task answers together
 SEEN = 100_000  # stretches that a task remembers so as not to send one twice
 
 
@@ -163,7 +165,8 @@ def _split(crowded: DataFrame, width: int, length: int, gram: int) -> DataFrame:
     class of ``width``, keyed by the bytes that all windows of the class share.
 
     In: owner_key, owner, shift (the stretch's place within its owner), count, key, content, anchor, bytes.
-    Out: the same, for the parts."""
+    Out: the same, for the parts; at width 1 a part is one window, which its digest tells from others, and its
+    bytes stay behind."""
     schema = "owner_key long, owner binary, shift int, count long, key long, content binary, anchor int, bytes binary"
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -189,7 +192,7 @@ def _split(crowded: DataFrame, width: int, length: int, gram: int) -> DataFrame:
                     name = hashlib.blake2b(b"%d %d %d " % (r["key"], width, c) + shared, digest_size=8).digest()
                     out.append((
                         r["owner_key"], r["owner"], r["shift"] + a, r["count"], int.from_bytes(name, "little", signed=True),
-                        hashlib.blake2b(part, digest_size=16).digest(), at - a, part,
+                        hashlib.blake2b(part, digest_size=16).digest(), at - a, part if width > 1 else None,
                     ))
             if out:
                 kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
@@ -200,12 +203,13 @@ def _split(crowded: DataFrame, width: int, length: int, gram: int) -> DataFrame:
 
 def _search(groups: DataFrame, length: int) -> DataFrame:
     """key, content, spans: the repeated bytes of each stretch (key, content, count, bytes). A stretch that
-    occurs more than once is repeated throughout; the rest is read off a suffix array per shard."""
+    occurs more than once is repeated throughout; the rest is read off a suffix array per shard. Keys whose only
+    stretch is such, or is a single window, say nothing of others and enter no suffix array."""
     schema = "key long, content binary, spans array<struct<a:int,b:int>>"
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
+    def solve(rows: list[tuple], repeats: Iterable) -> pa.RecordBatch:
         keys, contents, spans = [], [], []
-        for (key, content, count, data), starts in zip(rows, repeated([r[3] for r in rows], length)):
+        for (key, content, count, data), starts in zip(rows, repeats):
             if count > 1:
                 found = [{"a": 0, "b": len(data)}]
             elif len(starts):
@@ -220,19 +224,31 @@ def _search(groups: DataFrame, length: int) -> DataFrame:
         kinds = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(contents, pa.binary()), pa.array(spans, kinds)], names=["key", "content", "spans"])
 
+    def settled(group: list[tuple]) -> bool:
+        return len(group) == 1 and (group[0][2] > 1 or len(group[0][3]) == length)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
-        size, last = 0, None
-        for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("key", "content", "count", "bytes")]):
-                if size >= SHARD_BYTES and row[0] != last:
-                    yield solve(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[3])
-                last = row[0]
-        if rows:
-            yield solve(rows)
+        group: list[tuple] = []  # of one key
+        alone: list[tuple] = []
+        size = 0
+        stretches = (row for batch in batches for row in zip(*[batch.column(c).to_pylist() for c in ("key", "content", "count", "bytes")]))
+        for row in chain(stretches, [None]):
+            if group and (row is None or row[0] != group[0][0]):
+                if settled(group):
+                    alone += group
+                else:
+                    rows += group
+                    size += sum(len(r[3]) for r in group)
+                group = []
+            if rows and (row is None or size >= SHARD_BYTES):
+                yield solve(rows, repeated([r[3] for r in rows], length))
+                rows, size = [], 0
+            if alone and (row is None or len(alone) >= ALONE):
+                yield solve(alone, [()] * len(alone))
+                alone = []
+            if row is not None:
+                group.append(row)
 
     dealt = groups.select("key", "content", "count", "bytes").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(run, schema)
@@ -266,11 +282,17 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
         parts = merged(places.join(crowd, "key")).withColumns({"owner_key": F.col("key"), "owner": F.col("content"), "shift": F.lit(0)})
         for width in WIDTHS:
             parts = cut(_split(parts, width, length, gram))
-            crowd = crowds(parts)
-            last = width == 1 or crowd.isEmpty()  # at width 1 a key's windows are all equal
+            last = width == 1
+            if not last:
+                crowd = crowds(parts)
+                last = crowd.isEmpty()
             here = parts if last else parts.join(crowd, "key", "left_anti")
-            distinct = here.groupBy("key", "content").agg(F.sum("count").alias("count"), F.first("bytes").alias("bytes"))
-            spans = here.select("key", "content", "owner_key", "owner", "shift").join(_search(distinct, length), ["key", "content"])
+            if width > 1:
+                spans = _search(here.groupBy("key", "content").agg(F.sum("count").alias("count"), F.first("bytes").alias("bytes")), length)
+            else:  # windows: all that occur more than once
+                window = F.array(F.struct(F.lit(0).alias("a"), F.lit(length).alias("b"))).alias("spans")
+                spans = here.groupBy("key", "content").agg(F.sum("count").alias("count")).where("count > 1").select("key", "content", window)
+            spans = here.select("key", "content", "owner_key", "owner", "shift").join(spans, ["key", "content"])
             moved = F.transform("spans", lambda s: F.struct((s["a"] + F.col("shift")).alias("a"), (s["b"] + F.col("shift")).alias("b")))
             found = found.unionByName(spans.select("owner_key", "owner", moved.alias("spans")))
             if last:
