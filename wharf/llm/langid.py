@@ -1,9 +1,9 @@
 """Language ID: a bidirectional gated recurrent network over bytes, in numpy.
 
 Trained on the driver by backpropagation through time on a bounded sample of labelled documents, whole
-texts of which every step draws places anew; the weights (some 60 KB) travel with the task. Every position of every text is labelled from
-the states of both directions, and a document's probabilities are the mean over its positions. Texts are
-read whole, cut into chunks that run side by side as one batch of the network.
+texts of which every step draws places anew; the weights (some 60 KB) travel with the task. Every position
+of every text is labelled from the states of both directions, and a document's probabilities are the mean
+over its positions. Texts are read whole, cut into chunks that run side by side as one batch of the network.
 """
 
 from __future__ import annotations
