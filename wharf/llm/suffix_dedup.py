@@ -20,7 +20,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wharf.llm.common import RollingHash, boxed, content_key, cut, ready, slices, text_buffer, unboxed
@@ -29,7 +29,8 @@ from wharf.llm.suffix_array import repeated
 LENGTH = 400
 GRAM = 32
 SHARD_BYTES = 256 << 10  # stretches whose suffixes are sorted together, about
-CROWDED = 500  # different stretches of a key beyond which the key is split
+CROWDED = 1500  # different stretches of a key beyond which the key is split (1.2 MB; a task takes 0.1 GB for them)
+SALT = 64  # parts over which the stretches of one key are dealt when crowded keys are told from others
 WIDTHS = (64, 16, 4, 1)  # classes of window distances when a key is split, ever narrower
 ALONE = 1_000  # stretches without an order to find that a task answers together
 SEEN = 100_000  # stretches that a task remembers so as not to send one twice
@@ -161,13 +162,13 @@ def _stretches(documents: DataFrame, length: int, gram: int, id_type: str) -> Da
 
 
 def _split(crowded: DataFrame, width: int, length: int, gram: int) -> DataFrame:
-    """Parts of the stretches of crowded keys: windows whose distance to the key's k-gram falls into one
-    class of ``width``, keyed by the bytes that all windows of the class share.
+    """Parts of the different stretches of crowded keys: windows whose distance to the key's k-gram falls into
+    one class of ``width``, keyed by the bytes that all windows of the class share.
 
-    In: owner_key, owner, shift (the stretch's place within its owner), count, key, content, anchor, bytes.
-    Out: the same, for the parts; at width 1 a part is one window, which its digest tells from others, and its
-    bytes stay behind."""
-    schema = "owner_key long, owner binary, shift int, count long, key long, content binary, anchor int, bytes binary"
+    In: key, content, count, anchor, bytes. Out: the same, for the parts, with ``of_key``, ``of`` and ``shift``
+    (the stretch and the part's place in it); at width 1 a part is one window, which its digest tells from
+    others, and its bytes stay behind."""
+    schema = "of_key long, of binary, shift int, count long, key long, content binary, anchor int, bytes binary"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,14 +192,14 @@ def _split(crowded: DataFrame, width: int, length: int, gram: int) -> DataFrame:
                     part = raw[a : b - 1 + length]
                     name = hashlib.blake2b(b"%d %d %d " % (r["key"], width, c) + shared, digest_size=8).digest()
                     out.append((
-                        r["owner_key"], r["owner"], r["shift"] + a, r["count"], int.from_bytes(name, "little", signed=True),
+                        r["key"], r["content"], a, r["count"], int.from_bytes(name, "little", signed=True),
                         hashlib.blake2b(part, digest_size=16).digest(), at - a, part if width > 1 else None,
                     ))
             if out:
                 kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    return crowded.select(*names).mapInArrow(run, schema)
+    return crowded.select("key", "content", "count", "anchor", "bytes").mapInArrow(run, schema)
 
 
 def _search(groups: DataFrame, length: int) -> DataFrame:
@@ -265,40 +266,51 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     held = documents.join(wanted, F.col("id").eqNullSafe(F.col("_i")) & (F.col("hash") == F.col("_h"))).select("id", "hash", "text", "keys")
     places = cut(_stretches(held, length, gram, id_type))
 
-    def merged(rows: DataFrame) -> DataFrame:
+    def merged(rows: DataFrame, count: Column) -> DataFrame:
         """Different stretches of each key, with the number of their places."""
         return rows.groupBy("key", "content").agg(
-            F.count(F.lit(1)).alias("count"), F.first("bytes", ignorenulls=True).alias("bytes"), F.first("anchor").alias("anchor")
+            count.alias("count"), F.first("bytes", ignorenulls=True).alias("bytes"), F.first("anchor").alias("anchor")
         )
 
     def crowds(rows: DataFrame) -> DataFrame:
         return cut(rows.groupBy("key").agg(F.count_distinct("content").alias("n")).where(F.col("n") > CROWDED).select("key"))
 
+    def told(rows: DataFrame, crowd: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows of crowded keys, rows of the others), a key's rows dealt over SALT parts."""
+        salted = crowd.select("key", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_salt"))
+        dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("content"), F.lit(SALT)).cast("int"))
+        return tuple(dealt.join(salted, ["key", "_salt"], how).drop("_salt") for how in ("left_semi", "left_anti"))
+
+    places_of = F.count(F.lit(1))
     crowd = crowds(places)
     if crowd.isEmpty():
-        found = _search(merged(places), length).withColumnsRenamed({"key": "owner_key", "content": "owner"})
+        found = _search(merged(places, places_of), length)
     else:
-        found = _search(merged(places.join(crowd, "key", "left_anti")), length).withColumnsRenamed({"key": "owner_key", "content": "owner"})
-        parts = merged(places.join(crowd, "key")).withColumns({"owner_key": F.col("key"), "owner": F.col("content"), "shift": F.lit(0)})
-        for width in WIDTHS:
+        crowded, others = told(places, crowd)
+        found = _search(merged(others, places_of), length)
+        parts, levels = merged(crowded, places_of), []
+        for width in WIDTHS:  # each different part is split once, however many stretches hold it
             parts = cut(_split(parts, width, length, gram))
-            last = width == 1
-            if not last:
-                crowd = crowds(parts)
-                last = crowd.isEmpty()
-            here = parts if last else parts.join(crowd, "key", "left_anti")
-            if width > 1:
-                spans = _search(here.groupBy("key", "content").agg(F.sum("count").alias("count"), F.first("bytes").alias("bytes")), length)
-            else:  # windows: all that occur more than once
+            if width == 1:  # windows: all that occur more than once
                 window = F.array(F.struct(F.lit(0).alias("a"), F.lit(length).alias("b"))).alias("spans")
-                spans = here.groupBy("key", "content").agg(F.sum("count").alias("count")).where("count > 1").select("key", "content", window)
-            spans = here.select("key", "content", "owner_key", "owner", "shift").join(spans, ["key", "content"])
-            moved = F.transform("spans", lambda s: F.struct((s["a"] + F.col("shift")).alias("a"), (s["b"] + F.col("shift")).alias("b")))
-            found = found.unionByName(spans.select("owner_key", "owner", moved.alias("spans")))
-            if last:
+                here = parts.groupBy("key", "content").agg(F.sum("count").alias("count")).where("count > 1").select("key", "content", window)
+                levels.append((parts, here))
                 break
-            parts = parts.join(crowd, "key")
-    spans = found.groupBy("owner_key", "owner").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+            crowd = crowds(parts)
+            if crowd.isEmpty():
+                levels.append((parts, _search(merged(parts, F.sum("count")), length)))
+                break
+            crowded, others = told(parts, crowd)
+            levels.append((parts, _search(merged(others, F.sum("count")), length)))
+            parts = merged(crowded, F.sum("count"))
+        below = None
+        for parts, here in reversed(levels):  # what is repeated in the parts is so in what they are part of
+            here = here if below is None else here.unionByName(below)
+            moved = F.transform("spans", lambda s: F.struct((s["a"] + F.col("shift")).alias("a"), (s["b"] + F.col("shift")).alias("b")))
+            below = parts.select("key", "content", "of_key", "of", "shift").join(here, ["key", "content"])
+            below = below.groupBy("of_key", "of").agg(F.flatten(F.collect_list(moved)).alias("spans")).withColumnsRenamed({"of_key": "key", "of": "content"})
+        found = found.unionByName(below)
+    spans = found.select(F.col("key").alias("owner_key"), F.col("content").alias("owner"), "spans")
     spans = places.select("id", "hash", "at", F.col("key").alias("owner_key"), F.col("content").alias("owner")).join(spans, ["owner_key", "owner"])
     spans = spans.select("id", "hash", F.transform("spans", lambda s: F.struct((s["a"] + F.col("at")).alias("a"), (s["b"] + F.col("at")).alias("b"))).alias("spans"))
     return spans.groupBy("id", "hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
