@@ -130,11 +130,12 @@ def _repeat_brute(texts, n):
     return out
 
 
-@pytest.mark.parametrize("crowded", [1500, 2])
-def test_suffix_dedup(docs, none, monkeypatch, crowded):
+@pytest.mark.parametrize("crowded, few", [(1500, 10), (2, 10**6), (2, 0)])
+def test_suffix_dedup(docs, none, monkeypatch, crowded, few):
     from wharf.llm import suffix_dedup
 
     monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
+    monkeypatch.setattr(suffix_dedup, "FEW", few)
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 2000)
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     expected = _repeat_brute([(t or "").encode() for _, t in rows], 120)

@@ -30,7 +30,8 @@ LENGTH = 400
 GRAM = 32
 SHARD_BYTES = 256 << 10  # stretches whose suffixes are sorted together, about
 CROWDED = 1500  # different stretches of a key beyond which the key is split (1.2 MB; a task takes 0.1 GB for them)
-SALT = 64  # parts over which the stretches of one key are dealt when crowded keys are told from others
+FEW = 500_000  # crowded keys (some 10 MB) that are told from others by a broadcast; more are joined
+SALT = 64  # parts over which the stretches of one key are dealt in that join
 WIDTHS = (64, 16, 4, 1)  # classes of window distances when a key is split, ever narrower
 ALONE = 1_000  # stretches without an order to find that a task answers together
 SEEN = 100_000  # stretches that a task remembers so as not to send one twice
@@ -272,21 +273,24 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
             count.alias("count"), F.first("bytes", ignorenulls=True).alias("bytes"), F.first("anchor").alias("anchor")
         )
 
-    def crowds(rows: DataFrame) -> DataFrame:
-        return cut(rows.groupBy("key").agg(F.count_distinct("content").alias("n")).where(F.col("n") > CROWDED).select("key"))
+    def crowds(rows: DataFrame) -> tuple[DataFrame, int]:
+        keys = cut(rows.groupBy("key").agg(F.count_distinct("content").alias("n")).where(F.col("n") > CROWDED).select("key"))
+        return keys, keys.count()
 
-    def told(rows: DataFrame, crowd: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(rows of crowded keys, rows of the others), a key's rows dealt over SALT parts."""
+    def told(rows: DataFrame, crowd: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+        """(rows of crowded keys, rows of the others); no key's rows meet in one task."""
+        if n <= FEW:
+            return tuple(rows.join(F.broadcast(crowd), "key", how) for how in ("left_semi", "left_anti"))
         salted = crowd.select("key", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("_salt"))
         dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("content"), F.lit(SALT)).cast("int"))
         return tuple(dealt.join(salted, ["key", "_salt"], how).drop("_salt") for how in ("left_semi", "left_anti"))
 
     places_of = F.count(F.lit(1))
-    crowd = crowds(places)
-    if crowd.isEmpty():
+    crowd, n = crowds(places)
+    if not n:
         found = _search(merged(places, places_of), length)
     else:
-        crowded, others = told(places, crowd)
+        crowded, others = told(places, crowd, n)
         found = _search(merged(others, places_of), length)
         parts, levels = merged(crowded, places_of), []
         for width in WIDTHS:  # each different part is split once, however many stretches hold it
@@ -296,11 +300,11 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
                 here = parts.groupBy("key", "content").agg(F.sum("count").alias("count")).where("count > 1").select("key", "content", window)
                 levels.append((parts, here))
                 break
-            crowd = crowds(parts)
-            if crowd.isEmpty():
+            crowd, n = crowds(parts)
+            if not n:
                 levels.append((parts, _search(merged(parts, F.sum("count")), length)))
                 break
-            crowded, others = told(parts, crowd)
+            crowded, others = told(parts, crowd, n)
             levels.append((parts, _search(merged(others, F.sum("count")), length)))
             parts = merged(crowded, F.sum("count"))
         below = None
@@ -310,8 +314,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
             below = parts.select("key", "content", "of_key", "of", "shift").join(here, ["key", "content"])
             below = below.groupBy("of_key", "of").agg(F.flatten(F.collect_list(moved)).alias("spans")).withColumnsRenamed({"of_key": "key", "of": "content"})
         found = found.unionByName(below)
-    spans = found.select(F.col("key").alias("owner_key"), F.col("content").alias("owner"), "spans")
-    spans = places.select("id", "hash", "at", F.col("key").alias("owner_key"), F.col("content").alias("owner")).join(spans, ["owner_key", "owner"])
+    spans = places.select("id", "hash", "at", "key", "content").join(found, ["key", "content"])
     spans = spans.select("id", "hash", F.transform("spans", lambda s: F.struct((s["a"] + F.col("at")).alias("a"), (s["b"] + F.col("at")).alias("b"))).alias("spans"))
     return spans.groupBy("id", "hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
