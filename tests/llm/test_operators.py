@@ -374,14 +374,46 @@ def test_token_counts(docs, none):
     for r in small.collect():
         each = [brute(SPACE + w.decode()) for w in _split(r["text"])]
         expected[r["doc_id"], len(each)] = (sum(e[0] for e in each), sum(e[1] for e in each))
-    got = token_counts(small, path).collect()
-    assert len(got) == small.count()
-    for r in got:
-        n, p = expected[r["doc_id"], r["n_words"]]
-        assert r["n_tokens"] == n and math.isclose(r["log_prob"], p, rel_tol=1e-9, abs_tol=1e-9)
+    results = []
+    for table in (1 << 19, 100, 1):  # all frequent words, the most frequent ones, none of them
+        got = token_counts(small, path, table).collect()
+        assert len(got) == small.count()
+        for r in got:
+            n, p = expected[r["doc_id"], r["n_words"]]
+            assert r["n_tokens"] == n and math.isclose(r["log_prob"], p, rel_tol=1e-9, abs_tol=1e-9)
+        results.append(collections.Counter(map(tuple, got)))
+    assert results[0] == results[1] == results[2]
     assert token_counts(none, path).count() == 0
 
 
+def test_frequent_words_keep_to_the_bound(docs):
+    from wharf.llm.queries import tokenizer_path
+    from wharf.llm.token_counts import frequent_words, word_counts
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    brute = collections.Counter(w.decode() for r in docs.collect() for w in _split(r["text"]))
+    assert {r["word"]: r["n"] for r in word_counts(docs).collect()} == brute
+    assert len(frequent_words(docs, path, 1 << 19)[0]) == sum(n > 1 for n in brute.values())
+    hashes = {r["h"]: r["n"] for r in word_counts(docs).collect()}
+    for table in (1, 30, 200):
+        found, tokens, scores = frequent_words(docs, path, table)
+        assert len(found) <= table and len(found) == len(tokens) == len(scores) and sorted(found) == list(found)
+        least = min((hashes[h] for h in found), default=math.inf)
+        assert all(n < least for h, n in hashes.items() if h not in set(found))
+
+
+def test_token_counts_of_a_very_long_word(spark):
+    from wharf.llm.queries import tokenizer_path
+    from wharf.llm.token_counts import token_counts
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    rows = [(0, "ab" * 100_000), (1, "ab" * 100_000 + " ab"), (2, "ab")]
+    got = {r["doc_id"]: r for r in token_counts(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()}
+    assert [got[i]["n_words"] for i in range(3)] == [1, 2, 1]
+    assert got[1]["n_tokens"] == got[0]["n_tokens"] + got[2]["n_tokens"]
+    assert math.isclose(got[1]["log_prob"], got[0]["log_prob"] + got[2]["log_prob"], rel_tol=1e-12)
+
+
 def test_nearest(spark):
     from wharf.llm.ann import nearest
 

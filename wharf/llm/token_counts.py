@@ -1,24 +1,30 @@
 """Token counts under a unigram model, by dynamic programming that words share through a trie.
 
-The distinct pre-tokens of a batch are put into a trie. Walking it once gives, for every prefix, the
-forward score (log probability of all segmentations), the score of the best segmentation and its number
-of tokens; a prefix that many words share is scored once. The values at the words' ends are kept by word,
-and a document's counts are sums over its words.
+Distinct pre-tokens are put into a trie in their order. Each node holds, for its prefix, the forward score
+(log probability of all segmentations), the score of the best segmentation and its number of tokens; a
+prefix that many words share is scored once. As words come in order, only the nodes from the root to the
+last word are open: the others are finished, and are let go. The values at the words' ends are kept.
+
+Words are counted in Spark. Those that occur more than once, the most frequent ones up to a bound, are
+scored once in the cluster, over ranges of words, and go to all tasks as a table of bounded size. Any other
+word is scored with the batch that holds it. A document's counts are sums over its words.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from wharf.llm.common import ready, slices
+from wharf.llm.common import RollingHash, cut, ready, slices, text_buffer, word_spans
 
-CACHE, CACHE_CHARS = 900_000, 24 << 20  # words a worker keeps, and their characters; then it starts anew
+TABLE = 1 << 19  # words scored beforehand: at most 20 bytes each in every task, 10 MB
 SPACE = "▁"
+FIXED = float(1 << 32)  # scores are summed as integers of 2**-32, so that no order of words changes a sum
 
 
 class Unigram:
@@ -50,88 +56,145 @@ class Unigram:
             for ch in reversed(p):
                 node = node.setdefault(ch, {})
             node[""] = value
-        self.words: dict[str, tuple[int, float]] = {}
-        self.chars = 0
 
-    def learn(self, words: list[str]) -> None:
-        """Keep (tokens of the best segmentation, forward score) of new words."""
-        trie: dict = {}
-        for w in words:
-            node = trie
-            for ch in w:
-                node = node.setdefault(ch, {})
-            node[""] = w
-        # depth first; the path's values lie in lists by depth
+    def learn(self, words: Iterable[str]) -> tuple[list[int], list[float]]:
+        """Tokens of the best segmentation and forward score of words, which come sorted."""
+        # the open nodes, from the root to the last word
         forward, best, tokens = [0.0], [0.0], [0]
         path: list[str] = []
-        todo = [(1, ch, node) for ch, node in trie.items()]
-        while todo:
-            depth, ch, node = todo.pop()
-            del path[depth - 1 :], forward[depth:], best[depth:], tokens[depth:]
-            path.append(ch)
-            sums, top, count = [], -math.inf, 0
-            back, before = self.back, depth
-            while before:
-                back = back.get(path[before - 1])
-                if back is None:
-                    break
-                before -= 1
-                score = back.get("")
-                if score is not None:
-                    sums.append(forward[before] + score)
-                    value = best[before] + score
-                    if value > top or (value == top and tokens[before] + 1 < count):
-                        top, count = value, tokens[before] + 1
-            if ch not in self.score:  # spelt in bytes
-                n = len(ch.encode("utf-8", "replace"))
-                sums.append(forward[depth - 1] + n * self.byte)
-                value = best[depth - 1] + n * self.byte
-                if value > top or (value == top and tokens[depth - 1] + n < count):
-                    top, count = value, tokens[depth - 1] + n
-            if len(sums) == 1:
-                forward.append(sums[0])
-            else:
-                high = max(sums)
-                forward.append(high + math.log(sum([math.exp(s - high) for s in sums])))
-            best.append(top)
-            tokens.append(count)
-            for nxt, child in node.items():
-                if nxt == "":
-                    self.words[child] = (count, forward[-1])
-                else:
-                    todo.append((depth + 1, nxt, child))
-        self.chars += sum(map(len, words))
-
-    def count(self, texts: list[str | None]) -> list[tuple[int, int, float]]:
-        """(words, tokens, forward log probability) of every text."""
-        split = [[SPACE + w.decode("utf-8", "replace") for w in (t or "").encode("utf-8", "replace").split()] for t in texts]
-        if len(self.words) > CACHE or self.chars > CACHE_CHARS:
-            self.words, self.chars = {}, 0
-        new = {w for s in split for w in s if w not in self.words}
-        if new:
-            self.learn(list(new))
-        out = []
-        for s in split:
-            got = [self.words[w] for w in s]
-            out.append((len(s), sum(g[0] for g in got), math.fsum(g[1] for g in got)))
-        return out
-
-
-def token_counts(documents: DataFrame, model: str) -> DataFrame:
+        counts, scores = [], []
+        for w in words:
+            depth, most = 0, min(len(w), len(path))
+            while depth < most and path[depth] == w[depth]:
+                depth += 1
+            del path[depth:], forward[depth + 1 :], best[depth + 1 :], tokens[depth + 1 :]
+            for ch in w[depth:]:
+                path.append(ch)
+                depth += 1
+                self._open(path, depth, forward, best, tokens)
+            counts.append(tokens[-1])
+            scores.append(forward[-1])
+        return counts, scores
+
+    def _open(self, path: list[str], depth: int, forward: list[float], best: list[float], tokens: list[int]) -> None:
+        """Score the node under ``path`` from those above it."""
+        sums, top, count = [], -math.inf, 0
+        back, before, ch = self.back, depth, path[-1]
+        while before:
+            back = back.get(path[before - 1])
+            if back is None:
+                break
+            before -= 1
+            score = back.get("")
+            if score is not None:
+                sums.append(forward[before] + score)
+                value = best[before] + score
+                if value > top or (value == top and tokens[before] + 1 < count):
+                    top, count = value, tokens[before] + 1
+        if ch not in self.score:  # spelt in bytes
+            n = len(ch.encode("utf-8", "replace"))
+            sums.append(forward[depth - 1] + n * self.byte)
+            value = best[depth - 1] + n * self.byte
+            if value > top or (value == top and tokens[depth - 1] + n < count):
+                top, count = value, tokens[depth - 1] + n
+        if len(sums) == 1:
+            forward.append(sums[0])
+        else:
+            high = max(sums)
+            forward.append(high + math.log(sum([math.exp(s - high) for s in sums])))
+        best.append(top)
+        tokens.append(count)
+
+
+def _fixed(scores: list[float]) -> np.ndarray:
+    return np.rint(np.array(scores, np.float64) * FIXED).astype(np.int64)
+
+
+def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, rows, hashes) of the words of a column."""
+    raw, offsets = text_buffer(column)
+    starts, ends, rows = word_spans(raw, offsets)
+    hashes = RollingHash(raw).spans(starts, ends).view(np.int64) if len(starts) else np.zeros(0, np.int64)
+    return raw, starts, ends, rows, hashes
+
+
+def _cut_out(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    return [raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+def word_counts(documents: DataFrame) -> DataFrame:
+    """``h, word, n``: how often each word occurs in all texts, with its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            raw, starts, ends, _, hashes = _words(batch.column("text"))
+            h, at, n = np.unique(hashes, return_index=True, return_counts=True)
+            words = pa.array(_cut_out(raw, starts[at], ends[at]), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(h), words, pa.array(n.astype(np.int64))], names=["h", "word", "n"])
+
+    found = documents.select("text").mapInArrow(run, "h long, word string, n long")
+    return found.groupBy("h", "word").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(documents: DataFrame, model: str, table: int = TABLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (sorted), tokens and scores of the words that occur more than once; if these are more than
+    ``table``, of those with at least 2**b occurrences, for the least b that leaves no more than ``table``."""
+    counts = cut(word_counts(documents).where("n > 1"))
+    bits = (F.length(F.bin("n")) - 1).alias("b")
+    by_bits = sorted(counts.groupBy(bits).agg(F.count(F.lit(1)).alias("c")).collect(), reverse=True)  # 63 rows at most
+    least, total = 1 << 62, 0
+    for b, c in by_bits:
+        total += c
+        if total > table:
+            break
+        least = 1 << b
+    ranges = counts.where(F.col("n") >= least).select("h", "word").repartitionByRange("word").sortWithinPartitions("word")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unigram = Unigram.of(model)
+        for batch in batches:
+            tokens, scores = unigram.learn([SPACE + w for w in batch.column("word").to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(tokens, pa.int32()), pa.array(_fixed(scores))], names=["h", "t", "s"])
+
+    got = ranges.mapInArrow(run, "h long, t int, s long").toArrow()
+    h, t, s = (got.column(c).to_numpy() for c in ("h", "t", "s"))
+    order = np.argsort(h)
+    return h[order], t[order], s[order]
+
+
+def token_counts(documents: DataFrame, model: str, table: int = TABLE) -> DataFrame:
     """``doc_id, n_words, n_tokens, log_prob`` of every document over its whole text; ``model`` is the path
-    of a sentencepiece file on every machine.
+    of a sentencepiece file on every machine, ``table`` the number of words scored beforehand at most (it
+    bounds memory; results do not depend on it).
 
     Null, empty and blank texts count 0 with log probability 0. Equal scores go to fewer tokens. Rows that
-    repeat are counted one by one; an empty table gives an empty result; other columns do not matter."""
+    repeat are counted one by one; an empty table gives an empty result; other columns do not matter. A word
+    of any length is scored whole. Words are told apart by 64-bit hashes."""
     ready(documents.sparkSession)
     kind = dict(documents.dtypes)["doc_id"]
+    known, known_tokens, known_scores = frequent_words(documents, model, table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram = Unigram.of(model)
         for batch in slices(batches, "text"):
-            words, tokens, prob = zip(*unigram.count(batch.column("text").to_pylist()))
+            raw, starts, ends, rows, hashes = _words(batch.column("text"))
+            tokens, scores = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+            at = np.searchsorted(known, hashes)
+            at[at == len(known)] = 0
+            hit = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+            tokens[hit], scores[hit] = known_tokens[at[hit]], known_scores[at[hit]]
+            miss = np.flatnonzero(~hit)
+            _, first, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            words = _cut_out(raw, starts[miss[first]], ends[miss[first]])
+            order = sorted(range(len(words)), key=words.__getitem__)
+            t, s = unigram.learn(SPACE + words[i] for i in order)
+            new_tokens, new_scores = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            new_tokens[order], new_scores[order] = t, _fixed(s)
+            tokens[miss], scores[miss] = new_tokens[back], new_scores[back]
+            bounds = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+            sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[bounds]) for x in (tokens, scores)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(tokens, pa.int64()), pa.array(np.array(prob))],
+                [batch.column("doc_id"), pa.array(np.diff(bounds).astype(np.int64)), pa.array(sums[0]), pa.array(sums[1] / FIXED)],
                 names=["doc_id", "n_words", "n_tokens", "log_prob"],
             )
 
