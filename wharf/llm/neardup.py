@@ -5,8 +5,13 @@ each (coordinate, value) of its signature. Two classes count as candidates if th
 at least ``need`` coordinates. Of a class's postings only the ``H - need + 1`` rarest are merged (the
 prefix): two classes that collide often enough must share one of them; the frequent lists are skipped and
 only probed through the signatures. Pairs from short lists are joined, their collisions counted, and the
-survivors confirmed on the full sets. Long lists (families of very many near copies) are compared block by
-block inside tasks, which give back a spanning forest of the confirmed links and never the pairs.
+survivors confirmed on the full sets.
+
+Members of long lists that do not hang together yet are posted anew, under their rarest shingles: of ``n``
+shingles in one order for all, as many as two sets at the threshold must share one of. Texts of a family
+that differ in more than the threshold allows then meet no longer. Lists that are still long (families of
+very many near copies) are compared block by block inside tasks, which give back a spanning forest of the
+confirmed links and never the pairs.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from wharf.llm.components import components
 COORDINATES = 40
 SHORT = 12  # classes of a list whose pairs are joined; longer lists go to the block comparison
 BLOCK = 512  # classes on each side of a block
+ORDER = 1 << 20  # counts by which shingles are ordered; several shingles share one, which costs time only
 ROWS_AT_ONCE = 1 << 13
 
 _R = np.random.Generator(np.random.PCG64(99))
@@ -225,10 +231,58 @@ def _block_links(left: pd.DataFrame, right: pd.DataFrame, percent: int, need: in
     return forest
 
 
-def _long_list_links(posts: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, need: int) -> DataFrame:
-    """Links within long lists (tok, size, cls): members are dealt over blocks, and every pair of blocks is
-    a task of its own, so no list is ever in one task."""
-    posts = posts.join(labels, "cls", "left").select("tok", "size", "cls", F.coalesce("label", "cls").alias("label"))
+def _labels(links: DataFrame) -> DataFrame:
+    """cls, label: what the links say, one step deep. Classes with equal labels hang together."""
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return ends.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+
+
+def _labelled(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    return posts.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+
+def _shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle of each of the ``ORDER`` remainders, where these are more than ``SHORT``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ORDER, np.int64)
+        for batch in batches:
+            raw, _ = text_buffer(batch.column("set"))
+            at, n = np.unique(np.frombuffer(raw.tobytes(), np.int64) % ORDER, return_counts=True)
+            total[at] += n
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    found = sets.select("set").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).where(F.col("n") > SHORT).toArrow()
+    out = np.zeros(ORDER, np.int64)
+    out[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def _rare_posts(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """tok, cls: the members under the first of their shingles, rarest first. Sets of ``n`` and more shingles
+    that are linked share ``percent * n / 100`` at least, and so one of the first ``n - that + 1``."""
+    counts = _shingle_counts(sets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "set"):
+            raw, offsets = text_buffer(batch.column("set"))
+            values = np.frombuffer(raw.tobytes(), np.int64)
+            n = np.diff(offsets) // 8
+            first = offsets[:-1] // 8
+            rows = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((values, counts[values % ORDER], rows))
+            nth = np.arange(len(values)) - np.repeat(first, n)
+            keep = order[nth < np.repeat(n + (-percent * n // 100) + 1, n)]
+            cls = batch.column("cls").to_numpy()[rows[keep]]
+            yield pa.RecordBatch.from_arrays([pa.array(values[keep]), pa.array(cls)], names=["tok", "cls"])
+
+    return sets.select("cls", "set").mapInArrow(run, "tok long, cls long").join(members, "cls")
+
+
+def _block_list_links(posts: DataFrame, sets: DataFrame, percent: int, need: int) -> DataFrame:
+    """Links within long lists (tok, size, cls, label): members are dealt over blocks, and every pair of
+    blocks is a task of its own, so no list is ever in one task. Lists that hang together are left out."""
     mixed = posts.groupBy("tok").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("tok")
     posts = posts.join(mixed, "tok")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -284,26 +338,40 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     sizes = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead")).where("size > 1")
     posts = cut(posts.join(sizes, "tok"))
 
-    # candidate pairs: all of a short list, and every member of a long one with its first
-    short = posts.where(F.col("size") <= SHORT)
-    pairs = short.select("tok", F.col("cls").alias("a")).join(short.select("tok", F.col("cls").alias("b")), "tok").where("a < b").select("a", "b")
-    leads = posts.where((F.col("size") > SHORT) & (F.col("cls") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("cls").alias("b"))
-    pairs = pairs.unionByName(leads).distinct()
     one = classes.select("cls", "n", "sig")
-    pairs = pairs.join(one.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sig").alias("siga")), "a")
-    pairs = pairs.join(one.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sigb")), "b")
-    collisions = F.size(F.filter(F.zip_with("siga", "sigb", lambda x, y: x == y), lambda same: same))
-    near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    pairs = cut(pairs.where(near & (collisions >= need)).select("a", "b"))
 
-    long_posts = posts.where(F.col("size") > SHORT).select("tok", "size", "cls")
+    def candidates(lists: DataFrame) -> DataFrame:
+        """Pairs of short lists, and every member of a long one with its first, that collide often enough."""
+        short = lists.where(F.col("size") <= SHORT)
+        pairs = short.select("tok", F.col("cls").alias("a"), F.col("label").alias("x")).join(
+            short.select("tok", F.col("cls").alias("b"), F.col("label").alias("y")), "tok"
+        )
+        pairs = pairs.where("a < b AND x != y").select("a", "b")
+        leads = lists.where((F.col("size") > SHORT) & (F.col("cls") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("cls").alias("b"))
+        pairs = pairs.unionByName(leads).distinct()
+        pairs = pairs.join(one.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sig").alias("siga")), "a")
+        pairs = pairs.join(one.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sigb")), "b")
+        collisions = F.size(F.filter(F.zip_with("siga", "sigb", lambda x, y: x == y), lambda same: same))
+        near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+        return cut(pairs.where(near & (collisions >= need)).select("a", "b"))
+
+    pairs = candidates(posts.withColumn("label", F.col("cls")))
+    long_posts = posts.where(F.col("size") > SHORT).select("tok", "cls")
     wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).unionByName(long_posts.select("cls")).distinct()
     sets = cut(_sets(documents, classes.select("cls", "rep").join(wanted, "cls"), k))
     links = cut(_confirm(pairs, sets, percent))
-    # what the links say so far, one step deep, spares the comparison of members that hang together
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = ends.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
-    links = links.unionByName(_long_list_links(long_posts, sets, labels, percent, need))
+
+    # what long lists leave open: their members that do not hang together, under their rarest shingles
+    open_lists = F.min("label") != F.max("label")
+    long_posts = _labelled(long_posts, _labels(links))
+    mixed = long_posts.groupBy("tok").agg(open_lists.alias("open")).where("open").select("tok")
+    members = cut(long_posts.join(mixed, "tok").select("cls", "label").distinct())
+    rare = _rare_posts(sets, members, percent)
+    sizes = rare.groupBy("tok").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead"), open_lists.alias("open")).where("open")
+    rare = cut(rare.join(sizes.drop("open"), "tok"))
+    links = links.unionByName(cut(_confirm(candidates(rare), sets, percent)))
+    still = _labelled(rare.where(F.col("size") > SHORT).select("tok", "size", "cls"), _labels(links))
+    links = links.unionByName(_block_list_links(still, sets, percent, need))
 
     roots = cut(components(links))
     named = classes.join(roots.withColumnRenamed("node", "cls"), "cls").groupBy("root").agg(F.min("rep").alias("rep"))
