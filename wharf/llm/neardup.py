@@ -232,9 +232,8 @@ def _block_links(left: pd.DataFrame, right: pd.DataFrame, percent: int, need: in
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """cls, label: what the links say, one step deep. Classes with equal labels hang together."""
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return ends.groupBy(F.col("a").alias("cls")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
+    """cls, label: classes with equal labels hang together."""
+    return cut(components(links).select(F.col("node").alias("cls"), F.col("root").alias("label")))
 
 
 def _labelled(posts: DataFrame, labels: DataFrame) -> DataFrame:
@@ -280,11 +279,18 @@ def _rare_posts(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return sets.select("cls", "set").mapInArrow(run, "tok long, cls long").join(members, "cls")
 
 
+def _open(posts: DataFrame) -> DataFrame:
+    """Posts (tok, cls, label) of the lists whose members do not all hang together, with the list's ``size``
+    and its first class ``lead``."""
+    lists = posts.groupBy("tok").agg(
+        F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead"), (F.min("label") != F.max("label")).alias("open")
+    )
+    return posts.join(lists.where("open").drop("open"), "tok")
+
+
 def _block_list_links(posts: DataFrame, sets: DataFrame, percent: int, need: int) -> DataFrame:
-    """Links within long lists (tok, size, cls, label): members are dealt over blocks, and every pair of
-    blocks is a task of its own, so no list is ever in one task. Lists that hang together are left out."""
-    mixed = posts.groupBy("tok").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("tok")
-    posts = posts.join(mixed, "tok")
+    """Links within lists (tok, size, cls, label): members are dealt over blocks, and every pair of blocks
+    is a task of its own, so no list is ever in one task."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     posts = posts.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
@@ -362,15 +368,13 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     links = cut(_confirm(pairs, sets, percent))
 
     # what long lists leave open: their members that do not hang together, under their rarest shingles
-    open_lists = F.min("label") != F.max("label")
-    long_posts = _labelled(long_posts, _labels(links))
-    mixed = long_posts.groupBy("tok").agg(open_lists.alias("open")).where("open").select("tok")
-    members = cut(long_posts.join(mixed, "tok").select("cls", "label").distinct())
-    rare = _rare_posts(sets, members, percent)
-    sizes = rare.groupBy("tok").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("lead"), open_lists.alias("open")).where("open")
-    rare = cut(rare.join(sizes.drop("open"), "tok"))
+    long_posts = cut(_open(_labelled(long_posts, _labels(links))).select("tok", "cls", "label"))
+    rare = cut(_open(_rare_posts(sets, long_posts.select("cls", "label").distinct(), percent)))
     links = links.unionByName(cut(_confirm(candidates(rare), sets, percent)))
-    still = _labelled(rare.where(F.col("size") > SHORT).select("tok", "size", "cls"), _labels(links))
+    # two members not compared so far share a long list of either kind; those of coordinates are fewer
+    labels = _labels(links)
+    still = _open(_labelled(rare.where(F.col("size") > SHORT).select("tok", "cls"), labels)).select("cls").distinct()
+    still = _open(_labelled(long_posts.drop("label").join(still, "cls"), labels))
     links = links.unionByName(_block_list_links(still, sets, percent, need))
 
     roots = cut(components(links))
