@@ -117,41 +117,6 @@ def test_long_lists_are_compared_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: find(i) for i in range(40)}
 
 
-def test_families_of_dissimilar_texts_leave_no_long_list(spark, monkeypatch):
-    """Texts that share three quarters of their words, and so meet under many coordinates, meet under few of
-    their rarest shingles; all links among them, and those of near copies between them, are found."""
-    from wharf.llm import neardup
-    from wharf.llm.common import ready
-
-    monkeypatch.setattr(neardup, "SHORT", 3)
-    monkeypatch.setattr(neardup, "BLOCK", 4)
-    rng = random.Random(8)
-    base = [f"w{i}" for i in range(120)]
-    texts = [" ".join(base[:90]) + " " + " ".join(f"x{rng.randrange(10**6)}" for _ in range(30)) for _ in range(40)]
-    alone = len(texts)
-    texts += [t + f" end{i}" for i, t in enumerate(texts[:6])] + [texts[0].replace("w40", "other")]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    sets = [set(zip(t.split(), t.split()[1:], t.split()[2:])) for t in texts]
-    root = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
-                a, b = sorted((root[i], root[j]))
-                root = [a if x == b else x for x in root]
-    assert len(set(root)) == alone
-    got = neardup.near_duplicates(frame, 3, 85).collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(root))
-
-    ready(spark)
-    hashed = [sorted({zlib.crc32(" ".join(x).encode()) for x in s}) for s in sets[:alone]]
-    rows = [(i, np.array(h, np.int64).tobytes()) for i, h in enumerate(hashed)]
-    made = spark.createDataFrame(rows, "cls long, set binary")
-    posts = neardup._rare_posts(made, made.select("cls", F.col("cls").alias("label")), 85).collect()
-    per_class = collections.Counter(r["cls"] for r in posts)
-    assert per_class == {i: len(h) - -(-85 * len(h) // 100) + 1 for i, h in enumerate(hashed)}
-    assert max(collections.Counter(r["tok"] for r in posts).values()) <= 3
-
-
 def _repeat_brute(texts, n):
     where = collections.Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
     out = []
