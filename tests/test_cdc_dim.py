@@ -11,8 +11,10 @@ from wharf.operators.cdc import (
     current_config,
     dim_changes,
     dim_quarantine,
+    judge_changes,
     parse_config,
     route,
+    route_by_batch,
     trim,
 )
 from wharf.operators.dim import apply_changes
@@ -221,3 +223,20 @@ def test_over_the_bound_falls_back_to_a_shuffle_join(spark):
         assert sorted((r.code or "", r.dic_name or "") for r in out.collect()) == [("", ""), ("F", "finished"), ("O", "open"), ("P", "")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_config_is_the_broadcast_side(spark):
+    """The changes are neither broadcast nor dealt by ``table``, whatever the estimates of both sides say."""
+    changes = cdc_clean(raw(spark, [chg("t", "insert", {"id": i}) for i in range(5)] + [chg("other", "insert", {"id": 9})]))
+    feed = parse_config(raw(spark, [cfg("r", after=row("t", "dim_t", "id"))]))
+    preload = feed.select("source_table", "sink_table", "sink_family", "sink_columns", "sink_row_key")
+    tables = spark.createDataFrame([("dim_t",)], "sink_table string")
+    live = current_config(feed)
+    text = raw(spark, [chg("t", "insert", {"id": i}) for i in range(5)])
+    batches = route_by_batch(changes.withColumn("batch", F.lit(0)), feed.withColumn("batch", F.lit(0)))
+    routed = (route(changes, live), route(changes, current_config(feed, preload=preload)), batches, judge_changes(text, live, tables))
+    for r in routed:
+        assert sorted(x.offset for x in r.collect()) == [0, 1, 2, 3, 4]
+        plan = r._jdf.queryExecution().sparkPlan().toString()
+        keys = [line for line in plan.splitlines() if "source_table" in line and "Join" in line]
+        assert len(keys) == 1 and "BroadcastHashJoin" in keys[0] and "BuildRight" in keys[0], plan

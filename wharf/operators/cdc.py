@@ -154,14 +154,21 @@ def current_config(feed: DataFrame, preload: DataFrame | None = None, order: tup
     return latest.select("c.*").where(F.col("op") != CONFIG_DELETE_OP)
 
 
+def _broadcast(config: DataFrame) -> DataFrame:
+    """The config, a row per source table, as the broadcast side of its join with the changes, as in the upstream
+    job. Nothing says how large a feed's rows are: by estimates alone Spark broadcast the changes, or dealt them by
+    ``table``, all changes of a table to one task. A session that forbids broadcasts gets a shuffle join."""
+    threshold = str(config.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return config if threshold.startswith("-") else F.broadcast(config)
+
+
 def route(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Inner equi-join of each change with the config row of its table (``table = source_table``).
 
-    Changes of tables without a config row are dropped (D6). Whether the config is broadcast is left to
-    Spark, which compares its bytes with ``spark.sql.autoBroadcastJoinThreshold`` (adaptive execution
-    with the measured ones); no job runs while the plan is built, and any number of rows works.
+    Changes of tables without a config row are dropped (D6). The config is broadcast (:func:`_broadcast`); no
+    job runs while the plan is built.
     """
-    side = config.select(*CONFIG_FIELDS)
+    side = _broadcast(config.select(*CONFIG_FIELDS))
     return changes.join(side, changes["table"] == side["source_table"], "inner").drop("source_table")
 
 
@@ -178,7 +185,7 @@ def config_intervals(feed: DataFrame, batch: str = "batch", order: tuple[str, ..
 
 def route_by_batch(changes: DataFrame, feed: DataFrame, batch: str = "batch", order: tuple[str, ...] = ("offset",)) -> DataFrame:
     """:func:`route` of many batches in one plan, each change (``batch``) by the config that its batch saw."""
-    side = config_intervals(feed, batch, order).select(*CONFIG_FIELDS, "from_batch", "to_batch")
+    side = _broadcast(config_intervals(feed, batch, order).select(*CONFIG_FIELDS, "from_batch", "to_batch"))
     n = F.col(batch)
     seen = (changes["table"] == side["source_table"]) & (n >= F.col("from_batch")) & (F.col("to_batch").isNull() | (n < F.col("to_batch")))
     return changes.join(side, seen, "inner").drop("source_table", "from_batch", "to_batch")
@@ -212,7 +219,7 @@ def judge_changes(raw: DataFrame, config: DataFrame, tables: DataFrame, database
     to one of ``tables``, by ``sink_table``): bad records, changes without a row key, changes of a table that is
     not there. ``value`` stays with those that have a reason; changes of tables without a config row are gone (D6)."""
     c = classify_changes(raw, database).drop(REC).where("status <> 'skip'")
-    side = config.select(*CONFIG_FIELDS).join(tables.select("sink_table", F.lit(True).alias("_there")), "sink_table", "left")
+    side = _broadcast(config.select(*CONFIG_FIELDS).join(tables.select("sink_table", F.lit(True).alias("_there")), "sink_table", "left"))
     keep = F.col("status") == "keep"
     routed = c.join(side, keep & (c["table"] == side["source_table"]), "left").drop("source_table")
     reason = (

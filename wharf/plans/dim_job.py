@@ -1,6 +1,6 @@
 """The dimension-sync job as one batch plan: ``cdc_clean -> route -> trim -> apply_changes``.
 
-One scan of the change records; the config side is broadcast if Spark finds it small; one keyed
+One scan of the change records; the config, a row per source table, is broadcast; one keyed
 aggregation pair applies the changes. With a store, the result becomes the tables' next version.
 """
 
