@@ -319,3 +319,14 @@ def test_repair_reads_and_parses_once_and_shuffles_logs_once(spark, scratch):
         spark.conf.set(key, old)
     final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
     assert final.count("FileScan") == final.count("from_json") == final.count("ReusedExchange") == 1
+
+
+def test_each_record_is_written_as_json_once(spark):
+    from wharf.functions.jsonx import parse_object, to_json_text
+
+    rows = [('{"a":1,"b":{"c":null,"d":[null]},"e":null}',), ('{"a":"x:null"}',), ("{}",), ("[1]",), (None,)]
+    df = spark.createDataFrame(rows, "value string").select("value", parse_object("value").alias("m"))
+    out = df.select("value", to_json_text(F.col("m")).alias("t"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("StructsToJsonEvaluator") == 1
+    texts = {r.value: r.t and json.loads(r.t) for r in out.collect()}
+    assert texts == {rows[0][0]: {"a": 1, "b": {"d": [None]}}, '{"a":"x:null"}': {"a": "x:null"}, "{}": {}, "[1]": None, None: None}

@@ -84,9 +84,13 @@ _FIRST_COMMA = rf'({_STRING})|(?<=\{{),'
 def drop_null_members(json: Column) -> Column:
     """Compact JSON text without the null-valued members of its objects, at every depth; nulls in arrays stay.
 
-    The text is read string by string, so what looks like a member inside a string is left alone."""
-    bare = F.regexp_replace(F.regexp_replace(json, _NULL_MEMBER, "$1"), _FIRST_COMMA, "$1")
-    return F.when(json.contains(":null"), bare).otherwise(json)
+    The text is read string by string, so what looks like a member inside a string is left alone. ``json`` is
+    bound by a one-element array: it is often the writing of a whole record, which is to run once."""
+
+    def bare(t: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(t, _NULL_MEMBER, "$1"), _FIRST_COMMA, "$1")
+
+    return F.transform(F.array(json), lambda t: F.when(t.contains(":null"), bare(t)).otherwise(t))[0]
 
 
 def put(m: Column, entries: dict[str, Column]) -> Column:

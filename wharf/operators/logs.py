@@ -299,8 +299,6 @@ def _fan_out(log: Column, key: str, route: str) -> Column:
 def route_records(log: Column, kind: Column | None = None) -> Column:
     """All records of one log as ``array<struct<route, value>>`` (T4a-T4e). ``kind`` (from the clean
     step) saves testing ``start``/``page`` again."""
-    err = log["err"]
-    base = drop_keys(log, ["err"])
     if kind is None:
         is_start = is_object(log["start"])
         is_page = ~is_start & is_object(log["page"])
@@ -308,11 +306,11 @@ def route_records(log: Column, kind: Column | None = None) -> Column:
         is_start = kind == "start"
         is_page = kind == "page"
     singles = F.array(
-        F.struct(F.lit("err").alias("route"), F.when(is_object(err), to_json_text(as_object(err))).alias("value")),
-        F.struct(F.lit("start").alias("route"), F.when(is_start, to_json_text(base)).alias("value")),
+        F.struct(F.lit("err").alias("route"), to_json_text(as_object(log["err"])).alias("value")),
+        F.struct(F.lit("start").alias("route"), F.when(is_start, to_json_text(drop_keys(log, ["err"]))).alias("value")),
         F.struct(
             F.lit("page").alias("route"),
-            F.when(is_page, to_json_text(drop_keys(base, ["displays", "actions"]))).alias("value"),
+            F.when(is_page, to_json_text(drop_keys(log, ["err", "displays", "actions"]))).alias("value"),
         ),
     )
     empty = F.array().cast(T.ArrayType(ROUTE_RECORD))
